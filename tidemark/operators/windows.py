@@ -59,6 +59,6 @@ def first_per(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 def top_per(df: DataFrame, keys: list[str], n: int, *order: Column, rank: str | None = None) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
-    name = rank or "_rank"
+    name = rank or "_place_in_group"
     ranked = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n)
     return ranked if rank else ranked.drop(name)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.functions.cleaning import code, date_key, pct, ratio
+from tidemark.functions.cleaning import code, date_key, pct, ratio, rounded
 from tidemark.operators.asof import asof_join, forward_product
 from tidemark.operators.ordering import dense_ids
 from tidemark.operators.windows import by_date, first_per, rows, so_far
@@ -17,10 +17,10 @@ PRICES = ("prev_close", "open", "high", "low", "last", "close", "vwap")
 def adjusted_prices(stock_daily: DataFrame, actions: DataFrame) -> DataFrame:
     """Prices before a split or bonus divided, volumes multiplied, by all later factors of the symbol."""
     rated = forward_product(stock_daily, actions, ["symbol"], "trade_date", "ex_date", "factor", "_factor")
-    out = rated.withColumn("adj_factor", F.round("_factor", 6)).drop("_factor")
+    out = rated.withColumn("adj_factor", rounded("_factor", 6)).drop("_factor")
     f = F.col("adj_factor")
     return out.withColumns({
-        **{f"adj_{c}": F.round(F.col(c) / f, 4) for c in PRICES},
+        **{f"adj_{c}": rounded(F.col(c) / f, 4) for c in PRICES},
         "adj_volume": (F.col("volume") * f).cast("long"),
     })
 
@@ -60,10 +60,10 @@ def stock_daily(prices: DataFrame, stocks: DataFrame) -> DataFrame:
         "open", "high", "low", "close", "prev_close", "vwap", "volume", "raw_close", "raw_volume", "adj_factor",
         "turnover_lacs", "num_trades", "deliv_qty", "deliv_pct",
         pct(close, previous, 4).alias("return_pct"), pct(F.col("open"), previous, 4).alias("gap_pct"),
-        F.round(ratio(F.col("high") - F.col("low"), previous) * 100, 4).alias("range_pct"),
+        rounded(ratio(F.col("high") - F.col("low"), previous) * 100, 4).alias("range_pct"),
         pct(close, F.col("_close_5"), 4).alias("return_5d_pct"), "avg_volume_20d",
-        F.round(ratio(F.col("volume"), F.col("avg_volume_20d")), 3).alias("volume_ratio_20d"),
-        "avg_deliv_pct_20d", F.round("_volatility", 4).alias("volatility_20d_pct"), "history_days")
+        rounded(ratio(F.col("volume"), F.col("avg_volume_20d")), 3).alias("volume_ratio_20d"),
+        "avg_deliv_pct_20d", rounded("_volatility", 4).alias("volatility_20d_pct"), "history_days")
 
 
 def index_daily(indices: DataFrame, dim: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.cleaning import ratio
+from tidemark.functions.cleaning import ratio, rounded
 from tidemark.operators.asof import asof_join
 from tidemark.operators.windows import by_date, drawdown
 from tidemark.params import FundParams
@@ -78,7 +78,7 @@ def performance(nav: DataFrame, funds: DataFrame, p: FundParams = FundParams())
                    "scheme_code", "left")
 
     def pct(c: str, places: int = 2):
-        return F.round(F.col(c) * 100, places)
+        return rounded(F.col(c) * 100, places)
 
     return out.select(
         "scheme_code", "scheme_name", "amc", "category", "asset_class", "plan", "option_type", "as_of_date",
@@ -86,7 +86,7 @@ def performance(nav: DataFrame, funds: DataFrame, p: FundParams = FundParams())
         *[pct(f"ret_{label}").alias(f"cagr_{label}_pct" if annual else f"return_{label}_pct")
           for label, _, annual in HORIZONS],
         pct("vol_1y").alias("volatility_1y_pct"),
-        F.round(ratio(F.col("ret_1y") - p.risk_free_rate, F.col("vol_1y")), 2).alias("sharpe_1y"),
+        rounded(ratio(F.col("ret_1y") - p.risk_free_rate, F.col("vol_1y")), 2).alias("sharpe_1y"),
         pct("max_drawdown_3y").alias("max_drawdown_3y_pct"), pct("roll_avg").alias("rolling_1y_avg_pct"),
         pct("roll_min").alias("rolling_1y_min_pct"), pct("roll_max").alias("rolling_1y_max_pct"),
         pct("roll_positive", 1).alias("rolling_1y_positive_pct"))
@@ -105,10 +105,10 @@ def sector_performance(fact: DataFrame, stocks: DataFrame) -> DataFrame:
         F.count("deliv_pct").alias("_reported"))
     n, money = F.col("_n"), F.col("_turnover")
     return equal.groupBy("date_key", "trade_date", "industry").agg(
-        F.sum(n).alias("stocks"), F.round(F.sum(move * n) / F.sum(n), 3).alias("avg_return_pct"),
-        F.round(F.expr("percentile(return_pct, 0.5, _n)"), 3).alias("median_return_pct"),
-        F.round(ratio(F.sum(move * money), F.sum(money)), 3).alias("weighted_return_pct"),
+        F.sum(n).alias("stocks"), rounded(F.sum(move * n) / F.sum(n), 3).alias("avg_return_pct"),
+        rounded(F.expr("percentile(return_pct, 0.5, _n)"), 3).alias("median_return_pct"),
+        rounded(ratio(F.sum(move * money), F.sum(money)), 3).alias("weighted_return_pct"),
         F.coalesce(F.sum(F.when(move > 0, n)), F.lit(0)).alias("advancers"),
         F.coalesce(F.sum(F.when(move < 0, n)), F.lit(0)).alias("decliners"),
-        F.round(F.sum(money) / 100, 2).alias("turnover_cr"),
-        F.round(F.try_divide(F.sum("_delivered"), F.sum("_reported")), 2).alias("avg_deliv_pct"))
+        rounded(F.sum(money) / 100, 2).alias("turnover_cr"),
+        rounded(F.try_divide(F.sum("_delivered"), F.sum("_reported")), 2).alias("avg_deliv_pct"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.functions.cleaning import month_steps, ratio
+from tidemark.functions.cleaning import month_steps, ratio, rounded
 from tidemark.functions.xirr import xirr
 from tidemark.operators.grouping import most_common
 from tidemark.plans.facts import latest
@@ -57,12 +57,12 @@ def holdings(txns: DataFrame, fact: DataFrame, nav: DataFrame, stocks: DataFrame
     owned = priced.groupBy("owner").agg(F.sum(price * quantity).alias("_owned"))
     return priced.join(owned, "owner").select(
         *KEYS, "instrument_name", "sector_or_category", "first_txn_date", "txn_count",
-        F.round(quantity, 4).alias("held_qty"), F.round(cost, 4).alias("avg_cost"), "current_price", "price_date",
-        F.round(cost * quantity, 2).alias("invested_value"), F.round(price * quantity, 2).alias("current_value"),
-        F.round(price * quantity - cost * quantity, 2).alias("unrealized_pnl"),
-        F.round((ratio(price, cost) - 1) * 100, 2).alias("unrealized_pnl_pct"),
-        F.round(F.col("_received") - cost * F.col("_sold"), 2).alias("realized_pnl"),
-        F.round(ratio(price * quantity, F.col("_owned")) * 100, 2).alias("weight_pct"))
+        rounded(quantity, 4).alias("held_qty"), rounded(cost, 4).alias("avg_cost"), "current_price", "price_date",
+        rounded(cost * quantity, 2).alias("invested_value"), rounded(price * quantity, 2).alias("current_value"),
+        rounded(price * quantity - cost * quantity, 2).alias("unrealized_pnl"),
+        rounded((ratio(price, cost) - 1) * 100, 2).alias("unrealized_pnl_pct"),
+        rounded(F.col("_received") - cost * F.col("_sold"), 2).alias("realized_pnl"),
+        rounded(ratio(price * quantity, F.col("_owned")) * 100, 2).alias("weight_pct"))
 
 
 def money_weighted(txns: DataFrame, held: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def money_weighted(txns: DataFrame, held: DataFrame) -> DataFrame:
         flows = daily.groupBy(*keys, "txn_date", "_in").agg(F.sum("_amount").alias("_amount"))
         listed = flows.groupBy(*keys).agg(
             F.min("txn_date").alias("first_txn_date"),
-            -F.coalesce(F.sum(F.when(F.col("_amount") < 0, F.col("_amount"))), F.lit(0.0)).alias("_invested"),
+            F.coalesce(F.sum(F.when(F.col("_amount") < 0, -F.col("_amount"))), F.lit(0.0)).alias("_invested"),
             F.coalesce(F.sum(F.when(F.col("_amount") > 0, F.col("_amount"))), F.lit(0.0)).alias("_received"),
             F.sort_array(F.collect_list(F.struct("txn_date", "_amount"))).alias("_flows"))
         worth = held.groupBy(*keys).agg(F.coalesce(F.sum("current_value"), F.lit(0.0)).alias("_worth"))
@@ -99,14 +99,14 @@ def money_weighted(txns: DataFrame, held: DataFrame) -> DataFrame:
     timed = F.transform(all_flows, lambda f: F.struct(
         F.date_diff(f["txn_date"], start).alias("days"), f["_amount"].alias("amount")))
     invested, received = F.col("_invested"), F.col("_received")
-    gain = F.round(ratio(F.col("_worth") + received - invested, invested) * 100, 2)
+    gain = rounded(ratio(F.col("_worth") + received - invested, invested) * 100, 2)
     solved = dated.withColumn("_rate", xirr(timed)).withColumn("holding_days", F.date_diff("as_of_date", start))
     meaningful = F.col("holding_days") >= MIN_DAYS_FOR_XIRR
-    rate = F.round(F.col("_rate") * 100, 2)
+    rate = rounded(F.col("_rate") * 100, 2)
     return solved.select(
         "owner", "level", "asset_class", "instrument_id", "as_of_date", "first_txn_date", "holding_days",
-        F.round(invested, 2).alias("total_invested"), F.round(received, 2).alias("total_received"),
-        F.round("_worth", 2).alias("current_value"), gain.alias("absolute_return_pct"), rate.alias("xirr_pct"),
+        rounded(invested, 2).alias("total_invested"), rounded(received, 2).alias("total_received"),
+        rounded("_worth", 2).alias("current_value"), gain.alias("absolute_return_pct"), rate.alias("xirr_pct"),
         meaningful.alias("xirr_is_meaningful"), F.when(meaningful, rate).otherwise(gain).alias("display_return_pct"),
         F.when(meaningful, "XIRR").otherwise("ABSOLUTE").alias("display_return_type"))
 
@@ -118,7 +118,7 @@ def instalments(txns: DataFrame, nav: DataFrame, funds: DataFrame, lapse_days: i
     totals = sip.groupBy(*keys).agg(
         F.count("*").alias("installments"), F.min("txn_date").alias("first_sip_date"),
         F.max("txn_date").alias("last_sip_date"), F.sum("gross_amount").alias("total_invested"),
-        F.round(F.sum("quantity"), 4).alias("units_accumulated"))
+        rounded(F.sum("quantity"), 4).alias("units_accumulated"))
     typical = most_common(sip, keys, "gross_amount", "typical_amount")
     names = funds.select(F.col("scheme_code").cast("string").alias("instrument_id"), "scheme_name")
     as_of = nav.agg(F.max("nav_date").alias("_as_of"))
@@ -127,7 +127,7 @@ def instalments(txns: DataFrame, nav: DataFrame, funds: DataFrame, lapse_days: i
             .select("owner", F.col("instrument_id").alias("scheme_code"), "scheme_name", "installments",
                     "first_sip_date", "last_sip_date", "typical_amount", "total_invested", "units_accumulated",
                     months.alias("months_since_start"),
-                    F.round(F.col("installments") / months * 100, 1).alias("regularity_pct"),
+                    rounded(F.col("installments") / months * 100, 1).alias("regularity_pct"),
                     F.add_months("last_sip_date", 1).alias("next_expected_date"),
                     (F.date_diff("_as_of", "last_sip_date") > lapse_days).alias("is_lapsed")))
 
@@ -138,15 +138,15 @@ def mark_to_market(positions: DataFrame, fact: DataFrame) -> DataFrame:
     value = F.col("qty") * F.col("last_close")
     return positions.join(prices, "symbol", "left").select(
         "symbol", "date", "qty", "price", "amount", "last_close", F.col("trade_date").alias("as_of"),
-        F.round(value, 2).alias("value"), F.round(value - F.col("amount"), 2).alias("pnl"),
-        F.round(ratio(value - F.col("amount"), F.col("amount")) * 100, 2).alias("pnl_pct"))
+        rounded(value, 2).alias("value"), rounded(value - F.col("amount"), 2).alias("pnl"),
+        rounded(ratio(value - F.col("amount"), F.col("amount")) * 100, 2).alias("pnl_pct"))
 
 
 def paper_totals(marked: DataFrame) -> DataFrame:
     return marked.agg(
-        F.count("*").alias("positions"), F.round(F.sum("amount"), 2).alias("invested"),
-        F.round(F.sum("value"), 2).alias("worth"), F.round(F.sum("pnl"), 2).alias("pnl"),
-        F.round(100 * F.try_divide(F.sum("pnl"), F.sum("amount")), 2).alias("pnl_pct"), F.max("as_of").alias("as_of"))
+        F.count("*").alias("positions"), rounded(F.sum("amount"), 2).alias("invested"),
+        rounded(F.sum("value"), 2).alias("worth"), rounded(F.sum("pnl"), 2).alias("pnl"),
+        rounded(100 * F.try_divide(F.sum("pnl"), F.sum("amount")), 2).alias("pnl_pct"), F.max("as_of").alias("as_of"))
 
 
 def symbols_held(txns: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions import text
+from tidemark.functions.cleaning import rounded
 from tidemark.operators import checks
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import QualityParams
@@ -71,7 +72,7 @@ def daily_row_counts(fact: DataFrame) -> DataFrame:
     w = Window.orderBy("trade_date")    # one row per day
     usual = F.avg("stocks").over(rows(w, -20, -1))
     ratio = F.col("stocks") / F.col("usual")
-    return counts.withColumn("usual", usual).withColumn("ratio", F.round(ratio, 3)).withColumn(
+    return counts.withColumn("usual", usual).withColumn("ratio", rounded(ratio, 3)).withColumn(
         "status", _grade(ratio, (F.col("usual").isNull(), "WARN"), (ratio >= 0.9, "PASS"), (ratio >= 0.8, "WARN")))
 
 
@@ -241,7 +242,7 @@ def step_seconds(runs: DataFrame, newest: int | None = 60) -> DataFrame:
     log = runs if newest is None else runs.orderBy(F.col("started_at").desc(), "run_id", "step").limit(newest)
     order = F.array_position(F.array(*[F.lit(s) for s in fixed.STEPS]), F.col("step")).cast("int")
     return log.filter(F.col("status") == "SUCCESS").groupBy("step").agg(
-        F.round(F.avg("duration_s"), 3).alias("mean_s"), F.count("*").alias("runs")).withColumn(
+        rounded(F.avg("duration_s"), 3).alias("mean_s"), F.count("*").alias("runs")).withColumn(
         "position", order).filter("position > 0")
 
 

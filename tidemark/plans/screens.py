@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions import text
+from tidemark.functions.cleaning import rounded
 from tidemark.operators.windows import first_per, top_per
 
 ORDER = {"bad": 0, "warn": 1, "ok": 2}
@@ -223,7 +224,7 @@ def market_map(alert: DataFrame, triage: DataFrame) -> DataFrame:
     return alert.join(lines, "alert_id", "left").select(
         "trade_date", "symbol", "company_name", "risk_band", "risk_score", "return_pct",
         F.greatest(F.coalesce("volume_ratio_20d", F.lit(1.0)), F.lit(0.2)).alias("volume_x"),
-        F.round(9 + F.col("risk_score") / 7).alias("size"),
+        rounded(9 + F.col("risk_score") / 7).alias("size"),
         text.plain_words(F.col("rules_triggered")).alias("rules"),
         F.coalesce("triage", filed, F.lit("No company news in 3 days")).alias("news"))
 
@@ -253,7 +254,7 @@ def timeline(fact: DataFrame, alert: DataFrame) -> DataFrame:
     bars = fact.select("symbol", "trade_date", "open", "high", "low", "close", "volume",
                        F.coalesce("volume_ratio_20d", F.lit(1.0)).alias("volume_x"))
     return bars.join(marks, ["symbol", "trade_date"], "left").withColumn(
-        "mark_at", F.when(F.col("risk_band").isNotNull(), F.round(F.col("high") * 1.035, 4)))
+        "mark_at", F.when(F.col("risk_band").isNotNull(), rounded(F.col("high") * 1.035, 4)))
 
 
 def latest_filings(filings: DataFrame, n: int = 12) -> DataFrame:

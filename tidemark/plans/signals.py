@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions import text
 from tidemark.functions.classify import is_etf
-from tidemark.functions.cleaning import ratio
+from tidemark.functions.cleaning import ratio, rounded
 from tidemark.operators.asof import spread_days
 from tidemark.operators.grouping import counted, median_of_counts
 from tidemark.operators.windows import any_before, by_date, rows, with_streak, zscore
@@ -109,13 +109,13 @@ def flagged(measures: DataFrame, p: SurveillanceParams = SurveillanceParams()) -
     fell = (F.col("return_pct") <= -p.dump_return_pct) | (F.col("return_3d") <= -p.dump_return_3d_pct / 100.0)
 
     def shown(c: str) -> Column:
-        return F.round(c, 2).alias(c)
+        return rounded(c, 2).alias(c)
 
     return measures.select(
         "trade_date", "date_key", "symbol", "stock_sk", "company_name", "industry", "series", "close", "return_pct",
-        "gap_pct", "return_5d_pct", F.round(F.col("return_3d") * 100, 2).alias("return_3d_pct"), "volume",
+        "gap_pct", "return_5d_pct", rounded(F.col("return_3d") * 100, 2).alias("return_3d_pct"), "volume",
         "volume_ratio_20d", shown("volume_ratio_5d"), shown("volume_z"), shown("price_z"), "deliv_pct",
-        shown("deliv_pct_5d"), F.round("deliv_pct_base", 2).alias("deliv_pct_20d_avg"), shown("peer_return_pct"),
+        shown("deliv_pct_5d"), rounded("deliv_pct_base", 2).alias("deliv_pct_20d_avg"), shown("peer_return_pct"),
         shown("avg_turnover_cr_20d"), "circuit_streak", "history_days",
         (seasoned & _true(rule["spike"])).alias("r_volume_spike"),
         (seasoned & _true(rule["shock"])).alias("r_price_shock"),
@@ -138,13 +138,13 @@ def _points(p: SurveillanceParams) -> dict[str, Column]:
         volume = 10 * F.log2("volume_ratio_20d")
         shock = 2 * F.abs(F.col("return_pct") - F.col("peer_return_pct"))
     earned = {
-        "pts_volume": F.least(F.lit(40.0), F.round(volume)),
-        "pts_price_shock": F.least(F.lit(30.0), F.round(shock)),
+        "pts_volume": F.least(F.lit(40.0), rounded(volume)),
+        "pts_price_shock": F.least(F.lit(30.0), rounded(shock)),
         "pts_pump": F.lit(25),
         "pts_dump": F.lit(30),
         "pts_delivery": F.lit(15),
         "pts_circuit": F.least(F.lit(30), 10 * F.col("circuit_streak")),
-        "pts_gap": F.least(F.lit(20.0), F.round(2 * F.abs("gap_pct"))),
+        "pts_gap": F.least(F.lit(20.0), rounded(2 * F.abs("gap_pct"))),
     }
     points = {name: F.when(F.col(flag), earned[name]).otherwise(0) for flag, name, _ in fixed.RULES}
     points["pts_illiquid"] = F.when(F.col("avg_turnover_cr_20d") < p.illiquid_turnover_cr, 10).otherwise(0)
@@ -190,7 +190,7 @@ def scored(signal: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> D
     everything = reduce(lambda a, b: a + b, [F.col(n) for n in names])
     raw = strongest + 0.5 * (everything - strongest) + F.col("pts_illiquid")
     return (signal.filter(fired).withColumns({n: c.cast("double") for n, c in _points(p).items()})
-            .withColumn("risk_score", F.least(F.lit(100.0), F.round(raw)))
+            .withColumn("risk_score", F.least(F.lit(100.0), rounded(raw)))
             .filter(F.col("risk_score") >= p.min_alert_score))
 
 

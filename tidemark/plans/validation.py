@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
+from tidemark.functions.cleaning import rounded
 from tidemark.operators.grouping import median
 from tidemark.operators.windows import so_far, top_per
 from tidemark.params import BASELINES, SurveillanceParams
@@ -89,12 +90,12 @@ def validation(outcome: DataFrame) -> DataFrame:
     table = Window.partitionBy()    # at most six rows by now
 
     def share(c: str) -> Column:
-        return F.round(100.0 * F.col(c) / F.col("stocks"), 1)
+        return rounded(100.0 * F.col(c) / F.col("stocks"), 1)
 
     def lift(c: str) -> Column:
         base = F.col("segment") == "ALL_STOCKS"
         overall = F.max(F.when(base, F.col(c) / F.col("stocks"))).over(table)
-        return F.round(F.col(c) / F.col("stocks") / F.nullif(overall, F.lit(0.0)), 1)
+        return rounded(F.col(c) / F.col("stocks") / F.nullif(overall, F.lit(0.0)), 1)
 
     place = F.array_position(F.array(*[F.lit(s) for s in SEGMENTS]), F.col("segment")).cast("int")
     return counts.select(
@@ -116,8 +117,8 @@ def headline(validated: DataFrame) -> DataFrame:
         value("HIGH", "stasm_pct").alias("high_stasm_pct"), value("HIGH", "queried_pct").alias("high_queried_pct"),
         value("ANY_ALERT", "queried").alias("caught"), value("ALL_STOCKS", "queried").alias("queried"),
         on_time.alias("on_or_before"), (on_time + late).alias("flagged")).select(
-        "*", F.round(F.try_divide(100.0 * F.col("caught"), F.col("queried")), 1).alias("recall_pct"),
-        F.round(F.try_divide(100.0 * F.col("on_or_before"), F.col("flagged")), 1).alias("on_or_before_pct"))
+        "*", rounded(F.try_divide(100.0 * F.col("caught"), F.col("queried")), 1).alias("recall_pct"),
+        rounded(F.try_divide(100.0 * F.col("on_or_before"), F.col("flagged")), 1).alias("on_or_before_pct"))
 
 
 def lead_histogram(outcome: DataFrame, low: int = -3, high: int = 7, named: int = 8) -> DataFrame:
@@ -157,7 +158,7 @@ def ablation(measures: DataFrame, filings: DataFrame, lists: DataFrame,
             F.count("*").alias("days"))
         leaders = top_per(alert, ["trade_date"], 10, F.col("risk_score").desc(), F.col("symbol")).join(
             outcome.select("symbol", "exchange_queried", "on_stasm"), "symbol").agg(
-            F.round(100 * F.avg((F.col("exchange_queried") | F.col("on_stasm")).cast("int")), 1)
+            rounded(100 * F.avg((F.col("exchange_queried") | F.col("on_stasm")).cast("int")), 1)
             .alias("top10_acted_pct"))
         caught = F.col("best_band") != fixed.NOT_ALERTED
         queried, high = F.col("exchange_queried"), F.col("best_band") == "HIGH"
@@ -165,15 +166,15 @@ def ablation(measures: DataFrame, filings: DataFrame, lists: DataFrame,
         all_rate = F.try_divide(F.count_if(queried), F.count("*"))
         totals = outcome.agg(
             F.sum("alert_days").alias("alerts"), F.count_if(caught).alias("stocks_alerted"),
-            F.round(F.try_divide(100.0 * F.count_if(caught & queried), F.count_if(queried)), 1)
+            rounded(F.try_divide(100.0 * F.count_if(caught & queried), F.count_if(queried)), 1)
             .alias("recall_queried_pct"),
-            F.round(F.try_divide(100.0 * F.count_if(caught & F.col("on_stasm")), F.count_if(F.col("on_stasm"))), 1)
+            rounded(F.try_divide(100.0 * F.count_if(caught & F.col("on_stasm")), F.count_if(F.col("on_stasm"))), 1)
             .alias("recall_stasm_pct"),
-            F.round(F.try_divide(any_rate, all_rate), 1).alias("any_alert_lift"),
+            rounded(F.try_divide(any_rate, all_rate), 1).alias("any_alert_lift"),
             F.count_if(high).alias("high_stocks"),
-            F.round(F.try_divide(100.0 * F.count_if(high & queried), F.count_if(high)), 1).alias("high_queried_pct"))
+            rounded(F.try_divide(100.0 * F.count_if(high & queried), F.count_if(high)), 1).alias("high_queried_pct"))
         rows.append(totals.join(F.broadcast(days)).join(F.broadcast(leaders)).select(
-            F.lit(baseline).alias("baseline"), F.round(F.col("alerts") / F.col("days"), 1).alias("alerts_per_day"),
+            F.lit(baseline).alias("baseline"), rounded(F.col("alerts") / F.col("days"), 1).alias("alerts_per_day"),
             "stocks_alerted", "recall_queried_pct", "recall_stasm_pct", "any_alert_lift", "top10_acted_pct",
             "high_stocks", "high_queried_pct"))
     return reduce(DataFrame.unionByName, rows)
@@ -192,9 +193,9 @@ def event_study(alert: DataFrame, fact: DataFrame, hold_days: int = 5) -> DataFr
 def event_summary(events: DataFrame) -> DataFrame:
     return events.agg(
         F.count("*").alias("alerts"), F.countDistinct("trade_date").alias("alert_days"),
-        F.round(F.avg("ret"), 4).alias("avg_ret"),
-        F.round(F.avg("ret") - F.avg("market_ret"), 4).alias("edge"),
-        F.round(100 * F.avg((F.col("ret") > 0).cast("int")), 2).alias("pct_up"))
+        rounded(F.avg("ret"), 4).alias("avg_ret"),
+        rounded(F.avg("ret") - F.avg("market_ret"), 4).alias("edge"),
+        rounded(100 * F.avg((F.col("ret") > 0).cast("int")), 2).alias("pct_up"))
 
 
 def event_pnl(events: DataFrame, stake: float = 10_000) -> DataFrame:
@@ -202,13 +203,13 @@ def event_pnl(events: DataFrame, stake: float = 10_000) -> DataFrame:
     daily = events.groupBy("trade_date").agg(
         F.sum(F.col("ret") / 100 * stake).alias("_you"), F.sum(F.col("market_ret") / 100 * stake).alias("_market"))
     days = so_far(Window.orderBy("trade_date"))    # one row per alert day
-    return daily.select("trade_date", F.round(F.sum("_you").over(days), 2).alias("you"),
-                        F.round(F.sum("_market").over(days), 2).alias("market"))
+    return daily.select("trade_date", rounded(F.sum("_you").over(days), 2).alias("you"),
+                        rounded(F.sum("_market").over(days), 2).alias("market"))
 
 
 def outcome_stats(alert: DataFrame, fact: DataFrame, hold_days: int = 5) -> DataFrame:
     """Mean move and share that fell, per band."""
     moves = forward_returns(fact, hold_days)
     return alert.select("symbol", "trade_date", "risk_band").join(moves, ["symbol", "trade_date"]).groupBy(
-        "risk_band").agg(F.count("*").alias("n"), F.round(F.avg("ret"), 4).alias("avg_ret"),
-                         F.round(100 * F.avg((F.col("exit") < F.col("entry")).cast("int")), 2).alias("pct_down"))
+        "risk_band").agg(F.count("*").alias("n"), rounded(F.avg("ret"), 4).alias("avg_ret"),
+                         rounded(100 * F.avg((F.col("exit") < F.col("entry")).cast("int")), 2).alias("pct_down"))
