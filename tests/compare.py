@@ -17,6 +17,9 @@ from tidemark.catalog import oracles
 from tidemark.catalog.queries import QUERIES
 
 
+SECONDS: dict[str, float] = {}     # DuckDB's share
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -42,8 +45,10 @@ def as_rows(columns: list[str], rows) -> tuple[list[str], list[tuple]]:
 def differences(spark, con, folder: str, name: str) -> list[str]:
     df = QUERIES[name](spark, folder)
     ours = as_rows(df.columns, [tuple(r) for r in df.collect()])
+    begun = time.time()
     result = con.execute(oracles.statement(name))
     theirs = as_rows([d[0] for d in result.description], result.fetchall())
+    SECONDS[name] = time.time() - begun
     if ours[0] != theirs[0]:
         return [f"columns {set(ours[0]) ^ set(theirs[0])}"]
     out = []
@@ -73,7 +78,7 @@ def main() -> None:
         except Exception as e:  # noqa: BLE001
             found = [f"{type(e).__name__}: {str(e)[:700]}"]
         bad += bool(found)
-        print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s", *found, sep="\n  ", flush=True)
+        print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s (duckdb {SECONDS.get(name, 0):.1f}s)", *found, sep="\n  ", flush=True)
     print(f"{len(names) - bad} of {len(names)} match")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.classify import corporate_action
-from tidemark.functions.cleaning import ratio
+from tidemark.functions.cleaning import ratio, rounded
 from tidemark.operators.windows import by_date, first_per
 from tidemark.plans import reference
 
@@ -221,7 +221,7 @@ def index_daily(spark: SparkSession, folder: str) -> DataFrame:
         (F.sum("cents") / 100_000).alias("turnover_cr"), F.count("*").alias("_n")).select(
         "index_name", "trade_date", F.col("low").alias("open"), "high", "low", F.col("high").alias("close"),
         F.round(F.col("high") - F.col("low"), 4).alias("points_change"),
-        F.round(ratio(F.col("high"), F.col("low")) * 100 - 100, 4).alias("pct_change"), "volume", "turnover_cr",
+        rounded(ratio(F.col("high"), F.col("low")) * 100 - 100, 4).alias("pct_change"), "volume", "turnover_cr",
         F.col("_n").cast("double").alias("pe"), F.lit(None).cast("double").alias("pb"),
         F.lit(0.5).alias("div_yield"))
 

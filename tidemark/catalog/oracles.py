@@ -707,7 +707,7 @@ union all
 select owner, level, asset_class, instrument_id, started, flows, at_lo,
        case when at_lo * {npv('(lo + hi) / 2')} < 0 then lo else (lo + hi) / 2 end,
        case when at_lo * {npv('(lo + hi) / 2')} < 0 then (lo + hi) / 2 else hi end, step + 1
-from halving where step < 60"""
+from halving where step < 40"""
 FINAL["portfolio_xirr"] = f"""
 select l.owner, l.level, l.asset_class, l.instrument_id, as_of as as_of_date, l.started as first_txn_date,
        (as_of - l.started)::integer as holding_days, {rnd('spent', 2)} as total_invested, {rnd('got', 2)} as total_received,
@@ -716,7 +716,7 @@ select l.owner, l.level, l.asset_class, l.instrument_id, as_of as as_of_date, l.
        case when as_of - l.started >= 365 then {rnd('(lo + hi) / 2 * 100', 2)}
             else {rnd('(value + got - spent) / nullif(spent, 0) * 100', 2)} end as display_return_pct,
        case when as_of - l.started >= 365 then 'XIRR' else 'ABSOLUTE' end as display_return_type
-from ledger l join due using (owner) left join (select * from halving where step = 60) h
+from ledger l join due using (owner) left join (select * from halving where step = 40) h
   on h.owner = l.owner and h.level = l.level and h.instrument_id is not distinct from l.instrument_id"""
 FINAL["sip_tracker"] = f"""
 select owner, scheme_code, scheme_name, n as installments, f as first_sip_date, z as last_sip_date, usual as typical_amount,

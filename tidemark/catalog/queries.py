@@ -595,13 +595,13 @@ def freshness(w):
 
 @query
 def price_rows_clean(w):
-    good, _ = ingest.split_rejects(bronze.typed_prices(w.source(rawtext.price_rows)))
+    good, _ = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
     return bronze.unique(good, ingest.PRICE_KEYS)
 
 
 @query
 def reject_split(w):
-    _, rejects = ingest.split_rejects(bronze.typed_prices(w.source(rawtext.price_rows)))
+    _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
     return rejects.withColumnRenamed("_reason", "reason")
 
 

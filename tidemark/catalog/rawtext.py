@@ -28,7 +28,7 @@ def price_rows(spark, folder: str) -> DataFrame:
         F.when((line == 4) & (flag == "N"), text(F.col("tick") + 200)).otherwise(text(F.col("tick") - 100))
         .alias("LOW_PRICE"), text(F.col("tick")).alias("LAST_PRICE"),
         F.when((line == 6) & (flag == "A"), "-").when((line == 5) & (flag == "A"), "0").otherwise(text(F.col("tick")))
-        .alias("CLOSE_PRICE"), F.lit("n/a").alias("AVG_PRICE"),
+        .alias("CLOSE_PRICE"), F.when((line == 2) & (flag == "R"), "n/a").otherwise("-").alias("AVG_PRICE"),
         text(F.col("l_quantity").cast("long")).alias("TTL_TRD_QNTY"),
         text(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("TURNOVER_LACS"),
         line.cast("string").alias("NO_OF_TRADES"),

@@ -8,7 +8,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.catalog import domain
+from tidemark.catalog import domain, rawtext
 from tidemark.params import SurveillanceParams
 from tidemark.plans import facts, funds, portfolio, quality, reference, screens, signals, triage, validation
 from tidemark.sources.store import settle
@@ -96,6 +96,11 @@ class Warehouse:
     def holidays(self) -> DataFrame:
         return self.source(domain.holidays)
 
+    @model
+    def raw_prices(self) -> DataFrame:
+        """The text rows as they would lie in the raw files."""
+        return self.source(rawtext.price_rows)
+
     # ---------- surveillance ----------
 
     @model

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LOWEST, HIGHEST = -0.9999, 100.0
-STEPS = 60          # halves the starting bracket below one part in 10^16
+STEPS = 40          # the bracket ends narrower than 10^-9
 DAYS_PER_YEAR = 365.0
 
 
@@ -17,18 +19,27 @@ def net_present_value(flows: Column, rate: Column) -> Column:
         lambda total, f: total + f["amount"] / F.pow(1.0 + rate, f["days"] / F.lit(DAYS_PER_YEAR)))
 
 
-def xirr(flows: Column) -> Column:
-    """Rate that makes the flows worth nothing today; null when no rate in the bracket does."""
-    bracket = F.struct(F.lit(LOWEST).alias("lo"), F.lit(HIGHEST).alias("hi"))
-    at_low = net_present_value(flows, F.lit(LOWEST))
-    at_high = net_present_value(flows, F.lit(HIGHEST))
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated a single time, however often `use` mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _rate(flows: Column) -> Column:
+    has_both = F.exists(flows, lambda f: f["amount"] < 0) & F.exists(flows, lambda f: f["amount"] > 0)
+    start = F.struct(F.lit(LOWEST).alias("lo"), F.lit(HIGHEST).alias("hi"),
+                     net_present_value(flows, F.lit(LOWEST)).alias("at_low"))
 
     def narrow(b: Column, _: Column) -> Column:
         middle = (b["lo"] + b["hi"]) / 2
-        keep_lower = at_low * net_present_value(flows, middle) < 0
-        return F.when(keep_lower, F.struct(b["lo"].alias("lo"), middle.alias("hi"))).otherwise(
-            F.struct(middle.alias("lo"), b["hi"].alias("hi")))
+        keep_lower = b["at_low"] * net_present_value(flows, middle) < 0
+        return F.when(keep_lower, F.struct(b["lo"].alias("lo"), middle.alias("hi"), b["at_low"].alias("at_low"))
+                      ).otherwise(F.struct(middle.alias("lo"), b["hi"].alias("hi"), b["at_low"].alias("at_low")))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), bracket, narrow)
-    has_both = F.exists(flows, lambda f: f["amount"] < 0) & F.exists(flows, lambda f: f["amount"] > 0)
-    return F.when(has_both & (at_low * at_high <= 0), (found["lo"] + found["hi"]) / 2)
+    crosses = net_present_value(flows, F.lit(LOWEST)) * net_present_value(flows, F.lit(HIGHEST)) <= 0
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, narrow, lambda b: (b["lo"] + b["hi"]) / 2)
+    return F.when(has_both & crosses, found)
+
+
+def xirr(flows: Column) -> Column:
+    """Rate that makes the flows worth nothing today; null when no rate in the bracket does."""
+    return _once(flows, _rate)
