@@ -31,17 +31,20 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingested_at", F.current_timestamp())
 
 
-def build_stock_daily(spark: SparkSession, raw: str, lake: str, days: Days = None) -> DataFrame | None:
-    prices = bronze.prices(spark, raw, days)
-    if prices is None:
-        return None
-    good, rejects = split_rejects(prices)
+def store_prices(prices: DataFrame, lake: str) -> DataFrame:
+    """Good rows into the price table, the others with their reason into quarantine."""
+    good, rejects = split_rejects(store.settle(prices, "prices"))
     rejects = store.settle(unique(rejects, PRICE_KEYS), "rejects")
     if not rejects.isEmpty():
         store.upsert(_stamped(rejects), f"{lake}/_quarantine_stock_daily", PRICE_KEYS, "trade_date")
     return store.upsert(_stamped(unique(good, PRICE_KEYS)), f"{lake}/stock_daily", PRICE_KEYS, "trade_date")
 
 
+def build_stock_daily(spark: SparkSession, raw: str, lake: str, days: Days = None) -> DataFrame | None:
+    prices = bronze.prices(spark, raw, days)
+    return None if prices is None else store_prices(prices, lake)
+
+
 def _build(lake: str, table: str, df: DataFrame | None, keys: list[str], partition_col: str | None = None):
     if df is None:
         return None
