@@ -550,8 +550,7 @@ def _tests(w):
         "fact_portfolio_txn": w.txns(), "fact_surveillance_alert": w.alerts(RELAXED),
         "int_alert_outcomes": w.outcomes(RELAXED), "mart_surveillance_validation": w.validated(RELAXED),
         "mart_portfolio_holdings": w.holdings(), "mart_fund_performance": w.fund_performance()}
-    warn_only = frozenset({"fact_stock_daily.complete_days"})
-    return quality.model_tests(quality.table_tests(tables, LOOSE_QUALITY), warn_only, w.spark)
+    return quality.model_tests(tables, frozenset({"fact_stock_daily.complete_days"}), LOOSE_QUALITY)
 
 
 @query

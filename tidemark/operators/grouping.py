@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def counted(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """Rows per (key, value): combined before the shuffle, and spread over the values of a hot key."""
-    return df.filter(value.isNotNull()).groupBy(*keys, value.alias("_value")).agg(F.count("*").alias("_n"))
+    """Rows per (key, value): combined before the shuffle, and spread over the values of a hot key.
+
+    Null values are counted too, so that a key without any value is still there; medians pass over them.
+    """
+    return df.groupBy(*keys, value.alias("_value")).agg(F.count("*").alias("_n"))
 
 
 def median_of_counts(counts: DataFrame, keys: list[str], name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.sources.store import settle
 
 _LOCAL_BITS = 33    # monotonically_increasing_id: partition number above, row number below
 
@@ -15,16 +15,14 @@ def dense_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
 
     Rows are range-partitioned and sorted in parallel; each partition then only needs the number of rows
     before it, one small row per partition. A random last key keeps copies of one row from filling a single
-    range. The ranges are checkpointed, so a lost executor cannot renumber rows already counted.
+    range. The ranges are written down, so a lost executor cannot renumber rows already counted.
     """
-    checkpoint_dir(df.sparkSession)
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumn("_spread", F.rand(7))
-              .repartitionByRange(width, *order, "_spread")
-              .sortWithinPartitions(*order, "_spread")
-              .withColumn("_id", F.monotonically_increasing_id())
-              .drop("_spread")
-              .checkpoint())
+    ranged = settle(df.withColumn("_spread", F.rand(7))
+                    .repartitionByRange(width, *order, "_spread")
+                    .sortWithinPartitions(*order, "_spread")
+                    .withColumn("_id", F.monotonically_increasing_id())
+                    .drop("_spread"), "ranged")
     slot = F.shiftright("_id", _LOCAL_BITS)
     numbered = ranged.withColumn("_slot", slot).withColumn(
         "_local", F.col("_id") - F.shiftleft(slot, _LOCAL_BITS))

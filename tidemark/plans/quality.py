@@ -115,13 +115,26 @@ def big_moves(fact: DataFrame, actions: DataFrame, run_date: dt.date, p: Quality
                    F.when(n > 0, F.col("_list")).otherwise("none"))
 
 
-def model_tests(tests: dict[str, DataFrame], warn_only: frozenset[str], spark: SparkSession) -> DataFrame:
-    """Names and failing-row counts of table tests, as (test, failures, status)."""
-    counted = [df.agg(F.count("*").alias("failures")).select(
-        F.lit(name).alias("test"), "failures",
-        F.when(F.col("failures") == 0, "pass").otherwise("warn" if name in warn_only else "fail").alias("status"))
-        for name, df in tests.items()]
-    return reduce(DataFrame.unionByName, counted)
+def model_tests(tables: dict[str, DataFrame], warn_only: frozenset[str] = frozenset(),
+                p: QualityParams = QualityParams()) -> DataFrame:
+    """(test, failures, status) of every standing test of the given tables.
+
+    All conditions on single rows of a table are counted in one pass over it; only uniqueness, references and
+    value lists, which need a grouping of their own, read it again.
+    """
+    parts = []
+    for name, conditions in row_conditions().items():
+        if name not in tables:
+            continue
+        totals = tables[name].agg(*[F.count_if(~must).alias(test) for test, must in conditions.items()])
+        rows = F.explode(F.array(*[F.struct(F.lit(f"{name}.{test}").alias("test"), F.col(test).alias("failures"))
+                                   for test in conditions]))
+        parts.append(totals.select(rows.alias("_row")).select("_row.*"))
+    parts += [df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("test"), "failures")
+              for name, df in grouped_tests(tables, p).items()]
+    warn = F.col("test").isin(*warn_only) if warn_only else F.lit(False)
+    status = F.when(F.col("failures") == 0, "pass").when(warn, "warn").otherwise("fail")
+    return reduce(DataFrame.unionByName, parts).withColumn("status", status)
 
 
 def model_test_summary(results: DataFrame) -> DataFrame:
@@ -138,66 +151,72 @@ def model_test_summary(results: DataFrame) -> DataFrame:
                                F.col("_warned")))
 
 
-def table_tests(t: dict[str, DataFrame], p: QualityParams = QualityParams()) -> dict[str, DataFrame]:
-    """The standing tests of whichever tables are given, by name."""
+def row_conditions() -> dict[str, dict[str, Column]]:
+    """What must hold on every row; an unknown (null) outcome passes."""
     c = F.col
-    plan = {
-        "dim_date": {"unique_date_key": lambda d: checks.duplicates(d, ["date_key"]),
-                     "not_null_date_key": lambda d: checks.nulls(d, "date_key")},
-        "dim_stock": {"unique_stock_sk": lambda d: checks.duplicates(d, ["stock_sk"]),
-                      "not_null_stock_sk": lambda d: checks.nulls(d, "stock_sk"),
-                      "valid_range": lambda d: checks.breaking(d, c("valid_from") < c("valid_to"))},
-        "dim_fund": {"unique_scheme_code": lambda d: checks.duplicates(d, ["scheme_code"]),
-                     "not_null_scheme_code": lambda d: checks.nulls(d, "scheme_code"),
-                     "plan_values": lambda d: checks.outside(d, "plan", ["Direct", "Regular"])},
-        "dim_index": {"unique_index_sk": lambda d: checks.duplicates(d, ["index_sk"]),
-                      "not_null_index_sk": lambda d: checks.nulls(d, "index_sk")},
+
+    def present(column: str) -> Column:
+        return c(column).isNotNull()
+
+    return {
+        "dim_date": {"not_null_date_key": present("date_key")},
+        "dim_stock": {"not_null_stock_sk": present("stock_sk"), "valid_range": c("valid_from") < c("valid_to")},
+        "dim_fund": {"not_null_scheme_code": present("scheme_code")},
+        "dim_index": {"not_null_index_sk": present("index_sk")},
         "fact_stock_daily": {
-            "unique_day_symbol": lambda d: checks.duplicates(d, ["trade_date", "symbol"]),
-            "not_null_stock_sk": lambda d: checks.nulls(d, "stock_sk"),
-            "price_range": lambda d: checks.breaking(
-                d, (c("high") >= c("low")) & c("close").between(c("low") * 0.999, c("high") * 1.001)),
-            "delivery_range": lambda d: checks.breaking(
-                d, c("deliv_pct").isNull() | c("deliv_pct").between(0, 100)),
-            "volume_sign": lambda d: checks.breaking(d, c("volume") >= 0),
-            "complete_days": lambda d: checks.short_days(d, "trade_date", p.min_stocks_per_trading_day)},
-        "fact_index_daily": {"unique_day_index": lambda d: checks.duplicates(d, ["trade_date", "index_name"])},
-        "fact_fund_nav": {"unique_scheme_day": lambda d: checks.duplicates(d, ["scheme_code", "nav_date"]),
-                          "nav_sign": lambda d: checks.breaking(d, c("nav") > 0)},
-        "fact_portfolio_txn": {"unique_txn_id": lambda d: checks.duplicates(d, ["txn_id"]),
-                               "not_null_txn_id": lambda d: checks.nulls(d, "txn_id"),
-                               "not_null_unit_price": lambda d: checks.nulls(d, "unit_price"),
-                               "txn_type_values": lambda d: checks.outside(d, "txn_type", list(fixed.TXN_TYPES))},
-        "int_surveillance_signals": {"unique_day_symbol": lambda d: checks.duplicates(d, ["trade_date", "symbol"])},
+            "not_null_stock_sk": present("stock_sk"),
+            "price_range": (c("high") >= c("low")) & c("close").between(c("low") * 0.999, c("high") * 1.001),
+            "delivery_range": c("deliv_pct").isNull() | c("deliv_pct").between(0, 100),
+            "volume_sign": c("volume") >= 0},
+        "fact_fund_nav": {"nav_sign": c("nav") > 0},
+        "fact_portfolio_txn": {"not_null_txn_id": present("txn_id"), "not_null_unit_price": present("unit_price")},
         "fact_surveillance_alert": {
-            "unique_alert_id": lambda d: checks.duplicates(d, ["alert_id"]),
-            "not_null_alert_id": lambda d: checks.nulls(d, "alert_id"),
-            "not_null_reason": lambda d: checks.nulls(d, "reason"),
-            "band_values": lambda d: checks.outside(d, "risk_band", list(fixed.BANDS)),
-            "score_range": lambda d: checks.breaking(d, c("risk_score").between(0, 100)),
-            "rules_named": lambda d: checks.breaking(d, c("rules_triggered") != "")},
-        "int_alert_outcomes": {
-            "unique_symbol": lambda d: checks.duplicates(d, ["symbol"]),
-            "not_null_symbol": lambda d: checks.nulls(d, "symbol"),
-            "band_values": lambda d: checks.outside(d, "best_band", [*fixed.BANDS, fixed.NOT_ALERTED])},
-        "mart_surveillance_validation": {"unique_segment": lambda d: checks.duplicates(d, ["segment"]),
-                                         "not_null_segment": lambda d: checks.nulls(d, "segment")},
-        "mart_portfolio_holdings": {
-            "unique_holding": lambda d: checks.duplicates(d, ["owner", "asset_class", "instrument_id"]),
-            "held_sign": lambda d: checks.breaking(d, c("held_qty") >= -0.0001),
-            "not_null_current_price": lambda d: checks.nulls(d, "current_price")},
-        "mart_fund_performance": {"unique_scheme_code": lambda d: checks.duplicates(d, ["scheme_code"]),
-                                  "not_null_scheme_code": lambda d: checks.nulls(d, "scheme_code")},
-        "mart_sector_performance": {
-            "unique_day_industry": lambda d: checks.duplicates(d, ["trade_date", "industry"])},
+            "not_null_alert_id": present("alert_id"), "not_null_reason": present("reason"),
+            "score_range": c("risk_score").between(0, 100), "rules_named": c("rules_triggered") != ""},
+        "int_alert_outcomes": {"not_null_symbol": present("symbol")},
+        "mart_surveillance_validation": {"not_null_segment": present("segment")},
+        "mart_portfolio_holdings": {"held_sign": c("held_qty") >= -0.0001,
+                                    "not_null_current_price": present("current_price")},
+        "mart_fund_performance": {"not_null_scheme_code": present("scheme_code")},
     }
-    links = [("fact_stock_daily", "date_key", "dim_date"), ("fact_stock_daily", "stock_sk", "dim_stock"),
-             ("fact_index_daily", "index_sk", "dim_index"), ("fact_fund_nav", "scheme_code", "dim_fund"),
-             ("fact_surveillance_alert", "stock_sk", "dim_stock")]
-    out = {f"{name}.{test}": make(t[name]) for name, tests in plan.items() if name in t for test, make in tests.items()}
-    for child, key, parent in links:
-        if child in t and parent in t:
-            out[f"{child}.{key}_in_{parent}"] = checks.orphans(t[child], key, t[parent], key)
+
+
+UNIQUE = {
+    "dim_date": ("unique_date_key", ["date_key"]), "dim_stock": ("unique_stock_sk", ["stock_sk"]),
+    "dim_fund": ("unique_scheme_code", ["scheme_code"]), "dim_index": ("unique_index_sk", ["index_sk"]),
+    "fact_stock_daily": ("unique_day_symbol", ["trade_date", "symbol"]),
+    "fact_index_daily": ("unique_day_index", ["trade_date", "index_name"]),
+    "fact_fund_nav": ("unique_scheme_day", ["scheme_code", "nav_date"]),
+    "fact_portfolio_txn": ("unique_txn_id", ["txn_id"]),
+    "int_surveillance_signals": ("unique_day_symbol", ["trade_date", "symbol"]),
+    "fact_surveillance_alert": ("unique_alert_id", ["alert_id"]),
+    "int_alert_outcomes": ("unique_symbol", ["symbol"]),
+    "mart_surveillance_validation": ("unique_segment", ["segment"]),
+    "mart_portfolio_holdings": ("unique_holding", ["owner", "asset_class", "instrument_id"]),
+    "mart_fund_performance": ("unique_scheme_code", ["scheme_code"]),
+    "mart_sector_performance": ("unique_day_industry", ["trade_date", "industry"]),
+}
+ALLOWED = {
+    "dim_fund": ("plan_values", "plan", ["Direct", "Regular"]),
+    "fact_portfolio_txn": ("txn_type_values", "txn_type", list(fixed.TXN_TYPES)),
+    "fact_surveillance_alert": ("band_values", "risk_band", list(fixed.BANDS)),
+    "int_alert_outcomes": ("band_values", "best_band", [*fixed.BANDS, fixed.NOT_ALERTED]),
+}
+LINKS = (("fact_stock_daily", "date_key", "dim_date"), ("fact_stock_daily", "stock_sk", "dim_stock"),
+         ("fact_index_daily", "index_sk", "dim_index"), ("fact_fund_nav", "scheme_code", "dim_fund"),
+         ("fact_surveillance_alert", "stock_sk", "dim_stock"))
+
+
+def grouped_tests(t: dict[str, DataFrame], p: QualityParams = QualityParams()) -> dict[str, DataFrame]:
+    """Offending groups or references, by test name."""
+    out = {f"{name}.{test}": checks.duplicates(t[name], keys) for name, (test, keys) in UNIQUE.items() if name in t}
+    out |= {f"{name}.{test}": checks.outside(t[name], column, values)
+            for name, (test, column, values) in ALLOWED.items() if name in t}
+    out |= {f"{child}.{key}_in_{parent}": checks.orphans(t[child], key, t[parent], key)
+            for child, key, parent in LINKS if child in t and parent in t}
+    if "fact_stock_daily" in t:
+        out["fact_stock_daily.complete_days"] = checks.short_days(
+            t["fact_stock_daily"], "trade_date", p.min_stocks_per_trading_day)
     return out
 
 

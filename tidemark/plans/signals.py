@@ -15,19 +15,25 @@ from tidemark.operators.asof import spread_days
 from tidemark.operators.grouping import counted, median_of_counts
 from tidemark.operators.windows import any_before, by_date, rows, with_streak, zscore
 from tidemark.params import SurveillanceParams
+from tidemark.sources.store import settle
 
 
 def _true(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def peer_returns(universe: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Median move per (day, industry) and per day, both from one count of equal returns."""
+def peer_returns(universe: DataFrame) -> DataFrame:
+    """What the rest did: the median move of the industry that day, of the whole market where that is unknown.
+
+    Stock-days are first counted per equal return, so neither median weighs more than its distinct values.
+    """
     counts = counted(universe, ["trade_date", "industry"], F.col("return_pct"))
-    sectors = median_of_counts(counts.filter(F.col("industry") != fixed.UNCLASSIFIED), ["trade_date", "industry"],
-                               "sector_return")
-    market = median_of_counts(counts, ["trade_date"], "market_return")
-    return sectors, market
+    classified = F.col("industry") != fixed.UNCLASSIFIED
+    sectors = median_of_counts(counts, ["trade_date", "industry"], "_sector")
+    market = median_of_counts(counts, ["trade_date"], "_market")
+    return sectors.join(market, "trade_date").select(
+        "trade_date", "industry",
+        F.coalesce(F.when(classified, F.col("_sector")), F.col("_market")).alias("peer_return_pct"))
 
 
 def _at_circuit(p: SurveillanceParams) -> Column:
@@ -94,12 +100,11 @@ def measured(fact: DataFrame, stocks: DataFrame, p: SurveillanceParams = Surveil
     else:
         based = with_streak(based, F.col("at_circuit"), w, "circuit_streak")
 
-    sectors, market = peer_returns(universe)
+    # settled, so that its size is known and the wide rows are not shuffled by day for a small table
+    peers = settle(peer_returns(universe), "peers")
     floor = F.greatest(F.col("volatility_20d_pct"), F.lit(p.volatility_floor_pct))
-    return (based.join(sectors, ["trade_date", "industry"], "left").join(market, ["trade_date"], "left")
-            .withColumn("peer_return_pct", F.coalesce("sector_return", "market_return"))
-            .withColumn("price_z", F.abs(F.col("return_pct") - F.col("peer_return_pct")) / floor)
-            .drop("sector_return", "market_return"))
+    return (based.join(peers, ["trade_date", "industry"], "left")
+            .withColumn("price_z", F.abs(F.col("return_pct") - F.col("peer_return_pct")) / floor))
 
 
 def flagged(measures: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
