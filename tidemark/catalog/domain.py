@@ -22,13 +22,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _tick() -> Column:
+def tick() -> Column:
     """Trade price in ticks; the logarithm tames the heavy tail of the unit prices."""
-    return F.round(100 * TICK + 10 * TICK * F.log(F.col("l_extendedprice") / F.col("l_quantity"))).cast("long")
+    return F.floor(100 * TICK + 10 * TICK * F.log(F.col("l_extendedprice") / F.col("l_quantity")) + 0.5)
 
 
-def _cents(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("long")
+def cents(c: str) -> Column:
+    return F.floor(F.col(c) * 100 + 0.5)
 
 
 def nations(spark: SparkSession, folder: str) -> DataFrame:
@@ -40,12 +40,12 @@ def nations(spark: SparkSession, folder: str) -> DataFrame:
 def trades(spark: SparkSession, folder: str) -> DataFrame:
     sellers = table(spark, folder, "supplier").join(
         nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
-    tick = _tick()
+    price = tick()
     seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * SEQ_ROOM
     return table(spark, folder, "lineitem").select(
-        "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), tick.alias("tick"),
-        (seq + tick).alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
-        _cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
+        "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), price.alias("tick"),
+        (seq + price).alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
+        cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
     ).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
@@ -121,7 +121,7 @@ def surveillance_lists(spark: SparkSession, folder: str) -> DataFrame:
         _by_priority("STASM", "LTASM", "GSM", "STASM", "LTASM").alias("list_type"), "o_totalprice")
     return listed.groupBy("snapshot_date", "symbol", "list_type").agg(
         F.concat(F.lit("Stage "), F.count("*").cast("string")).alias("stage"),
-        F.concat(F.lit("Order worth "), F.max(_cents("o_totalprice")).cast("string")).alias("description"))
+        F.concat(F.lit("Order worth "), F.max(cents("o_totalprice")).cast("string")).alias("description"))
 
 
 def stock_master(spark: SparkSession, folder: str) -> DataFrame:
@@ -167,7 +167,7 @@ def _scheme_trades(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select(
         "p_partkey", F.regexp_extract("p_brand", r"(\d+)", 1).cast("long").alias("scheme_code"))
     return table(spark, folder, "lineitem").select(
-        "l_partkey", F.col("l_shipdate").cast("date").alias("nav_date"), _tick().alias("tick"), "l_linestatus",
+        "l_partkey", F.col("l_shipdate").cast("date").alias("nav_date"), tick().alias("tick"), "l_linestatus",
     ).join(parts, F.col("l_partkey") == F.col("p_partkey"))
 
 
@@ -213,8 +213,8 @@ def index_daily(spark: SparkSession, folder: str) -> DataFrame:
             .otherwise(F.concat(F.lit("Nifty Alpha "), size)))
     parts = table(spark, folder, "part").select("p_partkey", name.alias("index_name"))
     traded = table(spark, folder, "lineitem").select(
-        "l_partkey", F.col("l_shipdate").cast("date").alias("trade_date"), _tick().alias("tick"),
-        F.col("l_quantity").cast("long").alias("quantity"), _cents("l_extendedprice").alias("cents"),
+        "l_partkey", F.col("l_shipdate").cast("date").alias("trade_date"), tick().alias("tick"),
+        F.col("l_quantity").cast("long").alias("quantity"), cents("l_extendedprice").alias("cents"),
     ).join(parts, F.col("l_partkey") == F.col("p_partkey"))
     return traded.groupBy("index_name", "trade_date").agg(
         (F.max("tick") / TICK).alias("high"), (F.min("tick") / TICK).alias("low"), F.sum("quantity").alias("volume"),

@@ -13,9 +13,8 @@ def price_rows(spark, folder: str) -> DataFrame:
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
     sellers = domain.table(spark, folder, "supplier").join(
         domain.nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
-    tick = F.round(1_000_000 + 100_000 * F.log(F.col("l_extendedprice") / F.col("l_quantity"))).cast("long")
     rows = domain.table(spark, folder, "lineitem").join(sellers, F.col("l_suppkey") == F.col("s_suppkey")).withColumn(
-        "tick", tick)
+        "tick", domain.tick())
 
     def text(c):
         return F.concat(F.lit(" "), c.cast("string"), F.lit(" "))
@@ -30,7 +29,7 @@ def price_rows(spark, folder: str) -> DataFrame:
         F.when((line == 6) & (flag == "A"), "-").when((line == 5) & (flag == "A"), "0").otherwise(text(F.col("tick")))
         .alias("CLOSE_PRICE"), F.when((line == 2) & (flag == "R"), "n/a").otherwise("-").alias("AVG_PRICE"),
         text(F.col("l_quantity").cast("long")).alias("TTL_TRD_QNTY"),
-        text(F.round(F.col("l_extendedprice") * 100).cast("long")).alias("TURNOVER_LACS"),
+        text(domain.cents("l_extendedprice")).alias("TURNOVER_LACS"),
         line.cast("string").alias("NO_OF_TRADES"),
         F.when(flag == "R", "-").otherwise(text(F.col("l_quantity").cast("long"))).alias("DELIV_QTY"),
         F.lit("").alias("DELIV_PER"))

@@ -27,6 +27,7 @@ UNCLASSIFIED = "Unclassified"
 # Corporate-action text.
 SPLIT_PATTERN = r"(?i)From\s+R[es]\.?\s*([\d.]+).*?To\s+R[es]\.?\s*([\d.]+)"
 SPLIT_WORD = "split"
+BONUS_WORD = "bonus"
 BONUS_PATTERN = r"(?i)Bonus\s+(\d+)\s*:\s*(\d+)"
 
 # Filing classes in order of precedence: category contains / starts with / equals.

@@ -66,7 +66,7 @@ def corporate_action(subject: Column) -> Column:
     is_split = F.lower(subject).contains(fixed.SPLIT_WORD) & (old > 0) & (new > 0) & (old != new)
     fresh = F.regexp_extract(subject, fixed.BONUS_PATTERN, 1).try_cast("double")
     held = F.regexp_extract(subject, fixed.BONUS_PATTERN, 2).try_cast("double")
-    is_bonus = (fresh > 0) & (held > 0)
+    is_bonus = F.lower(subject).contains(fixed.BONUS_WORD) & (fresh > 0) & (held > 0)
     return (F.when(is_split, F.struct(F.lit("SPLIT").alias("action_type"), F.try_divide(old, new).alias("factor")))
             .when(is_bonus, F.struct(F.lit("BONUS").alias("action_type"),
                                      F.try_divide(fresh + held, held).alias("factor"))))

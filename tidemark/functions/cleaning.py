@@ -42,11 +42,15 @@ def day(c: Column | str, pattern: str = "dd-MMM-yyyy") -> Column:
 
 
 def rounded(x: Column | str, places: int = 0) -> Column:
-    """Half up on the decimal digits, after dropping the last-bit noise of sums taken in another order.
+    """Half up at `places` (up to 8) decimals, a value within 5e-10 of a tie counting as the tie.
 
-    Without the first step a value on a tie would round differently from run to run.
+    Sums taken in another order differ in their last bits; without that margin a value on a tie would round
+    differently from run to run. Plain double arithmetic, several times cheaper than rounding through decimals.
     """
-    return F.round(F.round(x, 9), places)
+    x = F.col(x).cast("double") if isinstance(x, str) else x.cast("double")
+    scale = float(10 ** places)
+    # adding zero turns -0.0 into 0.0
+    return F.rint((x + F.signum(x) * 5e-10) * scale) / scale + 0.0
 
 
 def ratio(a: Column, b: Column) -> Column:
