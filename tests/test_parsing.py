@@ -179,6 +179,8 @@ def test_lists_filings_actions_holidays(spark, tmp_path):
     root = str(tmp_path)
     put(tmp_path, "nse_surveillance_lists", "2026-10-06", "asm.json", {
         "shortterm": {"data": [{"symbol": " aa ", "asmSurvIndicator": "I", "survDesc": "d"}]}, "longterm": {"data": []}})
+    alone = {(r["symbol"], r["list_type"]) for r in bronze.surveillance_lists(spark, root).collect()}
+    assert alone == {("AA", "STASM")}
     put(tmp_path, "nse_surveillance_lists", "2026-10-06", "gsm.json", [{"symbol": "bb", "gsmStage": "2", "survDesc": "e"}])
     lists = {(r["symbol"], r["list_type"], r["stage"]) for r in bronze.surveillance_lists(spark, root).collect()}
     assert lists == {("AA", "STASM", "I"), ("BB", "GSM", "2")}

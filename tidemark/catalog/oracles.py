@@ -428,10 +428,10 @@ FINAL["scd2_fact_join"] = """
 select f.trade_date, f.symbol, f.close, f.stock_sk, d.company_name, d.industry, d.version_no
 from fact f left join dim d on d.stock_sk = f.stock_sk and d.stock_sk <> 'unknown'"""
 FINAL["dim_date"] = """
-select cast(strftime(d, '%Y%m%d') as integer) as date_key, d as date, year(d) as year, quarter(d) as quarter,
-       month(d) as month, monthname(d)[1:3] as month_name, strftime(d, '%Y-%m') as year_month, week(d) as iso_week,
-       isodow(d) as day_of_week, dayname(d)[1:3] as day_name, isodow(d) > 5 as is_weekend,
-       'FY' || strftime(d + interval 9 month, '%y') as fiscal_year, quarter(d - interval 3 month) as fiscal_quarter,
+select cast(strftime(d, '%Y%m%d') as integer) as date_key, d as date, year(d)::integer as year,
+       quarter(d)::integer as quarter, month(d)::integer as month, monthname(d)[1:3] as month_name, strftime(d, '%Y-%m') as year_month, week(d)::integer as iso_week,
+       isodow(d)::integer as day_of_week, dayname(d)[1:3] as day_name, isodow(d) > 5 as is_weekend,
+       'FY' || strftime(d + interval 9 month, '%y') as fiscal_year, quarter(d - interval 3 month)::integer as fiscal_quarter,
        d in (select trade_date from bars_all) as is_trading_day,
        d not in (select trade_date from bars_all) and isodow(d) <= 5 and d between lo and hi as is_nse_holiday,
        d between lo and hi as in_loaded_range
@@ -1103,6 +1103,10 @@ select * exclude (bad, r) from (
   select *, row_number() over (partition by trade_date, symbol order by open, high, low, last, close, volume, turnover_lacs,
            num_trades, deliv_qty nulls last) as r from rawpx where not bad) where r = 1"""
 FINAL["reject_split"] = "select * exclude (bad), 'null/non-positive close or high<low' as reason from rawpx where bad"
+FINAL["dq_quarantine"] = f"""
+select 'quarantined_price_rows' as check_name, case when n = 0 then 'PASS' when n < 20 then 'WARN' else 'FAIL' end as status,
+       n::double as value, n || ' bad price rows on {RUN_DATE}' as detail
+from (select count(*) as n from rawpx where bad and trade_date = date '{RUN_DATE}')"""
 FINAL["nav_text_parse"] = """
 select scheme_code, isin_growth, null::varchar as isin_reinvest, scheme_name,
        case when dayofyear(nav_date) % 50 <> 0 then round(nav * 10000) end as nav, nav_date, amc, category

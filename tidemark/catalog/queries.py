@@ -604,6 +604,12 @@ def reject_split(w):
     return rejects.withColumnRenamed("_reason", "reason")
 
 
+@query
+def dq_quarantine(w):
+    _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
+    return quality.quarantined(rejects, RUN_DATE, w.spark)
+
+
 @query
 def nav_text_parse(w):
     return bronze.parse_nav_lines(w.source(rawtext.nav_lines))

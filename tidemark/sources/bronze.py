@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +37,8 @@ def landed(spark: SparkSession, root: str, source: str, reader, days: Days = Non
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    if "dt" not in df.columns:      # the source landed, but no file of this kind
+        return None
     df = df.withColumn("dt", F.col("dt").cast("date"))
     return df if days is None else df.filter(F.col("dt").isin(*days))
 
@@ -212,23 +215,27 @@ def announcements(spark: SparkSession, root: str) -> DataFrame | None:
     ).filter(F.col("announced_at").isNotNull() & (F.col("seq_id") != "") & (F.col("symbol") != ""))
 
 
-def flatten_lists(asm: DataFrame, graded: DataFrame) -> DataFrame:
+def flatten_lists(asm: DataFrame | None, graded: DataFrame | None) -> DataFrame | None:
     """Nested short-term and long-term lists and the graded list to one long table; both carry `dt`."""
-    parts = [graded.select("dt", code("symbol").alias("symbol"), F.lit("GSM").alias("list_type"),
-                           F.col("gsmStage").alias("stage"), F.col("survDesc").alias("description"))]
-    for branch, kind in (("shortterm", "STASM"), ("longterm", "LTASM")):
-        members = asm.select("dt", F.explode(f"{branch}.data").alias("m"))
-        parts.append(members.select("dt", code(F.col("m.symbol")).alias("symbol"), F.lit(kind).alias("list_type"),
-                                    F.col("m.asmSurvIndicator").alias("stage"),
-                                    F.col("m.survDesc").alias("description")))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).filter(F.col("symbol").isNotNull()).withColumnRenamed(
+    parts = []
+    if graded is not None:
+        parts.append(graded.select("dt", code("symbol").alias("symbol"), F.lit("GSM").alias("list_type"),
+                                   F.col("gsmStage").alias("stage"), F.col("survDesc").alias("description")))
+    if asm is not None:
+        for branch, kind in (("shortterm", "STASM"), ("longterm", "LTASM")):
+            members = asm.select("dt", F.explode(f"{branch}.data").alias("m"))
+            parts.append(members.select("dt", code(F.col("m.symbol")).alias("symbol"), F.lit(kind).alias("list_type"),
+                                        F.col("m.asmSurvIndicator").alias("stage"),
+                                        F.col("m.survDesc").alias("description")))
+    if not parts:
+        return None
+    return reduce(DataFrame.unionByName, parts).filter(F.col("symbol").isNotNull()).withColumnRenamed(
         "dt", "snapshot_date")
 
 
 def surveillance_lists(spark: SparkSession, root: str) -> DataFrame | None:
-    asm = landed(spark, root, "nse_surveillance_lists", _json(ASM_SCHEMA, "asm.json"))
-    graded = landed(spark, root, "nse_surveillance_lists", _json(GSM_SCHEMA, "gsm.json"))
-    return None if asm is None or graded is None else flatten_lists(asm, graded)
+    return flatten_lists(landed(spark, root, "nse_surveillance_lists", _json(ASM_SCHEMA, "asm.json")),
+                         landed(spark, root, "nse_surveillance_lists", _json(GSM_SCHEMA, "gsm.json")))
 
 
 def holidays(spark: SparkSession, root: str) -> DataFrame | None:
