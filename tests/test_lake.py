@@ -176,6 +176,19 @@ def test_all_row_baselines_share_one_sort_and_no_python(spark, tmp_path):
     assert "vwap" not in scan and "raw_close" not in scan
 
 
+@pytest.mark.parametrize("same_direction, streaks", [(False, [1, 2, 3, 4, 0, 1]), (True, [1, 2, 1, 2, 0, 1])])
+def test_circuit_streaks(spark, same_direction, streaks):
+    up = F.pmod(F.date_diff("trade_date", F.lit(D1)), F.lit(6)).isin(0, 1, 5)
+    quiet = F.date_diff("trade_date", F.lit(D1)) == 4
+    prices = bars(spark, 1, 6).withColumns({"prev_close": F.lit(100.0), "open": F.lit(100.0)}).withColumn(
+        "close", F.when(quiet, 101.0).when(up, 105.0).otherwise(95.0)).withColumns(
+        {"high": F.greatest("close", "open"), "low": F.least("close", "open")})
+    dim = reference.dim_stock(master(spark, [(D1, "S0", "S0", 1.0)]))
+    p = SurveillanceParams(circuit_same_direction=same_direction)
+    got = signals.measured(facts.stock_daily(prices, dim), dim, p).orderBy("trade_date").select("circuit_streak").collect()
+    assert [r[0] for r in got] == streaks
+
+
 def test_bucketed_table_needs_no_shuffle_for_windows(spark):
     store.save_bucketed(bars(spark), "bucketed_bars", "symbol", "trade_date", 4)
     df = spark.table("bucketed_bars").withColumn("m", F.avg("close").over(rows(by_date("symbol", date="trade_date"), -20, -1)))

@@ -66,11 +66,11 @@ class Warehouse:
 
     @model
     def lists(self) -> DataFrame:
-        return self.source(domain.surveillance_lists)
+        return reference.staged_lists(self.source(domain.surveillance_lists))
 
     @model
     def actions(self) -> DataFrame:
-        return self.source(domain.corporate_actions)
+        return reference.staged_actions(self.source(domain.corporate_actions))
 
     @model
     def staged_nav(self) -> DataFrame:
@@ -90,7 +90,7 @@ class Warehouse:
 
     @model
     def indices(self) -> DataFrame:
-        return self.source(domain.index_daily)
+        return reference.staged_indices(self.source(domain.index_daily))
 
     @model
     def holidays(self) -> DataFrame:

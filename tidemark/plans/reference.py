@@ -140,6 +140,19 @@ def staged_announcements(announcements: DataFrame) -> DataFrame:
         "attachment_url", classify.news_type(F.col("category"), F.col("summary")).alias("news_type"))
 
 
+def staged_indices(index_rows: DataFrame) -> DataFrame:
+    return index_rows.select("trade_date", "index_name", "open", "high", "low", "close", "points_change", "pct_change",
+                             "volume", "turnover_cr", "pe", "pb", "div_yield")
+
+
+def staged_actions(actions: DataFrame) -> DataFrame:
+    return actions.select("symbol", "ex_date", "action_type", "factor", "subject")
+
+
+def staged_lists(lists: DataFrame) -> DataFrame:
+    return lists.select("snapshot_date", "symbol", "list_type", "stage", "description")
+
+
 def symbol_directory(fact: DataFrame, stocks: DataFrame) -> DataFrame:
     """Every traded symbol with its latest known name and mean turnover."""
     names = stocks.select("stock_sk", "company_name")
