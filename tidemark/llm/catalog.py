@@ -2,13 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+import zipfile
+from pathlib import Path
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules, sharding
+from tidemark.llm import line_dedup, mixing, quality_rules, sharding, token_counts, token_file
+from tidemark.session import checkpoint_dir
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the Python workers, wherever the driver was started; once per application."""
+    if spark.sparkContext.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.mkdtemp(prefix="tidemark-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        path = Path(folder, "tidemark.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for file in sorted((root / "tidemark").rglob("*.py")):
+                out.write(file, file.relative_to(root))
+        spark.sparkContext.addPyFile(str(path))
+        _shipped.add(spark.sparkContext.applicationId)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -22,6 +49,15 @@ def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), weights=(1, 2, 3), max_repeats=3)
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    out = f"{checkpoint_dir(spark)}/token-file-{uuid.uuid4().hex}"
+    return token_file.stored_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), out)
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, folder, "pages")).select(
         "page_id", "host", "host_pages", "n_lines", "n_dropped", F.md5("text").alias("text_md5"))
@@ -33,4 +69,4 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
-QUERIES = {f.__name__: f for f in (op2_shards, op6_mix, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_shards, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
