@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, token_file
 from tidemark.session import checkpoint_dir
 
 
@@ -45,6 +45,10 @@ def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), k=2, percent=80)
+
+
 def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), weights=(1, 2, 3), max_repeats=3)
 
@@ -69,4 +73,4 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
-QUERIES = {f.__name__: f for f in (op2_shards, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_shards, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
