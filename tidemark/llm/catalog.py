@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import decontamination, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, token_file
 from tidemark.session import checkpoint_dir
 
 
@@ -45,6 +45,10 @@ def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"), least=0.8)
+
+
 def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict_languages(table(spark, folder, "documents"))
 
@@ -77,4 +81,4 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
-QUERIES = {f.__name__: f for f in (op2_shards, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
