@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, mixing, near_dedup, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import decontamination, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
 from tidemark.session import checkpoint_dir
 
 
@@ -39,6 +39,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.score_texts(table(spark, folder, "documents"))
+
+
 def op2_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard(table(spark, folder, "documents"), shards=24, overhead=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -81,4 +85,4 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
-QUERIES = {f.__name__: f for f in (op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
