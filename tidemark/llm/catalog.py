@@ -2,38 +2,18 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
+from tidemark.llm.workers import ship
 from tidemark.session import checkpoint_dir
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package's code to the Python workers, wherever the driver was started; once per application."""
-    if spark.sparkContext.applicationId not in _shipped:
-        root = Path(__file__).resolve().parents[2]
-        folder = tempfile.mkdtemp(prefix="tidemark-code-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        path = Path(folder, "tidemark.zip")
-        with zipfile.ZipFile(path, "w") as out:
-            for file in sorted((root / "tidemark").rglob("*.py")):
-                out.write(file, file.relative_to(root))
-        spark.sparkContext.addPyFile(str(path))
-        _shipped.add(spark.sparkContext.applicationId)
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -85,4 +65,8 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
-QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality)}
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality, pipeline)}

@@ -145,40 +145,67 @@ def prototypes(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return names, out
 
 
-def identify(docs: DataFrame, names: list[str], profiles: np.ndarray, id_col: str = "doc_id",
-             text_col: str = "text", carry: list[Column] | None = None) -> DataFrame:
+class Guesser:
+    """Nearest prototypes of texts; one unit vector per language."""
+
+    def __init__(self, names: list[str], profiles: np.ndarray) -> None:
+        norms = np.linalg.norm(profiles, axis=1, keepdims=True)
+        self.names, self.units = names, (profiles / np.where(norms == 0, 1, norms)).astype(np.float32)
+
+    def guess(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """Languages and cosines. Ties go to the first language by name; negative cosines count as 0."""
+        langs: list[str] = []
+        scores = []
+        for _, block in text_blocks(texts):
+            n = len(block.sizes)
+            if not self.names:
+                langs += [UNKNOWN] * n
+                scores.append(np.zeros(n))
+                continue
+            profile = np.zeros((n, DIMENSIONS), dtype=np.float32)
+            for counts, vectors in block.parts():
+                profile += counts.astype(np.float32) @ vectors
+            length = np.sqrt((profile.astype(np.float64) ** 2).sum(axis=1))
+            cosine = profile @ self.units.T / np.where(length == 0, 1, length)[:, None]
+            best, known = cosine.argmax(axis=1), block.sizes > 0
+            langs += [self.names[b] if k else UNKNOWN for b, k in zip(best, known)]
+            score = np.clip(cosine[np.arange(n), best].astype(np.float64), 0, 1)
+            scores.append(np.round(np.where(known, score, 0), 6))
+        return langs, np.concatenate(scores) if scores else np.zeros(0)
+
+
+def identify(docs: DataFrame, guesser: Guesser, id_col: str = "doc_id", text_col: str = "text",
+             carry: list[Column] | None = None) -> DataFrame:
     """(doc_id, carried columns, lang_pred, score): the nearest prototype of every whole text and its cosine.
 
-    A null text, or one without a letter, gets ``und`` and 0, and so does every text when nothing was learned. Ties go
-    to the first language by name. Negative cosines count as 0.
+    A null text, or one without a letter, gets ``und`` and 0, and so does every text when nothing was learned.
     """
-    carry = carry or []
-    norms = np.linalg.norm(profiles, axis=1, keepdims=True)
-    units = (profiles / np.where(norms == 0, 1, norms)).astype(np.float32)
-    source = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"), *carry)
+    source = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"), *(carry or []))
     kept = source.columns[1:]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
-    shared = docs.sparkSession.sparkContext.broadcast((names, units))      # one vector per language
+    shared = docs.sparkSession.sparkContext.broadcast(guesser)
 
-    def guess(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, units = shared.value
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, block in text_blocks(batch.column(0).to_pylist()):
-                n = len(block.sizes)
-                profile = np.zeros((n, DIMENSIONS), dtype=np.float32)
-                for counts, vectors in block.parts():
-                    profile += counts.astype(np.float32) @ vectors
-                length = np.sqrt((profile.astype(np.float64) ** 2).sum(axis=1))
-                cosine = profile @ units.T / np.where(length == 0, 1, length)[:, None]
-                best = cosine.argmax(axis=1) if len(names) else np.zeros(n, dtype=np.int64)
-                known = (block.sizes > 0) & bool(names)
-                score = np.where(known, np.clip(cosine[np.arange(n), best], 0, 1) if len(names) else 0.0, 0.0)
-                part = batch.slice(at, n)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array([names[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
-                     pa.array(np.round(score.astype(np.float64), 6), pa.float64())], [*kept, "lang_pred", "score"])
+            langs, scores = shared.value.guess(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                             [*kept, "lang_pred", "score"])
+
+    return source.mapInArrow(add, schema + ", lang_pred string, score double")
+
+
+def recognised(docs: DataFrame, guesser: Guesser, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with a cosine of ``least`` or more."""
+    at = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(guesser)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, scores = shared.value.guess(batch.column(at).to_pylist())
+            good = [x != UNKNOWN and s >= least for x, s in zip(langs, scores)]
+            yield batch.filter(pa.array(good, pa.bool_()))
 
-    return source.mapInArrow(guess, schema + ", lang_pred string, score double")
+    return docs.mapInArrow(keep, docs.schema)
 
 
 def held_out(id_col: str = "doc_id", remainder: int = 0) -> Column:
@@ -193,10 +220,11 @@ def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Null or empty languages and texts teach nothing; repeated rows teach twice; other columns are not read; an empty
     table gives no rows.
     """
-    names, profiles = learn(docs, id_col, text_col, lang_col)
-    return identify(docs, names, profiles, id_col, text_col, [held_out(id_col).alias("held_out")])
+    return identify(docs, learn(docs, id_col, text_col, lang_col), id_col, text_col,
+                    [held_out(id_col).alias("held_out")])
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang"):
-    return prototypes(docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")))
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Guesser:
+    labelled = docs.where(~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    return Guesser(*prototypes(labelled.select(F.col(text_col).cast("string").alias("text"),
+                                               F.col(lang_col).cast("string").alias("lang"))))

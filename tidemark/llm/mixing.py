@@ -94,6 +94,31 @@ def hash_thresholds(sizes: DataFrame, budgets: DataFrame, bits: int = 12) -> Dat
     return ends.select("source", (F.col("bucket") + nearer.cast("long")).alias("threshold"))
 
 
+def _sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return settle(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                              word_count(F.col(text_col)).alias("size"), id_hash(id_col).alias("h")), "mix-sizes")
+
+
+def source_plan(sizes: DataFrame, weights: tuple[int, ...], max_repeats: int) -> DataFrame:
+    """(t_source, source_size, target, passes, threshold): whole passes over a source and where the last one ends."""
+    targets = source_targets(sizes.select("source", "size"), weights, max_repeats)
+    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
+    targets = settle(targets.withColumn("passes", passes.cast("long")), "mix-targets")
+    left = F.col("target") - F.col("passes") * F.col("source_size")
+    budgets = targets.where(F.col("passes") < max_repeats).select("source", left.alias("left"))
+    partial = sizes.join(budgets.select(F.col("source").alias("b_source")),
+                         F.col("source").eqNullSafe(F.col("b_source")), "left_semi")
+    cuts = hash_thresholds(partial.select("source", "size", "h"), budgets)
+    t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "passes")
+    c = cuts.select(F.col("source").alias("c_source"), "threshold")
+    return t.join(c, F.col("t_source").eqNullSafe(F.col("c_source")), "left").drop("c_source")
+
+
+def _repeats(h, max_repeats: int):
+    once_more = (F.col("passes") < max_repeats) & F.coalesce(h < F.col("threshold"), F.lit(True))
+    return F.col("passes") + once_more.cast("long")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
     """(doc_id, size, source_size, target, taken): how many words the mix takes of each document.
@@ -105,21 +130,21 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     empty string; rows with equal ids have equal hashes and are taken together; a source without words has target 0;
     an empty table gives no rows. Other columns are not read.
     """
-    sizes = settle(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                               word_count(F.col(text_col)).alias("size"), id_hash(id_col).alias("h")), "mix-sizes")
-    targets = source_targets(sizes.select("source", "size"), weights, max_repeats)
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = settle(targets.withColumn("passes", passes.cast("long")), "mix-targets")
-    left = F.col("target") - F.col("passes") * F.col("source_size")
-    budgets = targets.where("passes < " + str(max_repeats)).select("source", left.alias("left"))
-    full = targets.where("passes >= " + str(max_repeats)).select("source")
-    partial = sizes.join(full.select(F.col("source").alias("f_source")),
-                         F.col("source").eqNullSafe(F.col("f_source")), "left_anti")
-    cuts = hash_thresholds(partial.select("source", "size", "h"), budgets)
-    t = targets.select(F.col("source").alias("t_source"), "source_size", "target", "passes")
-    c = cuts.select(F.col("source").alias("c_source"), "threshold")
-    plan = t.join(c, F.col("t_source").eqNullSafe(F.col("c_source")), "left")
-    once_more = (F.col("passes") < max_repeats) & F.coalesce(F.col("h") < F.col("threshold"), F.lit(True))
+    sizes = _sizes(docs, id_col, text_col, source_col)
+    plan = source_plan(sizes, weights, max_repeats)
     joined = sizes.join(plan, F.col("source").eqNullSafe(F.col("t_source")))
     return joined.select("doc_id", "size", "source_size", "target",
-                         (F.col("size") * (F.col("passes") + once_more.cast("long"))).alias("taken"))
+                         (F.col("size") * _repeats(F.col("h"), max_repeats)).alias("taken"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as the mix takes it, with all its columns."""
+    sizes = _sizes(docs, id_col, text_col, source_col)
+    plan = source_plan(sizes, weights, max_repeats).select("t_source", "passes", "threshold")
+    # the columns travel in a struct, so none of them can clash with those of the plan
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("packed"),
+                         F.col(source_col).alias("p_source"), id_hash(id_col).alias("p_hash"))
+    joined = packed.join(plan, F.col("p_source").eqNullSafe(F.col("t_source")))
+    times = F.array_repeat(F.col("packed"), _repeats(F.col("p_hash"), max_repeats).cast("int"))
+    return joined.select(F.explode(times).alias("packed")).select("packed.*")
