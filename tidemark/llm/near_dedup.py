@@ -135,8 +135,10 @@ def _rows(key, a, size, b) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["key", "a", "size", "b"])
 
 
-def _table_rows(classes: DataFrame, similar: float) -> DataFrame:
-    """Rows of all tables. Runs that outgrow COMPLETE in a task are paired there and only their heads go on."""
+def _table_rows(classes: DataFrame, similar: float, whole: bool = False) -> DataFrame:
+    """Rows of all tables. Unless ``whole``, runs that outgrow COMPLETE in a task are paired there and only their
+    heads go on.
+    """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_024):
@@ -146,6 +148,9 @@ def _table_rows(classes: DataFrame, similar: float) -> DataFrame:
                 nodes = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), tables)
                 sizes = np.repeat(np.array(part.column(1).to_pylist(), dtype=np.int64), tables)
                 keys = keys.reshape(-1)
+                if whole:
+                    yield _rows(keys, nodes, sizes, None)
+                    continue
                 order = np.lexsort((nodes, sizes, keys))
                 keys, nodes, sizes = keys[order], nodes[order], sizes[order]
                 left, right, hot, place = _Chain(similar).feed(keys, nodes, sizes)
@@ -228,8 +233,7 @@ def _left_over(docs, classes, hot, roots, k, percent) -> DataFrame:
     n - ceil(t n) + 1, so those are the keys; keys whose classes lie in one component are done.
     """
     similar = percent / 100
-    keys = _table_rows(classes, similar).where("a is not null and b is null")
-    members = keys.join(hot, "key", "left_semi").select(F.col("a").alias("node")).distinct()
+    members = _table_rows(classes, similar, whole=True).join(hot, "key", "left_semi").select(F.col("a").alias("node")).distinct()
     sets = settle(_full_sets(docs, classes, members, k), "near-sets")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
