@@ -44,6 +44,48 @@ def test_upsert_matches_null_keys_and_plain_tables(spark, tmp_path):
         assert store.upsert(spark.createDataFrame([("s1", 1)], "seq string, v int"), plain, ["seq"]).count() == 1
 
 
+def test_every_reject_is_kept_and_a_batch_can_be_run_again(spark, tmp_path):
+    columns = "trade_date date, symbol string, series string, close double, high double, low double"
+    bad = [(None, "A", "EQ", 5.0, 6.0, 4.0), (None, "A", "EQ", 7.0, 8.0, 6.0), (D1, None, "EQ", 5.0, 6.0, 4.0),
+           (D1, "B", "EQ", -1.0, 6.0, 4.0), (D1, "B", "EQ", -2.0, 6.0, 4.0), (D1, "B", "EQ", -2.0, 6.0, 4.0)]
+    lake = str(tmp_path / "lake")
+    for _ in range(2):      # the first batches have no good row
+        assert ingest.store_prices(spark.createDataFrame(bad, columns), lake).count() == 0
+    good = [(D1, "A", "EQ", 5.0, 6.0, 4.0), (D2, "A", "EQ", 5.5, 6.0, 4.0)]
+    for _ in range(2):
+        assert ingest.store_prices(spark.createDataFrame(good + bad[:2], columns), lake).count() == 2
+        kept = spark.read.parquet(f"{lake}/_quarantine_stock_daily")
+        assert rows_of(kept.fillna({"symbol": ""}), "symbol", "close") == sorted((r[1] or "", r[3]) for r in bad)
+
+
+def test_upsert_reads_only_the_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    days = [D1 - dt.timedelta(days=n) for n in range(30)]
+    store.overwrite(spark.createDataFrame([(d, "A", 1) for d in days], "d date, k string, v int"), path, "d")
+    update = spark.createDataFrame([(D1, "A", 2), (None, "B", 3)], "d date, k string, v int")
+    plan = store.touched(store.read_table(spark, path), update, "d")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "PartitionFilters" in plan
+    assert store.upsert(update, path, ["d", "k"], "d").count() == 31
+
+
+def test_a_broken_overwrite_leaves_a_whole_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    store.overwrite(spark.createDataFrame([("old",)], "v string"), path)
+    spark.createDataFrame([("new",)], "v string").write.parquet(f"{path}.new")
+    assert rows_of(store.read_table(spark, path), "v") == [("old",)]       # broken off before the old one went
+    (tmp_path / "t").rename(tmp_path / "gone")
+    assert rows_of(store.read_table(spark, path), "v") == [("new",)]       # broken off after
+    store.overwrite(spark.createDataFrame([("newer",)], "v string"), path)
+    assert rows_of(store.read_table(spark, path), "v") == [("newer",)]
+
+
+def test_a_hot_day_is_split_and_small_days_share_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(100).selectExpr("date_add(date'2026-01-01', cast(id as int)) as d", "id as v").repartition(8)
+    store.overwrite(rows, path, "d")
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) == 100
+
+
 def test_replace_append_overwrite(spark, tmp_path):
     path = str(tmp_path / "dq")
     store.overwrite(spark.createDataFrame([(D1, "a"), (D2, "b")], "run_date date, c string"), path, "run_date")
@@ -138,11 +180,14 @@ def test_history_of_a_stock(spark):
 
 
 def test_calendar(spark):
-    holiday = spark.createDataFrame([(dt.date(2026, 10, 2), "Gandhi Jayanti")], "holiday date, description string")
-    assert not calendar.is_trading_day(holiday, dt.date(2026, 10, 3))
-    assert not calendar.is_trading_day(holiday, dt.date(2026, 10, 2))
-    assert calendar.previous_trading_day(holiday, dt.date(2026, 10, 5)) == dt.date(2026, 10, 1)
-    assert calendar.expected_days(holiday, dt.date(2026, 9, 28), dt.date(2026, 10, 6)).count() == 6
+    d = dt.date
+    holiday = spark.createDataFrame([(d(2031, 12, 25), "Midwinter"), (d(2031, 12, 26), "Day after")],
+                                    "holiday date, description string")
+    assert [calendar.is_trading_day(holiday, d(2031, 12, n)) for n in (24, 25, 26, 27)] == [True, False, False, False]
+    assert calendar.previous_trading_day(holiday, d(2031, 12, 29)) == d(2031, 12, 24)      # a Monday, after four shut days
+    assert calendar.expected_days(holiday, d(2031, 12, 22), d(2031, 12, 31)).count() == 6
+    long = spark.range(400).selectExpr("date_sub(date'2031-12-31', cast(id as int)) as holiday", "'shut' as description")
+    assert calendar.previous_trading_day(long, d(2032, 1, 1)) == d(2030, 11, 26)
 
 
 def bars(spark, n_symbols=4, n_days=60):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.classify import corporate_action, index_family, news_type
-from tidemark.functions.cleaning import date_key, day, month_steps, number, require_columns, rounded
+from tidemark.functions.cleaning import date_key, day, month_steps, number, require_columns, rounded, whole
 from tidemark.operators.ordering import forward_fill
 from tidemark.sources import bronze
 
@@ -17,10 +17,10 @@ def one(spark, column, **values):
 
 
 @pytest.mark.parametrize("subject, kind, factor", [
-    ("Face Value Split (Sub-Division) - From Rs 10/- Per Share To Rs 2/- Per Share", "SPLIT", 5.0),
-    ("face value split from Re. 10 to Re. 1", "SPLIT", 10.0),
-    ("Bonus 1:1", "BONUS", 2.0),
-    ("Issue of bonus 7 : 5 shares", "BONUS", 2.4),
+    ("Stock SPLIT of shares from Rs. 6 each to Rs.1.50 each", "SPLIT", 4.0),
+    ("split: from re 12 to re 4", "SPLIT", 3.0),
+    ("Record date for bonus 3:4", "BONUS", 1.75),
+    ("BONUS  9 :2 issue", "BONUS", 5.5),
     ("Rights from Rs 10 to Rs 2", None, None),
     ("Split from Rs 2 to Rs 2", None, None),
     ("Split from Rs 1.2.3 to Rs 2", None, None),
@@ -71,6 +71,30 @@ def test_cleaning(spark):
     assert one(spark, rounded("v", 3), v=-3.5514999999999994) == -3.552
 
 
+@pytest.mark.parametrize("places", [0, 2, 4, 6])
+def test_rounding_is_half_up_on_decimal_digits_at_every_magnitude(spark, places):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal
+    rng = random.Random(places)
+    values = [8388608.125, 20000000.125, 1.0000004996, 1.005, 2.675, -0.5, 0.0, 1e15 + 0.5, 1e18, None]
+    for power in range(-3, 13):
+        for _ in range(40):
+            x = rng.uniform(-1, 1) * 10.0 ** power
+            values += [x, float(f"{x:.{places}f}5")]        # the second is a tie, as its digits read
+    got = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double").select(
+        "i", rounded("x", places).alias("r")).collect()
+    unit = Decimal(1).scaleb(-places)
+    for i, r in got:
+        x = values[i]
+        assert r == (None if x is None else float(Decimal(repr(x)).quantize(unit, ROUND_HALF_UP)) + 0.0), x
+
+
+@pytest.mark.parametrize("text, value", [("12.9", 12), ("-3", -3), ("NaN", None), ("1e30", None), ("Infinity", None),
+                                         ("", None), ("7e2", 700)])
+def test_whole_numbers_of_untidy_text(spark, text, value):
+    assert spark.createDataFrame([(text,)], "v string").select(whole("v").alias("x")).first()["x"] == value
+
+
 def test_header_blanks_and_missing_columns(spark):
     df = spark.createDataFrame([(1, 2)], ["A ", " B"])
     assert require_columns(df, ["A", "B"], "x").columns == ["A", "B"]

@@ -15,7 +15,6 @@ from tidemark.operators.windows import by_date, first_per
 from tidemark.plans import reference
 
 TICK = 10_000           # price units of 1/10000
-SEQ_ROOM = 4_000_000    # more ticks than any derived price has
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,22 +40,20 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     sellers = table(spark, folder, "supplier").join(
         nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
     price = tick()
-    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * SEQ_ROOM
     return table(spark, folder, "lineitem").select(
         "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), price.alias("tick"),
-        (seq + price).alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
+        F.struct("l_orderkey", "l_linenumber").alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
         cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
     ).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def _bar_columns() -> list[Column]:
-    # sums stay whole numbers until the last step, so they do not depend on the order of the rows;
-    # first and last price ride in the low digits of the trade sequence
+    # sums stay whole numbers until the last step, so they do not depend on the order of the rows
     volume = F.sum("quantity")
     delivered = F.sum(F.when(F.col("l_returnflag") != "R", F.col("quantity")).otherwise(0))
     return [
-        (F.min("placed") % SEQ_ROOM / TICK).alias("open"), (F.max("tick") / TICK).alias("high"),
-        (F.min("tick") / TICK).alias("low"), (F.max("placed") % SEQ_ROOM / TICK).alias("close"),
+        (F.min_by("tick", "placed") / TICK).alias("open"), (F.max("tick") / TICK).alias("high"),
+        (F.min("tick") / TICK).alias("low"), (F.max_by("tick", "placed") / TICK).alias("close"),
         (F.sum(F.col("tick") * F.col("quantity")) / volume / TICK).alias("vwap"),
         volume.alias("volume"), (F.sum("cents") / 100_000).alias("turnover_lacs"),
         F.count("*").alias("num_trades"), delivered.alias("deliv_qty"),

@@ -628,7 +628,8 @@ left join roll_m using (scheme_code) left join fund using (scheme_code)"""
 # ---------- finals: portfolio ----------
 
 STEPS["ptxn"] = """
-select row_number() over (order by owner, txn_date, instrument_id, txn_type, quantity nulls last, amount nulls last)
+select row_number() over (order by owner, txn_date, instrument_id, txn_type, quantity nulls last, amount nulls last,
+         price nulls last)
          as txn_id, *
 from (select c_name as owner, day as txn_date,
              case when pri in ('1', '2') then case o_orderstatus when 'F' then 'SELL' else 'BUY' end
@@ -1073,6 +1074,8 @@ FINAL["pipeline_steps"] = f"""
 select step, {rnd(f"avg({rnd('value', 1)})", 3)} as mean_s, count(*) as runs,
        case step when 'extract' then 2 when 'silver' then 3 when 'dbt' then 4 when 'quality' then 6 else 7 end as position
 from runs where status = 'SUCCESS' group by 1"""
+FINAL["pipeline_steps_recent"] = FINAL["pipeline_steps"].replace(
+    "from runs where", "from (select * from runs order by ts desc, run_id, step limit 60) where")
 FINAL["pipeline_last_run"] = """
 select max(ts) as last_started, count_if(status = 'FAILED')::bigint as failed
 from (select * from runs order by ts desc, run_id, step limit 7)"""
@@ -1103,6 +1106,9 @@ select * exclude (bad, r) from (
   select *, row_number() over (partition by trade_date, symbol order by open, high, low, last, close, volume, turnover_lacs,
            num_trades, deliv_qty nulls last) as r from rawpx where not bad) where r = 1"""
 FINAL["reject_split"] = "select * exclude (bad), 'null/non-positive close or high<low' as reason from rawpx where bad"
+FINAL["price_files_stored"] = FINAL["price_rows_clean"]
+FINAL["price_files_quarantined"] = FINAL["reject_split"]
+FINAL["index_files_stored"] = "select * from idx"
 FINAL["dq_quarantine"] = f"""
 select 'quarantined_price_rows' as check_name, case when n = 0 then 'PASS' when n < 20 then 'WARN' else 'FAIL' end as status,
        n::double as value, n || ' bad price rows on {RUN_DATE}' as detail

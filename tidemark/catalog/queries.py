@@ -568,6 +568,11 @@ def pipeline_steps(w):
     return quality.step_seconds(w.runs(), None)
 
 
+@query
+def pipeline_steps_recent(w):
+    return quality.step_seconds(w.runs())
+
+
 @query
 def pipeline_last_run(w):
     return quality.last_run(w.runs())
@@ -598,6 +603,22 @@ def price_rows_clean(w):
     return bronze.unique(good, ingest.PRICE_KEYS)
 
 
+@query
+def price_files_stored(w):
+    """Price files read, cleaned, upserted, and the newest of them upserted again; the table as it then lies on disk."""
+    return w.lake_table("stock_daily")
+
+
+@query
+def price_files_quarantined(w):
+    return w.lake_table("_quarantine_stock_daily").drop("_row").withColumnRenamed("_reason", "reason")
+
+
+@query
+def index_files_stored(w):
+    return w.lake_table("index_daily")
+
+
 @query
 def reject_split(w):
     _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,30 @@ def price_rows(spark, folder: str) -> DataFrame:
         F.lit("").alias("DELIV_PER"))
 
 
+AGAIN = dt.date(1998, 1, 1)     # the folder that is ingested twice
+
+
+def _by_year(day):
+    """The folder in which a row lands: one for each year, rows without a day in another."""
+    return F.coalesce(F.trunc(day, "year"), F.lit(dt.date(1970, 1, 1)))
+
+
+def write_price_files(rows: DataFrame, raw: str) -> None:
+    landed = _by_year(F.try_to_date(F.trim("DATE1"), "dd-MMM-yyyy"))
+    (rows.withColumn("dt", landed).write.partitionBy("dt").option("header", True)
+     .csv(f"{raw}/nse_bhavcopy"))
+
+
+def write_index_files(index_rows: DataFrame, raw: str) -> None:
+    names = {"open": "Open Index Value", "high": "High Index Value", "low": "Low Index Value",
+             "close": "Closing Index Value", "points_change": "Points Change", "pct_change": "Change(%)",
+             "volume": "Volume", "turnover_cr": "Turnover (Rs. Cr.)", "pe": "P/E", "pb": "P/B", "div_yield": "Div Yield"}
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("-")).alias(n) for c, n in names.items()]
+    (index_rows.select(F.col("index_name").alias("Index Name"), F.date_format("trade_date", "dd-MM-yyyy").alias("Index Date"),
+                       *shown, _by_year(F.col("trade_date")).alias("dt"))
+     .write.partitionBy("dt").option("header", True).csv(f"{raw}/nse_indices"))
+
+
 def nav_lines(spark, folder: str) -> DataFrame:
     """Daily NAVs as yearly text files: headings per scheme, then its rows, in chunks of a few weeks."""
     nav = domain.fund_nav_daily(spark, folder).withColumn("file", F.year("nav_date").cast("string"))

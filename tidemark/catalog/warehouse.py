@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import wraps
 from weakref import WeakKeyDictionary
 
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import domain, rawtext
 from tidemark.params import SurveillanceParams
-from tidemark.plans import facts, funds, portfolio, quality, reference, screens, signals, triage, validation
+from tidemark.plans import facts, funds, ingest, portfolio, quality, reference, screens, signals, triage, validation
+from tidemark.session import checkpoint_dir
 from tidemark.sources.store import settle
 
 DEFAULT = SurveillanceParams()
@@ -101,6 +103,18 @@ class Warehouse:
         """The text rows as they would lie in the raw files."""
         return self.source(rawtext.price_rows)
 
+    def lake_table(self, name: str) -> DataFrame:
+        """A table built from files: raw rows written in the exchange's layout, ingested, one folder ingested again."""
+        if "lake" not in self._built:
+            root = f"{checkpoint_dir(self.spark)}/files-{uuid.uuid4().hex}"
+            rawtext.write_price_files(self.raw_prices(), f"{root}/raw")
+            rawtext.write_index_files(self.source(domain.index_daily), f"{root}/raw")
+            for build in (ingest.build_stock_daily, ingest.build_index_daily):
+                build(self.spark, f"{root}/raw", f"{root}/lake")
+                build(self.spark, f"{root}/raw", f"{root}/lake", [rawtext.AGAIN])
+            self._built["lake"] = f"{root}/lake"
+        return self.spark.read.parquet(f"{self._built['lake']}/{name}").drop("_ingested_at")
+
     # ---------- surveillance ----------
 
     @model

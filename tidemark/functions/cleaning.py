@@ -25,11 +25,13 @@ def number(c: Column | str) -> Column:
 
     The common blanks are sorted out first, as a failed cast costs far more than a comparison.
     """
-    return blank_to_null(c).try_cast("double")
+    value = blank_to_null(c).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)       # not for NaN, which sorts above infinity
 
 
 def whole(c: Column | str) -> Column:
-    return number(c).cast("long")
+    """Text to long, fractions cut off; null for junk and for what a long cannot hold."""
+    return number(c).try_cast("long")
 
 
 def code(c: Column | str) -> Column:
@@ -42,15 +44,18 @@ def day(c: Column | str, pattern: str = "dd-MMM-yyyy") -> Column:
 
 
 def rounded(x: Column | str, places: int = 0) -> Column:
-    """Half up at `places` (up to 8) decimals, a value within 5e-10 of a tie counting as the tie.
+    """Half up, away from zero, on the decimal digits of the value.
 
-    Sums taken in another order differ in their last bits; without that margin a value on a tie would round
-    differently from run to run. Plain double arithmetic, several times cheaper than rounding through decimals.
+    Sums taken in another order differ in their last bits, and a value on a tie must not round differently from run to
+    run: up to 1e9 units of the last place kept, a value within 1e-14 of itself below a tie counts as the tie. That is
+    plain double arithmetic, several times cheaper than decimals, which take over for larger values.
     """
     x = F.col(x).cast("double") if isinstance(x, str) else x.cast("double")
     scale = float(10 ** places)
+    units = F.abs(x) * scale
+    up = F.floor(units * (1 + 1e-14) + 0.5).cast("double") / scale
     # adding zero turns -0.0 into 0.0
-    return F.rint((x + F.signum(x) * 5e-10) * scale) / scale + 0.0
+    return F.when(units < 1e9, F.signum(x) * up).otherwise(F.round(x, places)) + 0.0
 
 
 def ratio(a: Column, b: Column) -> Column:

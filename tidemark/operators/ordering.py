@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.store import settle
 
+RANGE_ROWS = 2_000_000     # of a range, at most about
 _LOCAL_BITS = 33    # monotonically_increasing_id: partition number above, row number below
 
 
@@ -14,11 +15,14 @@ def dense_ids(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """1, 2, 3, ... in `order` over the whole table.
 
     Rows are range-partitioned and sorted in parallel; each partition then only needs the number of rows
-    before it, one small row per partition. A random last key keeps copies of one row from filling a single
-    range. The ranges are written down, so a lost executor cannot renumber rows already counted.
+    before it, one small row per partition. The place in the settled input is the last key: it keeps copies of
+    one row from filling a single range, and stays the same when a lost task is run again. The ranges are
+    written down too, so a lost executor cannot renumber rows already counted.
     """
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = settle(df.withColumn("_spread", F.rand(7))
+    given = settle(df, "unordered")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = max(least, -(-given.count() // RANGE_ROWS))
+    ranged = settle(given.withColumn("_spread", F.hash(F.monotonically_increasing_id()))
                     .repartitionByRange(width, *order, "_spread")
                     .sortWithinPartitions(*order, "_spread")
                     .withColumn("_id", F.monotonically_increasing_id())

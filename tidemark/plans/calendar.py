@@ -37,6 +37,11 @@ def is_trading_day(holidays: DataFrame, day: dt.date) -> bool:
     return expected_days(holidays, day, day).count() == 1
 
 
-def previous_trading_day(holidays: DataFrame, day: dt.date, search_days: int = 60) -> dt.date | None:
-    earlier = expected_days(holidays, day - dt.timedelta(days=search_days), day - dt.timedelta(days=1))
-    return earlier.agg(F.max("trade_date")).first()[0]
+def previous_trading_day(holidays: DataFrame, day: dt.date) -> dt.date:
+    """The last trading day before `day`, however long the market was closed: the span searched grows until it is found."""
+    span, last = 16, None
+    while last is None:
+        span *= 4
+        earlier = expected_days(holidays, day - dt.timedelta(days=span), day - dt.timedelta(days=1))
+        last = earlier.agg(F.max("trade_date")).first()[0]
+    return last

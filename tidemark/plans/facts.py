@@ -79,17 +79,16 @@ def fund_nav(nav: DataFrame) -> DataFrame:
 
 
 def staged_transactions(portfolio: DataFrame) -> DataFrame:
-    """Typed, normalised transactions numbered in a fixed total order."""
-    clean = portfolio.select(
-        F.trim("owner").alias("owner"), F.col("date").cast("date").alias("txn_date"), code("type").alias("txn_type"),
-        F.upper(F.trim(F.col("symbol").cast("string"))).alias("instrument_id"), code("asset_class").alias("asset_class"),
-        *[F.col(c).cast("double").alias(c) for c in ("quantity", "price", "amount")])
-
+    """Typed, normalised transactions, numbered in the order of the raw columns; price breaks the last ties."""
     def last(c: str) -> Column:
         return F.col(c).asc_nulls_last()
 
-    return dense_ids(clean, [last(c) for c in ("owner", "txn_date", "instrument_id", "txn_type", "quantity", "amount")],
-                     "txn_id")
+    raw = dense_ids(portfolio, [last(c) for c in ("owner", "date", "symbol", "type", "quantity", "amount", "price")],
+                    "txn_id")
+    return raw.select(
+        "txn_id", F.trim("owner").alias("owner"), F.col("date").cast("date").alias("txn_date"), code("type").alias("txn_type"),
+        F.upper(F.trim(F.col("symbol").cast("string"))).alias("instrument_id"), code("asset_class").alias("asset_class"),
+        *[F.col(c).cast("double").alias(c) for c in ("quantity", "price", "amount")])
 
 
 def portfolio_transactions(txns: DataFrame, nav: DataFrame, tolerance_days: int = 10) -> DataFrame:

@@ -27,16 +27,24 @@ def split_rejects(prices: DataFrame) -> tuple[DataFrame, DataFrame]:
             judged.filter("_bad").drop("_bad").withColumn("_reason", F.lit(REJECT_REASON)))
 
 
+def _row_hash(columns: list[str]) -> Column:
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
 def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("_ingested_at", F.current_timestamp())
 
 
 def store_prices(prices: DataFrame, lake: str) -> DataFrame:
-    """Good rows into the price table, the others with their reason into quarantine."""
+    """Good rows into the price table, the others with their reason into quarantine.
+
+    Every rejected row is kept, also those whose keys are missing or equal: a row's key in quarantine is the hash of
+    all it holds, so running a batch again replaces its rows by themselves.
+    """
     good, rejects = split_rejects(store.settle(prices, "prices"))
-    rejects = store.settle(unique(rejects, PRICE_KEYS), "rejects")
+    rejects = store.settle(rejects.withColumn("_row", _row_hash(prices.columns)), "rejects")
     if not rejects.isEmpty():
-        store.upsert(_stamped(rejects), f"{lake}/_quarantine_stock_daily", PRICE_KEYS, "trade_date")
+        store.upsert(_stamped(rejects), f"{lake}/_quarantine_stock_daily", ["_row"], "trade_date")
     return store.upsert(_stamped(unique(good, PRICE_KEYS)), f"{lake}/stock_daily", PRICE_KEYS, "trade_date")
 
 
@@ -85,7 +93,7 @@ def build_surveillance_lists(spark: SparkSession, raw: str, lake: str) -> DataFr
         return None
     path = f"{lake}/surveillance_lists"
     store.overwrite(unique(lists, ["snapshot_date", "symbol", "list_type"]), path)
-    return spark.read.parquet(path)
+    return store.read_table(spark, path, lists.schema)
 
 
 def build_stock_daily_adjusted(spark: SparkSession, lake: str) -> DataFrame | None:
@@ -97,8 +105,9 @@ def build_stock_daily_adjusted(spark: SparkSession, lake: str) -> DataFrame | No
     if actions is None:
         actions = spark.createDataFrame([], "symbol string, ex_date date, factor double")
     path = f"{lake}/stock_daily_adjusted"
-    store.overwrite(adjusted_prices(prices, actions), path, "trade_date")
-    return spark.read.parquet(path)
+    adjusted = adjusted_prices(prices, actions)
+    store.overwrite(adjusted, path, "trade_date")
+    return store.read_table(spark, path, adjusted.schema)
 
 
 def build_all(spark: SparkSession, raw: str, lake: str, days: Days = None) -> dict[str, DataFrame | None]:

@@ -87,7 +87,7 @@ def _query_check(symbols: DataFrame, filings: DataFrame, since: DataFrame) -> Da
         F.broadcast(since), F.col("announced_date") >= F.col("since"))
     summed = asked.groupBy("symbol").agg(
         F.count("*").alias("_times"), F.max("announced_date").alias("_when"),
-        F.max_by("category", "announced_date").alias("_what"))
+        F.max_by("category", F.struct("announced_at", "seq_id")).alias("_what"))
     on, more = F.col("_times").isNotNull(), F.col("_times") > 1
     return _check(
         symbols.join(summed, "symbol", "left"), 4, F.when(on, "bad").otherwise("ok"),

@@ -9,7 +9,6 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.classify import corporate_action
@@ -139,10 +138,10 @@ def parse_nav_lines(lines: DataFrame) -> DataFrame:
 
     rows = filled.filter((F.size(f) >= 6) & F.trim(field(1)).rlike(r"^\d+$"))
     return rows.select(
-        F.trim(field(1)).cast("long").alias("scheme_code"), blank_to_null(field(2)).alias("isin_growth"),
+        F.trim(field(1)).try_cast("long").alias("scheme_code"), blank_to_null(field(2)).alias("isin_growth"),
         blank_to_null(field(3)).alias("isin_reinvest"), F.trim(field(4)).alias("scheme_name"),
         F.trim(field(-2)).try_cast("double").alias("nav"), day(field(-1)).alias("nav_date"), "amc", "category",
-    ).filter(F.col("nav_date").isNotNull())
+    ).filter(F.col("nav_date").isNotNull() & F.col("scheme_code").isNotNull())
 
 
 def fund_nav(spark: SparkSession, root: str, days: Days = None) -> DataFrame | None:
@@ -250,9 +249,8 @@ def holidays(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def portfolio(spark: SparkSession, path: str) -> DataFrame:
-    schema = T._parse_datatype_string(
-        "owner string, date date, type string, symbol string, quantity double, price double, amount double, "
-        "asset_class string")
+    schema = ("owner string, date date, type string, symbol string, quantity double, price double, amount double, "
+              "asset_class string")
     return spark.read.schema(schema).option("header", True).csv(path)
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.session import checkpoint_dir
 
@@ -24,12 +25,18 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None when it was never written."""
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The stored table, or None when it was never written.
+
+    A table written without rows has no file that tells its schema; with ``schema`` it is read as empty, else as
+    never written. A copy that a broken overwrite left complete beside the table is put in place first.
+    """
+    _finish_swap(spark, path)
     try:
-        return spark.read.parquet(path)
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
@@ -46,16 +53,47 @@ def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+def _files(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of a table's folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _finish_swap(spark: SparkSession, path: str) -> None:
+    """Move a complete new copy to the table's place, if the table has gone and the copy has not arrived."""
+    system, table = _files(spark, path)
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new/_SUCCESS")
+    if not system.exists(table) and system.exists(done):
+        system.rename(fresh, table)
+
+
+def _by_partition(df: DataFrame, partition_col: str | None) -> DataFrame:
+    """Rows of a partition value together, as few files as their size needs: small values share tasks, large ones are
+    split.
+    """
+    return df.hint("rebalance", F.col(partition_col)) if partition_col else df
+
+
 def overwrite(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    """Replace a whole table. The new copy is written beside it and then takes its place, so at any time the old or
+    the new one is complete; ``read_table`` finishes a swap that was broken off.
+    """
+    spark = df.sparkSession
+    _finish_swap(spark, path)
+    writer = _by_partition(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         writer = writer.partitionBy(partition_col)
-    writer.parquet(path)
+    writer.parquet(f"{path}.new")
+    system, table = _files(spark, path)
+    system.delete(table, True)
+    _finish_swap(spark, path)
+    spark.catalog.refreshByPath(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
     """Replace just the partitions present in df: delete-and-insert for one run date."""
-    (df.repartition(partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (_by_partition(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
 
 
@@ -64,26 +102,34 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def upsert(updates: DataFrame, path: str, keys: list[str], partition_col: str | None = None) -> DataFrame:
-    """Update matching rows, insert the others. Only the partitions the updates touch are rewritten.
+    """Update matching rows, insert the others. Only the partitions the updates touch are read and rewritten.
 
     The merge is settled before the table is overwritten: the files being read are never the files being
-    written, and a broken run can simply be repeated.
+    written, and a broken run can simply be repeated. The partition values of one batch (its days) are few and are
+    listed in the filter, so the scan of the table is pruned when it is planned.
     """
     spark = updates.sparkSession
+    updates = settle(updates, "updates")
     target = read_table(spark, path)
     if target is None:
         overwrite(updates, path, partition_col)
-        return spark.read.parquet(path)
+        return read_table(spark, path, updates.schema)
     if partition_col is None:
         overwrite(settle(merged(target, updates, keys), "upsert"), path)
         return spark.read.parquet(path)
-    updates = settle(updates, "updates")
-    touched = updates.select(partition_col).distinct()
-    affected = target.join(touched, same_keys(target, touched, [partition_col]), "left_semi")
+    affected = touched(target, updates, partition_col)
     replace_partitions(settle(merged(affected, updates, keys), "upsert"), path, partition_col)
     return spark.read.parquet(path)
 
 
+def touched(target: DataFrame, updates: DataFrame, partition_col: str) -> DataFrame:
+    """The rows of the partitions that the updates have rows in."""
+    values = [r[0] for r in updates.select(partition_col).distinct().collect()]      # the days of one batch
+    column = target[partition_col]
+    named = column.isin([v for v in values if v is not None])
+    return target.filter(named | column.isNull() if None in values else named)
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, order: str, buckets: int) -> None:
     """Store pre-hashed and sorted by instrument: per-instrument windows then read without a shuffle."""
     (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key, order)
