@@ -18,7 +18,7 @@ def _nearest(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Neighbours above a node are tied to the least node of its neighbourhood."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return _nearest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _nearest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -44,3 +44,15 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(_small_star(_large_star(edges)), "links")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
+
+
+def joined_components(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components (node, root) after more links (a, b): only the roots that these join are worked on."""
+    def lifted(df: DataFrame, c: str) -> DataFrame:
+        of = roots.select(F.col("node").alias("n"), F.col("root").alias("r"))
+        return df.join(of, F.col(c) == F.col("n"), "left").withColumn(c, F.coalesce("r", c)).drop("n", "r")
+
+    above = settle(components(lifted(lifted(links, "a"), "b")), "roots")
+    single = above.join(roots, "node", "left_anti").select("node", F.col("node").alias("root"))
+    top = above.select(F.col("node").alias("root"), F.col("root").alias("top"))
+    return roots.union(single).join(top, "root", "left").select("node", F.coalesce("top", "root").alias("root"))

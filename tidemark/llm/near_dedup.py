@@ -6,9 +6,10 @@ with one from the second: 12 x 12 tables of six minima from 72 minima instead of
 in some table unless one collection misses, so the miss probability is at most 2 (1 - s^3)^12 (4e-4 at s = 0.8).
 
 Classes that meet in a table become candidate pairs. A bucket of up to ``COMPLETE`` + 1 classes gives all its pairs.
-A larger one gives each class its neighbours in the bucket's order, so the number of candidates stays in proportion
-to the input; what that may leave unlinked is found exactly: classes of such buckets that still lie in different
-components meet again through their rarest shingles, of which two sets of similarity t must share one.
+A larger one gives each class its neighbours in the bucket's order and the bucket's hub, the class that lies in most
+such buckets, so the number of candidates stays in proportion to the input; what that may leave unlinked is found
+exactly: classes of such buckets that still lie in different components meet again through their rarest shingles, of
+which two sets of similarity t must share one early enough.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, joined_components
 from tidemark.llm.tokens import blocks, distinct, mix, shingles
 from tidemark.sources.store import settle
 
@@ -93,7 +94,7 @@ class _Chain:
         self.before = 0         # place in its run of the first row held
 
     def feed(self, keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray):
-        """(pairs' left, pairs' right, keys of runs that outgrew COMPLETE, place of each row in its run)."""
+        """(pairs' left, pairs' right, keys and nodes of overfull runs, place of each row in its run)."""
         held = len(self.keys)
         keys, nodes, sizes = (np.concatenate(x) for x in
                               ((self.keys, keys), (self.nodes, nodes), (self.sizes, sizes)))
@@ -102,43 +103,49 @@ class _Chain:
         opens[1:] = keys[1:] != keys[:-1]
         place = at - np.maximum.accumulate(np.where(opens, at, 0))
         if held:
-            place[:held] += self.before
             same = held + int(np.argmax(np.append(keys[held:] != keys[0], True)))
-            place[held:same] += self.before
+            place[:same] += self.before
         left, right = [], []
         rows = np.flatnonzero(place > 0)
         rows = rows[rows >= held]
         for back in range(1, COMPLETE + 1):
             rows = rows[place[rows] >= back]
             now = rows if back <= CHAIN else rows[place[rows] <= COMPLETE]
-            now = now[now >= back]
             a, b = sizes[now - back], sizes[now]
             near = np.minimum(a, b) >= self.similar * np.maximum(a, b) - 1e-9
             left.append(nodes[now - back][near])
             right.append(nodes[now][near])
-        hot = keys[held:][place[held:] == COMPLETE + 1]
+        late = held + np.flatnonzero(place[held:] > COMPLETE)
+        first = late[place[late] == COMPLETE + 1]       # with it come the rows before it
+        full = np.unique(np.concatenate([late, (first[:, None] - np.arange(COMPLETE + 2)).reshape(-1)]))
+        overfull = keys[full], nodes[full]
         if len(keys):
-            tail = int(np.flatnonzero(opens)[-1])
-            tail = max(tail, len(keys) - COMPLETE)
+            tail = max(int(np.flatnonzero(opens)[-1]), len(keys) - COMPLETE - 1)
             self.keys, self.nodes, self.sizes = keys[tail:], nodes[tail:], sizes[tail:]
             self.before = int(place[tail])
-        return np.concatenate(left), np.concatenate(right), hot, place[held:]
+        return np.concatenate(left), np.concatenate(right), overfull, place[held:]
 
 
-FIELDS = "key long, a long, size int, b long"       # a row of a table, or with b a candidate pair, or without a a hot key
+# Rows between the tasks: a row of a table (key, node, size); a candidate pair (any key, node, PAIR, node); a class of an
+# overfull bucket (any key, node, MEMBER, bucket); a bucket known to be overfull (key, -, MARK), before its rows in order.
+FIELDS = "key long, a long, size int, b long"
+PAIR, MEMBER, MARK = -1, -2, -3
 
 
 def _rows(key, a, size, b) -> pa.RecordBatch:
-    n = max(len(x) for x in (key, a, size, b) if x is not None)
+    n = len(key)
+    size = np.full(n, size) if isinstance(size, int) else size
     columns = [pa.nulls(n, t) if x is None else pa.array(x, t)
                for x, t in ((key, pa.int64()), (a, pa.int64()), (size, pa.int32()), (b, pa.int64()))]
     return pa.RecordBatch.from_arrays(columns, ["key", "a", "size", "b"])
 
 
-def _table_rows(classes: DataFrame, similar: float, whole: bool = False) -> DataFrame:
-    """Rows of all tables. Unless ``whole``, runs that outgrow COMPLETE in a task are paired there and only their
-    heads go on.
-    """
+def _anywhere(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return mix((x ^ y).view(np.uint64)).view(np.int64)
+
+
+def _table_rows(classes: DataFrame, similar: float) -> DataFrame:
+    """Rows of all tables. Runs that outgrow COMPLETE in a task are paired there and only their heads go on as rows."""
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1_024):
@@ -148,46 +155,44 @@ def _table_rows(classes: DataFrame, similar: float, whole: bool = False) -> Data
                 nodes = np.repeat(np.array(part.column(0).to_pylist(), dtype=np.int64), tables)
                 sizes = np.repeat(np.array(part.column(1).to_pylist(), dtype=np.int64), tables)
                 keys = keys.reshape(-1)
-                if whole:
-                    yield _rows(keys, nodes, sizes, None)
-                    continue
                 order = np.lexsort((nodes, sizes, keys))
                 keys, nodes, sizes = keys[order], nodes[order], sizes[order]
-                left, right, hot, place = _Chain(similar).feed(keys, nodes, sizes)
-                head = place <= COMPLETE
-                late = place > COMPLETE                 # pairs among the heads are found again where tables meet
+                left, right, _, place = _Chain(similar).feed(keys, nodes, sizes)
+                head, late = place <= COMPLETE, place > COMPLETE
                 yield _rows(keys[head], nodes[head], sizes[head], None)
-                if late.any():
-                    yield _rows(mix((left ^ right).view(np.uint64)).view(np.int64), left, None, right)
-                    yield _rows(hot, None, None, None)
+                if late.any():                          # pairs among the heads are found again where tables meet
+                    yield _rows(_anywhere(left, right), left, PAIR, right)
+                    yield _rows(_anywhere(nodes[late], keys[late]), nodes[late], MEMBER, keys[late])
+                    yield _rows(np.unique(keys[late]), None, MARK, None)
 
     return classes.select("node", "n_shingles", "signature").mapInArrow(spread, FIELDS)
 
 
 def candidates(classes: DataFrame, similar: float) -> DataFrame:
-    """(a, b, hot): candidate pairs, and with hot the keys of buckets that gave only neighbours."""
+    """(a, b, bucket): candidate pairs a, b, and the classes a of each bucket that gave only neighbours."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chain = _Chain(similar)
+        chain, marked = _Chain(similar), np.zeros(0, dtype=np.int64)
         for batch in batches:
-            key, a, size, b = (batch.column(i) for i in range(4))
-            pair = b.is_valid().to_numpy(zero_copy_only=False)
-            mark = ~a.is_valid().to_numpy(zero_copy_only=False)
-            key, a, size, b = (x.fill_null(0).to_numpy(zero_copy_only=False) for x in (key, a, size, b))
-            row = ~pair & ~mark
-            left, right, hot, _ = chain.feed(key[row], a[row], size[row].astype(np.int64))
+            key, a, size, b = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(4))
+            row, pair, member = size >= 0, size == PAIR, size == MEMBER
+            marked = np.unique(np.concatenate([marked[-1:], key[size == MARK]]))    # the last one's rows may go on
+            left, right, (bucket, node), _ = chain.feed(key[row], a[row], size[row].astype(np.int64))
             left, right = np.concatenate([left, a[pair]]), np.concatenate([right, b[pair]])
-            hot = np.concatenate([hot, key[mark]])
-            both = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
-            none = len(hot)
+            pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
+            known = np.isin(key[row], marked)
+            bucket = np.concatenate([bucket, b[member], key[row][known]])
+            node = np.concatenate([node, a[member], a[row][known]])
+            n, total = len(pairs), len(pairs) + len(node)
+            empty, is_pair = np.zeros(total, np.int64), np.arange(total) < n
+            second, third = empty.copy(), empty
+            second[:n], third[n:] = pairs[:, 1], bucket
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([both[:, i], np.zeros(none, np.int64)]), pa.int64(),
-                          mask=np.arange(len(both) + none) >= len(both)) for i in (0, 1)]
-                + [pa.array(np.concatenate([np.zeros(len(both), np.int64), hot]), pa.int64(),
-                            mask=np.arange(len(both) + none) < len(both))], ["a", "b", "hot"])
+                [pa.array(np.concatenate([pairs[:, 0], node]), pa.int64()), pa.array(second, pa.int64(), mask=~is_pair),
+                 pa.array(third, pa.int64(), mask=is_pair)], ["a", "b", "bucket"])
 
     rows = _table_rows(classes, similar)
     return (rows.repartition("key").sortWithinPartitions("key", "size", "a")
-            .mapInArrow(meet, "a long, b long, hot long"))
+            .mapInArrow(meet, "a long, b long, bucket long"))
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -226,14 +231,22 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
-def _left_over(docs, classes, hot, roots, k, percent) -> DataFrame:
+def _hub_pairs(hot_rows: DataFrame) -> DataFrame:
+    """Each class of an overfull bucket (key, node) with the bucket's hub: groups around one text hang together by it."""
+    degree = hot_rows.groupBy(F.col("node").alias("d_node")).agg(F.count(F.lit(1)).alias("degree"))
+    ranked = hot_rows.join(degree, F.col("node") == F.col("d_node"))
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
+    pairs = hot_rows.join(hubs, "key").where("node <> hub")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _left_over(docs, classes, members, roots, k, percent) -> DataFrame:
     """Links between classes of overfull buckets that still lie in different components, found exactly.
 
     The classes' shingles are ordered by rarity. Two sets of similarity t share one of their first
-    n - ceil(t n) + 1, so those are the keys; keys whose classes lie in one component are done.
+    n - ceil(t n) + 1, so those are the keys; keys whose classes lie in one component are done. What two sets have in
+    common from their first common shingle on is bounded by what follows it in either, and must still be enough.
     """
-    similar = percent / 100
-    members = _table_rows(classes, similar, whole=True).join(hot, "key", "left_semi").select(F.col("a").alias("node")).distinct()
     sets = settle(_full_sets(docs, classes, members, k), "near-sets")
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,13 +263,16 @@ def _left_over(docs, classes, hot, roots, k, percent) -> DataFrame:
     prefix = (rows.join(spread, F.col("shingle") == F.col("s")).withColumn("rank", rank)
               .where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9) + 1))
     placed = settle(prefix.join(roots, "node", "left").select(
-        "shingle", "node", "n", F.coalesce("root", "node").alias("root")), "near-prefixes")
+        "shingle", "node", "n", "rank", F.coalesce("root", "node").alias("root")), "near-prefixes")
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_rows = placed.join(mixed.select("shingle"), "shingle", "left_semi")
-    x = open_rows.select("shingle", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"))
-    y = open_rows.select("shingle", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"))
+    x = open_rows.select("shingle", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("r_a"),
+                         (F.col("n") - F.col("rank")).alias("after_a"))
+    y = open_rows.select("shingle", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("r_b"),
+                         (F.col("n") - F.col("rank")).alias("after_b"))
     near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    pairs = x.join(y, "shingle").where((F.col("r_a") < F.col("r_b")) & near).select("a", "b").distinct()
+    enough = (1 + F.least("after_a", "after_b")) * (100 + percent) >= (F.col("n_a") + F.col("n_b")) * percent
+    pairs = x.join(y, "shingle").where((F.col("r_a") < F.col("r_b")) & near & enough).select("a", "b").distinct()
     return _confirmed(pairs, sets, percent)
 
 
@@ -278,16 +294,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     classes = settle(signed.where("node is not null").groupBy("node", "n_shingles").agg(
         F.min("doc_id").alias("first_id"), F.first("signature").alias("signature")), "near-classes")
     found = settle(candidates(classes, percent / 100), "near-candidates")
-    pairs = settle(found.where("a is not null").select("a", "b").distinct(), "near-pairs")
-    hot = found.where("hot is not null").select(F.col("hot").alias("key")).distinct()
+    hot_rows = found.where("bucket is not null").select(F.col("bucket").alias("key"), F.col("a").alias("node")).distinct()
+    hot_rows = settle(hot_rows, "near-overfull")
+    near = found.where("b is not null").select("a", "b").union(_hub_pairs(hot_rows))
+    pairs = settle(near.distinct(), "near-pairs")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = settle(_full_sets(docs, classes, nodes, k), "near-sets")
     links = settle(_confirmed(pairs, sets, percent), "near-links")
     roots = settle(components(links), "near-roots")
-    if not hot.isEmpty():
-        more = settle(_left_over(docs, classes, hot, roots, k, percent), "near-links")
+    members = hot_rows.select("node").distinct()
+    if not members.isEmpty():
+        more = settle(_left_over(docs, classes, members, roots, k, percent), "near-links")
         if not more.isEmpty():
-            roots = settle(components(links.union(more)), "near-roots")
+            roots = settle(joined_components(roots, more), "near-roots")
     named = classes.select("node", "first_id").join(roots, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
