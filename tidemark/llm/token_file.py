@@ -18,9 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.vocabulary import encode_words, frequent, settled_words, share, shared_dict, text_slices
+from tidemark.llm.vocabulary import Pieces, Table, encode_pieces, frequent, pieces_of, settled_pieces
 
-FREQUENT_WORDS = 524_288        # most words whose ids are broadcast: about 15 MB
+FREQUENT_WORDS = 2_097_152      # most pieces whose ids are broadcast: about 45 MB
 IDS_PER_FILE = 16_000_000
 MOST_FILES = 4_096
 
@@ -49,7 +49,7 @@ def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 
 def id_counts(words: DataFrame) -> DataFrame:
-    """(id, n): occurrences in the corpus, from the distinct words, their frequencies and their ids."""
+    """(id, n): occurrences in the corpus, from the distinct pieces, their frequencies and their ids."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(65_536, dtype=np.int64)
         for batch in batches:
@@ -70,10 +70,10 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2
 
     ``id_col`` holds integers. Null or empty text is the end id alone; null ids come first; rows of equal ids all
     stay, next to each other; other columns are not read; an empty table writes a folder without documents. Ids must
-    be below 65,536. Words above a frequency bound are looked up in a broadcast table, all others encoded again.
+    be below 65,536. Pieces above a frequency bound are looked up in a broadcast table, all others encoded again.
     """
     spark = docs.sparkSession
-    words = settled_words(docs, tokenizer_path, text_col)
+    words = settled_pieces(docs, tokenizer_path, text_col)
     counted = {r.id: r.n for r in id_counts(words).collect()}           # at most 65,536 rows, as ids have 16 bits
     total, rows = sum(counted.values()), docs.count()
     counted[end_id] = counted.get(end_id, 0) + rows
@@ -85,34 +85,45 @@ def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2
     cuts = [i / files for i in range(1, files)]
     bounds = docs.agg(F.percentile_approx(id_col, cuts, 100 * files).alias("b")).first().b if cuts and rows else None
     bounds = np.array(sorted(set(bounds or [])), dtype=np.int64)
-    shared = share(frequent(words, frequent_words).select("word", "ids"))
-    end = np.array([end_id], "<u2").tobytes()
+    shared = spark.sparkContext.broadcast(Table(frequent(words, frequent_words), with_ids=True))
+    end = np.array([end_id], "<u2")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared_dict(shared)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                yield pack_part(batch.slice(at, 512), table)
-
-    def pack_part(batch: pa.RecordBatch, table: dict) -> pa.RecordBatch:
-        found = [text.split() for text in text_slices(batch.column(1))]
-        rare = list({w for words in found for w in words if w not in table})
-        others = {w: np.array(ids, "<u2").tobytes() for w, ids in zip(rare, encode_words(tokenizer_path, rare))}
+            for block in pieces_of(batch.column(1)):
+                yield pack_block(batch.column(0).slice(block.lo, block.hi - block.lo), block, shared.value)
+
+    def pack_block(doc_ids: pa.Array, block: Pieces, table: Table) -> pa.RecordBatch:
+        place, found = table.find(block.distinct)
+        begin, size = table.begin()[place], np.where(found, table.sizes[place], 0) if len(table.keys) else place
+        ids, missing = table.ids, np.flatnonzero(~found)
+        if len(missing):
+            own = [np.array(x, "<u2") for x in encode_pieces(tokenizer_path, block.bytes_of(missing).to_pylist())]
+            begin, size = begin.copy(), size.copy()
+            size[missing] = [len(x) for x in own]
+            begin[missing] = np.cumsum(size[missing]) - size[missing] + len(ids)
+            extra = np.concatenate(own)
+        size, begin = size[block.which], begin[block.which]
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        at = np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])
+        if len(missing):
+            held = at < len(ids)
+            found_ids = np.empty(len(at), "<u2")
+            found_ids[held], found_ids[~held] = ids[at[held]], extra[at[~held] - len(ids)]
+        else:
+            found_ids = ids[at]
+        bounds_of = ends[block.words.first].tolist()
         packed = []
-        for words in found:
-            parts = list(map(table.get, words))
-            if None in parts:
-                parts = [others[w] if p is None else p for p, w in zip(parts, words)]
-            ranks = rank_of[np.frombuffer(b"".join(parts) + end, "<u2")]
+        for lo, hi in zip(bounds_of[:-1], bounds_of[1:]):
+            ranks = rank_of[np.concatenate([found_ids[lo:hi], end])]
             packed.append((len(ranks), *encode(ranks)))
-        doc_ids = batch.column(0).to_pylist()
-        place = np.searchsorted(bounds, np.array([0 if x is None else x for x in doc_ids], dtype=np.int64))
-        place[[i for i, x in enumerate(doc_ids) if x is None]] = 0
+        known = doc_ids.cast(pa.int64())
+        part = np.searchsorted(bounds, known.fill_null(0).to_numpy(zero_copy_only=False))
+        part[known.is_null().to_numpy(zero_copy_only=False)] = 0
         n, control, data = zip(*packed)
         return pa.RecordBatch.from_arrays(
-            [pa.array(place, pa.int32()), batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()),
-             pa.array(control, pa.binary()), pa.array(data, pa.binary())],
-            ["part", "doc_id", "n_tokens", "control", "data"])
+            [pa.array(part, pa.int32()), known, pa.array(n, pa.int64()), pa.array(control, pa.binary()),
+             pa.array(data, pa.binary())], ["part", "doc_id", "n_tokens", "control", "data"])
 
     def position(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0

@@ -22,6 +22,7 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _MARK = _SPACE.copy()           # ASCII characters that are neither letters nor digits separate plain words
 _MARK[[i for i in range(128) if not chr(i).isalnum()]] = True
+_LETTER = np.array([i < 128 and chr(i).isalpha() for i in range(256)])
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACES = _random.integers(0, 2**64, 64, dtype=np.uint64) | np.uint64(1)
@@ -60,8 +61,10 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, plain: bool = False) -> Words:
-    """The words of texts that lie one after the other in ``data``; ``plain``: without ASCII punctuation."""
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, plain: bool = False, cut: bool = False) -> Words:
+    """The words of texts that lie one after the other in ``data``; ``plain``: without ASCII punctuation; ``cut``: a
+    full stop or comma that ends a word after an ASCII letter is a word of its own.
+    """
     separates = _MARK if plain else _SPACE
     values = np.where(separates, 0, _BYTE)
     values = values[_LOWER] if lower else values
@@ -74,6 +77,10 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, plain: b
         closes[:-1] = ~inside[1:]
         at = offsets[(offsets > 0) & (offsets < len(data))]
         opens[at], closes[at - 1] = True, True
+    if cut and len(data):
+        last = np.flatnonzero(closes & inside & ~opens)
+        last = last[((data[last] == 46) | (data[last] == 44)) & _LETTER[data[last - 1]]]
+        opens[last], closes[last - 1] = True, True
     starts = np.flatnonzero(opens & inside)
     ends = np.flatnonzero(closes & inside) + 1
     if len(starts):
@@ -87,12 +94,12 @@ def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True, plain: b
     return Words(hashes, starts, ends, np.searchsorted(starts, offsets), data)
 
 
-def blocks(column: pa.Array, lower: bool = True, plain: bool = False) -> Iterator[tuple[int, int, Words]]:
-    """(from row, to row, words) for runs of rows of a string column; null texts have no words."""
+def blocks(column: pa.Array, lower: bool = True, plain: bool = False, cut: bool = False) -> Iterator[tuple[int, int, Words]]:
+    """(from row, to row, words) for runs of rows of a string or binary column; nulls have no words."""
     n = len(column)
     if n == 0:
         return
-    size = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    size = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
     _, offsets, data = column.buffers()
     offsets = np.frombuffer(offsets, dtype=size)[column.offset:column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
@@ -100,10 +107,20 @@ def blocks(column: pa.Array, lower: bool = True, plain: bool = False) -> Iterato
     while row < n:
         to = int(np.searchsorted(offsets, offsets[row] + BLOCK_BYTES, side="right")) - 1
         to = min(n, max(row + 1, to))
-        yield row, to, words_of(data[offsets[row]:offsets[to]], offsets[row:to + 1] - offsets[row], lower, plain)
+        yield row, to, words_of(data[offsets[row]:offsets[to]], offsets[row:to + 1] - offsets[row], lower, plain, cut)
         row = to
 
 
+def word_bytes(words: Words, chosen: np.ndarray, lower: bool) -> pa.Array:
+    """The bytes of some words as an Arrow column."""
+    begin, sizes = words.starts[chosen], (words.ends - words.starts)[chosen]
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    data = words.data[np.repeat(begin - offsets[:-1], sizes) + np.arange(offsets[-1])]
+    data = _LOWER[data].astype(np.uint8) if lower else data
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(chosen), buffers)
+
+
 def shingles(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first): all k-word shingles of each text in order; a text of fewer words is one shingle."""
     h, first = words.hashes, words.first
