@@ -42,7 +42,7 @@ def trades(spark: SparkSession, folder: str) -> DataFrame:
     price = tick()
     return table(spark, folder, "lineitem").select(
         "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), price.alias("tick"),
-        F.struct("l_orderkey", "l_linenumber").alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
+        F.struct("l_orderkey", "l_linenumber", price.alias("tick")).alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
         cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
     ).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
 

@@ -628,12 +628,14 @@ left join roll_m using (scheme_code) left join fund using (scheme_code)"""
 # ---------- finals: portfolio ----------
 
 STEPS["ptxn"] = """
-select row_number() over (order by owner, txn_date, instrument_id, txn_type, quantity nulls last, amount nulls last,
+select row_number() over (order by owner, txn_date, instrument_id, spelt, quantity nulls last, amount nulls last,
          price nulls last)
-         as txn_id, *
+         as txn_id, * exclude (spelt)
 from (select c_name as owner, day as txn_date,
              case when pri in ('1', '2') then case o_orderstatus when 'F' then 'SELL' else 'BUY' end
                   else case o_orderstatus when 'F' then 'REDEEM' when 'O' then 'SIP' else 'LUMPSUM' end end as txn_type,
+             case when pri in ('1', '2') then case o_orderstatus when 'F' then ' sell ' else 'Buy' end
+                  else case o_orderstatus when 'F' then 'redeem' when 'O' then 'sip ' else 'LUMPSUM' end end as spelt,
              case when pri in ('1', '2') then symbol else (o_orderkey % 25 + 1)::varchar end as instrument_id,
              case when pri in ('1', '2') then 'STOCK' else 'MUTUAL_FUND' end as asset_class,
              case when pri in ('1', '2') then (o_orderkey % 50 + 1)::double end as quantity,

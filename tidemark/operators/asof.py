@@ -36,17 +36,19 @@ def forward_product(df: DataFrame, factors: DataFrame, on: list[str], date: str,
                     factor: str, name: str) -> DataFrame:
     """Product of the factors dated strictly after each row, 1 when there are none.
 
-    One pass backwards in time over rows and factors together replaces the date-range join; a row sorts
-    before the factors of its own day, which therefore do not count for it. A key holds its calendar, times
-    the few rows (series) it may have a day.
+    The factors, few per key, become intervals with the product of all from their end on; a row lies in one interval
+    at most, so it is joined as it is, neither shuffled nor sorted where the factors are small enough to broadcast.
     """
-    per_day = factors.groupBy(*on, F.col(factor_date).alias(date)).agg(F.sum(F.log(factor)).alias("_log"))
-    both = df.withColumn("_log", F.lit(0.0)).withColumn("_side", F.lit(0)).unionByName(
-        per_day.withColumn("_side", F.lit(1)), allowMissingColumns=True)
-    w = (Window.partitionBy(*on).orderBy(F.col(date).desc(), F.col("_side"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (both.withColumn(name, F.exp(F.sum("_log").over(w)))
-            .filter(F.col("_side") == 0).drop("_log", "_side"))
+    per_day = factors.groupBy(*on, factor_date).agg(F.sum(F.log(factor)).alias("_log"))
+    w = Window.partitionBy(*on).orderBy(F.col(factor_date).desc())
+    intervals = per_day.select(
+        *[F.col(k).alias(f"_on_{k}") for k in on], F.col(factor_date).alias("_end"),
+        F.lead(factor_date).over(w).alias("_start"),
+        F.exp(F.sum("_log").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).alias("_product"))
+    inside = (df[date] < F.col("_end")) & (F.col("_start").isNull() | (df[date] >= F.col("_start")))
+    for k in on:
+        inside = (df[k] == F.col(f"_on_{k}")) & inside
+    return df.join(intervals, inside, "left").select(*df.columns, F.coalesce("_product", F.lit(1.0)).alias(name))
 
 
 def spread_days(df: DataFrame, date: str, name: str, days: int) -> DataFrame:
