@@ -29,7 +29,8 @@ from tidemark.llm.tokens import Words, blocks, mix
 from tidemark.llm.vocabulary import frequent
 from tidemark.sources.store import settle
 
-FREQUENT_WORDS = 65_536
+FREQUENT_WORDS = 32_768
+LEAF_SHIFT, MID_SHIFT = LEAVES // 2, MIDS // 2      # contexts as signed numbers of 16 and 8 bits
 SWEEPS, BURN_IN = 3, 1
 FLUSH_TOKENS = 1 << 21
 WORK_PAIRS = 1 << 18            # word and context pairs seated at a time
@@ -232,35 +233,47 @@ def seated(model: DataFrame, words: int, sweeps: int = SWEEPS) -> list[Totals]:
 
 
 class Frequent:
-    """Averaged predictive probabilities of the frequent words after every context."""
+    """Averaged predictive probabilities of the frequent words after every context.
+
+    Contexts are held and sent as 16-bit and 8-bit numbers; the sorted keys to look them up are made on the workers.
+    """
 
     def __init__(self, vocabulary: np.ndarray, trained: np.ndarray, rows: pa.Table, kept: list[Totals]) -> None:
         self.vocabulary, self.trained = vocabulary, trained
         self.to_mid = np.stack([t.to_mid() for t in kept])
         self.to_root = np.stack([t.to_root() for t in kept])
         self.new_root = np.array([t.new_root() for t in kept])
-        rows = rows.combine_chunks().sort_by("word")
-        place = np.searchsorted(vocabulary, rows.column("word").to_numpy())
-        flat = {c: rows.column(c).combine_chunks() for c in ("leaf", "leaf_p", "mid", "mid_p", "root_p")}
-        flat = {c: x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for c, x in flat.items()}
+        rows = rows.sort_by("word")
+        self.place = np.searchsorted(vocabulary, rows.column("word").to_numpy())
+
+        def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+            parts = [_flat(chunk) for chunk in rows.column(name).chunks]
+            return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
+
         count = len(kept)
-        leaf, sizes = _flat(flat["leaf"])
-        self.leaf_key = np.repeat(place, sizes) * LEAVES + leaf
-        self.leaf_p = _flat(flat["leaf_p"])[0]
-        mid, sizes = _flat(flat["mid"])
-        self.mid_key = np.repeat(place, sizes) * MIDS + mid
-        self.mid_p = _flat(flat["mid_p"])[0].reshape(-1, count)
+        self.leaf, self.leaf_sizes = flat("leaf")
+        self.leaf_p = flat("leaf_p")[0]
+        self.mid, self.mid_sizes = flat("mid")
+        self.mid_p = flat("mid_p")[0].reshape(-1, count)
         self.root_p = np.tile(self.new_root.astype(np.float32), (len(vocabulary), 1))
-        self.root_p[place] = _flat(flat["root_p"])[0].reshape(-1, count)
+        self.root_p[self.place] = flat("root_p")[0].reshape(-1, count)
+        self.keys: tuple[np.ndarray, np.ndarray] | None = None
+
+    def sorted_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.keys is None:
+            self.keys = (np.repeat(self.place, self.leaf_sizes) * LEAVES + self.leaf + LEAF_SHIFT,
+                         np.repeat(self.place, self.mid_sizes) * MIDS + self.mid + MID_SHIFT)
+        return self.keys
 
     def probability(self, place: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        leaf_keys, mid_keys = self.sorted_keys()
         key, inverse = np.unique(place * LEAVES + leaf, return_inverse=True)
         word, leaf = key >> 16, key & (LEAVES - 1)
-        at, found = look_up(self.leaf_key, key)
+        at, found = look_up(leaf_keys, key)
         out = self.leaf_p[at].astype(np.float64) if len(self.leaf_p) else np.zeros(len(key))
         miss = np.flatnonzero(~found)
         word, leaf = word[miss], leaf[miss]
-        at, found = look_up(self.mid_key, word * MIDS + (leaf >> 8))
+        at, found = look_up(mid_keys, word * MIDS + (leaf >> 8))
         mid = self.to_root[:, leaf >> 8].T * self.root_p[word]
         mid = np.where(found[:, None], self.mid_p[at], mid) if len(self.mid_p) else mid
         out[miss] = (self.to_mid[:, leaf].T * mid).mean(axis=1)
@@ -289,14 +302,15 @@ def _frequent(model: DataFrame, history: list[Totals], vocabulary: np.ndarray, t
                                                     pa.array(values.reshape(-1), kind))
 
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.words.view(np.int64)), lists(block.owner, block.leaves, pa.int32()),
+                    [pa.array(block.words.view(np.int64)), lists(block.owner, block.leaves - LEAF_SHIFT, pa.int16()),
                      lists(block.owner, (leaf / count).astype(np.float32), pa.float32()),
-                     lists(block.mid_owner, block.mids, pa.int32()),
+                     lists(block.mid_owner, block.mids - MID_SHIFT, pa.int8()),
                      lists(block.mid_owner, np.stack(mid, axis=1).astype(np.float32), pa.float32(), count),
                      lists(np.arange(len(block.words)), np.stack(root, axis=1).astype(np.float32), pa.float32(), count)],
                     ["word", "leaf", "leaf_p", "mid", "mid_p", "root_p"])
 
-    fields = "word long, leaf array<int>, leaf_p array<float>, mid array<int>, mid_p array<float>, root_p array<float>"
+    fields = ("word long, leaf array<smallint>, leaf_p array<float>, mid array<tinyint>, mid_p array<float>, "
+              "root_p array<float>")
     rows = model.where("hot").select("word", "leaf", "n", "learn").mapInArrow(predict, fields).toArrow()
     return Frequent(vocabulary, trained, rows, history[BURN_IN + 1:])
 
