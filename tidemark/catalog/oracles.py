@@ -18,8 +18,8 @@ FINAL: dict[str, str] = {}
 
 
 def rnd(x: str, places: int) -> str:
-    """Half up on the first nine decimals, like functions.cleaning.rounded."""
-    return f"cast(round(cast({x} as decimal(38, 9)), {places}) as double)"
+    """Half up on the first nine decimals (from five places on: on five more than are kept), so that noise decides no tie."""
+    return f"cast(round(cast({x} as decimal(38, {9 if places < 5 else places + 5})), {places}) as double)"
 
 
 def txt(x: str, places: int, sign: str = "") -> str:
