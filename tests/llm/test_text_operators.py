@@ -251,7 +251,7 @@ def test_ranks_round_trip(ranks):
 
 # ---------- language model ----------
 
-def test_base_scores_of_messy_rows_are_exact(messy, empty):
+def test_base_scores_of_messy_rows_are_exact(messy, empty, monkeypatch):
     texts = rows_of(messy, "doc_id", "text")
     tokens = [(i, (t or "").encode().lower().split() + [None]) for i, t in texts]
     held = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 == 1 for i, _ in texts]
@@ -261,7 +261,8 @@ def test_base_scores_of_messy_rows_are_exact(messy, empty):
                        sum(math.log10((count[w] + .5) / (total + .5 * (distinct + 1))) for w in x))
                       for (i, x), h in zip(tokens, held))
     results = []
-    for most in (32_768, 20, 0):
+    for most, pairs in ((32_768, 16_000_000), (32_768, 900), (20, 16_000_000), (0, 1)):
+        monkeypatch.setattr(pitman_yor, "MOST_PAIRS", pairs)
         got = sorted((-1 if r.doc_id is None else r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score)
                      for r in pitman_yor.score_texts(messy, frequent_words=most).collect())
         assert [g[:5] for g in got] == [e[:5] for e in expected]

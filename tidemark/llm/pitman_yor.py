@@ -6,7 +6,8 @@ and the restaurants' totals are of fixed size while the seated words grow with t
 
 Work is split by how frequent a word is, which keeps hot words out of the shuffles:
 - the most frequent words (at most ``FREQUENT_WORDS``) are counted by context where texts are read, and their
-  probabilities are broadcast, so most tokens are scored in the pass over the texts;
+  probabilities are broadcast, so most tokens are scored in the pass over the texts; beyond ``MOST_PAIRS`` pairs of word
+  and context the table is cut into parts by the word's hash, with a pass for each, so a broadcast is always bounded;
 - the other words' occurrences are brought together by word once, with the text they came from; their counts,
   seatings and scores are computed there and only sums per text go back.
 
@@ -17,6 +18,7 @@ replayed from them, so a lost executor repeats nothing but its own words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,7 @@ from tidemark.llm.vocabulary import frequent
 from tidemark.sources.store import settle
 
 FREQUENT_WORDS = 32_768
+MOST_PAIRS = 16_000_000         # pairs of frequent word and context in one broadcast: about 100 MB
 LEAF_SHIFT, MID_SHIFT = LEAVES // 2, MIDS // 2      # contexts as signed numbers of 16 and 8 bits
 SWEEPS, BURN_IN = 3, 1
 FLUSH_TOKENS = 1 << 21
@@ -336,8 +339,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     vocabulary, trained = top.column("word").to_numpy(), top.column("trained").to_numpy()
     model = settle(gathered(source, spark.sparkContext.broadcast(vocabulary)), "lm-model")
     history = seated(model, size.v)
-    shared = spark.sparkContext.broadcast((_frequent(model, history, vocabulary, trained), size.n, size.v))
+    pairs = model.where("hot").agg(F.coalesce(F.sum(F.size("leaf")), F.lit(0)).alias("n")).first().n
+    parts = max(1, -(-pairs // MOST_PAIRS))
+    part_of = (mix(vocabulary.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    own_part = model.join(F.broadcast(spark.createDataFrame(                    # as many rows as there are frequent words
+        list(zip(vocabulary.tolist(), part_of.tolist())), "w long, part long")), F.col("word") == F.col("w"))
     past = spark.sparkContext.broadcast(history)
+    total, distinct = size.n, size.v
     kind = source.schema["doc_id"].dataType.simpleString()
     names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
     fields = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double"
@@ -345,14 +353,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def base_log(count: np.ndarray, total: int, distinct: int) -> np.ndarray:
         return np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
 
-    def score_frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, total, distinct = shared.value
+    def score_frequent(batches: Iterator[pa.RecordBatch], shared, first: bool) -> Iterator[pa.RecordBatch]:
+        table = shared.value
         for batch in batches:
             n = batch.num_rows
             size, known, base, score = (np.zeros(n) for _ in range(4))
             for token, context, text in batch_tokens(batch.column(0)):
                 place = places(table.vocabulary, token)
-                size += np.bincount(text, minlength=n)
+                size += np.bincount(text, minlength=n) * first
                 hot = place >= 0
                 place, context, text = place[hot], context[hot], text[hot]
                 count = table.trained[place]
@@ -364,7 +372,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names)
 
     def score_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, total, distinct = shared.value
         history = past.value
         for batch in batches:
             for piece in _pieces(batch):
@@ -383,7 +390,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [pa.array(rows, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
                     ["row", "n_known", "base", "score"])
 
-    by_text = source.select("text", "doc_id", "held_out", "row").mapInArrow(score_frequent, fields)
+    by_text = None
+    for part in range(parts):
+        mine = part_of == part
+        rows = model if parts == 1 else own_part.where(F.col("part") == part)
+        table = spark.sparkContext.broadcast(_frequent(rows, history, vocabulary[mine], trained[mine]))
+        scored = source.select("text", "doc_id", "held_out", "row").mapInArrow(
+            partial(score_frequent, shared=table, first=part == 0), fields)
+        by_text = scored if by_text is None else by_text.unionByName(scored)
     by_word = model.where("not hot").select("word", "leaf", "n", "learn", "row").mapInArrow(
         score_rare, "row long, n_known long, base double, score double")
     both = by_text.unionByName(by_word, allowMissingColumns=True).groupBy("row").agg(
