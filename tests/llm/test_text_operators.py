@@ -171,6 +171,23 @@ def test_index_finds_every_fingerprint_in_the_radius():
             assert item in index.near(near, 20)[1]
 
 
+def test_barely_similar_windows_are_candidates():
+    """Items against copies with replaced words, at similarities between 0.80 and 0.85: all are found."""
+    rng, pairs = random.Random(9), []
+    while len(pairs) < 1500:
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(49, 200))]
+        other = list(words)
+        for i in rng.sample(range(len(words)), max(1, len(words) // rng.choice([50, 70]))):
+            other[i] = f"x{rng.randrange(10**6)}"
+        x, y = (weighted_shingles([w.encode() for w in v]) for v in (words, other))
+        if 0.8 <= (common := sum((x & y).values())) / (sum(x.values()) + sum(y.values()) - common) <= 0.85:
+            pairs.append((" ".join(words), " ".join(other)))
+    index = decontamination.Index(list(range(len(pairs))), [x for x, _ in pairs])
+    found = {(t, i) for at, _, words in decontamination.blocks(decontamination.pa.array([y for _, y in pairs]), plain=True)
+             for t, i, *_ in ((at + t, *rest) for t, *rest in index.hits(words, 0.8))}
+    assert found >= {(i, i) for i in range(len(pairs))}
+
+
 # ---------- languages ----------
 
 def test_languages_of_test_data(workers):

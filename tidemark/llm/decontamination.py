@@ -4,10 +4,10 @@ An item and a window of as many words of a document are compared by the weighted
 shingles (the smaller weights over the larger ones; a shingle weighs the bytes of its words, once per occurrence).
 Words are lower-cased and split at white space and ASCII punctuation, so case and punctuation don't hide a passage.
 
-Candidates come from 64-bit SimHash fingerprints. The 64 bits are cut into five blocks; fingerprints at most 14 bits
-apart differ by at most two bits in some block, so an index of all block values within two bits of an item's finds
-every item within that radius. Windows that share no shingle with any item have similarity 0, so only windows around
-such shingles get a fingerprint.
+Candidates come from 64-bit SimHash fingerprints. The 64 bits are cut into six blocks; fingerprints at most 23 bits
+apart differ by at most three bits in some block, so an index of all block values within three bits of an item's finds
+every item within that radius. A similarity of 0.8 means 9.7 bits on average with a deviation of 2.9. Windows that share
+no shingle with any item have similarity 0, so only windows around such shingles get a fingerprint.
 
 The work is one pass over the documents for each block of items; a block's index is broadcast and its size is bounded
 by the words in a block, so the benchmark may be of any size. Nothing is shuffled, hot passages cannot skew it.
@@ -28,10 +28,11 @@ from tidemark.llm.text import word_count
 from tidemark.llm.tokens import Words, blocks, mix
 
 SHINGLE = 5
-BLOCK_BITS = (13, 13, 13, 13, 12)
-BLOCK_RADIUS = 2
-RADIUS = len(BLOCK_BITS) * (BLOCK_RADIUS + 1) - 1       # 14: all fingerprints within it are found
-BLOCK_WORDS = 200_000                                   # words of items in one broadcast index
+BLOCK_BITS = (11, 11, 11, 11, 10, 10)
+BLOCK_RADIUS = 3
+RADIUS = len(BLOCK_BITS) * (BLOCK_RADIUS + 1) - 1       # 23: all fingerprints within it are found
+BLOCK_WORDS = 50_000                                    # words of items in one broadcast index
+NEAR_PAIRS = 1 << 20                                    # windows and items compared at a time
 FILTER_BITS = 20
 
 _PLACES = np.random.default_rng(2203).integers(0, 2**64, SHINGLE + 1, dtype=np.uint64) | np.uint64(1)
@@ -75,7 +76,7 @@ def similarity(x: dict[int, int], y: dict[int, int]) -> float:
 
 
 def block_values(prints: np.ndarray) -> np.ndarray:
-    """Positions in the index of the five blocks of each fingerprint."""
+    """Positions in the index of the blocks of each fingerprint."""
     out, low = [], 0
     for i, bits in enumerate(BLOCK_BITS):
         out.append((prints >> np.uint64(low) & np.uint64((1 << bits) - 1)).astype(np.int64) + (i << max(BLOCK_BITS)))
@@ -117,29 +118,36 @@ class Index:
         self._table()
 
     def _table(self) -> None:
-        pairs = []
+        """Items by block value and length: ``keys`` is sorted and ``members`` has the item of each key."""
+        keys, members = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int32)]
         if len(self.prints):
-            values = block_values(self.prints)
+            values, place = block_values(self.prints), np.searchsorted(self.sizes, self.lengths)
             for b, bits in enumerate(BLOCK_BITS):
                 flips = [sum(1 << x for x in c) for r in range(BLOCK_RADIUS + 1) for c in combinations(range(bits), r)]
                 for flip in flips:
-                    pairs.append(np.stack([values[:, b] ^ flip, np.arange(len(self.prints))], axis=1))
-        joined = np.concatenate(pairs) if pairs else np.zeros((0, 2), dtype=np.int64)
-        joined = joined[np.argsort(joined[:, 0], kind="stable")]
-        self.members = joined[:, 1].astype(np.int32)
-        self.begins = np.searchsorted(joined[:, 0], np.arange((len(BLOCK_BITS) << max(BLOCK_BITS)) + 1))
+                    keys.append((values[:, b] ^ flip) * len(self.sizes) + place)
+                    members.append(np.arange(len(self.prints), dtype=np.int32))
+        keys, members = np.concatenate(keys), np.concatenate(members)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.members = keys[order], members[order]
 
     def near(self, prints: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """(window, item) for all items of ``length`` words within RADIUS bits of the windows' fingerprints."""
-        keys = block_values(prints).reshape(-1)
-        sizes = self.begins[keys + 1] - self.begins[keys]
-        window = np.repeat(np.arange(len(keys)) // len(BLOCK_BITS), sizes)
-        at = np.arange(len(window)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(self.begins[keys], sizes)
-        item = self.members[at]
-        right = self.lengths[item] == length
-        window, item = window[right], item[right]
-        close = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
-        both = np.unique(np.stack([window[close], item[close]], axis=1), axis=0)
+        keys = block_values(prints) * len(self.sizes) + np.searchsorted(self.sizes, length)
+        begins, ends = np.searchsorted(self.keys, keys), np.searchsorted(self.keys, keys, side="right")
+        upto, row, found = np.cumsum((ends - begins).sum(axis=1)), 0, [np.zeros((0, 2), dtype=np.int64)]
+        while row < len(prints):
+            done = upto[row - 1] if row else 0
+            to = max(row + 1, int(np.searchsorted(upto, done + NEAR_PAIRS, side="right")))
+            begin, sizes = begins[row:to].reshape(-1), (ends - begins)[row:to].reshape(-1)
+            window = np.repeat(np.arange(len(sizes)) // len(BLOCK_BITS) + row, sizes)
+            at = np.arange(len(window)) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes)
+            item = self.members[at]
+            close = np.bitwise_count(prints[window] ^ self.prints[item]) <= RADIUS
+            pair = np.unique(window[close] * len(self.prints) + item[close])
+            found.append(np.stack([pair // len(self.prints), pair % len(self.prints)], axis=1))
+            row = to
+        both = np.concatenate(found)
         return both[:, 0], both[:, 1]
 
     def hits(self, words: Words, least: float) -> Iterator[tuple[int, int, int, int, float]]:
