@@ -300,6 +300,18 @@ def test_model_beats_base_on_held_out_texts(workers):
     assert sum(r.score for r in rows) > 0.95 * sum(r.base_score for r in rows)
 
 
+def test_contexts_are_whole_words_before(workers):
+    """What follows 'nation', 'station' and two words is told apart, though their last three bytes are equal."""
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 1][:6]
+    pairs = ["nation alpha", "station beta", "red car stops", "old car starts"]
+    rows = [(i, pairs[i % 4]) for i in learned] + list(zip(held, [
+        "nation alpha", "nation beta", "station beta", "station alpha", "red car stops", "red car starts"]))
+    got = {r.doc_id: r.score for r in pitman_yor.score_texts(workers.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for right, wrong in zip(held[::2], held[1::2]):
+        assert got[right] > got[wrong] + 1
+
+
 def test_probabilities_add_up_to_one():
     from tidemark.llm import seating
     rng = np.random.default_rng(4)

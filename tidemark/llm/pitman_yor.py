@@ -1,77 +1,66 @@
 """Language-model scores under a hierarchical Pitman-Yor model of words, trained and applied over whole tables.
 
-Tokens are the lower-cased words of a text and one end. A token's context is the end of the word before: its last
-byte picks a restaurant of 256 under the root, what precedes that byte one of 256 under it, so contexts share parents
-and the restaurants' totals are of fixed size while the seated words grow with the corpus (see ``seating``).
-
-Work is split by how frequent a word is, which keeps hot words out of the shuffles:
-- the most frequent words (at most ``FREQUENT_WORDS``) are counted by context where texts are read, and their
-  probabilities are broadcast, so most tokens are scored in the pass over the texts; beyond ``MOST_PAIRS`` pairs of word
-  and context the table is cut into parts by the word's hash, with a pass for each, so a broadcast is always bounded;
-- the other words' occurrences are brought together by word once, with the text they came from; their counts,
-  seatings and scores are computed there and only sums per text go back.
-
-A sweep is one pass over the words that returns the restaurants' totals; a word's own seating is not stored but
-replayed from them, so a lost executor repeats nothing but its own words.
+Tokens are the lower-cased words of a text and one end. Every run of two words before a token is a restaurant of its own,
+whose parent is the one word before, whose parent is the root; a text starts after ``START``. Restaurants grow with the
+corpus, so all of them are tables:
+- ``leaves``: word and two-word context with customers and tables, also those that occur in held-out texts only (none);
+- ``mids``: word and one-word context, whose customers are the tables of the leaves under it;
+- ``roots``: words, whose customers are the tables of the mids.
+A restaurant's totals are sums over these by context, joined back to them for the next sweep. A word's tables in a
+restaurant depend on the other words only through the totals and its probability in the parent, so given those (from the
+sweep before) all rows are seated independently (see ``seating.seat``).
+
+Pairs are counted in tasks before they are shuffled. What is joined by one word is split by how frequent the word is:
+the totals and probabilities of at most ``FREQUENT_WORDS`` words are broadcast, which keeps them out of the shuffles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import held_out
-from tidemark.llm.seating import LEAVES, MIDS, Blocks, Totals, first_totals, look_up, next_totals
+from tidemark.llm.seating import STRENGTHS, look_up, seat
 from tidemark.llm.tokens import Words, blocks, mix
 from tidemark.llm.vocabulary import frequent
 from tidemark.sources.store import settle
 
 FREQUENT_WORDS = 32_768
-MOST_PAIRS = 16_000_000         # pairs of frequent word and context in one broadcast: about 100 MB
-LEAF_SHIFT, MID_SHIFT = LEAVES // 2, MIDS // 2      # contexts as signed numbers of 16 and 8 bits
+MOST_PAIRS = 1 << 20            # occurrences of word and context that a task holds before it sends their counts on
 SWEEPS, BURN_IN = 3, 1
 FLUSH_TOKENS = 1 << 21
-WORK_PAIRS = 1 << 18            # word and context pairs seated at a time
-END = np.uint64(0x9D2C5680A7F1E3B5)
+START, END = np.uint64(0), np.uint64(0x9D2C5680A7F1E3B5)
+_BEFORE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
 
-_LOWER = np.arange(256)
-_LOWER[65:91] += 32
 
-
-def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(token, context, text) of a block of texts: words with an end after each text."""
-    data, sizes = _LOWER[words.data] if len(words.data) else np.zeros(1, np.int64), words.ends - words.starts
-    last = data[words.ends - 1]
-    second = np.where(sizes > 1, data[np.maximum(words.ends - 2, 0)], 0)
-    third = np.where(sizes > 2, data[np.maximum(words.ends - 3, 0)], 0)
-    before = (second * 256 + third).astype(np.uint64) + np.uint64(7)
-    code = last * 256 + (mix(before) >> np.uint64(56)).astype(np.int64)
+def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(token, word before, hash of the two words before, text) of a block of texts: words with an end after each text."""
     counts = np.diff(words.first)
-    total = len(words.hashes) + len(counts)
+    total, number = len(words.hashes) + len(counts), np.arange(len(counts))
     is_word = np.ones(total, dtype=bool)
-    is_word[words.first[1:] + np.arange(len(counts))] = False
-    token, context = np.empty(total, dtype=np.uint64), np.zeros(total, dtype=np.int64)
+    is_word[words.first[1:] + number] = False
+    begins = words.first[:-1] + number
+    token = np.empty(total, dtype=np.uint64)
     token[is_word], token[~is_word] = words.hashes, END
-    context[np.flatnonzero(is_word) + 1] = code         # a text's first token has context 0
-    return token.view(np.int64), context, np.repeat(np.arange(len(counts)), counts + 1)
 
+    def shifted(x: np.ndarray) -> np.ndarray:
+        out = np.empty(total, dtype=np.uint64)
+        out[1:], out[begins] = x[:-1], START
+        return out
 
-def batch_tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    for lo, _, words in blocks(column):
-        token, context, text = tokens(words)
-        yield token, context, text + lo
+    one = shifted(token)
+    two = mix(one * _BEFORE[0] + mix(shifted(one) * _BEFORE[1] + np.uint64(1)))
+    return token.view(np.int64), one.view(np.int64), two.view(np.int64), np.repeat(number, counts + 1)
 
 
-def places(vocabulary: np.ndarray, token: np.ndarray) -> np.ndarray:
-    """Places of tokens in a sorted vocabulary, -1 for others; each distinct token is looked up once."""
-    distinct, inverse = np.unique(token, return_inverse=True)
-    place, found = look_up(vocabulary, distinct)
-    return np.where(found, place, -1)[inverse]
+def batch_tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    for lo, _, words in blocks(column):
+        token, one, two, text = tokens(words)
+        yield token, one, two, text + lo
 
 
 def count_words(source: DataFrame) -> DataFrame:
@@ -92,7 +81,7 @@ def count_words(source: DataFrame) -> DataFrame:
 
         for batch in batches:
             learn = ~batch.column(1).to_numpy(zero_copy_only=False)
-            for token, _, text in batch_tokens(batch.column(0)):
+            for token, _, _, text in batch_tokens(batch.column(0)):
                 held.append((token, learn[text]))
                 waiting += len(token)
                 if waiting > FLUSH_TOKENS:
@@ -104,218 +93,148 @@ def count_words(source: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("f").alias("freq"), F.sum("t").alias("trained"))
 
 
-LISTS = "word long, hot boolean, leaf array<int>, n array<int>, learn array<boolean>, row array<long>"
+def counted_rows(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Distinct keys, and the sums of the values over each."""
+    if not len(keys[0]):
+        return keys, values
+    order = np.lexsort(keys)
+    keys = [k[order] for k in keys]
+    opens = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+    return [k[opens] for k in keys], [np.add.reduceat(v[order], opens) for v in values]
 
 
 def gathered(source: DataFrame, shared) -> DataFrame:
-    """A row per word: its contexts with counts; for words that are not frequent by text, with the text's row."""
+    """The leaves: (word, one, two, hot, hot_one, n): every word after every context and how often it is learned there.
+
+    ``hot`` and ``hot_one`` say whether the word and the word before are frequent.
+    """
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
 
-        def rows(word, leaf, n, learn, row) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.int64()), pa.array(leaf, pa.int32()), pa.array(n, pa.int32()),
-                 pa.array(learn, pa.bool_()), pa.array(row, pa.int64())], ["word", "leaf", "n", "learn", "row"])
-
         def flush() -> pa.RecordBatch:
-            pair, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.int64), return_counts=True)
+            joined = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.int64) for _ in range(4)]
+            (word, two, one), (n,) = counted_rows([joined[0], joined[2], joined[1]], [joined[3]])
             held.clear()
-            return rows(vocabulary[pair >> 16], pair & (LEAVES - 1), n, np.ones(len(n), bool), np.full(len(n), -1))
+            hot, hot_one = look_up(vocabulary, word)[1], look_up(vocabulary, one)[1] | (one == START.view(np.int64))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(word), pa.array(one), pa.array(two), pa.array(hot), pa.array(hot_one), pa.array(n, pa.int64())],
+                ["word", "one", "two", "hot", "hot_one", "n"])
 
         for batch in batches:
             learn = ~batch.column(1).to_numpy(zero_copy_only=False)
-            ids = batch.column(2).to_numpy(zero_copy_only=False)
-            for token, context, text in batch_tokens(batch.column(0)):
-                place = places(vocabulary, token)
-                hot = (place >= 0) & learn[text]
-                held.append(place[hot] << 16 | context[hot])
-                waiting += int(hot.sum())
-                rare = place < 0
-                yield rows(token[rare], context[rare], np.ones(int(rare.sum()), np.int32), learn[text[rare]], ids[text[rare]])
-                if waiting > FLUSH_TOKENS:
+            for token, one, two, text in batch_tokens(batch.column(0)):
+                held.append((token, one, two, learn[text].astype(np.int64)))
+                waiting += len(token)
+                if waiting > MOST_PAIRS:
                     yield flush()
                     waiting = 0
         yield flush()
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["word", "leaf", "n", "learn", "row"]
-        rest = [np.zeros(0, t) for t in (np.int64, np.int32, np.int32, bool, np.int64)]
-
-        def out(columns: list[np.ndarray]) -> pa.RecordBatch:
-            word, leaf, n, learn, row = columns
-            opens = np.ones(len(word), dtype=bool)
-            opens[1:] = (word[1:] != word[:-1]) | (leaf[1:] != leaf[:-1]) | (row[1:] != row[:-1])
-            at = np.flatnonzero(opens)
-            n = np.add.reduceat(n, at) if len(at) else n
-            word, leaf, learn, row = word[at], leaf[at], learn[at], row[at]
-            begin = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]])) if len(word) else np.zeros(0, np.int64)
-            offsets = pa.array(np.append(begin, len(word)), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x, t)) for x, t in
-                     ((leaf, pa.int32()), (n, pa.int32()), (learn, pa.bool_()), (row, pa.int64()))]
-            return pa.RecordBatch.from_arrays([pa.array(word[begin], pa.int64()), pa.array(row[begin] < 0), *lists],
-                                              ["word", "hot", "leaf", "n", "learn", "row"])
+    rows = source.select("text", "held_out").mapInArrow(
+        emit, "word long, one long, two long, hot boolean, hot_one boolean, n long")
+    return rows.groupBy("word", "two").agg(F.first("one").alias("one"), F.first("hot").alias("hot"),
+                                           F.first("hot_one").alias("hot_one"), F.sum("n").alias("n"))
+
+
+def by_one_word(rows: DataFrame, table: DataFrame, key: str, hot: str) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row for each word in ``key``; frequent words by broadcast."""
+    often = rows.where(hot).join(F.broadcast(table.where(hot).drop(hot)), key)
+    return often.unionByName(rows.where(~F.col(hot)).join(table.where(~F.col(hot)).drop(hot), key))
+
+
+def with_tables(rows: DataFrame, customers: str, weight: Column, discount: float, context: str | None, sweep: int) -> DataFrame:
+    """``rows`` with ``t``: the tables of each row's customers, where a new table weighs ``weight``."""
+    names, level = rows.columns, 1 + ("one", "two").index(context) if context else 0
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
 
-        for batch in batches:
-            now = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(len(names))]
-            joined = [np.concatenate(x) for x in zip(rest, now)]
-            same = joined[0] == joined[0][-1:] if len(joined[0]) else np.zeros(0, bool)
-            cut = len(same) - int(same.sum())           # the last word may go on in the next batch
-            if cut:
-                yield out([x[:cut] for x in joined])
-            rest = [x[cut:] for x in joined]
-        yield out(rest)
-
-    spread = source.select("text", "held_out", "row").mapInArrow(
-        emit, "word long, leaf int, n int, learn boolean, row long")
-    return (spread.repartition("word").sortWithinPartitions("word", "leaf", "row").mapInArrow(pack, LISTS))
-
-
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.diff(column.offsets.to_numpy())
-    return column.flatten().to_numpy(zero_copy_only=False), sizes
-
-
-def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with a bounded number of list entries, or single rows."""
-    ends = np.cumsum(np.diff(batch.column("leaf").offsets.to_numpy()))
-    row = 0
-    while row < batch.num_rows:
-        done = ends[row - 1] if row else 0
-        to = max(row + 1, int(np.searchsorted(ends, done + WORK_PAIRS, side="right")))
-        yield batch.slice(row, to - row)
-        row = to
-
-
-def _trained(piece: pa.RecordBatch) -> tuple[Blocks, np.ndarray]:
-    """The restaurants of the words of some rows, and each row's place among them (-1: never trained)."""
-    leaf, sizes = _flat(piece.column("leaf"))
-    n, _ = _flat(piece.column("n"))
-    learn, _ = _flat(piece.column("learn"))
-    owner = np.repeat(np.arange(len(sizes)), sizes)[learn]
-    key = owner * LEAVES + leaf[learn]
-    opens = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    customers = np.add.reduceat(n[learn], opens) if len(opens) else np.zeros(0, np.int64)
-    rows, groups = np.unique(key[opens] // LEAVES, return_counts=True)
-    place = np.full(len(sizes), -1)
-    place[rows] = np.arange(len(rows))
-    words = piece.column("word").to_numpy()[rows]
-    return Blocks(words, groups, key[opens] % LEAVES, customers), place
-
-
-def _summed(model: DataFrame, vector) -> np.ndarray:
-    """The sum over all words of a vector of fixed length that ``vector`` makes of some words' restaurants."""
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: np.ndarray | None = None
         for batch in batches:
-            for piece in _pieces(batch):
-                own = vector(_trained(piece)[0])
-                total = own if total is None else total + own
-        total = np.zeros(0, np.int64) if total is None else total
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], ["i", "v"])
-
-    rows = model.select("word", "leaf", "n", "learn").mapInArrow(add, "i long, v long")
-    table = rows.groupBy("i").agg(F.sum("v").alias("v")).toArrow()          # fixed length, whatever the corpus
-    out = np.zeros(LEAVES + 2 * MIDS + 8, dtype=np.int64)
-    out[table.column("i").to_numpy()] = table.column("v").to_numpy()
-    return out
-
-
-def seated(model: DataFrame, words: int, sweeps: int = SWEEPS) -> list[Totals]:
-    """The restaurants' totals before the first and after each sweep."""
-    customers = _summed(model, lambda b: np.bincount(b.leaves, b.customers, minlength=LEAVES).astype(np.int64))
-    history = [first_totals(words, customers[:LEAVES].astype(np.float64))]
-    for _ in range(sweeps):
-        def one(block: Blocks) -> np.ndarray:
-            block.replay(history)
-            return block.counts()
-        history.append(next_totals(history[-1], _summed(model, one)))
-    return history
-
-
-class Frequent:
-    """Averaged predictive probabilities of the frequent words after every context.
-
-    Contexts are held and sent as 16-bit and 8-bit numbers; the sorted keys to look them up are made on the workers.
-    """
+            word = batch.column("word").to_numpy().view(np.uint64)
+            place = batch.column(context).to_numpy().view(np.uint64) if context else np.zeros(len(word), np.uint64)
+            t = seat(batch.column(customers).to_numpy(), batch.column("weight").to_numpy(), discount,
+                     mix(word + mix(place + np.uint64(level << 20))), sweep)
+            kept = [batch.column(x) for x in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(t.astype(np.int64))], [*names, "t"])
+
+    return rows.select("*", weight.cast("double").alias("weight")).mapInArrow(add, schema + ", t long")
+
+
+def discount_of(rows: DataFrame, customers: str) -> float:
+    """The discount estimated from the groups of one and of two customers."""
+    found = rows.agg(*(F.coalesce(F.sum((F.col(customers) == i).cast("long")), F.lit(0)).alias(x)
+                       for i, x in ((1, "one"), (2, "two")))).first()
+    return float(np.clip(found.one / (found.one + 2 * found.two), 0.05, 0.95)) if found.one + found.two else 0.5
+
+
+def totals(rows: DataFrame, context: str, customers: str, *flags: str) -> DataFrame:
+    """(context, flags, c, k): customers and tables of every restaurant."""
+    return rows.groupBy(context, *flags).agg(F.sum(customers).alias("c"), F.sum("t").alias("k"))
+
+
+def predicted(customers: str, discount: float, strength: float, parent: str) -> Column:
+    """The probability of a row's word in its restaurant (t tables of c and k in all) over that in the parent."""
+    own = F.greatest(F.col(customers) - discount * F.col("t"), F.lit(0.0))
+    return (own + (strength + discount * F.col("k")) * F.col(parent)) / (strength + F.col("c"))
 
-    def __init__(self, vocabulary: np.ndarray, trained: np.ndarray, rows: pa.Table, kept: list[Totals]) -> None:
-        self.vocabulary, self.trained = vocabulary, trained
-        self.to_mid = np.stack([t.to_mid() for t in kept])
-        self.to_root = np.stack([t.to_root() for t in kept])
-        self.new_root = np.array([t.new_root() for t in kept])
-        rows = rows.sort_by("word")
-        self.place = np.searchsorted(vocabulary, rows.column("word").to_numpy())
-
-        def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
-            parts = [_flat(chunk) for chunk in rows.column(name).chunks]
-            return tuple(np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0), np.zeros(0, np.int64))
-
-        count = len(kept)
-        self.leaf, self.leaf_sizes = flat("leaf")
-        self.leaf_p = flat("leaf_p")[0]
-        self.mid, self.mid_sizes = flat("mid")
-        self.mid_p = flat("mid_p")[0].reshape(-1, count)
-        self.root_p = np.tile(self.new_root.astype(np.float32), (len(vocabulary), 1))
-        self.root_p[self.place] = flat("root_p")[0].reshape(-1, count)
-        self.keys: tuple[np.ndarray, np.ndarray] | None = None
-
-    def sorted_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.keys is None:
-            self.keys = (np.repeat(self.place, self.leaf_sizes) * LEAVES + self.leaf + LEAF_SHIFT,
-                         np.repeat(self.place, self.mid_sizes) * MIDS + self.mid + MID_SHIFT)
-        return self.keys
-
-    def probability(self, place: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        leaf_keys, mid_keys = self.sorted_keys()
-        key, inverse = np.unique(place * LEAVES + leaf, return_inverse=True)
-        word, leaf = key >> 16, key & (LEAVES - 1)
-        at, found = look_up(leaf_keys, key)
-        out = self.leaf_p[at].astype(np.float64) if len(self.leaf_p) else np.zeros(len(key))
-        miss = np.flatnonzero(~found)
-        word, leaf = word[miss], leaf[miss]
-        at, found = look_up(mid_keys, word * MIDS + (leaf >> 8))
-        mid = self.to_root[:, leaf >> 8].T * self.root_p[word]
-        mid = np.where(found[:, None], self.mid_p[at], mid) if len(self.mid_p) else mid
-        out[miss] = (self.to_mid[:, leaf].T * mid).mean(axis=1)
-        return out[inverse]
-
-
-def _frequent(model: DataFrame, history: list[Totals], vocabulary: np.ndarray, trained: np.ndarray) -> Frequent:
-    shared = model.sparkSession.sparkContext.broadcast(history)
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def sampled(leaves: DataFrame, words: DataFrame, learned: int, distinct: int, sweeps: int = SWEEPS,
+            burn_in: int = BURN_IN) -> DataFrame:
+    """(word, two, trained, p): each leaf's probability, averaged over the seatings after the first ``burn_in`` sweeps.
+
+    ``words`` has (word, hot, trained); ``learned`` and ``distinct`` are the sums of ``trained`` and of its signs.
+    """
+    s0, s1, s2 = STRENGTHS
+    # before the first sweep: one table in two holds one customer, everywhere
+    d0 = d1 = d2 = 0.5
+    root_tables = learned / 8
+    roots = words.select("word", "hot", "trained", (F.col("trained") / max(learned, 1)).alias("p0"))
+    over = settle(leaves.groupBy("two").agg(F.sum("n").alias("c"), (F.sum("n") / 2).alias("k")), "lm-two")
+    ones = settle(leaves.groupBy("one", "hot_one").agg((F.sum("n") / 2).alias("c"), (F.sum("n") / 4).alias("k")), "lm-one")
+    pairs = leaves.select("word", "one", "hot").distinct()
+    mids = settle(by_one_word(pairs, roots, "word", "hot").select("word", "one", "trained", F.col("p0").alias("p1")),
+                  "lm-mids")
+    first_d2 = discount_of(leaves, "n")
+    leaves = leaves.select("*", F.lit(0).cast("long").alias("t"), F.lit(0.0).alias("sum"))
+    for number in range(sweeps + 1):
+        rows = leaves.join(over, "two").join(mids, ["word", "one"])
+        if number > burn_in:
+            rows = rows.withColumn("sum", F.col("sum") + predicted("n", d2, s2, "p1"))
+        if number == sweeps:
+            return rows.select("word", "two", "trained", (F.col("sum") / (sweeps - burn_in)).alias("p"))
+        weight = (s2 + d2 * F.col("k")) * F.col("p1")
+        kept = rows.select("word", "one", "two", "hot", "hot_one", "n", "sum", weight.alias("w"))
+        leaves = settle(with_tables(kept, "n", F.col("w"), d2, "two", number).drop("w"), "lm-leaves")
+        over = settle(totals(leaves, "two", "n"), "lm-two")
+        seats = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"))
+        seats = by_one_word(by_one_word(seats, ones, "one", "hot_one"), roots, "word", "hot")
+        kept = seats.select("word", "one", "hot", "hot_one", "m", "trained", ((s1 + d1 * F.col("k")) * F.col("p0")).alias("w"))
+        seats = settle(with_tables(kept, "m", F.col("w"), d1, "one", number).drop("w"), "lm-seats")
+        ones = settle(totals(seats, "one", "m", "hot_one"), "lm-one")
+        tables = seats.groupBy("word", "hot").agg(F.first("trained").alias("trained"), F.sum("t").alias("r"))
+        weight = F.lit((s0 + d0 * root_tables) / (distinct + 1))
+        tables = settle(with_tables(tables, "r", weight, d0, None, number), "lm-roots")
+        d0, d1, d2 = discount_of(tables, "r"), discount_of(seats, "m"), first_d2
+        all_of = tables.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("k")).first()
+        root_tables = all_of.k
+        base = F.lit((s0 + d0 * all_of.k) / (s0 + all_of.c) / (distinct + 1))
+        own = F.greatest(F.col("r") - d0 * F.col("t"), F.lit(0.0)) / (s0 + all_of.c)
+        roots = settle(tables.select("word", "hot", "trained", (own + base).alias("p0")), "lm-words")
+        rows = by_one_word(by_one_word(seats.drop("trained"), ones, "one", "hot_one"), roots, "word", "hot")
+        mids = settle(rows.select("word", "one", "trained", predicted("m", d1, s1, "p0").alias("p1")), "lm-mids")
+
+
+def occurrences(source: DataFrame) -> DataFrame:
+    """(word, two, row, n): how often each word follows each context in each text."""
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in _pieces(batch):
-                block, _ = _trained(piece)
-                if not len(block.words):
-                    continue
-                leaf, mid, root = 0.0, [], []
-                for _ in block.samples(shared.value, BURN_IN):
-                    leaf = leaf + block.leaf
-                    mid.append(block.mid)
-                    root.append(block.root)
-                count = len(mid)
-
-                def lists(owner, values, kind, width=1):
-                    sizes = np.bincount(owner, minlength=len(block.words)) * width
-                    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
-                                                    pa.array(values.reshape(-1), kind))
-
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(block.words.view(np.int64)), lists(block.owner, block.leaves - LEAF_SHIFT, pa.int16()),
-                     lists(block.owner, (leaf / count).astype(np.float32), pa.float32()),
-                     lists(block.mid_owner, block.mids - MID_SHIFT, pa.int8()),
-                     lists(block.mid_owner, np.stack(mid, axis=1).astype(np.float32), pa.float32(), count),
-                     lists(np.arange(len(block.words)), np.stack(root, axis=1).astype(np.float32), pa.float32(), count)],
-                    ["word", "leaf", "leaf_p", "mid", "mid_p", "root_p"])
-
-    fields = ("word long, leaf array<smallint>, leaf_p array<float>, mid array<tinyint>, mid_p array<float>, "
-              "root_p array<float>")
-    rows = model.where("hot").select("word", "leaf", "n", "learn").mapInArrow(predict, fields).toArrow()
-    return Frequent(vocabulary, trained, rows, history[BURN_IN + 1:])
+            ids = batch.column(1).to_numpy()
+            for token, _, two, text in batch_tokens(batch.column(0)):
+                (word, two, row), (n,) = counted_rows([token, two, ids[text]], [np.ones(len(token), np.int64)])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (word, two, row, n)], ["word", "two", "row", "n"])
+
+    return source.select("text", "row").mapInArrow(emit, "word long, two long, row long, n long")
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remainder: int = 1,
@@ -332,75 +251,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          held_out(id_col, remainder).alias("held_out"), F.monotonically_increasing_id().alias("row"))
-    words = settle(count_words(source), "lm-words")
+    words = settle(count_words(source), "lm-counts")
     size = words.agg(F.coalesce(F.sum("trained"), F.lit(0)).alias("n"),
                      F.coalesce(F.sum(F.signum("trained")), F.lit(0)).cast("long").alias("v")).first()
-    top = frequent(words, frequent_words).toArrow().sort_by("word")             # at most frequent_words rows
-    vocabulary, trained = top.column("word").to_numpy(), top.column("trained").to_numpy()
-    model = settle(gathered(source, spark.sparkContext.broadcast(vocabulary)), "lm-model")
-    history = seated(model, size.v)
-    pairs = model.where("hot").agg(F.coalesce(F.sum(F.size("leaf")), F.lit(0)).alias("n")).first().n
-    parts = max(1, -(-pairs // MOST_PAIRS))
-    part_of = (mix(vocabulary.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-    own_part = model.join(F.broadcast(spark.createDataFrame(                    # as many rows as there are frequent words
-        list(zip(vocabulary.tolist(), part_of.tolist())), "w long, part long")), F.col("word") == F.col("w"))
-    past = spark.sparkContext.broadcast(history)
-    total, distinct = size.n, size.v
-    kind = source.schema["doc_id"].dataType.simpleString()
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    fields = f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double"
-
-    def base_log(count: np.ndarray, total: int, distinct: int) -> np.ndarray:
-        return np.log10((count + 0.5) / (total + 0.5 * (distinct + 1)))
-
-    def score_frequent(batches: Iterator[pa.RecordBatch], shared, first: bool) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        for batch in batches:
-            n = batch.num_rows
-            size, known, base, score = (np.zeros(n) for _ in range(4))
-            for token, context, text in batch_tokens(batch.column(0)):
-                place = places(table.vocabulary, token)
-                size += np.bincount(text, minlength=n) * first
-                hot = place >= 0
-                place, context, text = place[hot], context[hot], text[hot]
-                count = table.trained[place]
-                known += np.bincount(text, count > 0, minlength=n)
-                base += np.bincount(text, base_log(count, total, distinct), minlength=n)
-                score += np.bincount(text, np.log10(table.probability(place, context)), minlength=n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(3), batch.column(1), batch.column(2), pa.array(size.astype(np.int64)),
-                 pa.array(known.astype(np.int64)), pa.array(base), pa.array(score)], names)
-
-    def score_rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        history = past.value
-        for batch in batches:
-            for piece in _pieces(batch):
-                block, place = _trained(piece)
-                leaf, sizes = _flat(piece.column("leaf"))
-                n, row = _flat(piece.column("n"))[0], _flat(piece.column("row"))[0]
-                own = np.repeat(place, sizes)
-                mean, count = 0.0, 0
-                for totals in block.samples(history, BURN_IN):
-                    mean, count = mean + block.probability(own, leaf.astype(np.int64), totals), count + 1
-                seen = np.where(own >= 0, block.total[np.maximum(own, 0)] if len(block.total) else 0, 0)
-                rows, at = np.unique(row, return_inverse=True)
-                sums = [np.bincount(at, x * n, minlength=len(rows)) for x in
-                        (seen > 0, base_log(seen, total, distinct), np.log10(mean / count))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows, pa.int64()), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])],
-                    ["row", "n_known", "base", "score"])
-
-    by_text = None
-    for part in range(parts):
-        mine = part_of == part
-        rows = model if parts == 1 else own_part.where(F.col("part") == part)
-        table = spark.sparkContext.broadcast(_frequent(rows, history, vocabulary[mine], trained[mine]))
-        scored = source.select("text", "doc_id", "held_out", "row").mapInArrow(
-            partial(score_frequent, shared=table, first=part == 0), fields)
-        by_text = scored if by_text is None else by_text.unionByName(scored)
-    by_word = model.where("not hot").select("word", "leaf", "n", "learn", "row").mapInArrow(
-        score_rare, "row long, n_known long, base double, score double")
-    both = by_text.unionByName(by_word, allowMissingColumns=True).groupBy("row").agg(
+    often = frequent(words, frequent_words).select("word").toArrow()            # at most frequent_words rows
+    vocabulary = np.sort(often.column("word").to_numpy())
+    hot = spark.createDataFrame([(w,) for w in vocabulary.tolist()], "word long").withColumn("yes", F.lit(True))
+    flagged = words.join(F.broadcast(hot), "word", "left").select("word", F.col("yes").isNotNull().alias("hot"), "trained")
+    leaves = settle(gathered(source, spark.sparkContext.broadcast(vocabulary)), "lm-pairs")
+    model = settle(sampled(leaves, settle(flagged, "lm-flagged"), size.n, size.v), "lm-model")
+    scored = occurrences(source).join(model, ["word", "two"])
+    base = F.log10((F.col("trained") + 0.5) / (size.n + 0.5 * (size.v + 1)))
+    by_text = scored.select("row", F.col("n").alias("n_tokens"), (F.col("n") * F.signum("trained").cast("long")).alias("n_known"),
+                            (F.col("n") * base).alias("base"), (F.col("n") * F.log10("p")).alias("score"))
+    both = source.select("row", "doc_id", "held_out").unionByName(by_text, allowMissingColumns=True).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(size.n).cast("long").alias("train_tokens"),

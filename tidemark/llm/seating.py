@@ -5,6 +5,9 @@ for what precedes that byte. Each table of a restaurant is a customer of its par
 depend on the other words only through the restaurant's totals, so given those (from the sweep before) the words are
 seated independently, each block of customers of one word anew: a Gibbs sweep over word blocks. Random numbers are
 hashes of word, restaurant, customer and sweep, so a sweep is the same wherever it runs and however often.
+
+``pitman_yor`` uses ``seat`` and ``STRENGTHS`` over tables that grow with the corpus; ``Blocks`` and ``Totals`` are the same
+steps over this fixed tree in one process, and only tests use them.
 """
 
 from __future__ import annotations
