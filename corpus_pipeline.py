@@ -18,7 +18,7 @@ LEAST_COSINE = 0.03     # one standard deviation of the cosine of unrelated vect
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or like no language learned from the labelled documents, go."""
+    """Documents without letters go, and those of some words that are like no language learned from the labelled ones."""
     ship(spark)
     return language_id.recognised(docs, language_id.learn(docs), LEAST_COSINE)
 

@@ -211,6 +211,17 @@ def test_languages_of_messy_rows(messy, empty):
     assert kept.columns == messy.columns and kept.count() == messy.count() - sum(letterless.values())
 
 
+def test_short_clean_texts_are_not_rejected(workers):
+    from corpus_pipeline import LEAST_COSINE
+    docs = workers.read.parquet(f"{FOLDER}/documents.parquet")
+    words = sorted({w for (t,) in rows_of(docs, "text") for w in re.findall(r"[^\W\d_]+", t or "")})
+    singles = workers.createDataFrame([(i, w) for i, w in enumerate(words)], "doc_id long, text string")
+    assert language_id.recognised(singles, language_id.learn(docs), LEAST_COSINE).count() == len(words)
+    nothing = language_id.Guesser([], np.zeros((0, language_id.DIMENSIONS)))
+    some = workers.createDataFrame([(1, "some words"), (2, "12 !"), (3, None)], "doc_id long, text string")
+    assert rows_of(language_id.recognised(some, nothing, LEAST_COSINE), "doc_id") == [(1,)]
+
+
 def test_profiles_are_bound_and_bundled_letters():
     text = "Ab ab"
     roll = np.roll

@@ -20,6 +20,7 @@ NGRAM = 3
 UNKNOWN = "und"
 BLOCK_TEXTS, BLOCK_CHARS = 128, 1 << 19
 NGRAMS_AT_ONCE = 4096
+ENOUGH_NGRAMS = 64          # about ten words
 MOST_LETTERS = 4096         # letter vectors a worker holds
 
 _letters: dict[int, np.ndarray] = {}
@@ -154,10 +155,15 @@ class Guesser:
 
     def guess(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Languages and cosines. Ties go to the first language by name; negative cosines count as 0."""
+        return self.measured(texts)[:2]
+
+    def measured(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Languages, cosines and numbers of n-grams."""
         langs: list[str] = []
-        scores = []
+        scores, sizes = [], []
         for _, block in text_blocks(texts):
             n = len(block.sizes)
+            sizes.append(block.sizes)
             if not self.names:
                 langs += [UNKNOWN] * n
                 scores.append(np.zeros(n))
@@ -171,7 +177,7 @@ class Guesser:
             langs += [self.names[b] if k else UNKNOWN for b, k in zip(best, known)]
             score = np.clip(cosine[np.arange(n), best].astype(np.float64), 0, 1)
             scores.append(np.round(np.where(known, score, 0), 6))
-        return langs, np.concatenate(scores) if scores else np.zeros(0)
+        return langs, *(np.concatenate(x) if x else np.zeros(0) for x in (scores, sizes))
 
 
 def identify(docs: DataFrame, guesser: Guesser, id_col: str = "doc_id", text_col: str = "text",
@@ -195,15 +201,19 @@ def identify(docs: DataFrame, guesser: Guesser, id_col: str = "doc_id", text_col
 
 
 def recognised(docs: DataFrame, guesser: Guesser, least: float, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is known with a cosine of ``least`` or more."""
+    """The rows of ``docs``, with all their columns, that have letters and are like a language learned.
+
+    A cosine under ``least`` rejects texts of ``ENOUGH_NGRAMS`` or more: that of a shorter text can be small by chance.
+    When nothing was learned, all texts with letters stay.
+    """
     at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(guesser)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = shared.value.guess(batch.column(at).to_pylist())
-            good = [x != UNKNOWN and s >= least for x, s in zip(langs, scores)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+            _, scores, sizes = shared.value.measured(batch.column(at).to_pylist())
+            unlike = (scores < least) & (sizes >= ENOUGH_NGRAMS) & bool(shared.value.names)
+            yield batch.filter(pa.array((sizes > 0) & ~unlike, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
 
