@@ -161,6 +161,16 @@ def test_rules_on_messy_rows_equal_sql(messy, empty):
     assert quality_rules.judge(empty).collect() == []
 
 
+def test_windows_of_a_long_text_keep_their_whole_hash(spark, monkeypatch):
+    """Two windows whose hashes have the same 43 low bits, in 1.1 million words; then windows that all have one hash."""
+    one, two = ([f"{x}{i}" for x in "abc"] for i in (174210, 379122))
+    text = " ".join([*one, *map(str, range(1_100_000)), *two])
+    assert quality_rules.judge(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().n_repeat_words == 0
+    monkeypatch.setattr(quality_rules, "WINDOW_HASH", "0L")
+    rows = spark.createDataFrame([(1, "a b c d a b c"), (2, "a b c d e f g")], "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_repeat_words) for r in quality_rules.judge(rows).collect()) == [(1, 6), (2, 0)]
+
+
 def test_rules_are_a_table(spark):
     df = spark.createDataFrame([(1, "the cat sat on the mat " * 2 + " ".join("word" + "abcdefghij"[i % 10] * (i // 10 + 1) for i in range(60)))], "doc_id long, text string")
     assert quality_rules.judge(df).first().kept

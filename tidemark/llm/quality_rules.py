@@ -12,6 +12,7 @@ from tidemark.llm.text import LOWER, SPACE, UPPER, word_count, words
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 EDGE = ".,;:!?()\"'"
+WINDOW_HASH = "xxhash64(w.a, w.b, w.c)"
 
 # Frequent function words of the four languages.
 STOP_WORDS = {
@@ -53,18 +54,16 @@ DEFAULT_RULES = (
 def repeat_words(prefix: str = "") -> list[tuple[str, str]]:
     """Steps (name, SQL) that count the words in three-word windows found twice or more, from words and n_words.
 
-    Windows are hashed, the position is packed into the low bits, and equal windows meet as neighbours of the sorted
-    array: n log n in the length of a text. The position takes as many bits as the length needs, the hash the rest.
+    Windows are sorted as structs of their full 64-bit hash, their words and their position, so equal windows are
+    neighbours, whatever the length of the text, and windows of equal hash are told apart by the words themselves.
     """
+    same = "coalesce(x.h = get(sorted, {0}).h and x.a = get(sorted, {0}).a and x.b = get(sorted, {0}).b and x.c = get(sorted, {0}).c, false)"
     return [
-        ("bits", "cast(ceil(log2(n_words + 2)) as int)"),
-        ("packed", "sort_array(if(n_words < 3, cast(array() as array<bigint>), transform(sequence(0L, n_words - 3),"
-                   " i -> shiftleft(xxhash64(get(words, cast(i as int)), get(words, cast(i + 1 as int)),"
-                   " get(words, cast(i + 2 as int))), bits) | i)))"),
-        ("hits", "sort_array(transform(filter(packed, (x, j) ->"
-                 " coalesce(shiftright(x, bits) = shiftright(get(packed, j - 1), bits), false) or"
-                 " coalesce(shiftright(x, bits) = shiftright(get(packed, j + 1), bits), false)),"
-                 " x -> x & (shiftleft(1L, bits) - 1)))"),
+        ("sorted", "sort_array(if(n_words < 3, cast(array() as array<struct<h: bigint, a: string, b: string, c: string, i: bigint>>),"
+                   " transform(transform(sequence(0L, n_words - 3), i -> struct(get(words, cast(i as int)) as a,"
+                   " get(words, cast(i + 1 as int)) as b, get(words, cast(i + 2 as int)) as c, i as i)),"
+                   f" w -> struct({WINDOW_HASH} as h, w.a as a, w.b as b, w.c as c, w.i as i))))"),
+        ("hits", f"sort_array(transform(filter(sorted, (x, j) -> {same.format('j - 1')} or {same.format('j + 1')}), x -> x.i))"),
         ("n_repeat_words", "aggregate(transform(hits, (p, j) -> least(3L, coalesce(get(hits, j + 1) - p, 3L))),"
                            " 0L, (a, x) -> a + x)"),
     ]
@@ -88,7 +87,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                    F.size(F.filter("words", lambda w: plain(w).isin(stops))).cast("long").alias("n_stop_words"))
     for name, sql in repeat_words():
         df = df.withColumn(name, F.expr(sql))
-    return df.drop("words", "bits", "packed", "hits")
+    return df.drop("words", "sorted", "hits")
 
 
 def ratio(part: str, whole: str) -> Column:
