@@ -9,7 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import decontamination, language_id, line_dedup, merkle, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
+from tidemark.llm.text import LOWER, UPPER
 from tidemark.llm.workers import ship
 from tidemark.session import checkpoint_dir
 
@@ -65,8 +66,23 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    plain = [docs[c] for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 3 == 0      # null ids are left alone
+    leaves = docs.select("doc_id", "lang", merkle.leaf_digest(*plain, docs["text"]).alias("digest"), F.when(
+        tampered, merkle.leaf_digest(*plain, F.translate(docs["text"], UPPER, LOWER))).alias("tampered"))
+    manifest = merkle.build(leaves, tree="lang", order=["doc_id"])
+    root = F.lit(manifest.root)
+    return merkle.proofs(manifest).select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", root.alias("root"), merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "digest"), F.col("path")).alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality,
+                                  op12_merkle, pipeline)}

@@ -118,4 +118,66 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from x
 """
 
-ORACLES = {"op6_mix": OP6, "op9_line_dedup": OP9, "op10_quality": OP10}
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII string, bit by bit (reflected polynomial 0xEDB88320)."""
+    step = "list_reduce(list_concat([xor(s, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda t, z: xor(t >> 1, (t & 1) * 3988292384))"
+    return (f"xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split({text}, ''), "
+            f"lambda c: ascii(c)::bigint)), lambda s, b: {step}), 4294967295)")
+
+
+def _field(column: str) -> str:
+    return f"case when {column} is null then '-' else strlen({column}::varchar)::varchar || ':' || {column}::varchar end"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels 1, 2, ... over {name}0 (tree, rank, total, digest) and the runs {name}r0, ... of eight digests in order."""
+    out = []
+    for k in range(levels):
+        out.append(f"""
+{name}r{k} as (select tree, total, rank // 8 as rank, list(digest order by rank) as run from {name}{k}
+  where (total + {8 ** k - 1}) // {8 ** k} > 1 group by all),
+{name}{k + 1} as (select tree, rank, total, sha256(array_to_string(run, '')) as digest from {name}r{k})""")
+    tops = " union all ".join(f"select tree, digest from {name}{k} where (total + {8 ** k - 1}) // {8 ** k} = 1"
+                              for k in range(levels + 1))
+    return ",".join(out) + f",\n{name}_top as ({tops})"
+
+
+def _climb(name: str, source: str, levels: int) -> str:
+    """{name}p{k}: rows of ``source`` (tree, rank, f, proof) with f folded and proof grown over k levels."""
+    out, last = [], source
+    for k in range(levels):
+        at = f"(x.rank // {8 ** k} % 8)::int"
+        left, right = f"array_to_string(r.run[1:{at}], '')", f"array_to_string(r.run[{at} + 2:], '')"
+        out.append(f"""
+{name}p{k + 1} as (select x.* replace (
+    case when r.run is null then x.f else sha256({left} || x.f || {right}) end as f,
+    case when r.run is null then x.proof else x.proof || {left} || {right} end as proof)
+  from {last} x left join {name}r{k} r on r.tree is not distinct from x.tree and r.rank = x.rank // {8 ** (k + 1)})""")
+        last = f"{name}p{k + 1}"
+    return ",".join(out)
+
+
+_PLAIN = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+OP12 = f"""
+with d as (
+  select doc_id, lang as tree, sha256({_PLAIN} || {_field('text')}) as leaf,
+         case when {_crc32('doc_id::varchar')} % 3 = 0
+              then sha256({_PLAIN} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) end as tampered
+  from documents),
+l as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as rank, count(*) over (partition by tree) as total
+  from d),
+a0 as (select tree, rank, total, leaf as digest from l),{_tree('a', 8)},
+b0 as (
+  select 0 as tree, row_number() over (order by tree nulls first) - 1 as rank, count(*) over () as total, tree as part, digest
+  from a_top),{_tree('b', 5)},
+w as (
+  select l.doc_id, l.leaf, l.tree, l.rank, coalesce(l.tampered, l.leaf) as f, '' as proof, b0.digest as subroot, b0.rank as part_rank
+  from l join b0 on b0.part is not distinct from l.tree),{_climb('a', 'w', 8)},
+u as (select doc_id, leaf, subroot, 0 as tree, part_rank as rank, f, proof from ap8),{_climb('b', 'u', 5)}
+select doc_id, leaf, subroot, b_top.digest as root, sha256(proof) as proof_sha256, f as folded_root, f = b_top.digest as verified
+from bp5, b_top
+"""
+
+ORACLES = {"op6_mix": OP6, "op9_line_dedup": OP9, "op10_quality": OP10, "op12_merkle": OP12}
