@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, merkle, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import conversations, decontamination, language_id, line_dedup, merkle, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
 from tidemark.llm.text import LOWER, UPPER
 from tidemark.llm.workers import ship
 from tidemark.session import checkpoint_dir
@@ -66,6 +66,24 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "n_lines", "n_stop_words", "n_letters", "broken_rules")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    space = F.lit(" ")
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")))
+    text = F.coalesce("text", space)
+    given = rows.select("conv_id", "turn", F.coalesce("role", space).alias("role"), text.alias("text"),
+                        (F.crc32(key.cast("binary")) % 20).alias("way"))
+    damaged = given.where("way <> 0").select(
+        "conv_id", "turn", F.when(F.col("way") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(F.col("way") == 1, F.lit("")).when(F.col("way") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.when(F.col("way") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
+    found = conversations.repair(damaged).withColumnRenamed("conv_id", "found")
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    return rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found")), "left").select(
+        "conv_id", *zero.values(), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     plain = [docs[c] for c in ("doc_id", "source", "lang", "n_chars")]
@@ -85,4 +103,4 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality,
-                                  op12_merkle, pipeline)}
+                                   op11_conversations, op12_merkle, pipeline)}

@@ -180,4 +180,74 @@ select doc_id, leaf, subroot, b_top.digest as root, sha256(proof) as proof_sha25
 from bp5, b_top
 """
 
-ORACLES = {"op6_mix": OP6, "op9_line_dedup": OP9, "op10_quality": OP10, "op12_merkle": OP12}
+
+def _moves11(state: int) -> str:
+    """Ways to take one message from a state, as SQL rows (state, audit, cost, to, needed initial, or * for any)."""
+    after, rows, at = {0: 2, 1: 2, 2: 3, 3: 2}, [], state
+    for n in range(3):
+        rows.append((state, "I" * n + "D", 2 * n + 3, at, "d"))
+        rows.append((state, "I" * n + "R", 2 * n + 2, after[at], "r"))
+        rows += [(state, "I" * n + "K", 2 * n, to, initial) for initial, to in {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}[at].items()]
+        at = after[at]
+    return ", ".join(f"({s}, '{a}', {c}, {t}, '{i}')" for s, a, c, t, i in rows)
+
+
+OP11 = rf"""
+with recursive g as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         {_crc32("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as way
+  from conversations),
+d as (
+  select conv_id, turn, case when way = 4 then 'user' else role end as role,
+         case when way = 1 then '' when way = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from g, (values (0), (1)) c(copy) where way <> 0 and (copy = 0 or way = 3)),
+o as (
+  select *, sha256(role || chr(0) || text) as sign,
+         row_number() over (partition by conv_id order by turn nulls first, sha256(role || chr(0) || text)) as n,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final
+  from d),
+f as (
+  select *, final = '' as blank, final <> '' and row_number() over (partition by conv_id, sign order by n) > 1 as duplicate,
+         coalesce(left(role, 1), '') as initial
+  from o),
+r as (
+  select *, not blank and not duplicate and final not in ('.', '!', '?') as truncated,
+         lag(initial) over (partition by conv_id order by n) || initial as pair,
+         count(*) over (partition by conv_id) as length
+  from f),
+m as (select * from (values {", ".join(_moves11(s) for s in range(4))}) t(state, edits, cost, after, needs)),
+w as (
+  select distinct conv_id, length, 0::bigint as n, 0 as state, 0::bigint as cost, '' as audit, [''] as said from r
+  union all
+  select conv_id, length, n, after, min(cost), min_by(audit, (cost, audit)), min_by(said, (cost, audit))
+  from (
+    select w.conv_id, w.length, r.n, m.after, w.audit || m.edits as audit,
+           w.cost + m.cost + case when r.truncated and not suffix(m.edits, 'D') then 1 else 0 end as cost,
+           list_concat(w.said, list_transform(range(len(m.edits)), lambda i:
+             case when m.edits[i + 1] = 'D' then null
+                  when m.edits[i + 1] = 'K' then r.role || ':' || r.text
+                  else case when (case when w.state = 2 then 1 else 0 end + i) % 2 = 0 then 'user:' else 'assistant:' end
+                       || case when m.edits[i + 1] = 'R' then r.text else '' end end)) as said
+    from w join r on r.conv_id is not distinct from w.conv_id and r.n = w.n + 1
+    join m on m.state = w.state and (m.needs = 'd' or not (r.blank or r.duplicate) and (m.needs = 'r' or m.needs = r.initial)))
+  group by conv_id, length, n, after),
+e as (
+  select conv_id, w.cost + x.cost as cost, audit || x.edits as audit, list_concat(w.said, x.said) as said
+  from w join (values (0, '', 0, []::varchar[]), (1, 'II', 4, ['user:', 'assistant:']), (2, 'I', 2, ['assistant:']), (3, '', 0, []::varchar[]))
+    x(state, edits, cost, said) on x.state = w.state
+  where n = length),
+b as (select conv_id, min(cost) as cost, min_by(audit, (cost, audit)) as audit, min_by(said, (cost, audit)) as said from e group by conv_id),
+s as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, sum(blank::bigint) as blank,
+         sum(duplicate::bigint) as duplicate, sum(truncated::bigint) as truncated,
+         sum(coalesce(pair not in ('su', 'ua', 'au'), false)::bigint) as illegal
+  from r group by conv_id)
+select c.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(b.cost, 0)::bigint as cost,
+       coalesce(audit, '') as audit,
+       sha256(coalesce(array_to_string(list_filter(said[2:], lambda x: x is not null), chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c
+left join s on s.conv_id is not distinct from c.conv_id left join b on b.conv_id is not distinct from c.conv_id
+"""
+
+ORACLES = {"op6_mix": OP6, "op9_line_dedup": OP9, "op10_quality": OP10, "op11_conversations": OP11, "op12_merkle": OP12}
