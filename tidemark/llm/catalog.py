@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import conversations, decontamination, language_id, line_dedup, merkle, mixing, near_dedup, pitman_yor, quality_rules, sharding, token_counts, token_file
+from tidemark.llm import conversations, decontamination, language_id, line_dedup, merkle, mixing, near_dedup, packing, pitman_yor, quality_rules, sharding, token_counts, token_file
 from tidemark.llm.text import LOWER, UPPER
 from tidemark.llm.workers import ship
 from tidemark.session import checkpoint_dir
@@ -98,9 +98,13 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
         "verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
 QUERIES = {f.__name__: f for f in (op1_pitman_yor, op2_shards, op3_decontamination, op4_language_id, op5_near_dedup, op6_mix, op7_token_counts, op8_token_file, op9_line_dedup, op10_quality,
-                                   op11_conversations, op12_merkle, pipeline)}
+                                   op11_conversations, op12_merkle, op13_packing, pipeline)}

@@ -59,7 +59,8 @@ class Pieces(NamedTuple):
         return word_bytes(self.words, self.first[chosen], self.lower)
 
 
-def pieces_of(column: pa.Array) -> Iterator[Pieces]:
+def piece_blocks(column: pa.Array) -> Iterator[tuple[int, int, Words, bool]]:
+    """(lo, hi, pieces, lower) for runs of rows; where texts have special strings, ``lower`` is false and each is alone."""
     for lo, hi, words in blocks(column, lower=True, cut=True):
         lower = words.data.tobytes().find(SPECIAL) < 0
         if not lower:
@@ -67,8 +68,13 @@ def pieces_of(column: pa.Array) -> Iterator[Pieces]:
             words = next(blocks(part, lower=False, cut=True))[2] if hi - lo == 1 else words
             if hi - lo > 1:         # row by row, so that only texts with special strings keep their case
                 for i in range(hi - lo):
-                    yield from (p._replace(lo=lo + i, hi=lo + i + 1) for p in pieces_of(part.slice(i, 1)))
+                    yield from ((lo + i, lo + i + 1, w, kept) for _, _, w, kept in piece_blocks(part.slice(i, 1)))
                 continue
+        yield lo, hi, words, lower
+
+
+def pieces_of(column: pa.Array) -> Iterator[Pieces]:
+    for lo, hi, words, lower in piece_blocks(column):
         distinct, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
         yield Pieces(lo, hi, words, distinct.view(np.int64), first, which, lower)
 
