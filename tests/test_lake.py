@@ -68,15 +68,29 @@ def test_upsert_reads_only_the_touched_partitions(spark, tmp_path):
     assert store.upsert(update, path, ["d", "k"], "d").count() == 31
 
 
-def test_a_broken_overwrite_leaves_a_whole_table(spark, tmp_path):
+def test_a_broken_rebuild_leaves_a_whole_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    store.overwrite(spark.createDataFrame([("old",)], "v string"), path)
-    spark.createDataFrame([("new",)], "v string").write.parquet(f"{path}.new")
-    assert rows_of(store.read_table(spark, path), "v") == [("old",)]       # broken off before the old one went
-    (tmp_path / "t").rename(tmp_path / "gone")
-    assert rows_of(store.read_table(spark, path), "v") == [("new",)]       # broken off after
-    store.overwrite(spark.createDataFrame([("newer",)], "v string"), path)
-    assert rows_of(store.read_table(spark, path), "v") == [("newer",)]
+    store.rebuild(spark.createDataFrame([("old",)], "v string"), path)
+    (tmp_path / "t" / "version=2" / "_temporary").mkdir(parents=True)
+    assert rows_of(store.read_table(spark, path), "v") == [("old",)]        # what a run wrote that was broken off
+    for value in ("new", "newer"):
+        store.rebuild(spark.createDataFrame([(value,)], "v string"), path)
+        assert rows_of(store.read_table(spark, path), "v") == [(value,)]
+    store.rebuild(spark.createDataFrame([], "v string"), path)
+    assert store.read_table(spark, path, spark.createDataFrame([], "v string").schema).count() == 0
+
+
+def test_keys_that_move_to_another_partition(spark, tmp_path):
+    path, columns = str(tmp_path / "t"), "month date, k string, v int, _landed date"
+    store.upsert(spark.createDataFrame([(D1, "a", 1, D1), (D2, "b", 1, D1)], columns), path, ["k"], "month", "_landed")
+    moved = spark.createDataFrame([(D2, "a", 2, D2)], columns)
+    late = spark.createDataFrame([(D1, "a", 0, D1 - dt.timedelta(days=9)), (D1, "b", 5, D1)], columns)
+    for _ in range(2):
+        got = store.upsert(moved, path, ["k"], "month", "_landed")
+        assert rows_of(got, "month", "k", "v") == [(D2, "a", 2), (D2, "b", 1)]
+    for _ in range(2):      # the first row is older than what is stored, the second as old
+        got = store.upsert(late, path, ["k"], "month", "_landed")
+        assert rows_of(got, "month", "k", "v") == [(D1, "b", 5), (D2, "a", 2)]
 
 
 def test_a_hot_day_is_split_and_small_days_share_files(spark, tmp_path):

@@ -49,13 +49,15 @@ def rounded(x: Column | str, places: int = 0) -> Column:
     Sums taken in another order differ in their last bits, and a value on a tie must not round differently from run to
     run. A hair is 5e-10 (from five places on, 5e-6 of the last one), or the value's last two bits where those are
     more, so it never decides for digits that a double tells apart from a tie. Plain double arithmetic, several times
-    cheaper than rounding through decimals; x stands in it only twice, as plans nest it.
+    cheaper than rounding through decimals. Above 2^43 units of the last place two bits would reach into the digits;
+    there the shortest digits of the double are rounded as a decimal.
     """
     x = F.col(x).cast("double") if isinstance(x, str) else x.cast("double")
     scale = float(10 ** places)
     hair = 5e-10 if places < 5 else 5e-6 / scale
-    # adding zero turns -0.0 into 0.0
-    return F.rint((x + F.signum(x) * hair) * (scale * (1 + 2.0 ** -51))) / scale + 0.0
+    quick = F.rint((x + F.signum(x) * hair) * (scale * (1 + 2.0 ** -51))) / scale + 0.0     # adding zero turns -0.0 into 0.0
+    digits = F.coalesce(F.round(x.cast("string").try_cast("decimal(38, 12)"), places).cast("double"), x)
+    return F.when(F.abs(x) > 2.0 ** 43 / scale, digits).otherwise(quick)
 
 
 def ratio(a: Column, b: Column) -> Column:

@@ -42,12 +42,6 @@ def landed(spark: SparkSession, root: str, source: str, reader, days: Days = Non
     return df if days is None else df.filter(F.col("dt").isin(*days))
 
 
-def newest_only(df: DataFrame) -> DataFrame:
-    """Rows of the newest `dt=` folder."""
-    newest = df.agg(F.max("dt").alias("dt"))
-    return df.join(F.broadcast(newest), "dt", "left_semi")
-
-
 def _csv(reader, path: str) -> DataFrame:
     return (reader.option("header", True).option("ignoreLeadingWhiteSpace", True)
             .option("ignoreTrailingWhiteSpace", True).option("recursiveFileLookup", False).csv(path))
@@ -149,11 +143,25 @@ def fund_nav(spark: SparkSession, root: str, days: Days = None) -> DataFrame | N
     return None if lines is None else parse_nav_lines(lines)
 
 
-def fund_history(spark: SparkSession, root: str) -> DataFrame | None:
-    raw = landed(spark, root, "mfapi_history", _json(HISTORY_SCHEMA))
-    if raw is None:
+def newest_folder(spark: SparkSession, root: str, source: str) -> dt.date | None:
+    """The newest day for which a source has a folder, from the names of its files."""
+    found = landed(spark, root, source, lambda reader, path: reader.format("binaryFile").load(path))
+    return None if found is None else found.agg(F.max("dt").alias("dt")).first().dt
+
+
+def history_documents(spark: SparkSession, root: str) -> DataFrame | None:
+    """(file, meta, data, broken) of every document in the newest folder; ``broken`` holds a text that is no document."""
+    newest = newest_folder(spark, root, "mfapi_history")
+    if newest is None:
         return None
-    rows = newest_only(raw).select("meta", F.explode("data").alias("d"))
+    reader = spark.read.schema(f"{HISTORY_SCHEMA}, broken string").option("multiLine", True).option(
+        "columnNameOfCorruptRecord", "broken").option("pathGlobFilter", "*.json")
+    return reader.json(f"{root}/mfapi_history/dt={newest}").withColumn("file", F.col("_metadata.file_name"))
+
+
+def history_rows(documents: DataFrame) -> DataFrame:
+    """NAV rows of the documents that can be read."""
+    rows = documents.where("broken is null").select("meta", F.explode("data").alias("d"))
     return rows.select(
         F.col("meta.scheme_code").try_cast("long").alias("scheme_code"), day(F.col("d.date"), "dd-MM-yyyy").alias("nav_date"),
         F.col("d.nav").try_cast("double").alias("nav"), F.col("meta.scheme_name").alias("scheme_name"),
@@ -161,6 +169,11 @@ def fund_history(spark: SparkSession, root: str) -> DataFrame | None:
     ).filter(F.col("nav_date").isNotNull() & (F.col("nav") > 0))
 
 
+def fund_history(spark: SparkSession, root: str) -> DataFrame | None:
+    documents = history_documents(spark, root)
+    return None if documents is None else history_rows(documents)
+
+
 def watched(df: DataFrame, watchlist: DataFrame) -> DataFrame:
     """Only the schemes on the watch list (scheme_code, label)."""
     return df.join(watchlist.select("scheme_code").distinct(), "scheme_code", "left_semi")
@@ -168,9 +181,9 @@ def watched(df: DataFrame, watchlist: DataFrame) -> DataFrame:
 
 # ---------- reference data ----------
 
-def stock_master(spark: SparkSession, root: str) -> DataFrame | None:
-    """Every snapshot of the equity list, with the newest industry map."""
-    raw = landed(spark, root, "nse_equity_list", _csv)
+def stock_master(spark: SparkSession, root: str, days: Days = None) -> DataFrame | None:
+    """The chosen snapshots of the equity list, with the newest industry map."""
+    raw = landed(spark, root, "nse_equity_list", _csv, days)
     if raw is None:
         return None
     raw = require_columns(raw, fixed.MASTER_COLUMNS, "nse_equity_list")
@@ -179,27 +192,28 @@ def stock_master(spark: SparkSession, root: str) -> DataFrame | None:
         F.trim(F.col("`NAME OF COMPANY`")).alias("company_name"), code("SERIES").alias("series"),
         day("DATE OF LISTING").alias("listing_date"), F.trim(F.col("`ISIN NUMBER`")).alias("isin"),
         number("FACE VALUE").alias("face_value"))
-    industries = landed(spark, root, "nse_nifty500", _csv)
-    if industries is None:
+    newest = newest_folder(spark, root, "nse_nifty500")
+    if newest is None:
         return listed.withColumns({"industry": F.lit(None).cast("string"), "in_nifty500": F.lit(False)})
-    mapped = newest_only(require_columns(industries, fixed.INDUSTRY_COLUMNS, "nse_nifty500")).groupBy(
+    industries = _csv(spark.read, f"{root}/nse_nifty500/dt={newest}")
+    mapped = require_columns(industries, fixed.INDUSTRY_COLUMNS, "nse_nifty500").groupBy(
         code("Symbol").alias("symbol")).agg(F.min(F.trim("Industry")).alias("industry"))
     return listed.join(mapped.withColumn("in_nifty500", F.lit(True)), "symbol", "left").withColumn(
         "in_nifty500", F.coalesce("in_nifty500", F.lit(False))).select(*listed.columns, "industry", "in_nifty500")
 
 
-def corporate_actions(spark: SparkSession, root: str) -> DataFrame | None:
-    raw = landed(spark, root, "nse_corp_actions", _json(ACTION_SCHEMA))
+def corporate_actions(spark: SparkSession, root: str, days: Days = None) -> DataFrame | None:
+    raw = landed(spark, root, "nse_corp_actions", _json(ACTION_SCHEMA), days)
     if raw is None:
         return None
     return raw.withColumn("_action", corporate_action(F.col("subject"))).select(
         code("symbol").alias("symbol"), "series", day("exDate").alias("ex_date"), "_action.action_type",
-        "_action.factor", F.trim("subject").alias("subject"),
+        "_action.factor", F.trim("subject").alias("subject"), F.col("dt").alias("_landed"),
     ).filter(F.col("ex_date").isNotNull() & F.col("action_type").isNotNull())
 
 
-def announcements(spark: SparkSession, root: str) -> DataFrame | None:
-    raw = landed(spark, root, "nse_announcements", _json(FILING_SCHEMA))
+def announcements(spark: SparkSession, root: str, days: Days = None) -> DataFrame | None:
+    raw = landed(spark, root, "nse_announcements", _json(FILING_SCHEMA), days)
     if raw is None:
         return None
 
@@ -210,7 +224,7 @@ def announcements(spark: SparkSession, root: str) -> DataFrame | None:
         "seq_id", code("symbol").alias("symbol"),
         F.try_to_timestamp("sort_date", F.lit("yyyy-MM-dd HH:mm:ss")).alias("announced_at"),
         said("desc").alias("category"), said("attchmntText").alias("summary"),
-        F.col("attchmntFile").alias("attachment_url"),
+        F.col("attchmntFile").alias("attachment_url"), F.col("dt").alias("_landed"),
     ).filter(F.col("announced_at").isNotNull() & (F.col("seq_id") != "") & (F.col("symbol") != ""))
 
 
@@ -267,6 +281,9 @@ def present_days(spark: SparkSession, root: str, source: str = "nse_bhavcopy") -
 
 
 def unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, the same one on every run: the smallest in the order of all other columns."""
-    others = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
-    return first_per(df, keys, *others) if others else df.distinct()
+    """One row per key, the same one on every run: of the newest folder where ``_landed`` tells it, then the smallest
+    in the order of all other columns.
+    """
+    newest = [F.col(c).desc_nulls_last() for c in df.columns if c == "_landed" and c not in keys]
+    others = [F.col(c).asc_nulls_last() for c in df.columns if c not in [*keys, "_landed"]]
+    return first_per(df, keys, *newest, *others) if newest or others else df.distinct()

@@ -1,7 +1,8 @@
-"""Table sinks on plain Parquet: settle, overwrite, upsert, append, replace a day."""
+"""Table sinks on plain Parquet, all through Spark's own writers: settle, overwrite, rebuild, upsert, append."""
 
 from __future__ import annotations
 
+import re
 import uuid
 from functools import reduce
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.operators.windows import first_per
 from tidemark.session import checkpoint_dir
 
 
@@ -25,16 +27,22 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _newest(spark: SparkSession, path: str) -> int | None:
+    """The number of the last rebuild of a table; None for a table that is not kept in versions."""
+    files = spark.read.format("binaryFile").load(path).inputFiles()         # names only, nothing is read
+    return max((int(found[1]) for f in files if (found := re.search(r"/version=(\d+)/", f))), default=None)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
-    """The stored table, or None when it was never written.
+    """The stored table (of a rebuilt one its newest version), or None when it was never written.
 
     A table written without rows has no file that tells its schema; with ``schema`` it is read as empty, else as
-    never written. A copy that a broken overwrite left complete beside the table is put in place first.
+    never written.
     """
-    _finish_swap(spark, path)
     try:
+        version = _newest(spark, path)
         reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
+        return reader.parquet(path if version is None else f"{path}/version={version}")
     except AnalysisException as e:
         if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -46,28 +54,20 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Updates replace target rows of the same keys; all others stay. Applying it twice changes nothing."""
+def merged(target: DataFrame, updates: DataFrame, keys: list[str], newest: str | None = None) -> DataFrame:
+    """Updates replace target rows of the same keys; all others stay. Applying it twice changes nothing.
+
+    With ``newest`` a row gives way only to one that has at least its value there, so a late batch of old rows
+    replaces no newer ones.
+    """
+    if newest:
+        both = target.withColumn("_new", F.lit(False)).unionByName(updates.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+        return first_per(both, keys, F.col(newest).desc_nulls_last(), F.col("_new").desc()).drop("_new")
     replaced = updates.select(*[F.col(k) for k in keys]).distinct()
     kept = target.join(replaced, same_keys(target, replaced, keys), "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def _files(spark: SparkSession, path: str):
-    """(Hadoop file system, path) of a table's folder."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _finish_swap(spark: SparkSession, path: str) -> None:
-    """Move a complete new copy to the table's place, if the table has gone and the copy has not arrived."""
-    system, table = _files(spark, path)
-    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.new/_SUCCESS")
-    if not system.exists(table) and system.exists(done):
-        system.rename(fresh, table)
-
-
 def _by_partition(df: DataFrame, partition_col: str | None) -> DataFrame:
     """Rows of a partition value together, as few files as their size needs: small values share tasks, large ones are
     split.
@@ -76,19 +76,26 @@ def _by_partition(df: DataFrame, partition_col: str | None) -> DataFrame:
 
 
 def overwrite(df: DataFrame, path: str, partition_col: str | None = None) -> None:
-    """Replace a whole table. The new copy is written beside it and then takes its place, so at any time the old or
-    the new one is complete; ``read_table`` finishes a swap that was broken off.
-    """
-    spark = df.sparkSession
-    _finish_swap(spark, path)
+    """Write a whole table in place of what lies there."""
     writer = _by_partition(df, partition_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_col:
         writer = writer.partitionBy(partition_col)
-    writer.parquet(f"{path}.new")
-    system, table = _files(spark, path)
-    system.delete(table, True)
-    _finish_swap(spark, path)
-    spark.catalog.refreshByPath(path)
+    writer.parquet(path)
+
+
+def rebuild(df: DataFrame, path: str, partition_col: str | None = None) -> None:
+    """Write a whole table anew into a folder ``version=n`` of its own, which ``read_table`` takes from then on.
+
+    The version before stays readable until then, so a broken run leaves a whole table; old versions are for the
+    folder's retention rule. A table is either always rebuilt or never.
+    """
+    try:
+        version = (_newest(df.sparkSession, path) or 0) + 1
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        version = 1
+    overwrite(df, f"{path}/version={version}", partition_col)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
@@ -101,30 +108,47 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def upsert(updates: DataFrame, path: str, keys: list[str], partition_col: str | None = None) -> DataFrame:
+def upsert(updates: DataFrame, path: str, keys: list[str], partition_col: str | None = None,
+           newest: str | None = None) -> DataFrame:
     """Update matching rows, insert the others. Only the partitions the updates touch are read and rewritten.
 
     The merge is settled before the table is overwritten: the files being read are never the files being
-    written, and a broken run can simply be repeated. The partition values of one batch (its days) are few and are
-    listed in the filter, so the scan of the table is pruned when it is planned.
+    written, and a broken run can simply be repeated. The partition values of one batch (its months) are few and are
+    listed in the filter, so the scan of the table is pruned when it is planned. Where the partition is no key, a
+    row may have moved: the keys of the batch are looked up in the key columns of the table, and the partitions in
+    which they lie are rewritten too. Without a partition column the table is rebuilt. ``newest``: see ``merged``.
     """
     spark = updates.sparkSession
     updates = settle(updates, "updates")
     target = read_table(spark, path)
     if target is None:
-        overwrite(updates, path, partition_col)
+        (overwrite if partition_col else rebuild)(updates, path, partition_col)
         return read_table(spark, path, updates.schema)
     if partition_col is None:
-        overwrite(settle(merged(target, updates, keys), "upsert"), path)
-        return spark.read.parquet(path)
-    affected = touched(target, updates, partition_col)
-    replace_partitions(settle(merged(affected, updates, keys), "upsert"), path, partition_col)
+        rebuild(merged(target, updates, keys, newest), path)
+        return read_table(spark, path, updates.schema)
+    affected = touched(target, updates, partition_col, keys)
+    result = settle(merged(affected, updates, keys, newest), "upsert")
+    left = _values(affected, partition_col) - _values(result, partition_col) if partition_col not in keys else ()
+    replace_partitions(result, path, partition_col)
+    for value in left:                      # partitions all of whose rows have moved
+        empty = spark.createDataFrame([], result.drop(partition_col).schema)
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{partition_col}={folder}")
     return spark.read.parquet(path)
 
 
-def touched(target: DataFrame, updates: DataFrame, partition_col: str) -> DataFrame:
-    """The rows of the partitions that the updates have rows in."""
-    values = [r[0] for r in updates.select(partition_col).distinct().collect()]      # the days of one batch
+def _values(df: DataFrame, column: str) -> set:
+    """The partition values of one batch: few."""
+    return {r[0] for r in df.select(column).distinct().collect()}
+
+
+def touched(target: DataFrame, updates: DataFrame, partition_col: str, keys: list[str] | None = None) -> DataFrame:
+    """The rows of the partitions that the updates have rows in, or had."""
+    values = _values(updates, partition_col)
+    if keys and partition_col not in keys:
+        batch = updates.select(*keys).distinct()
+        values |= _values(target.join(batch, same_keys(target, batch, keys), "left_semi"), partition_col)
     column = target[partition_col]
     named = column.isin([v for v in values if v is not None])
     return target.filter(named | column.isNull() if None in values else named)
