@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import SurveillanceParams
-from tidemark.plans import calendar, facts, ingest, quality, reference, signals
+from tidemark.plans import calendar, facts, history, ingest, quality, reference, signals
 from tidemark.sources import store
 from tidemark.streaming.landing import keep_table_current
 from test_parsing import put
@@ -193,6 +193,43 @@ def test_history_of_a_stock(spark):
     assert dim.filter("symbol = 'KEEP'").count() == 1 and dim.filter("stock_sk = 'unknown'").count() == 1
 
 
+@pytest.mark.parametrize("cuts", [[1, 2, 3, 4, 5, 6], [4], [2, 5]])
+def test_history_merged_in_any_split_is_the_full_build(spark, tmp_path, cuts):
+    days = [dt.date(2026, m, 1) for m in range(1, 8)]
+    rows = [(d, "KEEP", "Keep", 10.0) for d in days]
+    rows += [(d, "TURN", "Turn", 10.0 + i % 2) for i, d in enumerate(days)]
+    rows += [(d, "BACK", "Back", 1.0) for i, d in enumerate(days) if i not in (1, 2, 4)]
+    rows += [(days[3], "ONCE", "Once", 1.0), (days[6], "LAST", "Last", 1.0)]
+    rows += [(d, "GONE", "Gone", 1.0) for d in days[:3]]
+    snapshots, path = master(spark, rows), str(tmp_path / "versions")
+    bounds = [0, *cuts, len(days)]
+    for lo, hi in zip(bounds, bounds[1:]):
+        for _ in range(2 if hi == 4 else 1):        # a batch that is merged again changes nothing
+            history.merge_snapshots(snapshots.where(F.col("snapshot_date").isin(days[lo:hi])), path)
+    columns = ["symbol", "version_no", "company_name", "face_value", "opened_on", "closed_on"]
+    key = lambda r: tuple(r)[:2]
+    got = sorted(history.versions(spark, path).select(*columns).collect(), key=key)
+    assert got == sorted(reference.stock_versions(snapshots).select(*columns).collect(), key=key)
+
+
+def test_headings_carry_over_the_splits_of_a_file(spark, tmp_path):
+    lines = []
+    for c in range(40):
+        lines += [f"Open Ended Schemes(Category {c // 4})", f"House {c}"] if c % 4 == 0 else [f"House {c}"]
+        lines += [f"{1000 * c + i};IN{i};-;Scheme {c};{i + 1}.5;05-Oct-2026" for i in range(c * 7 % 50)]
+    put(tmp_path, "amfi_navall", "2026-10-05", "NAVAll.txt", "\n".join(lines))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "900")
+        raw = ingest.bronze.nav_lines(spark, str(tmp_path))
+        assert raw.rdd.getNumPartitions() > 20
+        got = ingest.build_fund_nav(spark, str(tmp_path), str(tmp_path / "lake"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    expected = [(1000 * c + i, f"House {c}", f"Category {c // 4}") for c in range(40) for i in range(c * 7 % 50)]
+    assert rows_of(got, "scheme_code", "amc", "category") == expected
+
+
 def test_calendar(spark):
     d = dt.date
     holiday = spark.createDataFrame([(d(2031, 12, 25), "Midwinter"), (d(2031, 12, 26), "Day after")],

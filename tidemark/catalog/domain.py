@@ -36,13 +36,23 @@ def nations(spark: SparkSession, folder: str) -> DataFrame:
         "n_nationkey", F.col("n_name").alias("symbol"), F.col("r_name").alias("industry"))
 
 
+def _placed() -> Column:
+    """Order, line and price of a trade as one number: of fixed width, so that first and last trade are hash aggregates.
+
+    Whole numbers of 38 digits: 19 of the order, 10 of the line, 9 of the price.
+    """
+    order, line = F.col("l_orderkey").cast("decimal(19, 0)"), F.col("l_linenumber").cast("decimal(10, 0)")
+    seat = (order * F.lit(10 ** 10).cast("decimal(11, 0)") + line).cast("decimal(29, 0)")
+    return (seat * F.lit(10 ** 9).cast("decimal(10, 0)") + tick().cast("decimal(9, 0)")).cast("decimal(38, 0)")
+
+
 def trades(spark: SparkSession, folder: str) -> DataFrame:
     sellers = table(spark, folder, "supplier").join(
         nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
     price = tick()
     return table(spark, folder, "lineitem").select(
         "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), price.alias("tick"),
-        F.struct("l_orderkey", "l_linenumber", price.alias("tick")).alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
+        _placed().alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
         cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
     ).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
 

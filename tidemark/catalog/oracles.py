@@ -1111,6 +1111,35 @@ FINAL["reject_split"] = "select * exclude (bad), 'null/non-positive close or hig
 FINAL["price_files_stored"] = FINAL["price_rows_clean"]
 FINAL["price_files_quarantined"] = FINAL["reject_split"]
 FINAL["index_files_stored"] = "select * from idx"
+_COUNTS = """
+       count_if(not bad) as good, count_if(bad) as rejected, count_if(trade_date is null) as no_date, 0::bigint as no_symbol,
+       count_if(close is null) as no_close, count_if(close <= 0) as close_not_positive, count_if(high is null) as no_range,
+       count_if(high < low) as high_below_low"""
+FINAL["price_file_counts"] = f"""
+select {_COUNTS} from rawpx union all select {_COUNTS} from rawpx where year(trade_date) = 1998"""
+FINAL["filing_files_stored"] = """
+select seq_id, symbol, strftime(announced_at, '%Y-%m-%d %H:%M:%S') as announced_at, trim(category) as category, summary,
+       attachment_url from filing"""
+FINAL["action_files_stored"] = f"""
+select symbol, 'EQ' as series, ex_date, action_type, {rnd('factor', 6)} as factor, subject
+from (select *, row_number() over (partition by symbol, ex_date, action_type order by factor, subject) as r
+      from act_rated where action_type is not null) where r = 1"""
+FINAL["nav_files_stored"] = """
+select scheme_code, isin_growth, null::varchar as isin_reinvest, scheme_name, round(nav * 10000) as nav, nav_date, amc, category
+from nav_src where daily and dayofyear(nav_date) % 61 <> 0 and dayofyear(nav_date) % 50 <> 0"""
+FINAL["history_files_stored"] = """
+select s.scheme_code, s.nav_date, min(tick) / 10000 as nav, any_value(n.scheme_name) as scheme_name, any_value(n.amc) as amc,
+       any_value(n.category) as category
+from sch s join nav_src n using (scheme_code, nav_date)
+where s.scheme_code % 10 <> 3 and dayofyear(nav_date) % 59 <> 0 and dayofyear(nav_date) % 53 <> 0 and dayofyear(nav_date) % 47 <> 0
+group by 1, 2"""
+FINAL["history_files_broken"] = "select distinct scheme_code from sch where scheme_code % 10 = 3"
+FINAL["master_files_stored"] = """
+select m.* replace (case when n_nationkey % 2 = 1 then nat.industry end as industry, n_nationkey % 2 = 1 as in_nifty500)
+from master m join nat using (symbol)"""
+FINAL["holiday_files"] = "select * from hol"
+FINAL["portfolio_file_staged"] = FINAL["portfolio_txn_staged"]
+FINAL["scd2_merged"] = "select * from dim"
 FINAL["dq_quarantine"] = f"""
 select 'quarantined_price_rows' as check_name, case when n = 0 then 'PASS' when n < 20 then 'WARN' else 'FAIL' end as status,
        n::double as value, n || ' bad price rows on {RUN_DATE}' as detail

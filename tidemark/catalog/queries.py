@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tidemark.operators.windows import first_per
 from tidemark.params import QualityParams, SurveillanceParams
 from tidemark.plans import (calendar, facts, funds, ingest, portfolio, quality, reference, screens, signals, triage,
                             validation)
+from tidemark.session import checkpoint_dir
 from tidemark.sources import bronze, store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -611,7 +613,13 @@ def price_files_stored(w):
 
 @query
 def price_files_quarantined(w):
-    return w.lake_table("_quarantine_stock_daily").drop("_row").withColumnRenamed("_reason", "reason")
+    return w.lake_table("stock_daily", "_quarantine_stock_daily").drop("_row").withColumnRenamed("_reason", "reason")
+
+
+@query
+def price_file_counts(w):
+    """The log of both runs: counts observed by the jobs that wrote the batches."""
+    return w.lake_table("stock_daily", "_ingest_log")
 
 
 @query
@@ -619,6 +627,60 @@ def index_files_stored(w):
     return w.lake_table("index_daily")
 
 
+@query
+def filing_files_stored(w):
+    """Filings from JSON arrays in overlapping windows, with drafts, corrections and a folder that comes late."""
+    return w.lake_table("announcements").withColumn("announced_at", F.date_format("announced_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def action_files_stored(w):
+    return w.lake_table("corporate_actions").withColumn("factor", rounded("factor", 6))
+
+
+@query
+def nav_files_stored(w):
+    return w.lake_table("fund_nav")
+
+
+@query
+def history_files_stored(w):
+    return w.lake_table("fund_nav_history")
+
+
+@query
+def history_files_broken(w):
+    """Documents of the newest snapshot that could not be read."""
+    broken = w.lake_table("fund_nav_history", "_quarantine_fund_nav_history")
+    return broken.select(F.regexp_extract("text", r'"scheme_code" : "(\d+)"', 1).cast("long").alias("scheme_code"))
+
+
+@query
+def master_files_stored(w):
+    return w.lake_table("stock_master")
+
+
+@query
+def holiday_files(w):
+    raw = f"{checkpoint_dir(w.spark)}/files-{uuid.uuid4().hex}"
+    rawtext.write_holidays(w.holidays(), raw)
+    return bronze.holidays(w.spark, raw)
+
+
+@query
+def portfolio_file_staged(w):
+    path = f"{checkpoint_dir(w.spark)}/files-{uuid.uuid4().hex}"
+    w.source(domain.portfolio).select("owner", "date", "type", "symbol", "quantity", "price", "amount", "asset_class").write.option(
+        "header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return facts.staged_transactions(bronze.portfolio(w.spark, path))
+
+
+@query
+def scd2_merged(w):
+    """The instrument dimension from a history merged snapshot by snapshot."""
+    return reference.dim_of_versions(w.merged_versions())
+
+
 @query
 def reject_split(w):
     _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))

@@ -95,3 +95,120 @@ def nested_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     graded = dated.filter(F.col("list_type") == "GSM").select(
         "dt", "symbol", F.col("stage").alias("gsmStage"), F.col("description").alias("survDesc"))
     return asm, graded
+
+
+# ---------- nested and text files ----------
+
+DOCUMENT_ROWS = 5_000       # of one JSON array, at most about
+
+
+def _write_documents(documents: DataFrame, path: str) -> None:
+    """(dt, document): each as a file of its own in its folder."""
+    documents.write.mode("append").partitionBy("dt").option("maxRecordsPerFile", 1).text(path)
+
+
+def _write_arrays(rows: DataFrame, path: str) -> None:
+    """Rows with `dt` as JSON arrays of some thousand objects; nulls are left out of the objects."""
+    parts = -(-rows.count() // DOCUMENT_ROWS)
+    named = [c for c in rows.columns if c != "dt"]
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in named]))
+    arrays = rows.groupBy("dt", F.pmod(F.xxhash64(text), F.lit(parts)).alias("_part")).agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(text)), ",\n"), F.lit("]")).alias("document"))
+    _write_documents(arrays.select("dt", "document"), path)
+
+
+def quarters() -> list[dt.date]:
+    """Every day on which a quarter's files land."""
+    return [dt.date(year, month, 1) for year in range(1990, 2004) for month in (1, 4, 7, 10)]
+
+
+def _landing(day, quarters_later: int = 1):
+    return F.to_date(F.add_months(F.trunc(day, "quarter"), 3 * quarters_later))
+
+
+def write_filings(filings: DataFrame, raw: str) -> None:
+    """Filings land the quarter after; late ones of a quarter also in the folder after that. A fifth landed before as a
+    draft with another date; some objects have no id, no symbol or no date.
+    """
+    key = F.col("seq_id").cast("long")
+    day = F.to_date("announced_at")
+
+    def objects(rows, landed, **changes):
+        shown = {"seq_id": F.col("seq_id"), "symbol": F.concat(F.lit(" "), F.lower("symbol")),
+                 "sort_date": F.date_format("announced_at", "yyyy-MM-dd HH:mm:ss"), "desc": F.concat(F.lit(" "), F.col("category")),
+                 "attchmntText": F.col("summary"), "attchmntFile": F.col("attachment_url")} | changes
+        return rows.select(landed.alias("dt"), *[c.alias(n) for n, c in shown.items()])
+
+    late = F.month(F.date_add(day, 14)) != F.month(day)
+    earlier = F.date_format(F.col("announced_at") - F.expr("interval 100 days"), "yyyy-MM-dd HH:mm:ss")
+    files = [objects(filings, _landing(day)), objects(filings.where(late), _landing(day, 2)),
+             objects(filings.where(key % 5 == 0), _landing(day, 0), sort_date=earlier, attchmntText=F.lit("draft"), desc=F.lit(None).cast("string")),
+             objects(filings.where(key % 11 == 0), _landing(day), seq_id=F.lit(None).cast("string")),
+             objects(filings.where(key % 13 == 0), _landing(day, 2), sort_date=F.lit("unknown")),
+             objects(filings.where(key % 17 == 0), _landing(day, 2), symbol=F.lit(" "))]
+    rows = files[0]
+    for more in files[1:]:
+        rows = rows.unionByName(more)
+    _write_arrays(rows, f"{raw}/nse_announcements")
+
+
+def write_actions(subjects: DataFrame, raw: str) -> None:
+    """Every subject lands the quarter before its ex-date, bonuses again with a corrected ratio in the quarter itself."""
+    def objects(rows, landed, subject):
+        return rows.select(landed.alias("dt"), F.concat(F.lower("symbol"), F.lit(" ")).alias("symbol"), F.lit("EQ").alias("series"),
+                           F.date_format("ex_date", "dd-MMM-yyyy").alias("exDate"), subject.alias("subject"))
+
+    day = F.col("ex_date")
+    bonus = F.col("subject").startswith("Bonus")
+    first = F.when(bonus, F.lit("Bonus 9:1")).otherwise(F.concat(F.lit(" "), F.col("subject")))
+    rows = objects(subjects, _landing(day, -1), first).unionByName(objects(subjects.where(bonus), _landing(day, 0), F.col("subject")))
+    _write_arrays(rows, f"{raw}/nse_corp_actions")
+
+
+def write_nav_files(lines: DataFrame, raw: str) -> None:
+    """One text file a year, its lines in order."""
+    placed = lines.select(F.to_date(F.concat("file", F.lit("-12-31"))).alias("dt"), "line_no", "line")
+    (placed.repartition("dt").sortWithinPartitions("dt", "line_no").select("dt", "line")
+     .write.partitionBy("dt").text(f"{raw}/amfi_navall"))
+
+
+HISTORY_DAYS = (dt.date(2001, 1, 31), dt.date(2002, 1, 31))
+
+
+def write_history(nav: DataFrame, raw: str) -> None:
+    """One document per scheme in two snapshots, the older one with other values; some documents are cut short, some
+    rows have no date or no value.
+    """
+    for taken, factor in zip(HISTORY_DAYS, (2, 1)):
+        day = F.dayofyear("nav_date")
+        row = F.struct(F.when(day % 59 == 0, "someday").otherwise(F.date_format("nav_date", "dd-MM-yyyy")).alias("date"),
+                       F.when(day % 53 == 0, "N.A.").when(day % 47 == 0, "0").otherwise(
+                           (F.col("nav") * factor).cast("string")).alias("nav"))
+        document = F.to_json(F.struct(
+            F.struct(F.col("scheme_code").cast("string").alias("scheme_code"), "scheme_name", F.col("amc").alias("fund_house"),
+                     F.col("category").alias("scheme_category")).alias("meta"), F.col("data")), {"pretty": "true"})
+        whole = nav.groupBy("scheme_code", "scheme_name", "amc", "category").agg(F.collect_list(row).alias("data")).select(
+            F.lit(taken).alias("dt"), F.when(F.col("scheme_code") % 10 == 3, F.substring(document, 1, 150)).otherwise(document).alias("document"))
+        _write_documents(whole, f"{raw}/mfapi_history")
+
+
+def write_master(master: DataFrame, industries: DataFrame, raw: str) -> None:
+    """Snapshots of the equity list, and the industry map (symbol, industry) with an older one that says otherwise."""
+    shown = {"SYMBOL": F.lower("symbol"), "NAME OF COMPANY": F.col("company_name"), " SERIES": F.col("series"),
+             " DATE OF LISTING": F.date_format("listing_date", "dd-MMM-yyyy"), " ISIN NUMBER": F.concat(F.lit(" "), F.col("isin")),
+             " FACE VALUE": F.col("face_value").cast("string")}
+    (master.select(F.col("snapshot_date").alias("dt"), *[c.alias(n) for n, c in shown.items()])
+     .write.partitionBy("dt").option("header", True).csv(f"{raw}/nse_equity_list"))
+    old = industries.select(F.lit(dt.date(1996, 1, 1)).alias("dt"), F.col("symbol").alias("Symbol"), F.lit("Old").alias("Industry"))
+    new = industries.select(F.lit(dt.date(1998, 1, 1)).alias("dt"), F.lower("symbol"), F.concat(F.lit(" "), F.col("industry")))
+    old.union(new).write.partitionBy("dt").option("header", True).csv(f"{raw}/nse_nifty500")
+
+
+def write_holidays(holidays: DataFrame, raw: str) -> None:
+    """Holidays of each year as one document, in an older snapshot with other words."""
+    entry = F.struct(F.date_format("holiday", "dd-MMM-yyyy").alias("tradingDate"), "description")
+    older = holidays.withColumns({"dt": F.lit(dt.date(1990, 1, 1)), "description": F.lit("to be told")})
+    newer = holidays.withColumn("dt", _landing(F.col("holiday"), 0))
+    documents = older.unionByName(newer).groupBy("dt", F.year("holiday").alias("year")).agg(
+        F.to_json(F.struct(F.collect_list(entry).alias("CM"))).alias("document"))
+    _write_documents(documents.select("dt", "document"), f"{raw}/nse_holidays")

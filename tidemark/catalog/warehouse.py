@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from functools import wraps
 from weakref import WeakKeyDictionary
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import domain, rawtext
 from tidemark.params import SurveillanceParams
-from tidemark.plans import facts, funds, ingest, portfolio, quality, reference, screens, signals, triage, validation
+from tidemark.plans import facts, funds, history, ingest, portfolio, quality, reference, screens, signals, triage, validation
 from tidemark.session import checkpoint_dir
+from tidemark.sources import store
 from tidemark.sources.store import settle
 
 DEFAULT = SurveillanceParams()
@@ -103,17 +105,64 @@ class Warehouse:
         """The text rows as they would lie in the raw files."""
         return self.source(rawtext.price_rows)
 
-    def lake_table(self, name: str) -> DataFrame:
-        """A table built from files: raw rows written in the exchange's layout, ingested, one folder ingested again."""
-        if "lake" not in self._built:
+    def lake(self, table: str) -> str:
+        """The folder of a lake in which one table was built from files: rows written in the source's layout, then
+        ingested in steps, the last of which repeats, corrects or comes late.
+        """
+        if ("lake", table) not in self._built:
             root = f"{checkpoint_dir(self.spark)}/files-{uuid.uuid4().hex}"
-            rawtext.write_price_files(self.raw_prices(), f"{root}/raw")
-            rawtext.write_index_files(self.source(domain.index_daily), f"{root}/raw")
-            for build in (ingest.build_stock_daily, ingest.build_index_daily):
-                build(self.spark, f"{root}/raw", f"{root}/lake")
-                build(self.spark, f"{root}/raw", f"{root}/lake", [rawtext.AGAIN])
-            self._built["lake"] = f"{root}/lake"
-        return self.spark.read.parquet(f"{self._built['lake']}/{name}").drop("_ingested_at")
+            self._build_lake(table, f"{root}/raw", f"{root}/lake")
+            self._built["lake", table] = f"{root}/lake"
+        return self._built["lake", table]
+
+    def _build_lake(self, table: str, raw: str, lake: str) -> None:
+        spark, early, late = self.spark, dt.date(1997, 1, 1), dt.date(1995, 1, 1)
+        first = [d for d in rawtext.quarters() if d < early and d != late]
+        steps = [first, [d for d in rawtext.quarters() if d >= early], [late], first[-2:]]
+        if table == "stock_daily":
+            rawtext.write_price_files(self.raw_prices(), raw)
+            for days in (None, [rawtext.AGAIN]):
+                ingest.build_stock_daily(spark, raw, lake, days)
+        elif table == "index_daily":
+            rawtext.write_index_files(self.source(domain.index_daily), raw)
+            for days in (None, [rawtext.AGAIN]):
+                ingest.build_index_daily(spark, raw, lake, days)
+        elif table == "announcements":
+            rawtext.write_filings(self.source(domain.announcements), raw)
+            for days in steps:
+                ingest.build_announcements(spark, raw, lake, days)
+        elif table == "corporate_actions":
+            rawtext.write_actions(self.source(domain.action_filings), raw)
+            for days in steps:
+                ingest.build_corporate_actions(spark, raw, lake, days)
+        elif table == "fund_nav":
+            rawtext.write_nav_files(self.source(rawtext.nav_lines), raw)
+            for days in (None, [dt.date(1998, 12, 31)]):
+                ingest.build_fund_nav(spark, raw, lake, days)
+        elif table == "fund_nav_history":
+            rawtext.write_history(self.source(domain.fund_nav_history), raw)
+            ingest.build_fund_nav_history(spark, raw, lake)
+        elif table == "stock_master":
+            listed = self.source(domain.nations).where("n_nationkey % 2 = 1")
+            rawtext.write_master(self.source(domain.stock_master), listed, raw)
+            for days in steps:
+                ingest.build_stock_master(spark, raw, lake, days)
+
+    def lake_table(self, table: str, name: str | None = None) -> DataFrame:
+        """A table as it lies on disk, without the columns of the storage."""
+        stored = store.read_table(self.spark, f"{self.lake(table)}/{name or table}")
+        return stored.drop(*[c for c in stored.columns if c in ("month", "_ingested_at", "_landed")])
+
+    @model
+    def merged_versions(self) -> DataFrame:
+        """History of instruments merged from the snapshots in batches, the first of them single snapshots."""
+        path = f"{checkpoint_dir(self.spark)}/history-{uuid.uuid4().hex}/stock_versions"
+        master = settle(self.source(domain.stock_master), "stock_master")
+        days = sorted(r[0] for r in master.select("snapshot_date").distinct().collect())        # one row per snapshot
+        for batch in (days[:1], days[1:2], days[2:9], days[9:], days[-1:]):
+            if batch:
+                history.merge_snapshots(master.where(F.col("snapshot_date").isin(batch)), path)
+        return history.versions(self.spark, path)
 
     # ---------- surveillance ----------
 

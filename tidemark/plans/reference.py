@@ -26,14 +26,14 @@ def latest_master(master: DataFrame) -> DataFrame:
                     "snapshot_date"))
 
 
-def stock_versions(master: DataFrame) -> DataFrame:
-    """Type-2 history from dated snapshots.
+def stock_versions(master: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+    """Type-2 history from dated snapshots, taken on ``dates`` (snapshot_date) if some have no row left.
 
     A version opens when a tracked column changes or the symbol (re)appears, and closes when the next
     version opens or at the first snapshot that no longer has the symbol.
     """
     master = master.withColumn("industry", F.coalesce("industry", F.lit(fixed.UNCLASSIFIED)))
-    dates = master.select("snapshot_date").distinct()
+    dates = master.select("snapshot_date").distinct() if dates is None else dates
     # one row per snapshot ever taken: the calendar of snapshots, not of stocks
     following = dates.select(
         "snapshot_date", F.lead("snapshot_date").over(Window.orderBy("snapshot_date")).alias("_next_taken"))
@@ -73,15 +73,19 @@ def unknown_stock(spark) -> DataFrame:
 
 
 def dim_stock(master: DataFrame) -> DataFrame:
+    """Type-2 dimension of all snapshots."""
+    return dim_of_versions(stock_versions(master))
+
+
+def dim_of_versions(versions: DataFrame) -> DataFrame:
     """First versions reach back to 1900 so that earlier facts find a row; open ones end in 9999."""
-    versions = stock_versions(master)
     known = versions.select(
         F.md5(F.concat_ws("|", "symbol", F.col("opened_on").cast("string"))).alias("stock_sk"),
         "symbol", "company_name", "isin", "series", "face_value", "listing_date", "industry", "in_nifty500",
         F.when(F.col("version_no") == 1, F.lit(FIRST_DAY)).otherwise(F.col("opened_on")).alias("valid_from"),
         F.coalesce("closed_on", F.lit(LAST_DAY)).alias("valid_to"),
         F.col("closed_on").isNull().alias("is_current"), "version_no")
-    return known.unionByName(unknown_stock(master.sparkSession))
+    return known.unionByName(unknown_stock(versions.sparkSession))
 
 
 def _fiscal_year(d: Column) -> Column:

@@ -47,7 +47,10 @@ def _csv(reader, path: str) -> DataFrame:
             .option("ignoreTrailingWhiteSpace", True).option("recursiveFileLookup", False).csv(path))
 
 
-def _json(schema: str, glob: str = "*.json"):
+DOCUMENTS = "*.{json,txt}"      # the second as Spark's own text writer names them
+
+
+def _json(schema: str, glob: str = DOCUMENTS):
     return lambda reader, path: reader.schema(schema).option("multiLine", True).option("pathGlobFilter", glob).json(path)
 
 
@@ -155,7 +158,7 @@ def history_documents(spark: SparkSession, root: str) -> DataFrame | None:
     if newest is None:
         return None
     reader = spark.read.schema(f"{HISTORY_SCHEMA}, broken string").option("multiLine", True).option(
-        "columnNameOfCorruptRecord", "broken").option("pathGlobFilter", "*.json")
+        "columnNameOfCorruptRecord", "broken").option("pathGlobFilter", DOCUMENTS)
     return reader.json(f"{root}/mfapi_history/dt={newest}").withColumn("file", F.col("_metadata.file_name"))
 
 
