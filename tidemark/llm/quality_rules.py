@@ -7,12 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.text import LOWER, SPACE, UPPER, word_count, words
+from tidemark.llm.text import LOWER, SPACE, UPPER
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 EDGE = ".,;:!?()\"'"
-WINDOW_HASH = "xxhash64(w.a, w.b, w.c)"
+WINDOW_HASH = "xxhash64(get(words, i), get(words, i + 1), get(words, i + 2))"
 
 # Frequent function words of the four languages.
 STOP_WORDS = {
@@ -51,43 +51,55 @@ DEFAULT_RULES = (
 )
 
 
-def repeat_words(prefix: str = "") -> list[tuple[str, str]]:
+def repeat_words() -> list[tuple[str, str]]:
     """Steps (name, SQL) that count the words in three-word windows found twice or more, from words and n_words.
 
-    Windows are sorted as structs of their full 64-bit hash, their words and their position, so equal windows are
-    neighbours, whatever the length of the text, and windows of equal hash are told apart by the words themselves.
+    A text whose windows have as many hashes as there are windows has none. Else the full 64-bit hashes are sorted
+    with their positions, so equal windows are neighbours. Where neighbours of equal hash have unequal words, the
+    text's windows are sorted by their words too; either way the count is exact.
     """
-    same = "coalesce(x.h = get(sorted, {0}).h and x.a = get(sorted, {0}).a and x.b = get(sorted, {0}).b and x.c = get(sorted, {0}).c, false)"
+    beside = "coalesce({0} = {1}, false) or coalesce({0} = {2}, false)"
+    by_hash = beside.format("x.h", "get(sorted, j - 1).h", "get(sorted, j + 1).h")
+    by_words = beside.format("x.w", "get(told, j - 1).w", "get(told, j + 1).w")
+    unlike = " or ".join(f"get(words, x.i + {k}) <> get(words, get(sorted, j + 1).i + {k})" for k in range(3))
     return [
-        ("sorted", "sort_array(if(n_words < 3, cast(array() as array<struct<h: bigint, a: string, b: string, c: string, i: bigint>>),"
-                   " transform(transform(sequence(0L, n_words - 3), i -> struct(get(words, cast(i as int)) as a,"
-                   " get(words, cast(i + 1 as int)) as b, get(words, cast(i + 2 as int)) as c, i as i)),"
-                   f" w -> struct({WINDOW_HASH} as h, w.a as a, w.b as b, w.c as c, w.i as i))))"),
-        ("hits", f"sort_array(transform(filter(sorted, (x, j) -> {same.format('j - 1')} or {same.format('j + 1')}), x -> x.i))"),
+        ("hashes", f"if(n_words < 3, cast(array() as array<bigint>), transform(sequence(0, cast(n_words as int) - 3), i -> {WINDOW_HASH}))"),
+        ("sorted", "if(size(array_distinct(hashes)) = size(hashes), cast(array() as array<struct<h: bigint, i: int>>),"
+                   " sort_array(transform(hashes, (h, i) -> struct(h as h, i as i))))"),
+        ("told", "if(exists(transform(sorted, (x, j) -> coalesce(x.h = get(sorted, j + 1).h, false) and"
+                 f" ({unlike})), x -> x), sort_array(transform(sorted, x -> struct(slice(words, x.i + 1, 3) as w, x.i as i))),"
+                 " cast(array() as array<struct<w: array<string>, i: int>>))"),
+        ("hits", f"sort_array(if(size(told) > 0, transform(filter(told, (x, j) -> {by_words}), x -> x.i),"
+                 f" transform(filter(sorted, (x, j) -> {by_hash}), x -> x.i)))"),
         ("n_repeat_words", "aggregate(transform(hits, (p, j) -> least(3L, coalesce(get(hits, j + 1) - p, 3L))),"
                            " 0L, (a, x) -> a + x)"),
     ]
 
 
+def _counted(text: Column, characters: str) -> Column:
+    """How many of some ASCII characters a text has."""
+    listed = "".join(f"\\x{ord(c):02x}" for c in characters)
+    return F.regexp_count(text, F.lit(f"[{listed}]")).cast("long")
+
+
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts of every whole text: words, their code points, symbols, repeated lines, repeated windows, stop words."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     stops = sorted({w for line in STOP_WORDS.values() for w in line.split()})
-    lines = F.filter(F.split(text, "\n"), lambda x: F.translate(x, SPACES, "") != "")
-    bare = F.translate(text, SPACES, "")
-    df = docs.select(F.col(id_col).alias("doc_id"), words(text).alias("words"), lines.alias("lines"),
-                     F.length(bare).cast("long").alias("word_chars"),
-                     (F.length(bare) - F.length(F.translate(bare, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-                     F.length(F.translate(bare, SYMBOLS + EDGE + "0123456789-_/\\+=@^~`[]{}", "")).cast("long")
-                     .alias("n_letters"))
-    plain = lambda w: F.btrim(F.translate(w, UPPER, LOWER), F.lit(EDGE))
-    df = df.select("doc_id", "words", "word_chars", "n_symbols", "n_letters",
+    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "")
+    df = docs.select(F.col(id_col).alias("doc_id"), F.array_remove(F.split(text, SPACE), "").alias("words"), lines.alias("lines"),
+                     (F.length(text) - _counted(text, SPACES)).cast("long").alias("word_chars"),
+                     _counted(text, SYMBOLS).alias("n_symbols"),
+                     _counted(text, SYMBOLS + EDGE + "0123456789-_/\\+=@^~`[]{}").alias("_other"))
+    # lower() and translate() of A-Z agree on these words: no other letter's lower case is an ASCII one but for k
+    lower = F.lower if not any("k" in w for w in stops) else lambda w: F.translate(w, UPPER, LOWER)
+    df = df.select("doc_id", "words", "word_chars", "n_symbols", (F.col("word_chars") - F.col("_other")).alias("n_letters"),
                    F.size("words").cast("long").alias("n_words"), F.size("lines").cast("long").alias("n_lines"),
                    (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-                   F.size(F.filter("words", lambda w: plain(w).isin(stops))).cast("long").alias("n_stop_words"))
+                   F.size(F.filter("words", lambda w: F.btrim(lower(w), F.lit(EDGE)).isin(stops))).cast("long").alias("n_stop_words"))
     for name, sql in repeat_words():
         df = df.withColumn(name, F.expr(sql))
-    return df.drop("words", "sorted", "hits")
+    return df.drop("words", "hashes", "sorted", "told", "hits")
 
 
 def ratio(part: str, whole: str) -> Column:
