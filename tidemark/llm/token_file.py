@@ -18,127 +18,146 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.vocabulary import Pieces, Table, encode_pieces, frequent, pieces_of, settled_pieces
+from tidemark.llm.encoding import encoded, id_type
+from tidemark.llm.vocabulary import tokenizer
+from tidemark.sources.store import settle
 
-FREQUENT_WORDS = 2_097_152      # most pieces whose ids are broadcast: about 45 MB
 IDS_PER_FILE = 16_000_000
-MOST_FILES = 4_096
+BATCH_IDS = 1 << 20         # coded or decoded at once, about; a longer document alone
 
 #: For each control byte, which of the four bytes of each of its four ranks are stored.
 STORED = np.array([[[b <= (c >> 2 * i & 3) for b in range(4)] for i in range(4)] for c in range(256)], dtype=bool)
 
 
-def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit ranks."""
+def encode_all(ranks: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control bytes, their bounds, data bytes, their bounds) of runs of unsigned 32-bit ranks, one run per document."""
     ranks = np.ascontiguousarray(ranks, dtype="<u4")
     codes = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    padded = np.zeros(-(-len(ranks) // 4) * 4, dtype=np.uint8)
-    padded[:len(ranks)] = codes
-    quads = padded.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    stored = STORED[control].reshape(-1, 4)[:len(ranks)]
-    return control.tobytes(), ranks.view(np.uint8).reshape(-1, 4)[stored].tobytes()
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    quads = np.concatenate([[0], np.cumsum(-(-sizes // 4))])
+    place = np.arange(len(ranks)) + np.repeat(4 * quads[:-1] - first[:-1], sizes)
+    padded = np.zeros(4 * quads[-1], dtype=np.uint8)
+    padded[place] = codes
+    padded = padded.reshape(-1, 4)
+    control = padded[:, 0] | padded[:, 1] << 2 | padded[:, 2] << 4 | padded[:, 3] << 6
+    stored = STORED[control].reshape(-1, 4)[place]
+    ends = np.concatenate([[0], np.cumsum(codes.astype(np.int64) + 1)])
+    return control, quads, ranks.view(np.uint8).reshape(-1, 4)[stored], ends[first]
+
+
+def decode_all(control: np.ndarray, data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The ranks back, as unsigned 32-bit, of the documents' control and data bytes one after the other."""
+    quads = np.concatenate([[0], np.cumsum(-(-sizes // 4))])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    place = np.arange(first[-1]) + np.repeat(4 * quads[:-1] - first[:-1], sizes)
+    stored = STORED[control].reshape(-1, 4)[place]
+    out = np.zeros((first[-1], 4), dtype=np.uint8)
+    out[stored] = data
+    return out.reshape(-1).view("<u4")
+
+
+def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of one document's ranks."""
+    control, _, data, _ = encode_all(ranks, np.array([len(ranks)]))
+    return control.tobytes(), data.tobytes()
 
 
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ranks back, as unsigned 32-bit."""
-    stored = STORED[np.frombuffer(control, np.uint8)].reshape(-1, 4)[:n]
-    out = np.zeros((n, 4), dtype=np.uint8)
-    out[stored] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1).view("<u4")
+    return decode_all(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.array([n]))
+
+
+def _flat(column: pa.Array) -> np.ndarray:
+    """The bytes of a binary column without nulls, one after the other."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else np.zeros(0, np.uint8)
+
+
+def _binary(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, buffers)
 
 
-def id_counts(words: DataFrame) -> DataFrame:
-    """(id, n): occurrences in the corpus, from the distinct pieces, their frequencies and their ids."""
+def _runs(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``BATCH_IDS`` ids, counted by a column."""
+    upto = np.concatenate([[0], np.cumsum(batch.column(column).to_numpy())])
+    row = 0
+    while row < batch.num_rows:
+        to = max(row + 1, int(np.searchsorted(upto, upto[row] + BATCH_IDS, side="right")) - 1)
+        yield batch.slice(row, to - row)
+        row = to
+
+
+def token_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n, ids): the ids of every whole text, little-endian in as many bits as the vocabulary needs."""
+    def encode_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, ids, bounds in encoded(batch.column(1), path):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(bounds)), _binary(ids.view(np.uint8), bounds * ids.itemsize)],
+                    ["doc_id", "n", "ids"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(encode_texts, "doc_id long, n long, ids binary")
+
+
+def id_counts(ids: DataFrame, path: str) -> DataFrame:
+    """(id, n): occurrences in the corpus."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(65_536, dtype=np.int64)
+        kind, totals = id_type(path), np.zeros(tokenizer(path).get_vocab_size(), dtype=np.int64)
         for batch in batches:
-            per_word = np.array(batch.column(1).to_pylist(), dtype=np.int64)
-            lengths = np.array(batch.column(2).to_pylist(), dtype=np.int64)
-            ids = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u2")
-            np.add.at(totals, ids, np.repeat(per_word, lengths))
+            found = np.bincount(_flat(batch.column(0)).view(kind))
+            if len(found) > len(totals):
+                totals = np.pad(totals, (0, len(found) - len(totals)))
+            totals[:len(found)] += found
         at = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(totals[at], pa.int64())], ["id", "n"])
 
-    counted = words.select("word", "freq", "n_ids", "ids").mapInArrow(count, "id long, n long")
-    return counted.groupBy("id").agg(F.sum("n").alias("n"))
+    return ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_ids(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 2, id_col: str = "doc_id",
-              text_col: str = "text", frequent_words: int = FREQUENT_WORDS) -> None:
+              text_col: str = "text") -> None:
     """Tokenise every whole text, append ``end_id`` to each document, and write the folder.
 
     ``id_col`` holds integers. Null or empty text is the end id alone; null ids come first; rows of equal ids all
-    stay, next to each other; other columns are not read; an empty table writes a folder without documents. Ids must
-    be below 65,536. Pieces above a frequency bound are looked up in a broadcast table, all others encoded again.
+    stay, next to each other, and may lie in several files; other columns are not read; an empty table writes a folder
+    without documents. The ids are written down once, counted, ranked, and sorted into files by ranges of document ids.
     """
     spark = docs.sparkSession
-    words = settled_pieces(docs, tokenizer_path, text_col)
-    counted = {r.id: r.n for r in id_counts(words).collect()}           # at most 65,536 rows, as ids have 16 bits
-    total, rows = sum(counted.values()), docs.count()
+    ids = settle(token_ids(docs, tokenizer_path, id_col, text_col), "token-ids")
+    counted = {r.id: r.n for r in id_counts(ids, tokenizer_path).collect()}         # one row per id of the vocabulary
+    total, rows = sum(counted.values()), ids.count()
     counted[end_id] = counted.get(end_id, 0) + rows
     order = sorted(counted, key=lambda i: (-counted[i], i))
     spark.createDataFrame(list(enumerate(order)), "rank int, id int").coalesce(1).write.parquet(f"{folder}/ranks")
-    rank_of = np.zeros(65_536, dtype="<u2")
+    rank_of = np.zeros(max(order) + 1, dtype="<u4")
     rank_of[order] = np.arange(len(order))
-    files = int(min(MOST_FILES, max(1, -(-total // IDS_PER_FILE))))
-    cuts = [i / files for i in range(1, files)]
-    bounds = docs.agg(F.percentile_approx(id_col, cuts, 100 * files).alias("b")).first().b if cuts and rows else None
-    bounds = np.array(sorted(set(bounds or [])), dtype=np.int64)
-    shared = spark.sparkContext.broadcast(Table(frequent(words, frequent_words), with_ids=True))
-    end = np.array([end_id], "<u2")
+    shared = spark.sparkContext.broadcast(rank_of)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, kind = 0, id_type(tokenizer_path)
         for batch in batches:
-            for block in pieces_of(batch.column(1)):
-                yield pack_block(batch.column(0).slice(block.lo, block.hi - block.lo), block, shared.value)
-
-    def pack_block(doc_ids: pa.Array, block: Pieces, table: Table) -> pa.RecordBatch:
-        place, found = table.find(block.distinct)
-        begin, size = table.begin()[place], np.where(found, table.sizes[place], 0) if len(table.keys) else place
-        ids, missing = table.ids, np.flatnonzero(~found)
-        if len(missing):
-            own = [np.array(x, "<u2") for x in encode_pieces(tokenizer_path, block.bytes_of(missing).to_pylist())]
-            begin, size = begin.copy(), size.copy()
-            size[missing] = [len(x) for x in own]
-            begin[missing] = np.cumsum(size[missing]) - size[missing] + len(ids)
-            extra = np.concatenate(own)
-        size, begin = size[block.which], begin[block.which]
-        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
-        at = np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])
-        if len(missing):
-            held = at < len(ids)
-            found_ids = np.empty(len(at), "<u2")
-            found_ids[held], found_ids[~held] = ids[at[held]], extra[at[~held] - len(ids)]
-        else:
-            found_ids = ids[at]
-        bounds_of = ends[block.words.first].tolist()
-        packed = []
-        for lo, hi in zip(bounds_of[:-1], bounds_of[1:]):
-            ranks = rank_of[np.concatenate([found_ids[lo:hi], end])]
-            packed.append((len(ranks), *encode(ranks)))
-        known = doc_ids.cast(pa.int64())
-        part = np.searchsorted(bounds, known.fill_null(0).to_numpy(zero_copy_only=False))
-        part[known.is_null().to_numpy(zero_copy_only=False)] = 0
-        n, control, data = zip(*packed)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(part, pa.int32()), known, pa.array(n, pa.int64()), pa.array(control, pa.binary()),
-             pa.array(data, pa.binary())], ["part", "doc_id", "n_tokens", "control", "data"])
-
-    def position(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = 0
-        for batch in batches:
-            ends = before + np.cumsum(np.array(batch.column(2).to_pylist(), dtype=np.int64))
-            starts = np.concatenate([[before], ends[:-1]]) if len(ends) else ends
-            before = int(ends[-1]) if len(ends) else before
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts, pa.int64())],
-                                             [*batch.schema.names, "first"])
-
-    fields = "part int, doc_id long, n_tokens long, control binary, data binary"
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    (rows.mapInArrow(pack, fields).repartitionById(files, F.col("part"))
-     .sortWithinPartitions("part", "doc_id", "n_tokens", "control", "data")
-     .mapInArrow(position, fields + ", first long").write.option("compression", "zstd").parquet(f"{folder}/ids"))
+            for run in _runs(batch, "n"):
+                sizes = run.column("n").to_numpy() + 1
+                ends = np.cumsum(sizes)
+                ranks = np.empty(ends[-1], dtype="<u4")
+                ranks[ends - 1] = shared.value[end_id]
+                own = np.ones(len(ranks), dtype=bool)
+                own[ends - 1] = False
+                ranks[own] = shared.value[_flat(run.column("ids")).view(kind)]
+                control, quads, data, bounds = encode_all(ranks, sizes)
+                yield pa.RecordBatch.from_arrays(
+                    [run.column("part"), run.column("doc_id"), pa.array(sizes), _binary(control, quads), _binary(data, bounds),
+                     pa.array(before + ends - sizes)], ["part", "doc_id", "n_tokens", "control", "data", "first"])
+                before += int(ends[-1])
+
+    files = max(1, -(-total // IDS_PER_FILE))
+    keys = [F.col("doc_id").asc_nulls_first(), F.col("n"), F.xxhash64("ids")]
+    (ids.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
+     .select(F.spark_partition_id().alias("part"), "doc_id", "n", "ids")
+     .mapInArrow(pack, "part int, doc_id long, n_tokens long, control binary, data binary, first long")
+     .write.option("compression", "zstd").parquet(f"{folder}/ids"))
 
 
 def read_documents(spark: SparkSession, folder: str, digest: Callable[[np.ndarray], object], kind: str) -> DataFrame:
@@ -152,12 +171,12 @@ def read_documents(spark: SparkSession, folder: str, digest: Callable[[np.ndarra
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                values = [digest(id_of[decode(c, d, n)]) for n, c, d in
-                          zip(*(part.column(i).to_pylist() for i in (3, 4, 5)))]
-                out = pa.array(values, value_type)
-                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(4)), out],
+            for run in _runs(batch, "n_tokens"):
+                sizes = run.column("n_tokens").to_numpy()
+                ids = id_of[decode_all(_flat(run.column("control")), _flat(run.column("data")), sizes)]
+                ends = np.cumsum(sizes).tolist()
+                values = [digest(ids[lo:hi]) for lo, hi in zip([0, *ends], ends)]
+                yield pa.RecordBatch.from_arrays([*(run.column(i) for i in range(4)), pa.array(values, value_type)],
                                                  ["part", "doc_id", "first", "n_tokens", "value"])
 
     stored = spark.read.parquet(f"{folder}/ids")
@@ -167,7 +186,7 @@ def read_documents(spark: SparkSession, folder: str, digest: Callable[[np.ndarra
         F.col("part").alias("p"), F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("before"))
     decoded = stored.select("part", "doc_id", "first", "n_tokens", "control", "data").mapInArrow(
         unpack, f"part int, doc_id long, first long, n_tokens long, value {kind}")
-    return decoded.join(F.broadcast(parts), F.col("part") == F.col("p")).select(      # at most MOST_FILES rows
+    return decoded.join(F.broadcast(parts), F.col("part") == F.col("p")).select(      # one row per file
         "doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "value")
 
 
