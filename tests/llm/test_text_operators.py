@@ -247,6 +247,15 @@ def test_token_counts(messy, encoded, most):
         (i, len((t or "").encode()), len(ids), len(ids) > 100) for i, t, ids in encoded)
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "long", "string", "decimal(5, 0)"])
+def test_passages_keep_the_type_of_their_ids(workers, kind):
+    text = " ".join(f"word{i}" for i in range(30))
+    items = workers.createDataFrame([("7", text)], "item_id string, text string").selectExpr(f"cast(item_id as {kind}) as item_id", "text")
+    docs = items.selectExpr("item_id as doc_id", "concat('before ', text, ' after') as text")
+    found = decontamination.find_passages(docs, items)
+    assert dict(found.dtypes)["item_id"] == dict(items.dtypes)["item_id"] and str(found.first().item_id) == str(items.first().item_id)
+
+
 def test_token_counts_of_nothing(empty):
     assert token_counts.count_tokens(empty, TOKENIZER).collect() == []
 

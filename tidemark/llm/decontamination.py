@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.text import word_count
 from tidemark.llm.tokens import Words, blocks, mix
@@ -232,7 +233,7 @@ def find_passages(docs: DataFrame, items: DataFrame, least: float = 0.8, id_col:
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
     fields = f"doc_id {kinds[0]}, item_id {kinds[1]}, first_word long, n_words long, similarity double"
     source = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("doc_id"))
-    item_type = None
+    item_type = to_arrow_type(items.schema[item_col].dataType)
     found = docs.sparkSession.createDataFrame([], fields)
 
     for index in item_blocks(items, item_col, item_text_col):
@@ -249,7 +250,6 @@ def find_passages(docs: DataFrame, items: DataFrame, least: float = 0.8, id_col:
                      pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(similar, pa.float64())],
                     ["doc_id", "item_id", "first_word", "n_words", "similarity"])
 
-        item_type = pa.array(index.ids).type if index.ids else pa.int64()
         found = found.unionByName(source.mapInArrow(search, fields))
     return found
 

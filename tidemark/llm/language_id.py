@@ -227,7 +227,8 @@ def held_out(id_col: str = "doc_id", remainder: int = 0) -> Column:
 def predict_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, held_out, lang_pred, score): learned from documents not held out that have a language, for all rows.
 
-    Null or empty languages and texts teach nothing; repeated rows teach twice; other columns are not read; an empty
+    Null languages and texts teach nothing, texts without letters neither; an empty language is one like any other;
+    repeated rows teach twice; other columns are not read; an empty
     table gives no rows.
     """
     return identify(docs, learn(docs, id_col, text_col, lang_col), id_col, text_col,
