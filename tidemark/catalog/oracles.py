@@ -1059,7 +1059,17 @@ TESTS = {
     "fact_stock_daily.stock_sk_in_dim_stock": must("fact", "stock_sk in (select stock_sk from dim)"),
     "fact_fund_nav.scheme_code_in_dim_fund": must("nav", "scheme_code in (select scheme_code from fund)"),
     "fact_surveillance_alert.stock_sk_in_dim_stock": must("alert_r", "stock_sk in (select stock_sk from dim)"),
+    "dim_date.unique_date_key": dup("dates", "date_key"),
+    "dim_date.not_null_date_key": must("dates", "date_key is not null"),
+    "dim_index.unique_index_sk": dup("idx_dim", "index_sk"),
+    "dim_index.not_null_index_sk": must("idx_dim", "index_sk is not null"),
+    "fact_index_daily.unique_day_index": dup("idx", "trade_date, index_name"),
+    "int_surveillance_signals.unique_day_symbol": dup("sig_r", "trade_date, symbol"),
+    "mart_sector_performance.unique_day_industry": dup("sector", "trade_date, industry"),
+    "fact_stock_daily.date_key_in_dim_date": must("fact", "date_key in (select date_key from dates)"),
+    "fact_index_daily.index_sk_in_dim_index": must("idx", "md5(index_name) in (select index_sk from idx_dim)"),
 }
+STEPS["dates"], STEPS["sector"] = FINAL["dim_date"], FINAL["sector_performance"]
 STEPS["tests"] = "\nunion all\n".join(
     f"select '{name}' as test, ({sql}) as failures" for name, sql in TESTS.items())
 STEPS["tested"] = """
@@ -1083,6 +1093,9 @@ select max(ts) as last_started, count_if(status = 'FAILED')::bigint as failed
 from (select * from runs order by ts desc, run_id, step limit 7)"""
 FINAL["data_coverage"] = """
 select max(trade_date) as latest_day, count(distinct trade_date) as days, count(distinct symbol) as stocks from fact"""
+FINAL["coverage_sketches"] = """
+select date_trunc('month', l_shipdate)::date as month, count(distinct l_shipdate::date) as days, true as within_bound
+from lineitem group by 1"""
 FINAL["latest_check_batch"] = """
 select step as check_name, status, ts as checked_at from runs where ts >= (select max(ts) - interval 1 minute from runs)"""
 FINAL["freshness"] = """

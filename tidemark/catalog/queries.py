@@ -551,7 +551,10 @@ def _tests(w):
         "dim_stock": w.stocks(), "dim_fund": w.funds(), "fact_stock_daily": w.fact(), "fact_fund_nav": w.fund_nav(),
         "fact_portfolio_txn": w.txns(), "fact_surveillance_alert": w.alerts(RELAXED),
         "int_alert_outcomes": w.outcomes(RELAXED), "mart_surveillance_validation": w.validated(RELAXED),
-        "mart_portfolio_holdings": w.holdings(), "mart_fund_performance": w.fund_performance()}
+        "mart_portfolio_holdings": w.holdings(), "mart_fund_performance": w.fund_performance(),
+        "dim_date": store.settle(dim_date(w), "dim_date"), "dim_index": store.settle(dim_index(w), "dim_index"),
+        "fact_index_daily": store.settle(fact_index_daily(w), "fact_index_daily"), "int_surveillance_signals": store.settle(w.signals(RELAXED).select("trade_date", "symbol"), "signals"),
+        "mart_sector_performance": store.settle(sector_performance(w), "sector_performance")}
     return quality.model_tests(tables, frozenset({"fact_stock_daily.complete_days"}), LOOSE_QUALITY)
 
 
@@ -585,6 +588,17 @@ def data_coverage(w):
     return quality.coverage(w.fact())
 
 
+@query
+def coverage_sketches(w):
+    """Distinct traded parts of every month from merged day sketches, held against exact counts."""
+    trades = domain.table(w.spark, w.folder, "lineitem").select(F.col("l_shipdate").cast("date").alias("day"), "l_partkey")
+    sketches = store.settle(quality.day_sketches(trades, "day", "l_partkey"), "day-sketches")
+    month = F.trunc("day", "month").alias("month")
+    exact = trades.groupBy(month).agg(F.count_distinct("l_partkey").alias("exact"))
+    return quality.merged_sketches(sketches, month).join(exact, "month").select(
+        "month", "days", (F.abs(F.col("estimate") - F.col("exact")) <= 0.05 * F.col("exact")).alias("within_bound"))
+
+
 @query
 def latest_check_batch(w):
     written = w.runs().select(F.col("step").alias("check_name"), "status", F.col("started_at").alias("checked_at"))

@@ -56,8 +56,7 @@ def rounded(x: Column | str, places: int = 0) -> Column:
     scale = float(10 ** places)
     hair = 5e-10 if places < 5 else 5e-6 / scale
     quick = F.rint((x + F.signum(x) * hair) * (scale * (1 + 2.0 ** -51))) / scale + 0.0     # adding zero turns -0.0 into 0.0
-    digits = F.coalesce(F.round(x.cast("string").try_cast("decimal(38, 12)"), places).cast("double"), x)
-    return F.when(F.abs(x) > 2.0 ** 43 / scale, digits).otherwise(quick)
+    return F.when(F.abs(x) > 2.0 ** 43 / scale, F.round(x, places)).otherwise(quick)
 
 
 def ratio(a: Column, b: Column) -> Column:

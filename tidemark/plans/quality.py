@@ -260,6 +260,20 @@ def coverage(fact: DataFrame) -> DataFrame:
                     F.countDistinct("symbol").alias("stocks"))
 
 
+def day_sketches(rows: DataFrame, day: str, column: str, lg_k: int = 14) -> DataFrame:
+    """(day, sketch): a HyperLogLog sketch of the distinct values of each day, to be stored and merged for any span.
+
+    A sketch has at most 2^lg_k bytes; at 14 its estimate's standard error is 0.8 percent, whatever the span.
+    """
+    return rows.groupBy(F.col(day).alias("day")).agg(F.hll_sketch_agg(column, lg_k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, span: Column) -> DataFrame:
+    """(span, days, estimate): about how many distinct values each span of days has; the rows are not read again."""
+    return sketches.groupBy(span).agg(F.count(F.lit(1)).alias("days"),
+                                      F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+
+
 def step_seconds(runs: DataFrame, newest: int | None = 60) -> DataFrame:
     """Mean seconds of the successful steps among the newest log entries (all of them with None)."""
     log = runs if newest is None else runs.orderBy(F.col("started_at").desc(), "run_id", "step").limit(newest)
