@@ -6,10 +6,10 @@ with one from the second: 12 x 12 tables of six minima from 72 minima instead of
 in some table unless one collection misses, so the miss probability is at most 2 (1 - s^3)^12 (4e-4 at s = 0.8).
 
 Classes that meet in a table become candidate pairs. A bucket of up to ``COMPLETE`` + 1 classes gives all its pairs.
-A larger one gives each class its neighbours in the bucket's order and the bucket's hub, the class that lies in most
-such buckets, so the number of candidates stays in proportion to the input; what that may leave unlinked is found
-exactly: classes of such buckets that still lie in different components meet again through their rarest shingles, of
-which two sets of similarity t must share one early enough.
+A larger one gives each class its neighbours in the bucket's order and the bucket's leaders, its first classes, so the
+number of candidates stays in proportion to the input and is found in one pass over the sorted bucket; what that may
+leave unlinked is found exactly: classes of such buckets that still lie in different components meet again through their
+rarest shingles, of which two sets of similarity t must share one early enough.
 """
 
 from __future__ import annotations
@@ -92,19 +92,23 @@ class _Chain:
         self.similar = similar
         self.keys, self.nodes, self.sizes = (np.zeros(0, dtype=np.int64) for _ in range(3))
         self.before = 0         # place in its run of the first row held
+        self.leader = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)      # node and size that began that run
 
     def feed(self, keys: np.ndarray, nodes: np.ndarray, sizes: np.ndarray):
-        """(pairs' left, pairs' right, keys and nodes of overfull runs, place of each row in its run)."""
+        """(pairs' left, pairs' right, nodes of overfull runs, place of each row in its run)."""
         held = len(self.keys)
         keys, nodes, sizes = (np.concatenate(x) for x in
                               ((self.keys, keys), (self.nodes, nodes), (self.sizes, sizes)))
         at = np.arange(len(keys))
         opens = np.ones(len(keys), dtype=bool)
         opens[1:] = keys[1:] != keys[:-1]
-        place = at - np.maximum.accumulate(np.where(opens, at, 0))
+        begin = np.maximum.accumulate(np.where(opens, at, 0))
+        place, lead, lead_size = at - begin, nodes[begin], sizes[begin]
         if held:
             same = held + int(np.argmax(np.append(keys[held:] != keys[0], True)))
             place[:same] += self.before
+            if self.before:
+                lead[:same], lead_size[:same] = self.leader
         left, right = [], []
         rows = np.flatnonzero(place > 0)
         rows = rows[rows >= held]
@@ -118,16 +122,19 @@ class _Chain:
         late = held + np.flatnonzero(place[held:] > COMPLETE)
         first = late[place[late] == COMPLETE + 1]       # with it come the rows before it
         full = np.unique(np.concatenate([late, (first[:, None] - np.arange(COMPLETE + 2)).reshape(-1)]))
-        overfull = keys[full], nodes[full]
+        near = lead_size[late] >= self.similar * sizes[late] - 1e-9         # rows come by size, the leader has the least
+        left.append(lead[late][near])
+        right.append(nodes[late][near])
+        overfull = np.unique(nodes[full])
         if len(keys):
             tail = max(int(np.flatnonzero(opens)[-1]), len(keys) - COMPLETE - 1)
             self.keys, self.nodes, self.sizes = keys[tail:], nodes[tail:], sizes[tail:]
-            self.before = int(place[tail])
+            self.before, self.leader = int(place[tail]), (lead[tail], lead_size[tail])
         return np.concatenate(left), np.concatenate(right), overfull, place[held:]
 
 
 # Rows between the tasks: a row of a table (key, node, size); a candidate pair (any key, node, PAIR, node); a class of an
-# overfull bucket (any key, node, MEMBER, bucket); a bucket known to be overfull (key, -, MARK), before its rows in order.
+# overfull bucket (any key, node, MEMBER); a bucket known to be overfull (key, -, MARK), before its rows in order.
 FIELDS = "key long, a long, size int, b long"
 PAIR, MEMBER, MARK = -1, -2, -3
 
@@ -162,37 +169,32 @@ def _table_rows(classes: DataFrame, similar: float) -> DataFrame:
                 yield _rows(keys[head], nodes[head], sizes[head], None)
                 if late.any():                          # pairs among the heads are found again where tables meet
                     yield _rows(_anywhere(left, right), left, PAIR, right)
-                    yield _rows(_anywhere(nodes[late], keys[late]), nodes[late], MEMBER, keys[late])
+                    found = np.unique(nodes[late])
+                    yield _rows(mix(found.view(np.uint64)).view(np.int64), found, MEMBER, None)
                     yield _rows(np.unique(keys[late]), None, MARK, None)
 
     return classes.select("node", "n_shingles", "signature").mapInArrow(spread, FIELDS)
 
 
 def candidates(classes: DataFrame, similar: float) -> DataFrame:
-    """(a, b, bucket): candidate pairs a, b, and the classes a of each bucket that gave only neighbours."""
+    """(a, b): candidate pairs; with null for b, the classes a of buckets that gave only neighbours and leaders."""
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chain, marked = _Chain(similar), np.zeros(0, dtype=np.int64)
         for batch in batches:
             key, a, size, b = (batch.column(i).fill_null(0).to_numpy(zero_copy_only=False) for i in range(4))
             row, pair, member = size >= 0, size == PAIR, size == MEMBER
             marked = np.unique(np.concatenate([marked[-1:], key[size == MARK]]))    # the last one's rows may go on
-            left, right, (bucket, node), _ = chain.feed(key[row], a[row], size[row].astype(np.int64))
+            left, right, nodes, _ = chain.feed(key[row], a[row], size[row].astype(np.int64))
             left, right = np.concatenate([left, a[pair]]), np.concatenate([right, b[pair]])
             pairs = np.unique(np.stack([np.minimum(left, right), np.maximum(left, right)], axis=1), axis=0)
-            known = np.isin(key[row], marked)
-            bucket = np.concatenate([bucket, b[member], key[row][known]])
-            node = np.concatenate([node, a[member], a[row][known]])
-            n, total = len(pairs), len(pairs) + len(node)
-            empty, is_pair = np.zeros(total, np.int64), np.arange(total) < n
-            second, third = empty.copy(), empty
-            second[:n], third[n:] = pairs[:, 1], bucket
+            nodes = np.unique(np.concatenate([nodes, a[member], a[row][np.isin(key[row], marked)]]))
+            second = np.concatenate([pairs[:, 1], np.zeros(len(nodes), np.int64)])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([pairs[:, 0], node]), pa.int64()), pa.array(second, pa.int64(), mask=~is_pair),
-                 pa.array(third, pa.int64(), mask=is_pair)], ["a", "b", "bucket"])
+                [pa.array(np.concatenate([pairs[:, 0], nodes]), pa.int64()),
+                 pa.array(second, pa.int64(), mask=np.arange(len(second)) >= len(pairs))], ["a", "b"])
 
     rows = _table_rows(classes, similar)
-    return (rows.repartition("key").sortWithinPartitions("key", "size", "a")
-            .mapInArrow(meet, "a long, b long, bucket long"))
+    return rows.repartition("key").sortWithinPartitions("key", "size", "a").mapInArrow(meet, "a long, b long").distinct()
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
@@ -231,15 +233,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(check, "a long, b long")
 
 
-def _hub_pairs(hot_rows: DataFrame) -> DataFrame:
-    """Each class of an overfull bucket (key, node) with the bucket's hub: groups around one text hang together by it."""
-    degree = hot_rows.groupBy(F.col("node").alias("d_node")).agg(F.count(F.lit(1)).alias("degree"))
-    ranked = hot_rows.join(degree, F.col("node") == F.col("d_node"))
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "node"))["node"].alias("hub"))
-    pairs = hot_rows.join(hubs, "key").where("node <> hub")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-
-
 def _left_over(docs, classes, members, roots, k, percent) -> DataFrame:
     """Links between classes of overfull buckets that still lie in different components, found exactly.
 
@@ -294,15 +287,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     classes = settle(signed.where("node is not null").groupBy("node", "n_shingles").agg(
         F.min("doc_id").alias("first_id"), F.first("signature").alias("signature")), "near-classes")
     found = settle(candidates(classes, percent / 100), "near-candidates")
-    hot_rows = found.where("bucket is not null").select(F.col("bucket").alias("key"), F.col("a").alias("node")).distinct()
-    hot_rows = settle(hot_rows, "near-overfull")
-    near = found.where("b is not null").select("a", "b").union(_hub_pairs(hot_rows))
-    pairs = settle(near.distinct(), "near-pairs")
+    pairs = found.where("b is not null")
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = settle(_full_sets(docs, classes, nodes, k), "near-sets")
     links = settle(_confirmed(pairs, sets, percent), "near-links")
     roots = settle(components(links), "near-roots")
-    members = hot_rows.select("node").distinct()
+    members = found.where("b is null").select(F.col("a").alias("node"))
     if not members.isEmpty():
         more = settle(_left_over(docs, classes, members, roots, k, percent), "near-links")
         if not more.isEmpty():
