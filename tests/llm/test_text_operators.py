@@ -332,23 +332,24 @@ def test_contexts_are_whole_words_before(workers):
         assert got[right] > got[wrong] + 1
 
 
-def test_probabilities_add_up_to_one():
-    from tidemark.llm import seating
+@pytest.mark.parametrize("sweeps, burn_in", [(1, 0), (3, 1)])
+def test_probabilities_add_up_to_one(workers, sweeps, burn_in):
+    """Over all words and the unknown one, in every restaurant, those without customers included."""
     rng = np.random.default_rng(4)
-    words = np.arange(1, 301)
-    sizes = rng.integers(1, 9, 300)
-    leaves = np.concatenate([np.sort(rng.choice(600, n, replace=False)) for n in sizes])
-    customers = rng.integers(1, 400, len(leaves)) ** 2 // 300 + 1
-    block = seating.Blocks(words, sizes, leaves, customers)
-    history = [seating.first_totals(300, np.bincount(leaves, customers, minlength=seating.LEAVES).astype(float))]
-    for _ in range(3):
-        block.replay(history)
-        assert (block.leaf_t >= 1).all() and (block.leaf_t <= customers).all()
-        history.append(seating.next_totals(history[-1], block.counts()))
-    for totals in block.samples(history, 1):
-        for leaf in (0, int(leaves[5]), 599, 40_000):
-            own = block.probability(np.arange(-1, 300), np.full(301, leaf), totals)
-            assert abs(own.sum() - 1) < 1e-9 and (own > 0).all()
+    contexts = [(100 + two, two % 5) for two in range(12)]
+    counts = {(word, two): int(rng.integers(0, 60) ** 2 // 600) if word and two < 111 else 0
+              for word in range(31) for two, _ in contexts}
+    trained = {word: sum(counts[word, two] for two, _ in contexts) for word in range(31)}
+    leaves = workers.createDataFrame(
+        [(word, one, two, word % 3 == 0, one % 2 == 0, counts[word, two]) for word in range(31) for two, one in contexts],
+        "word long, one long, two long, hot boolean, hot_one boolean, n long")
+    words = workers.createDataFrame([(w, w % 3 == 0, n) for w, n in trained.items()], "word long, hot boolean, trained long")
+    learned, distinct = sum(trained.values()), sum(n > 0 for n in trained.values())
+    assert trained[0] == 0 and distinct == 30
+    model = rows_of(pitman_yor.sampled(leaves, words, learned, distinct, sweeps, burn_in), "word", "two", "p")
+    for two, _ in contexts:
+        own = [p for _, t, p in model if t == two]
+        assert len(own) == 31 and min(own) > 0 and abs(sum(own) - 1) < 1e-9
 
 
 def test_seating_follows_the_restaurant():

@@ -1,56 +1,21 @@
 """Chinese-restaurant seating of a hierarchical Pitman-Yor model, for many words at once.
 
-Restaurants form a tree: the root, 256 restaurants for the last byte of the word before, and under each of them 256
-for what precedes that byte. Each table of a restaurant is a customer of its parent. A word's tables in a restaurant
-depend on the other words only through the restaurant's totals, so given those (from the sweep before) the words are
-seated independently, each block of customers of one word anew: a Gibbs sweep over word blocks. Random numbers are
-hashes of word, restaurant, customer and sweep, so a sweep is the same wherever it runs and however often.
-
-``pitman_yor`` uses ``seat`` and ``STRENGTHS`` over tables that grow with the corpus; ``Blocks`` and ``Totals`` are the same
-steps over this fixed tree in one process, and only tests use them.
+A word's tables in a restaurant depend on the other words only through the restaurant's totals, so given those (from
+the sweep before) the words are seated independently, each block of customers of one word anew: a Gibbs sweep over word
+blocks. Random numbers are hashes of word, restaurant, customer and sweep, so a sweep is the same wherever it runs and
+however often.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
-
 import numpy as np
 
 from tidemark.llm.tokens import mix
 
-LEAVES, MIDS = 1 << 16, 1 << 8
 SINGLE_STEPS = 128          # customers seated one by one; later ones in runs of an eighth of those seated
 STRENGTHS = (1.0, 1.0, 1.0)
 
 
-@dataclass
-class Totals:
-    """What a sweep needs to know of all words: customers and tables of every restaurant, and the discounts."""
-
-    words: int                      # distinct training words
-    leaf_customers: np.ndarray
-    leaf_tables: np.ndarray
-    mid_customers: np.ndarray
-    mid_tables: np.ndarray
-    root_customers: float
-    root_tables: float
-    discounts: tuple[float, float, float]       # root, mid, leaf
-
-    def new_root(self) -> float:
-        """Probability of one of the words + 1 dishes of the base, by a new table of the root."""
-        d, s = self.discounts[0], STRENGTHS[0]
-        return (s + d * self.root_tables) / (s + self.root_customers) / (self.words + 1)
-
-    def to_root(self) -> np.ndarray:
-        d, s = self.discounts[1], STRENGTHS[1]
-        return (s + d * self.mid_tables) / (s + self.mid_customers)
-
-    def to_mid(self) -> np.ndarray:
-        d, s = self.discounts[2], STRENGTHS[2]
-        return (s + d * self.leaf_tables) / (s + self.leaf_customers)
-
-
 def uniform(seeds: np.ndarray, step: int, sweep: int) -> np.ndarray:
     salt = (step * 0x9E3779B97F4A7C15 + sweep * 0xD1B54A32D192ED03) & ((1 << 64) - 1)
     return (mix(seeds ^ np.uint64(salt)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
@@ -107,103 +72,3 @@ def look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarra
         return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
     place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return place, keys[place] == wanted
-
-
-class Blocks:
-    """The restaurants of some words: words' hashes, and for each word its leaves (ascending) and customers there."""
-
-    def __init__(self, words: np.ndarray, sizes: np.ndarray, leaves: np.ndarray, customers: np.ndarray) -> None:
-        self.words = words.view(np.uint64)
-        self.owner = np.repeat(np.arange(len(words)), sizes)
-        self.leaves, self.customers = leaves.astype(np.int64), customers.astype(np.float64)
-        mids = self.owner * MIDS + (self.leaves >> 8)
-        opens = np.flatnonzero(np.concatenate([[True], mids[1:] != mids[:-1]])) if len(mids) else np.zeros(0, np.int64)
-        self.mid_begin, self.mid_key = opens, mids[opens]
-        self.mid_of = np.repeat(np.arange(len(opens)), np.diff(np.append(opens, len(mids))))
-        self.mids, self.mid_owner = self.mid_key % MIDS, self.mid_key // MIDS
-        self.leaf_seeds = mix(self.words[self.owner] + mix(self.leaves.astype(np.uint64) + np.uint64(1 << 20)))
-        self.mid_seeds = mix(self.words[self.mid_owner] + mix(self.mids.astype(np.uint64) + np.uint64(1 << 21)))
-        self.root_seeds = mix(self.words + np.uint64(1 << 22))
-        total = np.bincount(self.owner, self.customers, minlength=len(words))
-        self.total = total
-
-    def _by_mid(self, x: np.ndarray) -> np.ndarray:
-        return np.bincount(self.mid_of, x, minlength=len(self.mid_key))
-
-    def sweep(self, totals: Totals, number: int) -> None:
-        """Seat all customers anew: leaves under the parents' probabilities of the sweep before, then their parents."""
-        if number == 0:
-            root = self.total / max(totals.leaf_customers.sum(), 1)
-            mid = root[self.mid_owner]
-        else:
-            root, mid = self.root, self.mid
-        d0, d1, d2 = totals.discounts
-        weight = (STRENGTHS[2] + d2 * totals.leaf_tables[self.leaves]) * mid[self.mid_of]
-        self.leaf_t = seat(self.customers, weight, d2, self.leaf_seeds, number)
-        self.mid_c = self._by_mid(self.leaf_t)
-        weight = (STRENGTHS[1] + d1 * totals.mid_tables[self.mids]) * root[self.mid_owner]
-        self.mid_t = seat(self.mid_c, weight, d1, self.mid_seeds, number)
-        self.root_c = np.bincount(self.mid_owner, self.mid_t, minlength=len(self.words))
-        weight = np.full(len(self.words), (STRENGTHS[0] + d0 * totals.root_tables) / (totals.words + 1))
-        self.root_t = seat(self.root_c, weight, d0, self.root_seeds, number)
-
-    def settle(self, totals: Totals) -> None:
-        """Predictive probabilities of this seating, with the totals that all words' seatings add up to."""
-        d0, d1, d2 = totals.discounts
-        self.root = (self.root_c - d0 * self.root_t) / (STRENGTHS[0] + totals.root_customers) + totals.new_root()
-        own = (self.mid_c - d1 * self.mid_t) / (STRENGTHS[1] + totals.mid_customers[self.mids])
-        self.mid = own + totals.to_root()[self.mids] * self.root[self.mid_owner]
-        own = (self.customers - d2 * self.leaf_t) / (STRENGTHS[2] + totals.leaf_customers[self.leaves])
-        self.leaf = own + totals.to_mid()[self.leaves] * self.mid[self.mid_of]
-
-    def replay(self, history: list[Totals]) -> None:
-        """All sweeps that ``history`` has the totals of, and the one after them."""
-        self.sweep(history[0], 0)
-        for number, totals in enumerate(history[1:], 1):
-            self.settle(totals)
-            self.sweep(totals, number)
-
-    def samples(self, history: list[Totals], burn_in: int) -> Iterator[Totals]:
-        """Settles the seatings after ``burn_in`` sweeps, one after the other, and gives the totals of each."""
-        for number in range(len(history) - 1):
-            self.sweep(history[number], number)
-            self.settle(history[number + 1])
-            if number >= burn_in:
-                yield history[number + 1]
-
-    def probability(self, word: np.ndarray, leaf: np.ndarray, totals: Totals) -> np.ndarray:
-        """Of words (places in this block, -1 for words never trained) after contexts, under the settled seating."""
-        known = word >= 0
-        at = np.maximum(word, 0)
-        root = np.where(known, self.root[at] if len(self.root) else 0.0, totals.new_root())
-        place, found = look_up(self.mid_key, np.where(known, at * MIDS + (leaf >> 8), -1))
-        mid = np.where(found, self.mid[place] if len(self.mid) else 0.0, totals.to_root()[leaf >> 8] * root)
-        place, found = look_up(self.leaf_key(), np.where(known, at * LEAVES + leaf, -1))
-        return np.where(found, self.leaf[place] if len(self.leaf) else 0.0, totals.to_mid()[leaf] * mid)
-
-    def leaf_key(self) -> np.ndarray:
-        return self.owner * LEAVES + self.leaves
-
-    def counts(self) -> np.ndarray:
-        """What this seating adds to the totals: leaf tables, mid customers and tables, root, groups of one and two."""
-        out = [np.bincount(self.leaves, self.leaf_t, minlength=LEAVES),
-               np.bincount(self.mids, self.mid_c, minlength=MIDS), np.bincount(self.mids, self.mid_t, minlength=MIDS),
-               [self.root_c.sum(), self.root_t.sum()]]
-        for c in (self.root_c, self.mid_c, self.customers):
-            out.append([(c == 1).sum(), (c == 2).sum()])
-        return np.concatenate(out).astype(np.int64)
-
-
-def next_totals(before: Totals, summed: np.ndarray) -> Totals:
-    at = np.cumsum([LEAVES, MIDS, MIDS, 2])
-    leaf_t, mid_c, mid_t, root, singles = np.split(summed.astype(np.float64), at)
-    discounts = tuple(float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one + two else 0.5
-                      for one, two in singles.reshape(3, 2))
-    return Totals(before.words, before.leaf_customers, leaf_t, mid_c, mid_t, float(root[0]), float(root[1]), discounts)
-
-
-def first_totals(words: int, leaf_customers: np.ndarray) -> Totals:
-    """Before the first sweep: one table in two holds one customer, everywhere."""
-    mid = leaf_customers.reshape(MIDS, -1).sum(axis=1)
-    return Totals(words, leaf_customers, leaf_customers / 2, mid / 2, mid / 4, float(mid.sum() / 4),
-                  float(mid.sum() / 8), (0.5, 0.5, 0.5))
