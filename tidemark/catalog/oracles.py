@@ -454,6 +454,7 @@ FINAL["volume_zscore"] = "select trade_date, symbol, volume, volume_ratio_20d, v
 FINAL["peer_move"] = "select trade_date, symbol, industry, return_pct, peer_return_pct, price_z from sig_d"
 FINAL["signals_default"] = "select * from sig_d"
 FINAL["signals_relaxed"] = "select * from sig_r"
+FINAL["facts_by_day"], FINAL["signals_by_day"] = FINAL["stock_metrics"], FINAL["signals_relaxed"]
 for name, flag, columns in (
         ("rule_volume_spike", "r_volume_spike", "volume, volume_ratio_20d"),
         ("rule_price_shock", "r_price_shock", "return_pct, peer_return_pct"),

@@ -17,7 +17,7 @@ from tidemark.operators import checks
 from tidemark.operators.asof import between_join
 from tidemark.operators.windows import first_per
 from tidemark.params import QualityParams, SurveillanceParams
-from tidemark.plans import (calendar, facts, funds, ingest, portfolio, quality, reference, screens, signals, triage,
+from tidemark.plans import (calendar, daily, facts, funds, ingest, portfolio, quality, reference, screens, signals, triage,
                             validation)
 from tidemark.session import checkpoint_dir
 from tidemark.sources import bronze, store
@@ -153,6 +153,17 @@ def signals_relaxed(w):
     return w.signals(RELAXED)
 
 
+@query
+def facts_by_day(w):
+    return daily.stored(w.spark, w.taken_by_day(RELAXED), "facts").withColumn(
+        "avg_deliv_pct_20d", rounded("avg_deliv_pct_20d", 6))
+
+
+@query
+def signals_by_day(w):
+    return daily.stored(w.spark, w.taken_by_day(RELAXED), "signals")
+
+
 def _fired(w, flag: str, *columns: str):
     return w.signals(RELAXED).filter(F.col(flag)).select("trade_date", "symbol", *columns)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.catalog import domain, rawtext
 from tidemark.params import SurveillanceParams
-from tidemark.plans import facts, funds, history, ingest, portfolio, quality, reference, screens, signals, triage, validation
+from tidemark.plans import daily, facts, funds, history, ingest, portfolio, quality, reference, screens, signals, triage, validation
 from tidemark.session import checkpoint_dir
 from tidemark.sources import store
 from tidemark.sources.store import settle
@@ -40,7 +40,7 @@ def model(build):
 class Warehouse:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder
-        self._built: dict[tuple, DataFrame] = {}
+        self._built: dict[tuple, DataFrame | str] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Warehouse":
@@ -64,6 +64,18 @@ class Warehouse:
     def fact(self) -> DataFrame:
         return facts.stock_daily(self.source(domain.bars), self.stocks())
 
+    def taken_by_day(self, p: SurveillanceParams, days: int = 2) -> str:
+        """Facts and signals whose last days came one at a time: the folder they are stored in."""
+        if ("taken_by_day", p) not in self._built:
+            path = f"{checkpoint_dir(self.spark)}/by-day-{uuid.uuid4().hex}"
+            prices = settle(self.source(domain.bars), "bars")
+            last = [r[0] for r in prices.select("trade_date").distinct().orderBy(F.desc("trade_date")).limit(days).collect()]
+            daily.take(prices.where(F.col("trade_date") < F.lit(last[-1])), self.stocks(), path, p)
+            for day in reversed(last):
+                daily.take(prices.where(F.col("trade_date") == F.lit(day)), self.stocks(), path, p)
+            self._built["taken_by_day", p] = path
+        return self._built["taken_by_day", p]
+
     @model
     def filings(self) -> DataFrame:
         return reference.staged_announcements(self.source(domain.announcements))
