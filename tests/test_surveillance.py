@@ -208,3 +208,17 @@ def test_resolve_names(spark):
     assert got == {"tcs.NS": ("TCS", "symbol"), "infosys": ("INFY", "exact name"), "tata": ("TCS", "name starts with"),
                    "MOTORS": ("TATAM", "name contains"), "nobody": (None, "not found"), "a.c": (None, "not found"),
                    "new tata": ("NEWT", "exact name"), "s": ("TCS", "name contains")}
+
+
+def test_names_that_start_alike_meet_few_tokens(spark):
+    """2,000 names and tokens share their first word; only names that hold a token's rarest gram are candidates."""
+    number = F.lpad(F.conv(F.col("id"), 10, 36), 4, "0")
+    known = spark.range(2000).select(F.concat(F.lit("S"), "id").alias("symbol"),
+                                     F.concat(F.lit("ALPHA "), number, F.lit(" LIMITED")).alias("_name"),
+                                     F.col("id").cast("double").alias("_turnover"))
+    wanted = spark.range(2000).select(F.concat(F.lit("ALPHA "), number).alias("_t"))
+    pairs = screens.name_candidates(wanted, known)
+    assert pairs.filter(F.col("_name").contains(F.col("_t"))).count() == 2000
+    assert pairs.count() < 2000 * 60            # four million met on the first letters
+    unknown = spark.createDataFrame([("ALPHQ 0001",)], "_t string")
+    assert screens.name_candidates(unknown, known).count() == 0

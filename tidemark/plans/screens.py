@@ -158,38 +158,57 @@ def stock_levels(checked: DataFrame, fact: DataFrame) -> DataFrame:
         F.when(F.col("kind") != "ok", F.col("title")).otherwise("—").alias("main_reason"), "as_of", "close")
 
 
+GRAM = 3
+
+
+def _pieces(text: Column, size: int) -> Column:
+    """All substrings of ``size`` letters."""
+    places = F.sequence(F.lit(1), F.length(text) - (size - 1))
+    return F.when(F.length(text) >= size, F.transform(places, lambda i: F.substring(text, i, size))).otherwise(F.array())
+
+
+def _grams(text: Column) -> Column:
+    """Distinct substrings of ``GRAM`` letters, or the whole of a shorter text."""
+    return F.when(F.length(text) <= GRAM, F.array(text)).otherwise(F.array_distinct(_pieces(text, GRAM)))
+
+
+def name_candidates(wanted: DataFrame, known: DataFrame) -> DataFrame:
+    """(_t, symbol, _name, _turnover): names that hold the rarest gram of each wanted text ``_t``, all that contain it among them.
+
+    How many names hold each gram is counted first. A text with a gram that no name holds has no candidates; any other
+    meets only the names of its rarest gram, so texts that start alike, or hold a common word, do not meet them all.
+    """
+    all_sizes = F.flatten(F.array(*[_pieces(F.col("_name"), size) for size in range(1, GRAM + 1)]))
+    index = known.select("*", F.explode(F.array_distinct(all_sizes)).alias("_gram"))
+    held = index.groupBy("_gram").agg(F.count("*").alias("_names"))
+    asked = wanted.select("_t", F.size(_grams(F.col("_t"))).alias("_needed"), F.explode(_grams(F.col("_t"))).alias("_gram"))
+    rarest = asked.join(held, "_gram").groupBy("_t", "_needed").agg(
+        F.count("*").alias("_found"), F.min_by("_gram", F.struct("_names", "_gram")).alias("_gram"))
+    return rarest.filter("_found = _needed").select("_t", "_gram").join(index, "_gram").drop("_gram")
+
+
 def resolve_names(tokens: DataFrame, directory: DataFrame) -> DataFrame:
     """Match typed tokens to symbols: the symbol itself, else the best company name.
 
     Exact name beats a name starting with the token, which beats a name containing it; ties go to the most
-    traded stock. Candidates meet on the token's first few letters, which every name holding the token has
-    somewhere, so no token is compared with all names.
+    traded stock. Null and blank tokens are left out.
     """
     cleaned = F.regexp_replace(F.upper(F.trim("token")), fixed.TICKER_SUFFIX_PATTERN, "")
     wanted = tokens.select(F.trim("token").alias("token"), cleaned.alias("_t")).filter(F.col("_t") != "").distinct()
     known = directory.select("symbol", F.upper(F.coalesce("company_name", F.lit(""))).alias("_name"),
                              F.coalesce("avg_turnover_lacs", F.lit(0.0)).alias("_turnover"))
-    exact = wanted.join(known.select("symbol"), F.col("_t") == F.col("symbol")).select(
-        "token", "symbol", F.lit("symbol").alias("matched_by"))
-    named = wanted.join(known.select(F.col("symbol").alias("_t")), "_t", "left_anti")
-    length = F.length("_name")
-    starts = F.sequence(F.lit(1), F.greatest(length, F.lit(1)))
-    grams = F.array_distinct(F.flatten(F.transform(F.array(F.lit(1), F.lit(2), F.lit(3)), lambda size: F.transform(
-        starts, lambda i: F.substring(F.col("_name"), i, size)))))
-    indexed = known.withColumn("_gram", F.explode(grams))
-    candidates = named.withColumn("_gram", F.substring("_t", 1, 3)).join(indexed, "_gram").filter(
-        F.col("_name").contains(F.col("_t")))
+    symbols = known.select(F.col("symbol").alias("_t"), F.col("symbol").alias("_direct"))
+    named = wanted.select("_t").distinct().join(symbols, "_t", "left_anti")
+    candidates = name_candidates(named, known).filter(F.col("_name").contains(F.col("_t")))
     base = F.trim(F.regexp_replace("_name", fixed.NAME_SUFFIX_PATTERN, ""))
     rank = (F.when(base == F.col("_t"), 0).when(F.col("_name").startswith(F.col("_t")), 1).otherwise(2))
-    best = first_per(candidates.withColumn("_rank", rank), ["token"], F.col("_rank"), F.col("_turnover").desc(),
-                     F.col("symbol"))
-    by_name = best.select("token", "symbol", F.element_at(
-        F.array(F.lit("exact name"), F.lit("name starts with"), F.lit("name contains")), F.col("_rank") + 1)
-        .alias("matched_by"))
-    found = exact.unionByName(by_name)
-    missing = wanted.join(found, "token", "left_anti").select(
-        "token", F.lit(None).cast("string").alias("symbol"), F.lit("not found").alias("matched_by"))
-    return found.unionByName(missing)
+    best = first_per(candidates.withColumn("_rank", rank), ["_t"], F.col("_rank"), F.col("_turnover").desc(),
+                     F.col("symbol")).select("_t", "symbol", "_rank")
+    return wanted.join(symbols, "_t", "left").join(best, "_t", "left").select(
+        "token", F.coalesce("_direct", "symbol").alias("symbol"),
+        F.when(F.col("_direct").isNotNull(), "symbol").when(F.col("_rank") == 0, "exact name")
+        .when(F.col("_rank") == 1, "name starts with").when(F.col("_rank") == 2, "name contains")
+        .otherwise("not found").alias("matched_by"))
 
 
 def portfolio_scan(holdings: DataFrame, levels: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from tidemark.functions.cleaning import ratio, rounded
 from tidemark.operators.asof import spread_days
 from tidemark.operators.grouping import counted, median_of_counts
 from tidemark.operators.windows import any_before, by_date, rows, with_streak, zscore
-from tidemark.params import SurveillanceParams
+from tidemark.params import BASELINES, SurveillanceParams
 from tidemark.sources.store import settle
 
 
@@ -107,35 +108,42 @@ def measured(fact: DataFrame, stocks: DataFrame, p: SurveillanceParams = Surveil
             .withColumn("price_z", F.abs(F.col("return_pct") - F.col("peer_return_pct")) / floor))
 
 
-def flagged(measures: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
-    """The seven rules under one baseline. A row needs history before any rule may fire."""
+def _shown() -> list[str | Column]:
+    def shown(c: str) -> Column:
+        return rounded(c, 2).alias(c)
+
+    return ["trade_date", "date_key", "symbol", "stock_sk", "company_name", "industry", "series", "close", "return_pct",
+            "gap_pct", "return_5d_pct", rounded(F.col("return_3d") * 100, 2).alias("return_3d_pct"), "volume",
+            "volume_ratio_20d", shown("volume_ratio_5d"), shown("volume_z"), shown("price_z"), "deliv_pct",
+            shown("deliv_pct_5d"), rounded("deliv_pct_base", 2).alias("deliv_pct_20d_avg"), shown("peer_return_pct"),
+            shown("avg_turnover_cr_20d"), "circuit_streak", "history_days"]
+
+
+def _flags(p: SurveillanceParams) -> dict[str, Column]:
+    """The seven rules over the measures. A row needs history before any rule may fire."""
     seasoned = F.col("history_days") >= p.min_history_days
     rule = _rules(p)
     fell = (F.col("return_pct") <= -p.dump_return_pct) | (F.col("return_3d") <= -p.dump_return_3d_pct / 100.0)
+    return {
+        "r_volume_spike": seasoned & _true(rule["spike"]),
+        "r_price_shock": seasoned & _true(rule["shock"]),
+        "r_pump": seasoned & _true(F.col("pump_due")),
+        "r_dump_after_pump": seasoned & F.col("pumped_recently") & fell,
+        "r_delivery_anomaly": seasoned & _true(rule["delivery"]),
+        "r_circuit_streak": seasoned & (F.col("circuit_streak") >= p.circuit_streak_days),
+        "r_gap_move": seasoned & _true(rule["gap"])}
 
-    def shown(c: str) -> Column:
-        return rounded(c, 2).alias(c)
 
-    return measures.select(
-        "trade_date", "date_key", "symbol", "stock_sk", "company_name", "industry", "series", "close", "return_pct",
-        "gap_pct", "return_5d_pct", rounded(F.col("return_3d") * 100, 2).alias("return_3d_pct"), "volume",
-        "volume_ratio_20d", shown("volume_ratio_5d"), shown("volume_z"), shown("price_z"), "deliv_pct",
-        shown("deliv_pct_5d"), rounded("deliv_pct_base", 2).alias("deliv_pct_20d_avg"), shown("peer_return_pct"),
-        shown("avg_turnover_cr_20d"), "circuit_streak", "history_days",
-        (seasoned & _true(rule["spike"])).alias("r_volume_spike"),
-        (seasoned & _true(rule["shock"])).alias("r_price_shock"),
-        (seasoned & _true(F.col("pump_due"))).alias("r_pump"),
-        (seasoned & F.col("pumped_recently") & fell).alias("r_dump_after_pump"),
-        (seasoned & _true(rule["delivery"])).alias("r_delivery_anomaly"),
-        (seasoned & (F.col("circuit_streak") >= p.circuit_streak_days)).alias("r_circuit_streak"),
-        (seasoned & _true(rule["gap"])).alias("r_gap_move"))
+def flagged(measures: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
+    """The seven rules under one baseline."""
+    return measures.select(*_shown(), *[c.alias(name) for name, c in _flags(p).items()])
 
 
 def signals(fact: DataFrame, stocks: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
     return flagged(measured(fact, stocks, p), p)
 
 
-def _points(p: SurveillanceParams) -> dict[str, Column]:
+def _points(p: SurveillanceParams, prefix: str = "") -> dict[str, Column]:
     """Points of each rule when it fired; the steeper the event the more, up to a cap."""
     if p.baseline == "per_stock":
         volume, shock = 8 * F.col("volume_z"), 6 * F.col("price_z")
@@ -151,7 +159,7 @@ def _points(p: SurveillanceParams) -> dict[str, Column]:
         "pts_circuit": F.least(F.lit(30), 10 * F.col("circuit_streak")),
         "pts_gap": F.least(F.lit(20.0), rounded(2 * F.abs("gap_pct"))),
     }
-    points = {name: F.when(F.col(flag), earned[name]).otherwise(0) for flag, name, _ in fixed.RULES}
+    points = {name: F.when(F.col(prefix + flag), earned[name]).otherwise(0) for flag, name, _ in fixed.RULES}
     points["pts_illiquid"] = F.when(F.col("avg_turnover_cr_20d") < p.illiquid_turnover_cr, 10).otherwise(0)
     return points
 
@@ -187,16 +195,33 @@ def _reason(p: SurveillanceParams) -> Column:
     return F.concat_ws("; ", *fired, thin)
 
 
-def scored(signal: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
-    """Signals that reach the minimum score: strongest rule in full, the others at half, plus illiquidity."""
-    fired = reduce(lambda a, b: a | b, [F.col(flag) for flag, _, _ in fixed.RULES])
-    names = [name for _, name, _ in fixed.RULES]
+def _any_fired(prefix: str = "") -> Column:
+    return reduce(lambda a, b: a | b, [F.col(prefix + flag) for flag, _, _ in fixed.RULES])
+
+
+def _risk_score(prefix: str = "") -> Column:
+    """Strongest rule in full, the others at half, plus illiquidity."""
+    names = [prefix + name for _, name, _ in fixed.RULES]
     strongest = F.greatest(*names)
     everything = reduce(lambda a, b: a + b, [F.col(n) for n in names])
-    raw = strongest + 0.5 * (everything - strongest) + F.col("pts_illiquid")
-    return (signal.filter(fired).withColumns({n: c.cast("double") for n, c in _points(p).items()})
-            .withColumn("risk_score", F.least(F.lit(100.0), rounded(raw)))
-            .filter(F.col("risk_score") >= p.min_alert_score))
+    return F.least(F.lit(100.0), rounded(strongest + 0.5 * (everything - strongest) + F.col(prefix + "pts_illiquid")))
+
+
+def scored(signal: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
+    """Signals that reach the minimum score."""
+    return (signal.filter(_any_fired()).withColumns({n: c.cast("double") for n, c in _points(p).items()})
+            .withColumn("risk_score", _risk_score()).filter(F.col("risk_score") >= p.min_alert_score))
+
+
+def scored_by_baseline(measures: DataFrame, p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
+    """(trade_date, symbol, and for each baseline its risk score, null where it raises no alert), every stock-day once."""
+    chosen = {baseline: replace(p, baseline=baseline) for baseline in BASELINES}
+    flags = [c.alias(f"{b}_{name}") for b, q in chosen.items() for name, c in _flags(q).items()]
+    judged = measures.select(*_shown(), *flags)
+    points = judged.withColumns({f"{b}_{n}": c.cast("double") for b, q in chosen.items()
+                                 for n, c in _points(q, f"{b}_").items()})
+    scores = points.select("trade_date", "symbol", *[F.when(_any_fired(f"{b}_"), _risk_score(f"{b}_")).alias(b) for b in chosen])
+    return scores.select("trade_date", "symbol", *[F.when(F.col(b) >= p.min_alert_score, F.col(b)).alias(b) for b in chosen])
 
 
 def news_by_day(filings: DataFrame, lookback_days: int) -> DataFrame:

@@ -13,7 +13,7 @@ from tidemark.operators.grouping import median
 from tidemark.operators.windows import so_far, top_per
 from tidemark.params import BASELINES, SurveillanceParams
 from tidemark.plans.facts import forward_returns
-from tidemark.plans.signals import alerts, flagged
+from tidemark.plans.signals import risk_band, scored_by_baseline
 from tidemark.sources.store import settle
 
 
@@ -144,40 +144,49 @@ def acted_on_high(outcome: DataFrame) -> DataFrame:
 
 def ablation(measures: DataFrame, filings: DataFrame, lists: DataFrame,
              p: SurveillanceParams = SurveillanceParams()) -> DataFrame:
-    """The same days judged under every baseline, side by side."""
-    rows = []
-    for baseline in BASELINES:
-        chosen = SurveillanceParams(**{**p.__dict__, "baseline": baseline})
-        signal = flagged(measures, chosen)
-        alert = settle(alerts(signal, filings, chosen).select("symbol", "trade_date", "risk_score", "risk_band"),
-                       f"alerts-{baseline}")
-        outcome = settle(outcomes(signal, alert, filings, lists), f"outcomes-{baseline}")
-        window = F.broadcast(alert_window(alert))
-        days = signal.select("trade_date").distinct().join(
-            window, F.col("trade_date").between(F.col("start_date"), F.col("end_date"))).agg(
-            F.count("*").alias("days"))
-        leaders = top_per(alert, ["trade_date"], 10, F.col("risk_score").desc(), F.col("symbol")).join(
-            outcome.select("symbol", "exchange_queried", "on_stasm"), "symbol").agg(
-            rounded(100 * F.avg((F.col("exchange_queried") | F.col("on_stasm")).cast("int")), 1)
-            .alias("top10_acted_pct"))
-        caught = F.col("best_band") != fixed.NOT_ALERTED
-        queried, high = F.col("exchange_queried"), F.col("best_band") == "HIGH"
-        any_rate = F.try_divide(F.count_if(caught & queried), F.count_if(caught))
-        all_rate = F.try_divide(F.count_if(queried), F.count("*"))
-        totals = outcome.agg(
-            F.sum("alert_days").alias("alerts"), F.count_if(caught).alias("stocks_alerted"),
-            rounded(F.try_divide(100.0 * F.count_if(caught & queried), F.count_if(queried)), 1)
-            .alias("recall_queried_pct"),
-            rounded(F.try_divide(100.0 * F.count_if(caught & F.col("on_stasm")), F.count_if(F.col("on_stasm"))), 1)
-            .alias("recall_stasm_pct"),
-            rounded(F.try_divide(any_rate, all_rate), 1).alias("any_alert_lift"),
-            F.count_if(high).alias("high_stocks"),
-            rounded(F.try_divide(100.0 * F.count_if(high & queried), F.count_if(high)), 1).alias("high_queried_pct"))
-        rows.append(totals.join(F.broadcast(days)).join(F.broadcast(leaders)).select(
-            F.lit(baseline).alias("baseline"), rounded(F.col("alerts") / F.col("days"), 1).alias("alerts_per_day"),
-            "stocks_alerted", "recall_queried_pct", "recall_stasm_pct", "any_alert_lift", "top10_acted_pct",
-            "high_stocks", "high_queried_pct"))
-    return reduce(DataFrame.unionByName, rows)
+    """The same days judged under every baseline, side by side; a baseline without alerts has zeros and nulls.
+
+    The measures are read once, each stock-day with its score under every baseline; from there on the baseline is a
+    column, so stocks, days and leaders of all baselines are aggregated together.
+    """
+    scores = settle(scored_by_baseline(measures, p), "scores")
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("baseline"), F.col(b).alias("risk_score")) for b in BASELINES]))
+    long = scores.select("symbol", "trade_date", each.alias("_b")).select("symbol", "trade_date", "_b.*")
+    alert = long.filter("risk_score is not null")
+    window = settle(alert.groupBy("baseline").agg(
+        F.min("trade_date").alias("start_date"), F.max("trade_date").alias("end_date")), "windows")
+    window = F.broadcast(window)                  # one row per baseline
+    inside = long.join(window, "baseline").filter(F.col("trade_date").between(F.col("start_date"), F.col("end_date")))
+    days = inside.select("baseline", "trade_date").distinct().groupBy("baseline").agg(F.count("*").alias("days"))
+    stocks = inside.groupBy("baseline", "symbol").agg(
+        F.count("risk_score").alias("alert_days"), F.max("risk_score").alias("best_score"))
+    asked = F.col("announced_date").between(F.date_sub("start_date", 5), F.date_add("end_date", 1))
+    queries = (filings.filter(F.col("news_type") == fixed.EXCHANGE_QUERY).select("symbol", "announced_date")
+               .join(window, asked).select("baseline", "symbol", F.lit(True).alias("_queried")).distinct())
+    member = list_membership(lists).select("symbol", "on_stasm")
+    outcome = settle(stocks.join(queries, ["baseline", "symbol"], "left").join(member, ["symbol"], "left").select(
+        "baseline", "symbol", "alert_days", F.coalesce("_queried", F.lit(False)).alias("queried"),
+        F.coalesce("on_stasm", F.lit(False)).alias("on_stasm"),
+        F.coalesce(risk_band(F.col("best_score"), p) == "HIGH", F.lit(False)).alias("high")), "outcomes")
+    leaders = top_per(alert, ["baseline", "trade_date"], 10, F.col("risk_score").desc(), F.col("symbol")).join(
+        outcome, ["baseline", "symbol"]).groupBy("baseline").agg(
+        rounded(100 * F.avg((F.col("queried") | F.col("on_stasm")).cast("int")), 1).alias("top10_acted_pct"))
+    caught, queried, high = F.col("alert_days") > 0, F.col("queried"), F.col("high")
+    any_rate = F.try_divide(F.count_if(caught & queried), F.count_if(caught))
+    all_rate = F.try_divide(F.count_if(queried), F.count("*"))
+    totals = outcome.groupBy("baseline").agg(
+        F.sum("alert_days").alias("alerts"), F.count_if(caught).alias("stocks_alerted"),
+        rounded(F.try_divide(100.0 * F.count_if(caught & queried), F.count_if(queried)), 1).alias("recall_queried_pct"),
+        rounded(F.try_divide(100.0 * F.count_if(caught & F.col("on_stasm")), F.count_if(F.col("on_stasm"))), 1)
+        .alias("recall_stasm_pct"),
+        rounded(F.try_divide(any_rate, all_rate), 1).alias("any_alert_lift"), F.count_if(high).alias("high_stocks"),
+        rounded(F.try_divide(100.0 * F.count_if(high & queried), F.count_if(high)), 1).alias("high_queried_pct"))
+    names = measures.sparkSession.createDataFrame([(b,) for b in BASELINES], "baseline string")
+    summed = F.broadcast(totals.join(days, "baseline").join(leaders, "baseline"))       # one row per baseline
+    return names.join(summed, ["baseline"], "left").select(
+        "baseline", rounded(F.col("alerts") / F.col("days"), 1).alias("alerts_per_day"),
+        F.coalesce("stocks_alerted", F.lit(0)).alias("stocks_alerted"), "recall_queried_pct", "recall_stasm_pct",
+        "any_alert_lift", "top10_acted_pct", F.coalesce("high_stocks", F.lit(0)).alias("high_stocks"), "high_queried_pct")
 
 
 def event_study(alert: DataFrame, fact: DataFrame, hold_days: int = 5) -> DataFrame:
