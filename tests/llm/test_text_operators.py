@@ -367,3 +367,36 @@ def test_seating_follows_the_restaurant():
                 tables += rng.random() * (weight + seated - discount * tables) < weight
             total += tables
         assert abs(ours - total / 600) < 0.12 * total / 600
+
+
+def test_tables_are_drawn_from_their_conditional_probabilities():
+    """Shares of each number of tables, against all ways to seat five customers counted one by one."""
+    from tidemark.llm import seating
+    strength, others, parent = 1.0, 7, 0.03
+    for discount in (0.2, 0.5, 0.9):
+        ways = {(1,): 1.0}                          # customers of each table, in the order of opening
+        for _ in range(4):
+            more = Counter()
+            for tables, chance in ways.items():
+                more[tables + (1,)] += chance
+                for i, x in enumerate(tables):
+                    more[tables[:i] + (x + 1,) + tables[i + 1:]] += chance * (x - discount)
+            ways = more
+        exact = Counter()
+        for tables, chance in ways.items():
+            exact[len(tables)] += chance * math.prod((strength + discount * (others + j)) * parent for j in range(len(tables)))
+        number = 200_000
+        seeds = np.random.default_rng(5).integers(0, 2**64, number, dtype=np.uint64)
+        got = seating.draw(np.full(number, 5), np.full(number, others), np.ones(number), np.full(number, parent), strength,
+                           seating.Stirling(discount), seeds, 2)
+        share = Counter(got.tolist())
+        assert all(abs(share[t] / number - exact[t] / sum(exact.values())) < 0.005 for t in range(1, 6))
+
+
+def test_perplexity_is_of_the_mean_token(workers):
+    from tidemark.llm.pitman_yor import perplexity
+    scored = workers.createDataFrame([(True, 4, -8.0, -4.0), (True, 6, -12.0, -6.0), (False, 5, -5.0, 0.0)],
+                                     "held_out boolean, n_tokens long, base_score double, score double")
+    got = {r.held_out: (r.n_tokens, round(r.base_perplexity, 6), round(r.perplexity, 6)) for r in perplexity(scored).collect()}
+    assert got == {True: (10, 100.0, 10.0), False: (5, 10.0, 1.0)}
+    assert perplexity(scored.where("false")).collect() == []

@@ -6,9 +6,10 @@ corpus, so all of them are tables:
 - ``leaves``: word and two-word context with customers and tables, also those that occur in held-out texts only (none);
 - ``mids``: word and one-word context, whose customers are the tables of the leaves under it;
 - ``roots``: words, whose customers are the tables of the mids.
-A restaurant's totals are sums over these by context, joined back to them for the next sweep. A word's tables in a
-restaurant depend on the other words only through the totals and its probability in the parent, so given those (from the
-sweep before) all rows are seated independently (see ``seating.seat``).
+A restaurant's totals are sums over these by context, joined back to them for the next sweep. In a sweep every row is a
+Gibbs step of its own: its customers are taken out, with their tables out of the restaurant's total, and seated anew given
+the tables of the other words and the word's probability in the parent (see ``seating.draw``). Both are those of the sweep
+before, so all rows of a level are seated side by side, levels from the leaves to the root.
 
 Pairs are counted in tasks before they are shuffled. What is joined by one word is split by how frequent the word is:
 the totals and probabilities of at most ``FREQUENT_WORDS`` words are broadcast, which keeps them out of the shuffles.
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import held_out
-from tidemark.llm.seating import STRENGTHS, look_up, seat
+from tidemark.llm.seating import STRENGTHS, Stirling, draw, look_up
 from tidemark.llm.tokens import Words, blocks, mix
 from tidemark.llm.vocabulary import frequent
 from tidemark.sources.store import settle
@@ -144,21 +145,21 @@ def by_one_word(rows: DataFrame, table: DataFrame, key: str, hot: str) -> DataFr
     return often.unionByName(rows.where(~F.col(hot)).join(table.where(~F.col(hot)).drop(hot), key))
 
 
-def with_tables(rows: DataFrame, customers: str, weight: Column, discount: float, context: str | None, sweep: int) -> DataFrame:
-    """``rows`` with ``t``: the tables of each row's customers, where a new table weighs ``weight``."""
-    names, level = rows.columns, 1 + ("one", "two").index(context) if context else 0
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+def with_tables(rows: DataFrame, customers: str, strength: float, discount: float, context: str | None, sweep: int) -> DataFrame:
+    """``rows`` without ``others``, ``own``, ``parent`` (see ``seating.draw``), and with ``t``: the tables drawn from them."""
+    names, level = [x for x in rows.columns if x not in ("others", "own", "parent")], 1 + ("one", "two").index(context) if context else 0
+    schema = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stirling = Stirling(discount)
         for batch in batches:
             word = batch.column("word").to_numpy().view(np.uint64)
             place = batch.column(context).to_numpy().view(np.uint64) if context else np.zeros(len(word), np.uint64)
-            t = seat(batch.column(customers).to_numpy(), batch.column("weight").to_numpy(), discount,
-                     mix(word + mix(place + np.uint64(level << 20))), sweep)
-            kept = [batch.column(x) for x in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(t.astype(np.int64))], [*names, "t"])
+            given = [batch.column(x).to_numpy() for x in (customers, "others", "own", "parent")]
+            t = draw(*given, strength, stirling, mix(word + mix(place + np.uint64(level << 20))), sweep)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(t)], [*names, "t"])
 
-    return rows.select("*", weight.cast("double").alias("weight")).mapInArrow(add, schema + ", t long")
+    return rows.mapInArrow(add, schema + ", t long")
 
 
 def discount_of(rows: DataFrame, customers: str) -> float:
@@ -179,6 +180,11 @@ def predicted(customers: str, discount: float, strength: float, parent: str) ->
     return (own + (strength + discount * F.col("k")) * F.col(parent)) / (strength + F.col("c"))
 
 
+def taken_out(tables: str, parent: str) -> list[Column]:
+    """What a row is seated by: the other words' tables in its restaurant (``k`` in all), its own, and the parent's probability."""
+    return [(F.col("k") - F.col(tables)).alias("others"), F.col(tables).alias("own"), F.col(parent).cast("double").alias("parent")]
+
+
 def sampled(leaves: DataFrame, words: DataFrame, learned: int, distinct: int, sweeps: int = SWEEPS,
             burn_in: int = BURN_IN) -> DataFrame:
     """(word, two, trained, p): each leaf's probability, averaged over the seatings after the first ``burn_in`` sweeps.
@@ -186,43 +192,47 @@ def sampled(leaves: DataFrame, words: DataFrame, learned: int, distinct: int, sw
     ``words`` has (word, hot, trained); ``learned`` and ``distinct`` are the sums of ``trained`` and of its signs.
     """
     s0, s1, s2 = STRENGTHS
-    # before the first sweep: one table in two holds one customer, everywhere
     d0 = d1 = d2 = 0.5
-    root_tables = learned / 8
-    roots = words.select("word", "hot", "trained", (F.col("trained") / max(learned, 1)).alias("p0"))
-    over = settle(leaves.groupBy("two").agg(F.sum("n").alias("c"), (F.sum("n") / 2).alias("k")), "lm-two")
-    ones = settle(leaves.groupBy("one", "hot_one").agg((F.sum("n") / 2).alias("c"), (F.sum("n") / 4).alias("k")), "lm-one")
-    pairs = leaves.select("word", "one", "hot").distinct()
-    mids = settle(by_one_word(pairs, roots, "word", "hot").select("word", "one", "trained", F.col("p0").alias("p1")),
-                  "lm-mids")
     first_d2 = discount_of(leaves, "n")
-    leaves = leaves.select("*", F.lit(0).cast("long").alias("t"), F.lit(0.0).alias("sum"))
+    # before the first sweep: one table for each word in each restaurant, and the words' frequencies as probabilities
+    root_tables = distinct
+    leaves = leaves.select("*", (F.col("n") > 0).cast("long").alias("t"), F.lit(0.0).alias("sum"))
+    over = settle(totals(leaves, "two", "n"), "lm-two")
+    pairs = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"))
+    pairs = settle(pairs.select("*", (F.col("m") > 0).cast("long").alias("t")), "lm-seats")
+    ones = settle(totals(pairs, "one", "m", "hot_one"), "lm-one")
+    roots = words.select("word", "hot", "trained", (F.col("trained") / max(learned, 1)).alias("p0"),
+                         (F.col("trained") > 0).cast("long").alias("t0"))
+    mids = settle(by_one_word(pairs, roots, "word", "hot").select(
+        "word", "one", "trained", F.col("p0").alias("p1"), F.col("t").alias("t1")), "lm-mids")
     for number in range(sweeps + 1):
-        rows = leaves.join(over, "two").join(mids, ["word", "one"])
+        rows = leaves.drop("t1").join(over, "two").join(mids, ["word", "one"])
         if number > burn_in:
             rows = rows.withColumn("sum", F.col("sum") + predicted("n", d2, s2, "p1"))
         if number == sweeps:
             return rows.select("word", "two", "trained", (F.col("sum") / (sweeps - burn_in)).alias("p"))
-        weight = (s2 + d2 * F.col("k")) * F.col("p1")
-        kept = rows.select("word", "one", "two", "hot", "hot_one", "n", "sum", weight.alias("w"))
-        leaves = settle(with_tables(kept, "n", F.col("w"), d2, "two", number).drop("w"), "lm-leaves")
+        kept = rows.select("word", "one", "two", "hot", "hot_one", "n", "sum", "t1", *taken_out("t", "p1"))
+        leaves = settle(with_tables(kept, "n", s2, d2, "two", number), "lm-leaves")
         over = settle(totals(leaves, "two", "n"), "lm-two")
-        seats = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"))
+        seats = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"), F.first("t1").alias("t1"))
         seats = by_one_word(by_one_word(seats, ones, "one", "hot_one"), roots, "word", "hot")
-        kept = seats.select("word", "one", "hot", "hot_one", "m", "trained", ((s1 + d1 * F.col("k")) * F.col("p0")).alias("w"))
-        seats = settle(with_tables(kept, "m", F.col("w"), d1, "one", number).drop("w"), "lm-seats")
+        kept = seats.select("word", "one", "hot", "hot_one", "m", "trained", "t0", *taken_out("t1", "p0"))
+        seats = settle(with_tables(kept, "m", s1, d1, "one", number), "lm-seats")
         ones = settle(totals(seats, "one", "m", "hot_one"), "lm-one")
-        tables = seats.groupBy("word", "hot").agg(F.first("trained").alias("trained"), F.sum("t").alias("r"))
-        weight = F.lit((s0 + d0 * root_tables) / (distinct + 1))
-        tables = settle(with_tables(tables, "r", weight, d0, None, number), "lm-roots")
+        tables = seats.groupBy("word", "hot").agg(F.first("trained").alias("trained"), F.first("t0").alias("t0"),
+                                                  F.sum("t").alias("r"))
+        kept = tables.withColumns({"k": F.lit(root_tables).cast("long"), "base": F.lit(1.0 / (distinct + 1))}).select(
+            "word", "hot", "trained", "r", *taken_out("t0", "base"))
+        tables = settle(with_tables(kept, "r", s0, d0, None, number), "lm-roots")
         d0, d1, d2 = discount_of(tables, "r"), discount_of(seats, "m"), first_d2
         all_of = tables.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("k")).first()
         root_tables = all_of.k
         base = F.lit((s0 + d0 * all_of.k) / (s0 + all_of.c) / (distinct + 1))
         own = F.greatest(F.col("r") - d0 * F.col("t"), F.lit(0.0)) / (s0 + all_of.c)
-        roots = settle(tables.select("word", "hot", "trained", (own + base).alias("p0")), "lm-words")
-        rows = by_one_word(by_one_word(seats.drop("trained"), ones, "one", "hot_one"), roots, "word", "hot")
-        mids = settle(rows.select("word", "one", "trained", predicted("m", d1, s1, "p0").alias("p1")), "lm-mids")
+        roots = settle(tables.select("word", "hot", "trained", (own + base).alias("p0"), F.col("t").alias("t0")), "lm-words")
+        rows = by_one_word(by_one_word(seats.drop("trained", "t0"), ones, "one", "hot_one"), roots, "word", "hot")
+        mids = settle(rows.select("word", "one", "trained", predicted("m", d1, s1, "p0").alias("p1"), F.col("t").alias("t1")),
+                      "lm-mids")
 
 
 def occurrences(source: DataFrame) -> DataFrame:
@@ -238,12 +248,12 @@ def occurrences(source: DataFrame) -> DataFrame:
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remainder: int = 1,
-                frequent_words: int = FREQUENT_WORDS) -> DataFrame:
+                frequent_words: int = FREQUENT_WORDS, sweeps: int = SWEEPS, burn_in: int = BURN_IN) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, whole texts.
 
     Learned from the rows whose crc32 of the id's text does not leave ``remainder`` modulo 5. base_score adds
     log10((c + 0.5) / (N + 0.5 (V + 1))) over the tokens; score adds log10 of the predictive probability, averaged
-    over the sweeps after the first. Null and empty texts are one end; a null id counts as the empty string; rows with
+    over the sweeps after the first ``burn_in``. Null and empty texts are one end; a null id counts as the empty string; rows with
     equal ids or texts are scored each by itself; with nothing to learn from, every token has the base probability 1;
     other columns are not read; an empty table gives no rows. ``docs`` must give the same rows in the same order each
     time it is read, as files do.
@@ -259,7 +269,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hot = spark.createDataFrame([(w,) for w in vocabulary.tolist()], "word long").withColumn("yes", F.lit(True))
     flagged = words.join(F.broadcast(hot), "word", "left").select("word", F.col("yes").isNotNull().alias("hot"), "trained")
     leaves = settle(gathered(source, spark.sparkContext.broadcast(vocabulary)), "lm-pairs")
-    model = settle(sampled(leaves, settle(flagged, "lm-flagged"), size.n, size.v), "lm-model")
+    model = settle(sampled(leaves, settle(flagged, "lm-flagged"), size.n, size.v, sweeps, burn_in), "lm-model")
     scored = occurrences(source).join(model, ["word", "two"])
     base = F.log10((F.col("trained") + 0.5) / (size.n + 0.5 * (size.v + 1)))
     by_text = scored.select("row", F.col("n").alias("n_tokens"), (F.col("n") * F.signum("trained").cast("long")).alias("n_known"),
@@ -269,3 +279,14 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
     return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(size.n).cast("long").alias("train_tokens"),
                        F.round("base", 8).alias("base_score"), F.round("score", 8).alias("score"))
+
+
+def perplexity(scored: DataFrame) -> DataFrame:
+    """(held_out, n_tokens, base_perplexity, perplexity): 10 to the mean negative score of a token, over all rows.
+
+    ``scored`` is what ``score_texts`` returns; held-out and learned texts are told apart. An empty table gives no rows.
+    """
+    tokens = F.sum("n_tokens")
+    return scored.groupBy("held_out").agg(
+        tokens.alias("n_tokens"), F.pow(F.lit(10.0), -F.sum("base_score") / tokens).alias("base_perplexity"),
+        F.pow(F.lit(10.0), -F.sum("score") / tokens).alias("perplexity"))

@@ -1,9 +1,13 @@
 """Chinese-restaurant seating of a hierarchical Pitman-Yor model, for many words at once.
 
-A word's tables in a restaurant depend on the other words only through the restaurant's totals, so given those (from
-the sweep before) the words are seated independently, each block of customers of one word anew: a Gibbs sweep over word
-blocks. Random numbers are hashes of word, restaurant, customer and sweep, so a sweep is the same wherever it runs and
-however often.
+All customers of a word are taken out of a restaurant and seated anew: a Gibbs step over a block. Of n customers, beside
+K tables of the other words, with probability p of the word in the parent, t tables have the conditional probability
+
+    S(n, t) * p^t * (s + d K) (s + d (K + 1)) ... (s + d (K + t - 1))   up to a factor without t,
+
+S being the generalised Stirling numbers of the discount d. ``draw`` takes t from it exactly up to ``EXACT`` customers; more
+are seated one after another by ``seat``. Random numbers are hashes of word, restaurant and sweep, so a sweep is the same
+wherever it runs and however often.
 """
 
 from __future__ import annotations
@@ -12,7 +16,9 @@ import numpy as np
 
 from tidemark.llm.tokens import mix
 
-SINGLE_STEPS = 128          # customers seated one by one; later ones in runs of an eighth of those seated
+EXACT = 1024                # customers up to which the tables are drawn from their conditional probabilities
+SINGLE_STEPS = 128          # customers that ``seat`` seats one by one; later ones in runs of an eighth of those seated
+_CELLS = 1 << 18
 STRENGTHS = (1.0, 1.0, 1.0)
 
 
@@ -21,6 +27,50 @@ def uniform(seeds: np.ndarray, step: int, sweep: int) -> np.ndarray:
     return (mix(seeds ^ np.uint64(salt)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
+class Stirling:
+    """Logarithms of the generalised Stirling numbers S(n, t) of a discount, t from 1 to n, worked out as far as asked."""
+
+    def __init__(self, discount: float) -> None:
+        self.discount, self.rows = discount, [np.zeros(0), np.zeros(1)]
+
+    def __getitem__(self, n: int) -> np.ndarray:
+        while len(self.rows) <= n:
+            last, have = self.rows[-1], len(self.rows) - 1
+            row = np.full(have + 1, -np.inf)
+            row[1:] = last
+            row[:-1] = np.logaddexp(row[:-1], last + np.log(have - self.discount * np.arange(1, have + 1)))
+            self.rows.append(row)
+        return self.rows[n]
+
+
+def draw(customers: np.ndarray, others: np.ndarray, own: np.ndarray, parent: np.ndarray, strength: float,
+         stirling: Stirling, seeds: np.ndarray, sweep: int) -> np.ndarray:
+    """Numbers of tables of blocks of customers, given the tables of the other words and the probability in the parent.
+
+    ``own``, the tables that a block had before, counts only for blocks above ``EXACT``.
+    """
+    discount = stirling.discount
+    out = (customers > 0).astype(np.int64)
+    many = np.flatnonzero(customers > EXACT)
+    if len(many):
+        weight = (strength + discount * (others[many] + own[many])) * parent[many]
+        out[many] = seat(customers[many], weight, discount, seeds[many], sweep)
+    some = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    some = some[np.argsort(customers[some], kind="stable")]
+    sizes, first = np.unique(customers[some], return_index=True)
+    u = uniform(seeds[some], 0, sweep)
+    for n, lo, end in zip(sizes.tolist(), first.tolist(), [*first[1:].tolist(), len(some)]):
+        step = max(1, _CELLS // n)
+        for at in range(lo, end, step):
+            stop = min(at + step, end)
+            block, t = some[at:stop], np.arange(1, n + 1)
+            chance = np.cumsum(np.log(strength + discount * (others[block, None] + (t - 1))), axis=1)
+            chance += stirling[n] + np.log(parent[block, None]) * t
+            reached = np.cumsum(np.exp(chance - chance.max(axis=1, keepdims=True)), axis=1)
+            out[block] = 1 + (reached < (u[at:stop] * reached[:, -1])[:, None]).sum(axis=1)
+    return out
+
+
 def seat(customers: np.ndarray, weight: np.ndarray, discount: float, seeds: np.ndarray, sweep: int) -> np.ndarray:
     """Numbers of tables of groups of customers; ``weight`` is what a new table weighs for the group."""
     order = np.argsort(-customers, kind="stable")
