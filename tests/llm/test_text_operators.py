@@ -352,21 +352,18 @@ def test_probabilities_add_up_to_one(workers, sweeps, burn_in):
         assert len(own) == 31 and min(own) > 0 and abs(sum(own) - 1) < 1e-9
 
 
-def test_seating_follows_the_restaurant():
-    """Mean numbers of tables against a restaurant simulated customer by customer."""
+def test_tables_of_many_customers_follow_the_exact_ones():
+    """Mean and deviation of the normal draw above ``EXACT`` customers, against exact draws of ``EXACT``."""
     from tidemark.llm import seating
-    rng = random.Random(8)
-    for customers, weight, discount in ((5, 0.7, 0.5), (60, 3.0, 0.8), (900, 0.4, 0.3)):
-        n = 3000
-        seeds = np.random.default_rng(customers).integers(0, 2**64, n, dtype=np.uint64)
-        ours = seating.seat(np.full(n, customers), np.full(n, weight), discount, seeds, 1).mean()
-        total = 0
-        for _ in range(600):
-            tables = 1
-            for seated in range(1, customers):
-                tables += rng.random() * (weight + seated - discount * tables) < weight
-            total += tables
-        assert abs(ours - total / 600) < 0.12 * total / 600
+    number = 4000
+    seeds = np.random.default_rng(1).integers(0, 2**64, number, dtype=np.uint64)
+    customers, parent = np.full(number, seating.EXACT), np.full(number, 0.05)
+    for discount in (0.3, 0.8):
+        for others in (500, 20_000, 200_000):
+            given = customers, np.full(number, others), parent, 1.0
+            exact = seating.draw(*given, seating.Stirling(discount), seeds, 1)
+            near = seating.draw_near(*given, discount, seeds, 1)
+            assert abs(near.mean() - exact.mean()) < 0.04 * exact.mean() and abs(near.std() - exact.std()) < 0.05 * exact.std()
 
 
 def test_tables_are_drawn_from_their_conditional_probabilities():
@@ -387,7 +384,7 @@ def test_tables_are_drawn_from_their_conditional_probabilities():
             exact[len(tables)] += chance * math.prod((strength + discount * (others + j)) * parent for j in range(len(tables)))
         number = 200_000
         seeds = np.random.default_rng(5).integers(0, 2**64, number, dtype=np.uint64)
-        got = seating.draw(np.full(number, 5), np.full(number, others), np.ones(number), np.full(number, parent), strength,
+        got = seating.draw(np.full(number, 5), np.full(number, others), np.full(number, parent), strength,
                            seating.Stirling(discount), seeds, 2)
         share = Counter(got.tolist())
         assert all(abs(share[t] / number - exact[t] / sum(exact.values())) < 0.005 for t in range(1, 6))

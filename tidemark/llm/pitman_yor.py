@@ -146,8 +146,8 @@ def by_one_word(rows: DataFrame, table: DataFrame, key: str, hot: str) -> DataFr
 
 
 def with_tables(rows: DataFrame, customers: str, strength: float, discount: float, context: str | None, sweep: int) -> DataFrame:
-    """``rows`` without ``others``, ``own``, ``parent`` (see ``seating.draw``), and with ``t``: the tables drawn from them."""
-    names, level = [x for x in rows.columns if x not in ("others", "own", "parent")], 1 + ("one", "two").index(context) if context else 0
+    """``rows`` without ``others`` and ``parent`` (see ``seating.draw``), and with ``t``: the tables drawn from them."""
+    names, level = [x for x in rows.columns if x not in ("others", "parent")], 1 + ("one", "two").index(context) if context else 0
     schema = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +155,7 @@ def with_tables(rows: DataFrame, customers: str, strength: float, discount: floa
         for batch in batches:
             word = batch.column("word").to_numpy().view(np.uint64)
             place = batch.column(context).to_numpy().view(np.uint64) if context else np.zeros(len(word), np.uint64)
-            given = [batch.column(x).to_numpy() for x in (customers, "others", "own", "parent")]
+            given = [batch.column(x).to_numpy() for x in (customers, "others", "parent")]
             t = draw(*given, strength, stirling, mix(word + mix(place + np.uint64(level << 20))), sweep)
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(t)], [*names, "t"])
 
@@ -181,8 +181,8 @@ def predicted(customers: str, discount: float, strength: float, parent: str) ->
 
 
 def taken_out(tables: str, parent: str) -> list[Column]:
-    """What a row is seated by: the other words' tables in its restaurant (``k`` in all), its own, and the parent's probability."""
-    return [(F.col("k") - F.col(tables)).alias("others"), F.col(tables).alias("own"), F.col(parent).cast("double").alias("parent")]
+    """What a row is seated by: the other words' tables in its restaurant (``k`` in all) and the parent's probability."""
+    return [(F.col("k") - F.col(tables)).alias("others"), F.col(parent).cast("double").alias("parent")]
 
 
 def sampled(leaves: DataFrame, words: DataFrame, learned: int, distinct: int, sweeps: int = SWEEPS,

@@ -5,8 +5,8 @@ K tables of the other words, with probability p of the word in the parent, t tab
 
     S(n, t) * p^t * (s + d K) (s + d (K + 1)) ... (s + d (K + t - 1))   up to a factor without t,
 
-S being the generalised Stirling numbers of the discount d. ``draw`` takes t from it exactly up to ``EXACT`` customers; more
-are seated one after another by ``seat``. Random numbers are hashes of word, restaurant and sweep, so a sweep is the same
+S being the generalised Stirling numbers of the discount d. ``draw`` takes t from it exactly up to ``EXACT`` customers and
+from a normal distribution about its mode for more. Random numbers are hashes of word, restaurant and sweep, so a sweep is the same
 wherever it runs and however often.
 """
 
@@ -17,7 +17,6 @@ import numpy as np
 from tidemark.llm.tokens import mix
 
 EXACT = 1024                # customers up to which the tables are drawn from their conditional probabilities
-SINGLE_STEPS = 128          # customers that ``seat`` seats one by one; later ones in runs of an eighth of those seated
 _CELLS = 1 << 18
 STRENGTHS = (1.0, 1.0, 1.0)
 
@@ -43,18 +42,14 @@ class Stirling:
         return self.rows[n]
 
 
-def draw(customers: np.ndarray, others: np.ndarray, own: np.ndarray, parent: np.ndarray, strength: float,
+def draw(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, strength: float,
          stirling: Stirling, seeds: np.ndarray, sweep: int) -> np.ndarray:
-    """Numbers of tables of blocks of customers, given the tables of the other words and the probability in the parent.
-
-    ``own``, the tables that a block had before, counts only for blocks above ``EXACT``.
-    """
+    """Numbers of tables of blocks of customers, given the tables of the other words and the probability in the parent."""
     discount = stirling.discount
     out = (customers > 0).astype(np.int64)
     many = np.flatnonzero(customers > EXACT)
     if len(many):
-        weight = (strength + discount * (others[many] + own[many])) * parent[many]
-        out[many] = seat(customers[many], weight, discount, seeds[many], sweep)
+        out[many] = draw_near(customers[many], others[many], parent[many], strength, discount, seeds[many], sweep)
     some = np.flatnonzero((customers > 1) & (customers <= EXACT))
     some = some[np.argsort(customers[some], kind="stable")]
     sizes, first = np.unique(customers[some], return_index=True)
@@ -71,49 +66,29 @@ def draw(customers: np.ndarray, others: np.ndarray, own: np.ndarray, parent: np.
     return out
 
 
-def seat(customers: np.ndarray, weight: np.ndarray, discount: float, seeds: np.ndarray, sweep: int) -> np.ndarray:
-    """Numbers of tables of groups of customers; ``weight`` is what a new table weighs for the group."""
-    order = np.argsort(-customers, kind="stable")
-    c, a, seeds = customers[order].astype(np.float64), weight[order], seeds[order]
-    t = (c > 0).astype(np.float64)
-    step, seated = 1, 1.0
-    active = int(np.searchsorted(-c, -seated, side="left"))
-    while active:
-        room = a[:active]
-        if step <= SINGLE_STEPS:
-            opens = uniform(seeds[:active], step, sweep) * (room + seated - discount * t[:active]) < room
-            t[:active] += opens
-            seated += 1
-        else:
-            run = np.minimum(np.floor(seated / 8), c[:active] - seated)
-            p = room / (room + seated + run / 2 - discount * t[:active])
-            t[:active] += _binomial(run, p, seeds[:active], step, sweep)
-            seated += np.floor(seated / 8)
-        step += 1
-        active = int(np.searchsorted(-c[:active], -seated, side="left"))
-    out = np.empty(len(c))
-    out[order] = np.minimum(t, c)
-    return out
-
+def draw_near(customers: np.ndarray, others: np.ndarray, parent: np.ndarray, strength: float, discount: float,
+              seeds: np.ndarray, sweep: int) -> np.ndarray:
+    """Like ``draw`` for many customers, from a normal distribution about the mode of the conditional probabilities.
 
-def _binomial(n: np.ndarray, p: np.ndarray, seeds: np.ndarray, step: int, sweep: int) -> np.ndarray:
-    """Draws near Binomial(n, p): by the Poisson quantile for small means, else by the normal."""
-    mean = n * p
-    u = uniform(seeds, step, sweep)
-    normal = np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * uniform(seeds, -step, sweep))
-    out = np.clip(np.rint(mean + np.sqrt(mean * (1 - p)) * normal), 0, n)
-    small = np.flatnonzero(mean < 12)
-    chance = np.exp(-mean[small])
-    reached, left, k = chance.copy(), u[small], np.zeros(len(small))
-    for j in range(1, 48):
-        more = left > reached
-        if not more.any():
-            break
-        k += more
-        chance = chance * mean[small] / j
-        reached += chance
-    out[small] = np.minimum(k, n[small])
-    return out
+    S(n, t) t! d^t / n! is the n-th coefficient of (1 - (1-x)^d)^t; its saddle point x, in the terms of e = -log(1-x), is
+    where t = n (1 - exp(-de)) exp(-(1-d)e) / (d (1 - exp(-e))), and log S then falls by log(dt) - log(1 - exp(-de)) with t.
+    """
+    def at(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tables at the saddle point, and the slope of the log probability there."""
+        t = customers * -np.expm1(-discount * e) * np.exp(-(1 - discount) * e) / (discount * -np.expm1(-e))
+        return t, (np.log(-np.expm1(-discount * e)) + np.log((strength + discount * (others + t)) * parent)
+                   - np.log(discount * np.maximum(t, 1e-300)))
+
+    low, high = np.full(len(customers), np.log(1e-9)), np.full(len(customers), np.log(700.0))
+    for _ in range(60):
+        middle = (low + high) / 2
+        rising = at(np.exp(middle))[1] > 0
+        low, high = np.where(rising, low, middle), np.where(rising, middle, high)
+    e = np.exp((low + high) / 2)
+    (t, _), (t1, slope1), (t2, slope2) = at(e), at(e * 0.999), at(e * 1.001)
+    spread = np.sqrt(np.maximum((t1 - t2) / np.maximum(slope2 - slope1, 1e-300), 0))
+    normal = np.sqrt(-2 * np.log(uniform(seeds, 1, sweep))) * np.cos(2 * np.pi * uniform(seeds, 2, sweep))
+    return np.clip(np.rint(t + 0.5 + spread * normal), 1, customers).astype(np.int64)
 
 
 def look_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
