@@ -2,8 +2,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from tidemark import fixed_values as fixed
+from tidemark.catalog import rawtext
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import SurveillanceParams
 from tidemark.plans import calendar, facts, history, ingest, quality, reference, signals
@@ -322,3 +325,16 @@ def test_run_checks(spark):
     assert got["row_count_vs_20d_avg"]["value"] == 1.0 and got["quarantined_price_rows"]["status"] == "PASS"
     assert got["moves_over_25pct_without_corp_action"]["value"] == 4
     assert got["moves_over_25pct_without_corp_action"]["detail"].startswith("S0 30.0%, S1 30.0%")
+
+
+def test_price_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    rows = spark.range(400).select(*[
+        F.when(F.col("id") % 7 == 0, "soon").otherwise(F.concat(F.lit("05-Oct-"), (1990 + F.col("id") % 9).cast("string"))).alias(c)
+        if c == "DATE1" else F.col("id").cast("string").alias(c) for c in fixed.PRICE_COLUMNS]).repartition(1)
+    name, write, seen = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.csv, []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda self, *a: (seen.append(int(spark.conf.get(name))), write(self, *a)))
+    rawtext.write_price_files(rows, str(tmp_path))
+    assert seen[0] >= 10 and spark.conf.get(name) == before
+    read = spark.read.option("header", True).csv(str(tmp_path / "nse_bhavcopy"))
+    assert rows_of(read, "SYMBOL", "DATE1") == rows_of(rows, "SYMBOL", "DATE1")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.catalog import domain
+from tidemark.sources import store
 
 
 def price_rows(spark, folder: str) -> DataFrame:
@@ -38,6 +39,7 @@ def price_rows(spark, folder: str) -> DataFrame:
 
 
 AGAIN = dt.date(1998, 1, 1)     # the folder that is ingested twice
+OPEN_FOLDERS = 64               # of years, into which a task writes side by side
 
 
 def _by_year(day):
@@ -47,8 +49,9 @@ def _by_year(day):
 
 def write_price_files(rows: DataFrame, raw: str) -> None:
     landed = _by_year(F.try_to_date(F.trim("DATE1"), "dd-MMM-yyyy"))
-    (rows.withColumn("dt", landed).write.partitionBy("dt").option("header", True)
-     .csv(f"{raw}/nse_bhavcopy"))
+    with store.unsorted_partitions(rows.sparkSession, OPEN_FOLDERS):
+        (rows.withColumn("dt", landed).write.partitionBy("dt").option("header", True)
+         .csv(f"{raw}/nse_bhavcopy"))
 
 
 def write_index_files(index_rows: DataFrame, raw: str) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -104,6 +106,20 @@ def replace_partitions(df: DataFrame, path: str, partition_col: str) -> None:
      .partitionBy(partition_col).parquet(path))
 
 
+@contextmanager
+def unsorted_partitions(spark: SparkSession, most: int) -> Iterator[None]:
+    """Within it, writers keep a file open for each of up to ``most`` partition values of a task, instead of sorting all
+    its rows by them first: a sort of whole rows spills as soon as they outgrow the task's memory.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
