@@ -6,7 +6,7 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
-from tidemark.catalog import rawtext
+from tidemark.catalog import domain, rawtext
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import SurveillanceParams
 from tidemark.plans import calendar, facts, history, ingest, quality, reference, signals
@@ -14,6 +14,7 @@ from tidemark.sources import store
 from tidemark.streaming.landing import keep_table_current
 from test_parsing import put
 
+SMOKE = "/root/testdata/sf0.001"
 D1, D2 = dt.date(2026, 10, 5), dt.date(2026, 10, 6)
 HEADER = ("SYMBOL, SERIES, DATE1, PREV_CLOSE, OPEN_PRICE, HIGH_PRICE, LOW_PRICE, LAST_PRICE, CLOSE_PRICE, AVG_PRICE, "
           "TTL_TRD_QNTY, TURNOVER_LACS, NO_OF_TRADES, DELIV_QTY, DELIV_PER\n")
@@ -338,3 +339,16 @@ def test_price_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert seen[0] >= 10 and spark.conf.get(name) == before
     read = spark.read.option("header", True).csv(str(tmp_path / "nse_bhavcopy"))
     assert rows_of(read, "SYMBOL", "DATE1") == rows_of(rows, "SYMBOL", "DATE1")
+
+
+def test_parsed_prices_trim_and_cast_each_text_once(spark, tmp_path):
+    rows = spark.createDataFrame([tuple([" a ", "eq", " 05-Oct-2026 ", *["-", " 1.5 ", "NaN", "1e999", "n/a", "", "-2", " 7.9 ", "3", "1e30", "x", "4"]])],
+                                 [f"{c}" for c in fixed.PRICE_COLUMNS])
+    rows.write.parquet(str(tmp_path / "raw"))
+    typed = ingest.bronze.typed_prices(spark.read.parquet(str(tmp_path / "raw")))
+    assert tuple(typed.first()) == (D1, "A", "EQ", None, 1.5, None, None, None, None, -2.0, 7, 3.0, None, None, 4.0)
+    assert typed.columns[10:] == ["volume", "turnover_lacs", "num_trades", "deliv_qty", "deliv_pct"]
+    plan = plan_of(typed)
+    assert plan.count("trim(CLOSE_PRICE") == 1 and plan.count("as double)") == 12
+    trades = plan_of(domain.trades(spark, SMOKE))
+    assert "SortMergeJoin" not in trades and "Exchange hashpartitioning(l_suppkey" not in trades

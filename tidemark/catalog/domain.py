@@ -13,6 +13,7 @@ from tidemark.functions.classify import corporate_action
 from tidemark.functions.cleaning import ratio, rounded
 from tidemark.operators.windows import by_date, first_per
 from tidemark.plans import reference
+from tidemark.sources import store
 
 TICK = 10_000           # price units of 1/10000
 
@@ -46,15 +47,21 @@ def _placed() -> Column:
     return (seat * F.lit(10 ** 9).cast("decimal(10, 0)") + tick().cast("decimal(9, 0)")).cast("decimal(38, 0)")
 
 
+def sellers(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with the stock they sell, settled: a join's size is guessed as the product of its sides, and the trades
+    would be shuffled to meet a table that is small enough to broadcast.
+    """
+    listed = table(spark, folder, "supplier").join(nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey"))
+    return store.settle(listed.select("s_suppkey", "symbol"), "sellers")
+
+
 def trades(spark: SparkSession, folder: str) -> DataFrame:
-    sellers = table(spark, folder, "supplier").join(
-        nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
     price = tick()
     return table(spark, folder, "lineitem").select(
         "l_suppkey", F.col("l_shipdate").cast("date").alias("trade_date"), price.alias("tick"),
         _placed().alias("placed"), F.col("l_quantity").cast("long").alias("quantity"),
         cents("l_extendedprice").alias("cents"), "l_returnflag", "l_linestatus",
-    ).join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
+    ).join(sellers(spark, folder), F.col("l_suppkey") == F.col("s_suppkey"))
 
 
 def _bar_columns() -> list[Column]:

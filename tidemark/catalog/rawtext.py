@@ -14,10 +14,8 @@ from tidemark.sources import store
 def price_rows(spark, folder: str) -> DataFrame:
     """Every trade as one untidy exchange row; some carry the defects the reject rules look for."""
     line, flag = F.col("l_linenumber"), F.col("l_returnflag")
-    sellers = domain.table(spark, folder, "supplier").join(
-        domain.nations(spark, folder), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "symbol")
-    rows = domain.table(spark, folder, "lineitem").join(sellers, F.col("l_suppkey") == F.col("s_suppkey")).withColumn(
-        "tick", domain.tick())
+    rows = domain.table(spark, folder, "lineitem").join(
+        domain.sellers(spark, folder), F.col("l_suppkey") == F.col("s_suppkey")).withColumn("tick", domain.tick())
 
     def text(c):
         return F.concat(F.lit(" "), c.cast("string"), F.lit(" "))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions.classify import corporate_action
-from tidemark.functions.cleaning import blank_to_null, code, day, number, require_columns, whole
+from tidemark.functions.cleaning import blank_to_null, code, day, number, numbers, require_columns, whole
 from tidemark.operators.ordering import forward_fill
 from tidemark.operators.windows import first_per
 
@@ -58,14 +58,15 @@ def _json(schema: str, glob: str = DOCUMENTS):
 
 def typed_prices(raw: DataFrame) -> DataFrame:
     """All-text exchange rows to typed columns; anything unreadable becomes null."""
-    return raw.select(
-        day("DATE1").alias("trade_date"), code("SYMBOL").alias("symbol"), code("SERIES").alias("series"),
-        number("PREV_CLOSE").alias("prev_close"), number("OPEN_PRICE").alias("open"),
-        number("HIGH_PRICE").alias("high"), number("LOW_PRICE").alias("low"), number("LAST_PRICE").alias("last"),
-        number("CLOSE_PRICE").alias("close"), number("AVG_PRICE").alias("vwap"),
-        whole("TTL_TRD_QNTY").alias("volume"), number("TURNOVER_LACS").alias("turnover_lacs"),
-        whole("NO_OF_TRADES").alias("num_trades"), whole("DELIV_QTY").alias("deliv_qty"),
-        number("DELIV_PER").alias("deliv_pct"))
+    doubles = {"prev_close": "PREV_CLOSE", "open": "OPEN_PRICE", "high": "HIGH_PRICE", "low": "LOW_PRICE",
+               "last": "LAST_PRICE", "close": "CLOSE_PRICE", "vwap": "AVG_PRICE", "turnover_lacs": "TURNOVER_LACS",
+               "deliv_pct": "DELIV_PER"}
+    wholes = {"volume": "TTL_TRD_QNTY", "num_trades": "NO_OF_TRADES", "deliv_qty": "DELIV_QTY"}
+    named = raw.select(day("DATE1").alias("trade_date"), code("SYMBOL").alias("symbol"), code("SERIES").alias("series"),
+                       *doubles.values(), *wholes.values())
+    return numbers(named, doubles, wholes).select(
+        "trade_date", "symbol", "series", "prev_close", "open", "high", "low", "last", "close", "vwap", "volume",
+        "turnover_lacs", "num_trades", "deliv_qty", "deliv_pct")
 
 
 def prices(spark: SparkSession, root: str, days: Days = None) -> DataFrame | None:
