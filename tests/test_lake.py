@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.catalog import domain, rawtext
+from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import SurveillanceParams
 from tidemark.plans import calendar, facts, history, ingest, quality, reference, signals
@@ -352,3 +353,6 @@ def test_parsed_prices_trim_and_cast_each_text_once(spark, tmp_path):
     assert plan.count("trim(CLOSE_PRICE") == 1 and plan.count("as double)") == 12
     trades = plan_of(domain.trades(spark, SMOKE))
     assert "SortMergeJoin" not in trades and "Exchange hashpartitioning(l_suppkey" not in trades
+    w = Warehouse.of(spark, SMOKE)
+    good, _ = ingest.split_rejects(w.typed_prices())
+    assert "gettimestamp" not in plan_of(good)

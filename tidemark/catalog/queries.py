@@ -626,7 +626,7 @@ def freshness(w):
 
 @query
 def price_rows_clean(w):
-    good, _ = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
+    good, _ = ingest.split_rejects(w.typed_prices())
     return bronze.unique(good, ingest.PRICE_KEYS)
 
 
@@ -708,13 +708,13 @@ def scd2_merged(w):
 
 @query
 def reject_split(w):
-    _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
+    _, rejects = ingest.split_rejects(w.typed_prices())
     return rejects.withColumnRenamed("_reason", "reason")
 
 
 @query
 def dq_quarantine(w):
-    _, rejects = ingest.split_rejects(bronze.typed_prices(w.raw_prices()))
+    _, rejects = ingest.split_rejects(w.typed_prices())
     return quality.quarantined(rejects, RUN_DATE, w.spark)
 
 

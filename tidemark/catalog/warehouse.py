@@ -14,7 +14,7 @@ from tidemark.catalog import domain, rawtext
 from tidemark.params import SurveillanceParams
 from tidemark.plans import daily, facts, funds, history, ingest, portfolio, quality, reference, screens, signals, triage, validation
 from tidemark.session import checkpoint_dir
-from tidemark.sources import store
+from tidemark.sources import bronze, store
 from tidemark.sources.store import settle
 
 DEFAULT = SurveillanceParams()
@@ -117,6 +117,11 @@ class Warehouse:
         """The text rows as they would lie in the raw files."""
         return self.source(rawtext.price_rows)
 
+    @model
+    def typed_prices(self) -> DataFrame:
+        """Parsed once: a filter on parsed columns would be pushed below the parsing and repeat it."""
+        return bronze.typed_prices(self.raw_prices())
+
     def lake(self, table: str) -> str:
         """The folder of a lake in which one table was built from files: rows written in the source's layout, then
         ingested in steps, the last of which repeats, corrects or comes late.
