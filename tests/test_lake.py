@@ -342,6 +342,18 @@ def test_price_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert rows_of(read, "SYMBOL", "DATE1") == rows_of(rows, "SYMBOL", "DATE1")
 
 
+def test_arrays_hold_some_thousand_rows_however_many_folders_there_are(spark, tmp_path):
+    rows = spark.range(4 * rawtext.DOCUMENT_ROWS).select(
+        F.when(F.col("id") % 8 > 0, F.date_add(F.lit(D1), (F.col("id") % 8).cast("int"))).alias("dt"), F.col("id").alias("k"))
+    rawtext._write_arrays(rows, str(tmp_path / "few"))
+    files = list((tmp_path / "few").rglob("*.txt"))
+    assert len(files) == len({f.parent for f in files}) == 8
+    read = spark.read.schema("k long").option("multiLine", True).json(str(tmp_path / "few"))
+    assert read.count() == rows.count() and read.select("k").distinct().count() == rows.count()
+    rawtext._write_arrays(rows.withColumn("dt", F.lit(D1)), str(tmp_path / "many"))
+    assert 2 <= len(list((tmp_path / "many").rglob("*.txt"))) <= 4
+
+
 def test_parsed_prices_trim_and_cast_each_text_once(spark, tmp_path):
     rows = spark.createDataFrame([tuple([" a ", "eq", " 05-Oct-2026 ", *["-", " 1.5 ", "NaN", "1e999", "n/a", "", "-2", " 7.9 ", "3", "1e30", "x", "4"]])],
                                  [f"{c}" for c in fixed.PRICE_COLUMNS])

@@ -110,11 +110,13 @@ def _write_documents(documents: DataFrame, path: str) -> None:
 
 def _write_arrays(rows: DataFrame, path: str) -> None:
     """Rows with `dt` as JSON arrays of some thousand objects; nulls are left out of the objects."""
-    parts = -(-rows.count() // DOCUMENT_ROWS)
     named = [c for c in rows.columns if c != "dt"]
-    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in named]))
-    arrays = rows.groupBy("dt", F.pmod(F.xxhash64(text), F.lit(parts)).alias("_part")).agg(
-        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(text)), ",\n"), F.lit("]")).alias("document"))
+    texts = rows.select("dt", F.to_json(F.struct(*[F.col(f"`{c}`") for c in named])).alias("_text"))
+    folders = texts.groupBy(F.col("dt").alias("_dt")).agg(F.ceil(F.count("*") / DOCUMENT_ROWS).alias("_parts"))
+    dealt = texts.join(F.broadcast(folders), F.col("dt").eqNullSafe(F.col("_dt"))).select(      # one row per folder
+        "dt", "_text", F.pmod(F.xxhash64("_text"), F.col("_parts")).alias("_part"))
+    arrays = dealt.groupBy("dt", "_part").agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list("_text")), ",\n"), F.lit("]")).alias("document"))
     _write_documents(arrays.select("dt", "document"), path)
 
 
