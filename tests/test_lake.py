@@ -10,7 +10,7 @@ from tidemark.catalog import domain, rawtext
 from tidemark.catalog.warehouse import Warehouse
 from tidemark.operators.windows import by_date, rows
 from tidemark.params import SurveillanceParams
-from tidemark.plans import calendar, facts, history, ingest, quality, reference, signals
+from tidemark.plans import calendar, facts, history, ingest, portfolio, quality, reference, signals
 from tidemark.sources import store
 from tidemark.streaming.landing import keep_table_current
 from test_parsing import put
@@ -368,3 +368,14 @@ def test_parsed_prices_trim_and_cast_each_text_once(spark, tmp_path):
     w = Warehouse.of(spark, SMOKE)
     good, _ = ingest.split_rejects(w.typed_prices())
     assert "gettimestamp" not in plan_of(good)
+
+
+def test_flows_of_a_holding_are_summed_once(spark):
+    txns = spark.createDataFrame([("a", "STOCK", "X", D1, -10.0), ("a", "STOCK", "X", D1, -5.0), ("a", "STOCK", "X", D2, 4.0)],
+                                 "owner string, asset_class string, instrument_id string, txn_date date, cash_flow double")
+    held = spark.createDataFrame([("a", "STOCK", "X", D2, 20.0)],
+                                 "owner string, asset_class string, instrument_id string, price_date date, current_value double")
+    got = portfolio.money_weighted(txns, held)
+    assert rows_of(got, "level", "total_invested", "total_received", "current_value") == [
+        ("HOLDING", 15.0, 4.0, 20.0), ("PORTFOLIO", 15.0, 4.0, 20.0)]
+    assert plan_of(got).count("sum(_amount") == 2       # of the portfolio alone, before and after its shuffle

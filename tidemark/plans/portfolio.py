@@ -79,7 +79,7 @@ def money_weighted(txns: DataFrame, held: DataFrame) -> DataFrame:
     levels = {"HOLDING": ["owner", "asset_class", "instrument_id"], "PORTFOLIO": ["owner"]}
     rows = None
     for level, keys in levels.items():
-        flows = daily.groupBy(*keys, "txn_date", "_in").agg(F.sum("_amount").alias("_amount"))
+        flows = daily if keys == KEYS else daily.groupBy(*keys, "txn_date", "_in").agg(F.sum("_amount").alias("_amount"))
         listed = flows.groupBy(*keys).agg(
             F.min("txn_date").alias("first_txn_date"),
             F.coalesce(F.sum(F.when(F.col("_amount") < 0, -F.col("_amount"))), F.lit(0.0)).alias("_invested"),
