@@ -379,3 +379,12 @@ def test_flows_of_a_holding_are_summed_once(spark):
     assert rows_of(got, "level", "total_invested", "total_received", "current_value") == [
         ("HOLDING", 15.0, 4.0, 20.0), ("PORTFOLIO", 15.0, 4.0, 20.0)]
     assert plan_of(got).count("sum(_amount") == 2       # of the portfolio alone, before and after its shuffle
+
+
+def test_snapshots_of_stocks_are_taken_from_the_orders_once(spark, monkeypatch):
+    seen, made = [], reference.dim_stock
+    monkeypatch.setattr(reference, "dim_stock", lambda master: (seen.append(master), made(master))[1])
+    w = Warehouse(spark, SMOKE)
+    w.stocks()
+    assert "Join" not in plan_of(seen[0]) and "Window" not in plan_of(seen[0])
+    assert sorted(map(tuple, seen[0].collect())) == sorted(map(tuple, domain.stock_master(spark, SMOKE).collect()))

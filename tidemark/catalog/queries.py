@@ -83,7 +83,7 @@ def scd2_dim_stock(w):
 
 @query
 def latest_stock_master(w):
-    return reference.latest_master(w.source(domain.stock_master))
+    return reference.latest_master(w.stock_master())
 
 
 @query

@@ -56,9 +56,14 @@ class Warehouse:
 
     # ---------- dimensions and facts ----------
 
+    @model
+    def stock_master(self) -> DataFrame:
+        """The snapshots, few rows out of all orders: histories read them more than once."""
+        return self.source(domain.stock_master)
+
     @model
     def stocks(self) -> DataFrame:
-        return reference.dim_stock(self.source(domain.stock_master))
+        return reference.dim_stock(self.stock_master())
 
     @model
     def fact(self) -> DataFrame:
@@ -161,7 +166,7 @@ class Warehouse:
             ingest.build_fund_nav_history(spark, raw, lake)
         elif table == "stock_master":
             listed = self.source(domain.nations).where("n_nationkey % 2 = 1")
-            rawtext.write_master(self.source(domain.stock_master), listed, raw)
+            rawtext.write_master(self.stock_master(), listed, raw)
             for days in steps:
                 ingest.build_stock_master(spark, raw, lake, days)
 
@@ -174,7 +179,7 @@ class Warehouse:
     def merged_versions(self) -> DataFrame:
         """History of instruments merged from the snapshots in batches, the first of them single snapshots."""
         path = f"{checkpoint_dir(self.spark)}/history-{uuid.uuid4().hex}/stock_versions"
-        master = settle(self.source(domain.stock_master), "stock_master")
+        master = self.stock_master()
         days = sorted(r[0] for r in master.select("snapshot_date").distinct().collect())        # one row per snapshot
         for batch in (days[:1], days[1:2], days[2:9], days[9:], days[-1:]):
             if batch:
