@@ -354,6 +354,21 @@ def test_arrays_hold_some_thousand_rows_however_many_folders_there_are(spark, tm
     assert 2 <= len(list((tmp_path / "many").rglob("*.txt"))) <= 4
 
 
+def test_both_landings_of_an_action_come_from_one_pass(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(rawtext, "_write_arrays", lambda rows, path: seen.append(rows))
+    subjects = spark.createDataFrame([("AA", D1, "Bonus 2:1"), ("BB", D2, "Interim Dividend"), ("CC", None, "Bonus 1:1"), ("DD", D1, None)],
+                                     "symbol string, ex_date date, subject string")
+    rawtext.write_actions(subjects, "raw")
+    before, on = dt.date(2026, 7, 1), dt.date(2026, 10, 1)
+    assert seen[0].columns == ["dt", "symbol", "series", "exDate", "subject"]
+    assert set(map(tuple, seen[0].collect())) == {
+        (before, "aa ", "EQ", "05-Oct-2026", "Bonus 9:1"), (on, "aa ", "EQ", "05-Oct-2026", "Bonus 2:1"),
+        (before, "bb ", "EQ", "06-Oct-2026", " Interim Dividend"), (None, "cc ", "EQ", None, "Bonus 9:1"),
+        (None, "cc ", "EQ", None, "Bonus 1:1"), (before, "dd ", "EQ", "05-Oct-2026", None)}
+    assert seen[0].count() == 6 and "Union" not in plan_of(seen[0])
+
+
 def test_parsed_prices_trim_and_cast_each_text_once(spark, tmp_path):
     rows = spark.createDataFrame([tuple([" a ", "eq", " 05-Oct-2026 ", *["-", " 1.5 ", "NaN", "1e999", "n/a", "", "-2", " 7.9 ", "3", "1e30", "x", "4"]])],
                                  [f"{c}" for c in fixed.PRICE_COLUMNS])

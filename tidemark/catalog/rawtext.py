@@ -157,14 +157,16 @@ def write_filings(filings: DataFrame, raw: str) -> None:
 
 def write_actions(subjects: DataFrame, raw: str) -> None:
     """Every subject lands the quarter before its ex-date, bonuses again with a corrected ratio in the quarter itself."""
-    def objects(rows, landed, subject):
-        return rows.select(landed.alias("dt"), F.concat(F.lower("symbol"), F.lit(" ")).alias("symbol"), F.lit("EQ").alias("series"),
-                           F.date_format("ex_date", "dd-MMM-yyyy").alias("exDate"), subject.alias("subject"))
+    def landing(quarters_later, subject):
+        return F.struct(_landing(F.col("ex_date"), quarters_later).alias("dt"), subject.alias("subject"))
 
-    day = F.col("ex_date")
     bonus = F.col("subject").startswith("Bonus")
     first = F.when(bonus, F.lit("Bonus 9:1")).otherwise(F.concat(F.lit(" "), F.col("subject")))
-    rows = objects(subjects, _landing(day, -1), first).unionByName(objects(subjects.where(bonus), _landing(day, 0), F.col("subject")))
+    landings = F.array_compact(F.array(landing(-1, first), F.when(bonus, landing(0, F.col("subject")))))
+    # both landings from one pass over the subjects, whose join a union would repeat
+    rows = subjects.select("symbol", "ex_date", F.explode(landings).alias("landed")).select(
+        "landed.dt", F.concat(F.lower("symbol"), F.lit(" ")).alias("symbol"), F.lit("EQ").alias("series"),
+        F.date_format("ex_date", "dd-MMM-yyyy").alias("exDate"), "landed.subject")
     _write_arrays(rows, f"{raw}/nse_corp_actions")
 
 
