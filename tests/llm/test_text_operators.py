@@ -397,3 +397,29 @@ def test_perplexity_is_of_the_mean_token(workers):
     got = {r.held_out: (r.n_tokens, round(r.base_perplexity, 6), round(r.perplexity, 6)) for r in perplexity(scored).collect()}
     assert got == {True: (10, 100.0, 10.0), False: (5, 10.0, 1.0)}
     assert perplexity(scored.where("false")).collect() == []
+
+
+def test_scores_do_not_depend_on_blocks(workers, messy, monkeypatch):
+    """One block, or many with pieces for the words that are too frequent for one; occurrences travel in a few bytes."""
+    def scores() -> list[tuple]:
+        return sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.base_score, r.score) for r in pitman_yor.score_texts(messy).collect())
+
+    whole, known = scores(), []
+    monkeypatch.setattr(pitman_yor, "BLOCK_TOKENS", 6000)
+    begin = pitman_yor.Numbers.__init__
+    monkeypatch.setattr(pitman_yor.Numbers, "__init__", lambda self, *x: known.append(self) or begin(self, *x))
+    parted = scores()
+    assert known[0].number > 1 and len(known[0].heavy) > 0 and max(known[0].pieces) > 1
+    assert [x[:2] for x in whole] == [x[:2] for x in parted]
+    assert all(abs(x - y) < 1e-6 for a, b in zip(whole, parted) for x, y in zip(a[2:], b[2:]))
+
+
+def test_occurrences_travel_in_few_bytes(workers):
+    """Every word after its two words before, with its text: below 12 bytes each (three hashes alone are 24)."""
+    from pyspark.sql import functions as F
+    docs = workers.read.parquet(f"{FOLDER}/documents.parquet").select("text", F.lit(False).alias("held_out"),
+                                                                        F.monotonically_increasing_id().alias("row"))
+    words = pitman_yor.count_words(docs).orderBy(F.desc("freq")).limit(4096).toPandas().word.to_numpy()
+    numbers = workers.sparkContext.broadcast(pitman_yor.Numbers(words.view(np.uint64), 2))
+    size = pitman_yor.gathered(docs, numbers).agg(F.sum(F.length("blob"))).first()[0]
+    assert size < 12 * pitman_yor.count_words(docs).agg(F.sum("freq")).first()[0]

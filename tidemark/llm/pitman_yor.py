@@ -1,67 +1,71 @@
 """Language-model scores under a hierarchical Pitman-Yor model of words, trained and applied over whole tables.
 
 Tokens are the lower-cased words of a text and one end. Every run of two words before a token is a restaurant of its own,
-whose parent is the one word before, whose parent is the root; a text starts after ``START``. Restaurants grow with the
-corpus, so all of them are tables:
-- ``leaves``: word and two-word context with customers and tables, also those that occur in held-out texts only (none);
-- ``mids``: word and one-word context, whose customers are the tables of the leaves under it;
-- ``roots``: words, whose customers are the tables of the mids.
-A restaurant's totals are sums over these by context, joined back to them for the next sweep. In a sweep every row is a
-Gibbs step of its own: its customers are taken out, with their tables out of the restaurant's total, and seated anew given
-the tables of the other words and the word's probability in the parent (see ``seating.draw``). Both are those of the sweep
-before, so all rows of a level are seated side by side, levels from the leaves to the root.
-
-Pairs are counted in tasks before they are shuffled. What is joined by one word is split by how frequent the word is:
-the totals and probabilities of at most ``FREQUENT_WORDS`` words are broadcast, which keeps them out of the shuffles.
+whose parent is the one word before, whose parent is the root; a text starts after ``START``. In a sweep every word of a
+restaurant is a Gibbs step of its own: its customers are taken out, with their tables out of the restaurant's total, and
+seated anew given the tables of the other words and the word's probability in the parent (see ``seating.draw``). Both are
+those of the sweep before, so all words of a level are seated side by side, levels from the leaves to the root.
+
+Occurrences are shuffled once, to blocks by the word before, as packed arrays (``packed.py``): a block holds its
+restaurants of one and of two words whole (``restaurants.py``). The words of the root are divided into parts. A sweep is one
+pass over the blocks and one over the parts, which send each other only small numbers: tables of the block's words one way,
+customers and tables at the root the other, both in the order of the block's words. Blocks and parts are bucketed tables, so
+passes join them with what was sent without shuffling them. The number of blocks follows the tokens, and the occurrences
+after a word that would fill a quarter of a block are divided into pieces.
+
+The ``FREQUENT_WORDS`` most frequent words are broadcast and travel as numbers, others as a hash for each task and block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import restaurants
 from tidemark.llm.language_id import held_out
-from tidemark.llm.seating import STRENGTHS, Stirling, draw, look_up
-from tidemark.llm.tokens import Words, blocks, mix
+from tidemark.llm.packed import give_back, pack, unpack
+from tidemark.llm.restaurants import Given
+from tidemark.llm.seating import look_up
+from tidemark.llm.tokens import blocks, mix
 from tidemark.llm.vocabulary import frequent
+from tidemark.session import checkpoint_dir
 from tidemark.sources.store import settle
 
 FREQUENT_WORDS = 32_768
-MOST_PAIRS = 1 << 20            # occurrences of word and context that a task holds before it sends their counts on
+MOST_PAIRS = 3 << 20            # occurrences of word and context that a task holds before it sends them on
+BLOCK_TOKENS = 1 << 21          # occurrences in a block, about
+TEXTS = 12                      # scores are summed for 2^TEXTS rows at a time
 SWEEPS, BURN_IN = 3, 1
 FLUSH_TOKENS = 1 << 21
 START, END = np.uint64(0), np.uint64(0x9D2C5680A7F1E3B5)
-_BEFORE = np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x9FB21C651E98DF25)
+_BLOCK, _PIECE = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
+_SENT = "array<struct<to: int, blob: binary>>"
 
 
-def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(token, word before, hash of the two words before, text) of a block of texts: words with an end after each text."""
-    counts = np.diff(words.first)
-    total, number = len(words.hashes) + len(counts), np.arange(len(counts))
-    is_word = np.ones(total, dtype=bool)
-    is_word[words.first[1:] + number] = False
-    begins = words.first[:-1] + number
-    token = np.empty(total, dtype=np.uint64)
-    token[is_word], token[~is_word] = words.hashes, END
-
-    def shifted(x: np.ndarray) -> np.ndarray:
-        out = np.empty(total, dtype=np.uint64)
-        out[1:], out[begins] = x[:-1], START
-        return out
-
-    one = shifted(token)
-    two = mix(one * _BEFORE[0] + mix(shifted(one) * _BEFORE[1] + np.uint64(1)))
-    return token.view(np.int64), one.view(np.int64), two.view(np.int64), np.repeat(number, counts + 1)
+def batch_tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(token, whether it opens a text, text) of blocks of texts: words with an end after each text."""
+    for lo, _, words in blocks(column):
+        counts = np.diff(words.first)
+        total, number = len(words.hashes) + len(counts), np.arange(len(counts))
+        is_word, opens = np.ones(total, dtype=bool), np.zeros(total, dtype=bool)
+        is_word[words.first[1:] + number] = False
+        opens[words.first[:-1] + number] = True
+        token = np.empty(total, dtype=np.uint64)
+        token[is_word], token[~is_word] = words.hashes, END
+        yield token, opens, np.repeat(number, counts + 1) + lo
 
 
-def batch_tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    for lo, _, words in blocks(column):
-        token, one, two, text = tokens(words)
-        yield token, one, two, text + lo
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of sorted values, and how often each is there."""
+    opens = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return values[opens], np.diff(np.append(opens, len(values)))
 
 
 def count_words(source: DataFrame) -> DataFrame:
@@ -73,17 +77,18 @@ def count_words(source: DataFrame) -> DataFrame:
         def flush() -> pa.RecordBatch:
             token = np.concatenate([x for x, _ in held]) if held else np.zeros(0, np.int64)
             learn = np.concatenate([x for _, x in held]) if held else np.zeros(0, bool)
-            word, inverse = np.unique(token, return_inverse=True)
-            freq = np.bincount(inverse, minlength=len(word))
-            trained = np.bincount(inverse[learn], minlength=len(word))
+            word, freq = runs(np.sort(token))
+            some, often = runs(np.sort(token[learn]))
+            trained = np.zeros(len(word), np.int64)
+            trained[np.searchsorted(word, some)] = often
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (word, freq, trained)],
                                               ["word", "f", "t"])
 
         for batch in batches:
             learn = ~batch.column(1).to_numpy(zero_copy_only=False)
-            for token, _, _, text in batch_tokens(batch.column(0)):
-                held.append((token, learn[text]))
+            for token, _, text in batch_tokens(batch.column(0)):
+                held.append((token.view(np.int64), learn[text]))
                 waiting += len(token)
                 if waiting > FLUSH_TOKENS:
                     yield flush()
@@ -94,157 +99,314 @@ def count_words(source: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("f").alias("freq"), F.sum("t").alias("trained"))
 
 
-def counted_rows(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Distinct keys, and the sums of the values over each."""
-    if not len(keys[0]):
-        return keys, values
-    order = np.lexsort(keys)
-    keys = [k[order] for k in keys]
-    opens = np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
-    return [k[opens] for k in keys], [np.add.reduceat(v[order], opens) for v in values]
+class Numbers:
+    """Numbers of words: the start, then the frequent words, the same in all tasks, then a task's other words; and the blocks.
 
-
-def gathered(source: DataFrame, shared) -> DataFrame:
-    """The leaves: (word, one, two, hot, hot_one, n): every word after every context and how often it is learned there.
-
-    ``hot`` and ``hot_one`` say whether the word and the word before are frequent.
+    Blocks below ``number`` are those of whole words before, then come the pieces of the ``heavy`` ones, then their units.
     """
+
+    def __init__(self, words: np.ndarray, number: int, heavy: dict[int, int] | None = None) -> None:
+        """``words``: hashes of the frequent words, most frequent first; ``heavy``: numbers of pieces by hash."""
+        found = sorted((heavy or {}).items())
+        self.number, self.heavy = number, np.array([h for h, _ in found], np.uint64)
+        self.pieces = np.array([n for _, n in found], np.int64)
+        self.begins = number + np.concatenate([[0], np.cumsum(self.pieces)]).astype(np.int64)
+        self.blocks = int(self.begins[-1])
+        self.shared = np.concatenate([[START], words[words != START]]).astype(np.uint64)
+        bits = max(1, (16 * len(self.shared)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), np.zeros(1 << bits, np.int32)
+        self.slots[self.shared >> self.shift] = np.arange(len(self.shared))
+        clash = np.flatnonzero(self.slots[self.shared >> self.shift] != np.arange(len(self.shared)))
+        self.clash = clash[np.argsort(self.shared[clash])]          # those whose slot another one has
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, those of other words -1; hashes of the other words, one for each -1)."""
+        ids = self.slots[hashes >> self.shift]
+        other = np.flatnonzero(self.shared[ids] != hashes)
+        place, found = look_up(self.shared[self.clash], hashes[other])
+        ids[other] = np.where(found, self.clash[place], -1) if len(self.clash) else -1
+        return ids, hashes[other[~found]]
+
+    def numbered(self, ids: np.ndarray, others: np.ndarray) -> np.ndarray:
+        """Fills in the numbers of the other words; returns their distinct hashes."""
+        rare, number = np.unique(others, return_inverse=True)
+        ids[ids < 0] = len(self.shared) + number
+        return rare
+
+    def unit(self, block: int) -> int | None:
+        """The unit of a block that is a piece."""
+        return self.blocks + int(np.searchsorted(self.begins, block, side="right")) - 1 if block >= self.number else None
+
+    def sent(self, word: np.ndarray, one: np.ndarray, before: np.ndarray, n: np.ndarray, text: np.ndarray, rows: np.ndarray,
+             rare: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """(block, blob): occurrences by the block of the word before; ``rows`` of the texts ascend."""
+        hashes, shared = np.concatenate([self.shared, rare]), len(self.shared)
+        of_word = (mix(hashes ^ _BLOCK) % np.uint64(self.number)).astype(np.uint16 if self.blocks <= 1 << 16 else np.int32)
+        block = of_word[one]
+        place, heavy = look_up(self.heavy, hashes)
+        some = np.flatnonzero(heavy[one])
+        if len(some):
+            which = place[one[some]]
+            block[some] = self.begins[which] + (mix(hashes[before[some]] ^ _PIECE) % self.pieces[which].astype(np.uint64)).astype(np.int64)
+        order = np.argsort(block, kind="stable")
+        counts = np.bincount(block, minlength=self.blocks)
+        ends = np.cumsum(counts)
+        for at in np.flatnonzero(counts).tolist():
+            own = order[ends[at] - counts[at]:ends[at]]
+            ids = [x[own] for x in (word, one, before)]
+            used = np.zeros(len(hashes), dtype=bool)
+            for x in ids:
+                used[x] = True
+            used[:shared] = True
+            new = np.cumsum(used, dtype=np.int32) - 1
+            row = rows[text[own]]
+            others = rare[used[shared:]]        # in order, so their differences take fewer bytes
+            blob = pack(np.diff(others, prepend=others[:1] * 0), *(new[x] for x in ids), n[own], np.diff(row, prepend=row[0]), row[:1])
+            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([blob], pa.binary())], ["block", "blob"])
+
+
+def gathered(source: DataFrame, numbers) -> DataFrame:
+    """(block, blob): all occurrences of a word after a context, with their rows and whether they are learned from."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = shared.value
+        known: Numbers = numbers.value
         held: list[tuple[np.ndarray, ...]] = []
         waiting = 0
 
-        def flush() -> pa.RecordBatch:
-            joined = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.int64) for _ in range(4)]
-            (word, two, one), (n,) = counted_rows([joined[0], joined[2], joined[1]], [joined[3]])
+        def flush() -> Iterator[pa.RecordBatch]:
+            ids, opens, others, learn, rows = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            hot, hot_one = look_up(vocabulary, word)[1], look_up(vocabulary, one)[1] | (one == START.view(np.int64))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word), pa.array(one), pa.array(two), pa.array(hot), pa.array(hot_one), pa.array(n, pa.int64())],
-                ["word", "one", "two", "hot", "hot_one", "n"])
+            rare = known.numbered(ids, others)
+
+            def shifted(x: np.ndarray) -> np.ndarray:
+                out = np.zeros(len(x), dtype=np.int32)
+                out[1:], out[opens] = x[:-1], 0
+                return out
+
+            one, text = shifted(ids), np.cumsum(opens, dtype=np.int32) - 1
+            return known.sent(ids, one, shifted(one), learn[text], text, rows, rare)
 
         for batch in batches:
-            learn = ~batch.column(1).to_numpy(zero_copy_only=False)
-            for token, one, two, text in batch_tokens(batch.column(0)):
-                held.append((token, one, two, learn[text].astype(np.int64)))
+            learn, rows = ~batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
+            for token, opens, text in batch_tokens(batch.column(0)):
+                ids, others = known.of(token)
+                held.append((ids, opens, others, learn[text[0]:text[-1] + 1], rows[text[0]:text[-1] + 1]))
                 waiting += len(token)
                 if waiting > MOST_PAIRS:
-                    yield flush()
+                    yield from flush()
+                    give_back()
                     waiting = 0
-        yield flush()
+        if held:
+            yield from flush()
+        give_back()
+
+    return source.select("text", "held_out", "row").mapInArrow(emit, "block int, blob binary")
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is written here as soon as it is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-    rows = source.select("text", "held_out").mapInArrow(
-        emit, "word long, one long, two long, hot boolean, hot_one boolean, n long")
-    return rows.groupBy("word", "two").agg(F.first("one").alias("one"), F.first("hot").alias("hot"),
-                                           F.first("hot_one").alias("hot_one"), F.sum("n").alias("n"))
 
+def settled(rows: DataFrame, name: str) -> DataFrame:
+    with shuffles_dropped(rows.sparkSession):
+        return settle(rows, name)
 
-def by_one_word(rows: DataFrame, table: DataFrame, key: str, hot: str) -> DataFrame:
-    """``rows`` with the columns of ``table``, which has one row for each word in ``key``; frequent words by broadcast."""
-    often = rows.where(hot).join(F.broadcast(table.where(hot).drop(hot)), key)
-    return often.unionByName(rows.where(~F.col(hot)).join(table.where(~F.col(hot)).drop(hot), key))
 
+def bucketed(rows: DataFrame, key: str, number: int, name: str) -> DataFrame:
+    """Write a table in ``number`` buckets of its key, so that joins by the key don't shuffle it, and go on from the files."""
+    spark, name = rows.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    with shuffles_dropped(spark):
+        rows.write.bucketBy(number, key).option("path", f"{checkpoint_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
 
-def with_tables(rows: DataFrame, customers: str, strength: float, discount: float, context: str | None, sweep: int) -> DataFrame:
-    """``rows`` without ``others`` and ``parent`` (see ``seating.draw``), and with ``t``: the tables drawn from them."""
-    names, level = [x for x in rows.columns if x not in ("others", "parent")], 1 + ("one", "two").index(context) if context else 0
-    schema = ", ".join(f"{x} {rows.schema[x].dataType.simpleString()}" for x in names)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stirling = Stirling(discount)
+def each(rows: DataFrame, work: Callable[..., tuple], schema: str) -> DataFrame:
+    """``work`` on the values of each row, its results in the order of ``schema`` or a batch of rows."""
+    names = [x.split()[0] for x in schema.replace(_SENT, "sent_type").split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word = batch.column("word").to_numpy().view(np.uint64)
-            place = batch.column(context).to_numpy().view(np.uint64) if context else np.zeros(len(word), np.uint64)
-            given = [batch.column(x).to_numpy() for x in (customers, "others", "parent")]
-            t = draw(*given, strength, stirling, mix(word + mix(place + np.uint64(level << 20))), sweep)
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(t)], [*names, "t"])
+            for i in range(batch.num_rows):
+                done = work(*(x[i].as_buffer() if pa.types.is_binary(x.type) else x[i].as_py() for x in batch.columns))
+                if isinstance(done, pa.RecordBatch):
+                    yield done
+                else:
+                    yield pa.RecordBatch.from_arrays([_column(n, v) for n, v in zip(names, done)], names)
+                del done
+                give_back()
+
+    return rows.mapInArrow(run, schema)
+
+
+_SENT_TYPE = pa.list_(pa.struct([("to", pa.int32()), ("blob", pa.binary())]))
+
+
+def _column(name: str, value) -> pa.Array:
+    if name in ("sent", "units"):
+        return pa.array([[{"to": to, "blob": blob} for to, blob in value]], _SENT_TYPE)
+    return pa.array([value], pa.binary() if isinstance(value, bytes) else pa.int32() if name in ("block", "part") else pa.int64())
+
+
+def mail(rows: DataFrame, key: str, to: str, kind: int = 0, sent: str = "sent") -> DataFrame:
+    """(to, kind, source, blob): what rows sent to others, source being their own key."""
+    return rows.select(F.col(key).alias("source"), F.explode(sent).alias("x")).select(
+        F.col("x.to").alias(to), F.lit(kind).alias("kind"), "source", F.col("x.blob").alias("blob"))
 
-    return rows.mapInArrow(add, schema + ", t long")
 
+def own(rows: DataFrame, key: str, kind: int = 0) -> DataFrame:
+    """The same columns with the rows' own tables, as from source -1."""
+    return rows.select(key, F.lit(kind).alias("kind"), F.lit(-1).alias("source"), F.col("state").alias("blob"))
 
-def discount_of(rows: DataFrame, customers: str) -> float:
-    """The discount estimated from the groups of one and of two customers."""
-    found = rows.agg(*(F.coalesce(F.sum((F.col(customers) == i).cast("long")), F.lit(0)).alias(x)
-                       for i, x in ((1, "one"), (2, "two")))).first()
-    return float(np.clip(found.one / (found.one + 2 * found.two), 0.05, 0.95)) if found.one + found.two else 0.5
 
+def joined(table: DataFrame, key: str, columns: list[str], *given: DataFrame) -> DataFrame:
+    """``table`` with all that was given to each of its rows, in the order of kind and source."""
+    rows = reduce(DataFrame.unionByName, given)
+    rows = rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("kind", "source", "blob"))).alias("given"))
+    return table.select(key, *columns).join(rows.hint("merge"), key).select(key, *columns, "given")
 
-def totals(rows: DataFrame, context: str, customers: str, *flags: str) -> DataFrame:
-    """(context, flags, c, k): customers and tables of every restaurant."""
-    return rows.groupBy(context, *flags).agg(F.sum(customers).alias("c"), F.sum("t").alias("k"))
 
+def opened(given: list[dict]) -> dict[int, tuple[list[np.ndarray] | None, list[np.ndarray]]]:
+    """By kind: the row's own tables, if any, and the arrays of all sources, one after the other."""
+    out = {}
+    for kind in sorted({x["kind"] for x in given}):
+        state = [unpack(x["blob"]) for x in given if x["kind"] == kind and x["source"] < 0]
+        sent = [unpack(x["blob"]) for x in given if x["kind"] == kind and x["source"] >= 0]
+        out[kind] = (state[0] if state else None, [np.concatenate(x) for x in zip(*sent)])
+    return out
 
-def predicted(customers: str, discount: float, strength: float, parent: str) -> Column:
-    """The probability of a row's word in its restaurant (t tables of c and k in all) over that in the parent."""
-    own = F.greatest(F.col(customers) - discount * F.col("t"), F.lit(0.0))
-    return (own + (strength + discount * F.col("k")) * F.col(parent)) / (strength + F.col("c"))
 
+def lists(sent: list[dict]) -> list[tuple[int, bytes]]:
+    return [(x["to"], x["blob"]) for x in sent]
 
-def taken_out(tables: str, parent: str) -> list[Column]:
-    """What a row is seated by: the other words' tables in its restaurant (``k`` in all) and the parent's probability."""
-    return [(F.col("k") - F.col(tables)).alias("others"), F.col(parent).cast("double").alias("parent")]
+
+def discount_of(one: int, two: int) -> float:
+    """The discount estimated from the numbers of groups of one and of two customers."""
+    return float(np.clip(one / (one + 2 * two), 0.05, 0.95)) if one + two else 0.5
+
+
+def modelled(occurrences: DataFrame, numbers, learned: int, distinct: int, sweeps: int, burn_in: int, named: bool,
+             finish: Callable[..., pa.RecordBatch], schema: str) -> DataFrame:
+    """``finish`` (rows, their other arrays, probability, frequencies of the block's words) of each block.
+
+    ``occurrences``: (block, blob) by ``numbers``, a broadcast ``Numbers``; ``learned`` and ``distinct``: tokens learned and
+    distinct ones. The probability of a row is averaged over the seatings after the first ``burn_in`` sweeps.
+    """
+    number, units, unit_state = numbers.value.number, None, None
+
+    def build(table: pa.Table) -> pa.Table:
+        block, known = table.column("block")[0].as_py(), numbers.value
+        done = restaurants.built([x.as_buffer() for x in table.column("blob")], known.shared, number, named, known.unit(block))
+        give_back()
+        return pa.table({n: _column(n, v) for n, v in zip(("block", "kept", "sweep", "sent", "units", "one", "two"), (block, *done))})
+
+    held = bucketed(occurrences.repartition(numbers.value.blocks, "block").groupBy("block").applyInArrow(
+        build, f"block int, kept binary, sweep binary, sent {_SENT}, units {_SENT}, one long, two long"),
+        "block", numbers.value.blocks, "lm_blocks")
+    counted = held.agg(F.sum("one").alias("one"), F.sum("two").alias("two")).first()
+    first_d2 = discount_of(counted.one or 0, counted.two or 0)
+
+    def sources(table: pa.Table) -> list[tuple[int, bytes]]:
+        table = table.sort_by("source")
+        return list(zip(table.column("source").to_pylist(), table.column("blob").to_pylist()))
+
+    def unite(table: pa.Table) -> pa.Table:
+        done = restaurants.united(sources(table), number)
+        return pa.table({n: _column(n, v) for n, v in zip(("block", "words", "sent"), (table.column("block")[0].as_py(), *done))})
+
+    def begin(table: pa.Table) -> pa.Table:
+        done = restaurants.rooted(sources(table))
+        return pa.table({n: _column(n, v) for n, v in zip(("part", "words", "sent"), (table.column("part")[0].as_py(), *done))})
+
+    asked = mail(held, "block", "part")
+    if len(numbers.value.heavy):
+        units = bucketed(mail(held, "block", "block", sent="units").groupBy("block").applyInArrow(
+            unite, f"block int, words binary, sent {_SENT}"), "block", number, "lm_units")
+        asked = asked.unionByName(mail(units, "block", "part"))
+    parts = bucketed(asked.groupBy("part").applyInArrow(begin, f"part int, words binary, sent {_SENT}"), "part", number, "lm_parts")
+    first = mail(parts, "part", "block")
+    given, state, at_root, root_state, kept = Given((0.5, 0.5, 0.5), 0, distinct, learned, distinct), None, first, None, []
+    seated = f"block int, state binary, sent {_SENT}, units {_SENT}, one long, two long"
+    for k in range(sweeps):
+        def sweep(block, rows, sent, got, given=given, k=k):
+            got, unit = opened(got), numbers.value.unit(block)
+            if unit is None:
+                return block, *restaurants.swept(rows, lists(sent), *got[0], given, k)
+            return block, *restaurants.swept_piece(rows, lists(sent), *got[0], got[1][1] if 1 in got else None, unit, given, k)
+
+        def unite_sweep(block, words, sent, got, given=given, k=k):
+            got = opened(got)
+            return block, *restaurants.swept_unit(words, lists(sent), *got[0], got[1][1], given, k)
+
+        def root(part, words, got, given=given, k=k):
+            return part, *restaurants.seated_at_root(words, *opened(got)[0], given, k)
+
+        had = [own(x, "block") if x is not None else None for x in (state, unit_state)]
+        state = settled(each(joined(held, "block", ["sweep", "sent"], at_root, *([had[0]] if had[0] is not None else []), *(
+            [mail(unit_state, "block", "block", 1, "units")] if unit_state is not None else [])), sweep, seated), "lm-state")
+        sent = mail(state, "block", "part")
+        if units is not None:
+            unit_state = settled(each(joined(
+                units, "block", ["words", "sent"], at_root, mail(state, "block", "block", 1, "units"),
+                *([had[1]] if had[1] is not None else [])), unite_sweep, seated), "lm-unit-state")
+            sent = sent.unionByName(mail(unit_state, "block", "part"))
+        root_state = settled(each(joined(parts, "part", ["words"], sent, *([own(root_state, "part")] if root_state is not None else [])),
+                                  root, f"part int, state binary, sent {_SENT}, one long, two long, c long, k long"), "lm-root")
+        at_root = mail(root_state, "part", "block")
+        mids, top = (x.agg(*(F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in x.columns if y in ("one", "two", "c", "k"))).first()
+                     for x in (state if units is None else state.unionByName(unit_state), root_state))
+        given = Given((discount_of(top.one, top.two), discount_of(mids.one, mids.two), first_d2), top.c, top.k, learned, distinct)
+        if k >= burn_in:
+            kept.append((state, unit_state, root_state, given))
+
+    def end(block, rows, got):
+        rows, others = restaurants.rows_of(rows)
+        got = opened(got)
+        p = sum(restaurants.probabilities(rows, *got[2 * k], got[2 * k + 1][1] if 2 * k + 1 in got else None, x)
+                for k, x in enumerate(givens, 1)) / len(givens)
+        return finish(rows, others, p, got[0][1][0])
+
+    givens, samples = [x for *_, x in kept], []
+    for k, (of_blocks, of_units, of_root, _) in enumerate(kept, 1):
+        samples += [own(of_blocks, "block", 2 * k), mail(of_root, "part", "block", 2 * k)]
+        if of_units is not None:
+            samples.append(mail(of_units, "block", "block", 2 * k + 1, "units"))
+    return each(joined(held, "block", ["kept"], first, *samples), end, schema)
 
 
 def sampled(leaves: DataFrame, words: DataFrame, learned: int, distinct: int, sweeps: int = SWEEPS,
             burn_in: int = BURN_IN) -> DataFrame:
-    """(word, two, trained, p): each leaf's probability, averaged over the seatings after the first ``burn_in`` sweeps.
+    """(word, two, trained, p): the probability of each word after each context, given how often it was learned there.
 
-    ``words`` has (word, hot, trained); ``learned`` and ``distinct`` are the sums of ``trained`` and of its signs.
+    ``leaves`` has (word, one, two, n), ``words`` (word, hot, trained) with the frequent ones marked; ``learned`` and
+    ``distinct`` are the sums of ``trained`` and of its signs.
     """
-    s0, s1, s2 = STRENGTHS
-    d0 = d1 = d2 = 0.5
-    first_d2 = discount_of(leaves, "n")
-    # before the first sweep: one table for each word in each restaurant, and the words' frequencies as probabilities
-    root_tables = distinct
-    leaves = leaves.select("*", (F.col("n") > 0).cast("long").alias("t"), F.lit(0.0).alias("sum"))
-    over = settle(totals(leaves, "two", "n"), "lm-two")
-    pairs = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"))
-    pairs = settle(pairs.select("*", (F.col("m") > 0).cast("long").alias("t")), "lm-seats")
-    ones = settle(totals(pairs, "one", "m", "hot_one"), "lm-one")
-    roots = words.select("word", "hot", "trained", (F.col("trained") / max(learned, 1)).alias("p0"),
-                         (F.col("trained") > 0).cast("long").alias("t0"))
-    mids = settle(by_one_word(pairs, roots, "word", "hot").select(
-        "word", "one", "trained", F.col("p0").alias("p1"), F.col("t").alias("t1")), "lm-mids")
-    for number in range(sweeps + 1):
-        rows = leaves.drop("t1").join(over, "two").join(mids, ["word", "one"])
-        if number > burn_in:
-            rows = rows.withColumn("sum", F.col("sum") + predicted("n", d2, s2, "p1"))
-        if number == sweeps:
-            return rows.select("word", "two", "trained", (F.col("sum") / (sweeps - burn_in)).alias("p"))
-        kept = rows.select("word", "one", "two", "hot", "hot_one", "n", "sum", "t1", *taken_out("t", "p1"))
-        leaves = settle(with_tables(kept, "n", s2, d2, "two", number), "lm-leaves")
-        over = settle(totals(leaves, "two", "n"), "lm-two")
-        seats = leaves.groupBy("word", "one", "hot", "hot_one").agg(F.sum("t").alias("m"), F.first("t1").alias("t1"))
-        seats = by_one_word(by_one_word(seats, ones, "one", "hot_one"), roots, "word", "hot")
-        kept = seats.select("word", "one", "hot", "hot_one", "m", "trained", "t0", *taken_out("t1", "p0"))
-        seats = settle(with_tables(kept, "m", s1, d1, "one", number), "lm-seats")
-        ones = settle(totals(seats, "one", "m", "hot_one"), "lm-one")
-        tables = seats.groupBy("word", "hot").agg(F.first("trained").alias("trained"), F.first("t0").alias("t0"),
-                                                  F.sum("t").alias("r"))
-        kept = tables.withColumns({"k": F.lit(root_tables).cast("long"), "base": F.lit(1.0 / (distinct + 1))}).select(
-            "word", "hot", "trained", "r", *taken_out("t0", "base"))
-        tables = settle(with_tables(kept, "r", s0, d0, None, number), "lm-roots")
-        d0, d1, d2 = discount_of(tables, "r"), discount_of(seats, "m"), first_d2
-        all_of = tables.agg(F.coalesce(F.sum("r"), F.lit(0)).alias("c"), F.coalesce(F.sum("t"), F.lit(0)).alias("k")).first()
-        root_tables = all_of.k
-        base = F.lit((s0 + d0 * all_of.k) / (s0 + all_of.c) / (distinct + 1))
-        own = F.greatest(F.col("r") - d0 * F.col("t"), F.lit(0.0)) / (s0 + all_of.c)
-        roots = settle(tables.select("word", "hot", "trained", (own + base).alias("p0"), F.col("t").alias("t0")), "lm-words")
-        rows = by_one_word(by_one_word(seats.drop("trained", "t0"), ones, "one", "hot_one"), roots, "word", "hot")
-        mids = settle(rows.select("word", "one", "trained", predicted("m", d1, s1, "p0").alias("p1"), F.col("t").alias("t1")),
-                      "lm-mids")
-
-
-def occurrences(source: DataFrame) -> DataFrame:
-    """(word, two, row, n): how often each word follows each context in each text."""
+    spark = leaves.sparkSession
+    often = words.where("hot").orderBy(F.desc("trained"), "word").select("word").toArrow()
+    numbers = spark.sparkContext.broadcast(Numbers(often.column("word").to_numpy().view(np.uint64),
+                                                   max(1, -(-learned // BLOCK_TOKENS))))
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(1).to_numpy()
-            for token, _, two, text in batch_tokens(batch.column(0)):
-                (word, two, row), (n,) = counted_rows([token, two, ids[text]], [np.ones(len(token), np.int64)])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (word, two, row, n)], ["word", "two", "row", "n"])
+            word, one, two, n = (x.to_numpy() for x in batch.columns)
+            ids, others = numbers.value.of(np.concatenate([word, one, two]).view(np.uint64))
+            rare = numbers.value.numbered(ids, others)
+            yield from numbers.value.sent(*np.split(ids, 3), n, np.zeros(len(n), np.int32), np.zeros(1, np.int64), rare)
+
+    def finish(rows, others, p, trained) -> pa.RecordBatch:
+        word, two = others[3:]
+        return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in (word, two, trained[rows.word])), pa.array(p)],
+                                          ["word", "two", "trained", "p"])
 
-    return source.select("text", "row").mapInArrow(emit, "word long, two long, row long, n long")
+    occurrences = leaves.select("word", "one", "two", "n").mapInArrow(emit, "block int, blob binary")
+    return modelled(occurrences, numbers, learned, distinct, sweeps, burn_in, True, finish,
+                    "word long, two long, trained long, p double")
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remainder: int = 1,
@@ -261,23 +423,44 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                          held_out(id_col, remainder).alias("held_out"), F.monotonically_increasing_id().alias("row"))
-    words = settle(count_words(source), "lm-counts")
-    size = words.agg(F.coalesce(F.sum("trained"), F.lit(0)).alias("n"),
+    words = settled(count_words(source), "lm-counts")
+    size = words.agg(F.coalesce(F.sum("trained"), F.lit(0)).alias("n"), F.coalesce(F.sum("freq"), F.lit(0)).alias("all"),
                      F.coalesce(F.sum(F.signum("trained")), F.lit(0)).cast("long").alias("v")).first()
-    often = frequent(words, frequent_words).select("word").toArrow()            # at most frequent_words rows
-    vocabulary = np.sort(often.column("word").to_numpy())
-    hot = spark.createDataFrame([(w,) for w in vocabulary.tolist()], "word long").withColumn("yes", F.lit(True))
-    flagged = words.join(F.broadcast(hot), "word", "left").select("word", F.col("yes").isNotNull().alias("hot"), "trained")
-    leaves = settle(gathered(source, spark.sparkContext.broadcast(vocabulary)), "lm-pairs")
-    model = settle(sampled(leaves, settle(flagged, "lm-flagged"), size.n, size.v, sweeps, burn_in), "lm-model")
-    scored = occurrences(source).join(model, ["word", "two"])
-    base = F.log10((F.col("trained") + 0.5) / (size.n + 0.5 * (size.v + 1)))
-    by_text = scored.select("row", F.col("n").alias("n_tokens"), (F.col("n") * F.signum("trained").cast("long")).alias("n_known"),
-                            (F.col("n") * base).alias("base"), (F.col("n") * F.log10("p")).alias("score"))
+    learned, distinct = size.n, size.v
+    # a text has one end, so what follows its start is as often there; at most four words for each block
+    often = words.where(F.col("freq") > max(1, BLOCK_TOKENS // 4)).collect()
+    heavy = {int(START if w == END else w): -(-f // max(1, BLOCK_TOKENS // 2))
+             for w, f in ((np.int64(x.word).view(np.uint64), x.freq) for x in often)}
+    number = max(1, -(-(size.all - sum(x.freq for x in often)) // BLOCK_TOKENS))
+    often = frequent(words, frequent_words).select("word", "freq").toArrow().sort_by([("freq", "descending"), ("word", "ascending")])
+    numbers = spark.sparkContext.broadcast(Numbers(often.column("word").to_numpy().view(np.uint64),      # at most frequent_words
+                                                   number, heavy))
+
+    def finish(rows, others, p, trained) -> pa.RecordBatch:
+        count, texts, text = others[:3]
+        base = np.log10((trained + 0.5) / (learned + 0.5 * (distinct + 1)))
+        by_text = [np.bincount(text, np.repeat(x, count), len(texts))
+                   for x in (np.ones(len(p)), np.sign(trained)[rows.word], base[rows.word], np.log10(p))]
+        near = texts >> TEXTS
+        first = np.flatnonzero(np.diff(near, prepend=-1))
+        blobs = [pack(*(x[lo:end].astype(np.int64) for x in (texts, *by_text[:2])), *(x[lo:end].view(np.uint64) for x in by_text[2:]))
+                 for lo, end in zip(first, [*first[1:], len(near)])]
+        return pa.RecordBatch.from_arrays([pa.array(near[first]), pa.array(blobs, pa.binary())], ["texts", "blob"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sent = [unpack(x.as_buffer()) for x in table.column("blob")]
+        row, n, known, base, score = (np.concatenate([x[i] for x in sent]) for i in range(5))
+        row, text = np.unique(row, return_inverse=True)
+        sums = [np.bincount(text, x, len(row)) for x in (n, known, *(x.astype(np.uint64).view(float) for x in (base, score)))]
+        return pa.table({"row": row.astype(np.int64), "n_tokens": sums[0].astype(np.int64), "n_known": sums[1].astype(np.int64),
+                         "base": sums[2], "score": sums[3]})
+
+    by_block = modelled(gathered(source, numbers), numbers, learned, distinct, sweeps, burn_in, False, finish, "texts long, blob binary")
+    by_text = by_block.groupBy("texts").applyInArrow(add, "row long, n_tokens long, n_known long, base double, score double")
     both = source.select("row", "doc_id", "held_out").unionByName(by_text, allowMissingColumns=True).groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.sum("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.sum("score").alias("score"))
-    return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(size.n).cast("long").alias("train_tokens"),
+    return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(learned).cast("long").alias("train_tokens"),
                        F.round("base", 8).alias("base_score"), F.round("score", 8).alias("score"))
 
 
