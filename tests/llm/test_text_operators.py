@@ -405,7 +405,7 @@ def test_scores_do_not_depend_on_blocks(workers, messy, monkeypatch):
         return sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.base_score, r.score) for r in pitman_yor.score_texts(messy).collect())
 
     whole, known = scores(), []
-    monkeypatch.setattr(pitman_yor, "BLOCK_TOKENS", 6000)
+    monkeypatch.setattr(pitman_yor, "BLOCK_TOKENS", 5000)
     begin = pitman_yor.Numbers.__init__
     monkeypatch.setattr(pitman_yor.Numbers, "__init__", lambda self, *x: known.append(self) or begin(self, *x))
     parted = scores()
